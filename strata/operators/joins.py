@@ -1,0 +1,20 @@
+"""Join helpers with an explicit size bound for broadcasting."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when it is proven to hold at most this many
+# rows; beyond it the join stays a shuffle join (AQE may still convert it at
+# run time, under spark.sql.adaptive.autoBroadcastJoinThreshold).
+BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check reads at most ``max_rows + 1`` rows (a LIMIT scan), so it
+    costs little even when the input is large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
