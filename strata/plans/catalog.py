@@ -223,3 +223,37 @@ register("order_fulfillment", f"""
            COUNT(*) AS orders
     FROM ({_fact_b_sql(True)}) GROUP BY supplier_key""")(
     lambda t: marts.order_fulfillment(_fact_b(t, derived_dates=True)))
+
+# ------------------------------------------------------------ upsert / refresh
+from pyspark.sql import functions as _F  # noqa: E402
+
+from ..operators.upsert import merge_frames  # noqa: E402
+from .refresh import FACT_KEYS  # noqa: E402
+
+_FACT_COLS = ("orderkey, partkey, suppkey, custkey, extendedprice, discount, tax, quantity, "
+              "orderdate, year, month, day")
+
+
+def _fact_upsert(t: Tables) -> DataFrame:
+    """base = fact rows ordered before 2000; delta = rows ordered from
+    1999-06-01 with extendedprice + 1; upsert delta into base on the
+    five-column MERGE key."""
+    f = star.fact_sales(t.lineitem, t.orders)
+    base = f.where(_F.col("orderdate") < _F.lit("2000-01-01").cast("date"))
+    delta = (f.where(_F.col("orderdate") >= _F.lit("1999-06-01").cast("date"))
+             .withColumn("extendedprice", _F.col("extendedprice") + 1))
+    return merge_frames(base, delta, FACT_KEYS)
+
+
+register("fact_upsert", f"""
+    WITH f AS ({_FACT_A}),
+    base AS (SELECT * FROM f WHERE orderdate < DATE '2000-01-01'),
+    delta AS (SELECT orderkey, partkey, suppkey, custkey, extendedprice + 1 AS extendedprice,
+                     discount, tax, quantity, orderdate, year, month, day
+              FROM f WHERE orderdate >= DATE '1999-06-01')
+    SELECT {_FACT_COLS} FROM delta
+    UNION ALL
+    SELECT {_FACT_COLS} FROM base b WHERE NOT EXISTS (
+        SELECT 1 FROM delta d WHERE d.orderkey = b.orderkey AND d.partkey = b.partkey
+          AND d.suppkey = b.suppkey AND d.custkey = b.custkey AND d.orderdate = b.orderdate)""")(
+    _fact_upsert)
