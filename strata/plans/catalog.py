@@ -257,3 +257,53 @@ register("fact_upsert", f"""
         SELECT 1 FROM delta d WHERE d.orderkey = b.orderkey AND d.partkey = b.partkey
           AND d.suppkey = b.suppkey AND d.custkey = b.custkey AND d.orderdate = b.orderdate)""")(
     _fact_upsert)
+
+# ------------------------------------------------------------ ingestion
+from ..sources import rawzone  # noqa: E402
+from ..sources.jdbc import ExtractSpec, window_filter  # noqa: E402
+from . import ingest  # noqa: E402
+
+_ORDER_OUT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority"]
+
+
+def _raw_dedup(t: Tables) -> DataFrame:
+    """Two overlapping date-window extracts of orders landed in two ingest
+    hours; the RAW read sees both copies of the overlap, and
+    ``latest_ingest`` keeps one row per order (the later hour's)."""
+    def extract(lo, hi, y, m, d, h):
+        spec = ExtractSpec("orders", window_col="o_orderdate", window=(lo, hi))
+        df = window_filter(t.orders, spec)
+        return df.select(*[(_F.to_date(c) if c == "o_orderdate" else _F.col(c)).alias(c)
+                           for c in _ORDER_OUT]).withColumns(
+            {"year": _F.lit(y), "month": _F.lit(m), "day": _F.lit(d), "hour": _F.lit(h)})
+    both = (extract("1995-01-01", "1998-01-01", "2024", "01", "01", "10")
+            .unionByName(extract("1997-01-01", "2000-01-01", "2024", "01", "02", "10")))
+    return rawzone.latest_ingest(both, ["o_orderkey"])
+
+
+register("raw_dedup", """
+    SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+           CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM (
+        SELECT * FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1998-01-01'
+        UNION ALL
+        SELECT * FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '2000-01-01')
+    """)(_raw_dedup)
+
+register("range_split_counts", """
+    WITH b AS (SELECT MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi FROM orders)
+    SELECT CAST(CASE WHEN o_orderkey IS NULL THEN 0
+                ELSE LEAST(GREATEST(FLOOR((o_orderkey - lo) / ((hi // 6) - (lo // 6))), 0), 5)
+                END AS INTEGER) AS split,
+           COUNT(*) AS rows
+    FROM orders, b GROUP BY 1""")(
+    lambda t: ingest.range_split_counts(t.orders, "o_orderkey", 6))
+
+_YEARS = [f"{y}-01-01" for y in range(1995, 2003)]
+register("incremental_window", """
+    SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS window_lo,
+           CAST(date_trunc('year', o_orderdate) + INTERVAL 1 YEAR AS DATE) AS window_hi,
+           COUNT(*) AS rows, MAX(o_orderkey) AS watermark
+    FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '2002-01-01'
+    GROUP BY 1, 2""")(
+    lambda t: ingest.window_batches(t.orders, "o_orderdate", _YEARS, "o_orderkey"))
