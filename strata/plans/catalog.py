@@ -307,3 +307,111 @@ register("incremental_window", """
     FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '2002-01-01'
     GROUP BY 1, 2""")(
     lambda t: ingest.window_batches(t.orders, "o_orderdate", _YEARS, "o_orderkey"))
+
+# ------------------------------------------------------------ sentiment sandbox
+from ..functions import sentiment as S  # noqa: E402
+from ..sources.comments import (NEGATIVE_COMMENTS, NEUTRAL_COMMENTS,  # noqa: E402
+                                POSITIVE_COMMENTS, generate_comments)
+from . import classifier  # noqa: E402
+from . import sentiment as sent  # noqa: E402
+
+
+def _sql_flags(words, col="lower(text)"):
+    return " + ".join(f"CAST(contains({col}, '{w}') AS INTEGER)" for w in words)
+
+
+def _sql_score(pos, neg, text="text"):
+    return (f"(CASE WHEN {text} IS NULL OR {text} = '' THEN 0 ELSE "
+            f"({_sql_flags(pos, f'lower({text})')}) - ({_sql_flags(neg, f'lower({text})')}) END)")
+
+
+_SA = _sql_score(S.LEXICON_A_POSITIVE, S.LEXICON_A_NEGATIVE)
+_SB = _sql_score(S.LEXICON_B_POSITIVE, S.LEXICON_B_NEGATIVE)
+
+
+def _label(score, cap=False):
+    p, n, u = ("Positive", "Negative", "Neutral") if cap else ("positive", "negative", "neutral")
+    return f"CASE WHEN {score} > 0 THEN '{p}' WHEN {score} < 0 THEN '{n}' ELSE '{u}' END"
+
+
+register("sentiment_lexicon_a", f"""
+    SELECT doc_id, {_label(_SA)} AS predicted_label, CAST({_SA} AS DOUBLE) AS score
+    FROM documents""")(
+    lambda t: t.documents.select("doc_id", S.label_a("text").alias("predicted_label"),
+                                 S.score_a("text").alias("score")))
+register("sentiment_lexicon_b", f"""
+    SELECT doc_id, CAST({_SB} AS FLOAT) AS sentiment_score, {_label(_SB, True)} AS sentiment
+    FROM documents""")(
+    lambda t: t.documents.select("doc_id", S.score_b("text").alias("sentiment_score"))
+    .withColumn("sentiment", S.label_b(_F.col("sentiment_score"))))
+register("sentiment_conversations", f"""
+    SELECT conv_id, turn, {_label(_SA)} AS predicted_label, CAST({_SA} AS DOUBLE) AS score
+    FROM conversations""")(
+    lambda t: t.conversations.select("conv_id", "turn", S.label_a("text").alias("predicted_label"),
+                                     S.score_a("text").alias("score")))
+register("weak_label", f"""
+    SELECT doc_id, CAST(({_sql_flags(S.WEAK_POSITIVE)}) > 0 AS INTEGER) AS weak_label
+    FROM documents""")(
+    lambda t: t.documents.select("doc_id", S.weak_label("text").alias("weak_label")))
+
+
+def _sentiment_enriched(t: Tables) -> DataFrame:
+    """Documents as customer comments: custkey = doc_id % (customer count)."""
+    n = t.customer.count()
+    comments = t.documents.select((_F.col("doc_id") % n).cast("int").alias("custkey"),
+                                  _F.col("text").alias("comment"))
+    return sent.enrich(comments, star.dim_customer(t.customer))
+
+
+register("sentiment_enriched", f"""
+    SELECT CAST(d.custkey AS VARCHAR) AS custkey, c.c_name AS customer_name,
+           CAST(c.c_nationkey AS BIGINT) AS nationkey, d.text AS comment,
+           {_label(_SA)} AS predicted_label, CAST({_SA} AS DOUBLE) AS score
+    FROM (SELECT CAST(doc_id % (SELECT COUNT(*) FROM customer) AS INTEGER) AS custkey, text
+          FROM documents) d
+    LEFT JOIN customer c ON CAST(d.custkey AS BIGINT) = c.c_custkey""")(_sentiment_enriched)
+
+
+def _sentiment_product(t: Tables) -> DataFrame:
+    """Conversation turns as product comments: customer id = conv_id,
+    product id = turn (string ids, as in the CSV files)."""
+    c = t.conversations.select(
+        _F.concat_ws("-", _F.col("conv_id").cast("string"), _F.col("turn").cast("string"))
+        .alias("comment_id"),
+        _F.col("conv_id").cast("string").alias("customer_id"),
+        _F.col("turn").cast("string").alias("product_id"),
+        _F.col("text").alias("comment_text"))
+    return sent.enrich_products(c, star.dim_customer(t.customer, "shipdate"),
+                                star.dim_part(t.part, "shipdate"))
+
+
+register("sentiment_product", f"""
+    SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id,
+           CAST(conv_id AS VARCHAR) AS customer_id, CAST(turn AS VARCHAR) AS product_id,
+           text AS comment_text, CAST({_SB} AS FLOAT) AS sentiment_score,
+           {_label(_SB, True)} AS sentiment, c.c_name AS customer_name, p.p_name AS part_name
+    FROM conversations LEFT JOIN customer c ON conv_id = c.c_custkey
+    LEFT JOIN part p ON turn = p.p_partkey""")(_sentiment_product)
+
+
+def _pool_sql(pool):
+    return "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in pool) + "]"
+
+
+def _comments_generated(t: Tables) -> DataFrame:
+    """One generated comment per order, customers drawn over the customer
+    table's size (modular picks)."""
+    return generate_comments(t.spark, t.orders.count(), t.customer.count(), mode="hash")
+
+
+register("comments_generated", f"""
+    WITH ids AS (SELECT row_number() OVER () - 1 AS id FROM orders),
+    nc AS (SELECT COUNT(*) AS n FROM customer)
+    SELECT CAST((id * 7919) % n AS INTEGER) AS custkey,
+           CASE WHEN (id * 31) % 100 < 40 THEN {_pool_sql(POSITIVE_COMMENTS)}[(id * 17) % 10 + 1]
+                WHEN (id * 31) % 100 < 70 THEN {_pool_sql(NEGATIVE_COMMENTS)}[(id * 17) % 10 + 1]
+                ELSE {_pool_sql(NEUTRAL_COMMENTS)}[(id * 17) % 10 + 1] END AS comment
+    FROM ids, nc""")(_comments_generated)
+
+# No SQL oracle: an iterative model fit (rows-only check).
+register("text_classifier")(lambda t: classifier.classify(t.documents, "doc_id", "text"))
