@@ -83,29 +83,58 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return src.unionByName(kept)
 
 
-def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
-                 partition_cols: Sequence[str] = (), on_duplicate: str = "error",
-                 order_by: Sequence[str] | None = None) -> DataFrame:
-    """Apply an upsert to the parquet table at ``path``.
+def _read_existing(spark, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
+            return None
+        raise
 
-    With ``partition_cols`` (which must be functions of the keys, e.g.
-    year/month of a key date) only partitions touched by ``source`` are read
-    (left-semi on the touched partition list, which Spark turns into
-    partition pruning) and rewritten (dynamic partition overwrite); other
-    partitions are not opened.
+
+def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
+                 partition_cols: Sequence[str] = (), keys_fix_partition: bool = True,
+                 on_duplicate: str = "error", order_by: Sequence[str] | None = None,
+                 max_touched_partitions: int = 100_000) -> DataFrame:
+    """Apply an upsert to the parquet table at ``path`` (created if absent).
+
+    With ``partition_cols`` only the affected partitions are read in full
+    and rewritten (dynamic partition overwrite); the rest stay untouched:
+
+    * ``keys_fix_partition=True`` — the partition is a function of the keys
+      (e.g. year/month of a key date), so a source row can only match in
+      its own partition: affected = partitions present in ``source``.
+    * ``keys_fix_partition=False`` — a key may move between partitions:
+      affected also includes every partition holding a matched key, found
+      by a key-and-partition-column scan of the target (column pruning
+      keeps it narrow).
 
     The merged rows are checkpointed to the cluster's checkpoint folder
-    before the write, so the job never reads the files it replaces, and a
-    lost executor recomputes from the checkpoint, not from the overwritten
-    input. Returns the written rows.
+    before the write, so the job never reads the files it replaces and a
+    lost executor recomputes from the checkpoint. Returns the written rows.
     """
     spark = source.sparkSession
     from ..session import checkpoint_dir
     checkpoint_dir(spark)
-    target = spark.read.parquet(path)
+    keys = list(keys)
+    target = _read_existing(spark, path)
+    if target is None:
+        merged = merge_frames(source.limit(0), source, keys, on_duplicate=on_duplicate,
+                              order_by=order_by)
+        w = merged.write.mode("overwrite")
+        if partition_cols:
+            w = w.partitionBy(*partition_cols)
+        w.parquet(path)
+        return merged
     if partition_cols:
-        touched = bounded_broadcast(source.select(*partition_cols).distinct())
-        target = target.join(touched, list(partition_cols), "left_semi")
+        pcols = list(partition_cols)
+        touched = source.select(*pcols)
+        if not keys_fix_partition:
+            hit = (target.select(*keys, *pcols).join(source.select(*keys), keys, "left_semi")
+                   .select(*pcols))
+            touched = touched.unionByName(hit)
+        touched = bounded_broadcast(touched.distinct(), max_touched_partitions)
+        target = target.join(touched, pcols, "left_semi")
     merged = merge_frames(target, source, keys, on_duplicate=on_duplicate, order_by=order_by)
     merged = merged.checkpoint(eager=True)
     w = merged.write.mode("overwrite")

@@ -415,3 +415,143 @@ register("comments_generated", f"""
 
 # No SQL oracle: an iterative model fit (rows-only check).
 register("text_classifier")(lambda t: classifier.classify(t.documents, "doc_id", "text"))
+
+# ------------------------------------------------------------ versions, checks, masking, ...
+from ..operators import checks, masking, retention, versions  # noqa: E402
+from ..schemas import union_evolving  # noqa: E402
+
+
+def _versioned_orders(t: Tables) -> DataFrame:
+    """Three batches: all orders; orders from 2000 with totalprice + 1;
+    orders from 2001 with status 'C' and totalprice + 2."""
+    o = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    b1 = versions.stamp(o, 1)
+    b2 = versions.stamp(o.where(_F.col("o_orderdate") >= _F.lit("2000-01-01").cast("date"))
+                        .withColumn("o_totalprice", _F.col("o_totalprice") + 1), 2)
+    b3 = versions.stamp(o.where(_F.col("o_orderdate") >= _F.lit("2001-01-01").cast("date"))
+                        .withColumns({"o_orderstatus": _F.lit("C"),
+                                      "o_totalprice": _F.col("o_totalprice") + 2}), 3)
+    return b1.unionByName(b2).unionByName(b3).drop("o_orderdate")
+
+
+_VERSIONED_SQL = """
+    SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(1 AS BIGINT) AS batch_id FROM orders
+    UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice + 1, CAST(2 AS BIGINT) FROM orders
+      WHERE o_orderdate >= DATE '2000-01-01'
+    UNION ALL SELECT o_orderkey, 'C', o_totalprice + 2, CAST(3 AS BIGINT) FROM orders
+      WHERE o_orderdate >= DATE '2001-01-01'"""
+
+register("as_of_orders", f"""
+    SELECT o_orderkey, o_orderstatus, o_totalprice, batch_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY batch_id DESC) AS rn
+      FROM ({_VERSIONED_SQL}) WHERE batch_id <= 2) WHERE rn = 1""")(
+    lambda t: versions.as_of(_versioned_orders(t), ["o_orderkey"], 2))
+register("orders_history_expired", f"""
+    WITH v AS ({_VERSIONED_SQL}),
+    snap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey
+             ORDER BY batch_id DESC) AS rn FROM v WHERE batch_id <= 2) WHERE rn = 1)
+    SELECT batch_id, COUNT(*) AS rows FROM (
+      SELECT batch_id FROM snap UNION ALL SELECT batch_id FROM v WHERE batch_id > 2)
+    GROUP BY batch_id""")(
+    lambda t: versions.history(versions.expire(_versioned_orders(t), ["o_orderkey"], 2)))
+
+
+def _fk_checks(t: Tables) -> DataFrame:
+    return checks.run_checks([
+        checks.foreign_key(t.orders, "o_custkey", t.customer, "c_custkey"),
+        checks.foreign_key(t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
+        checks.foreign_key(t.lineitem, "l_partkey", t.part, "p_partkey"),
+        checks.foreign_key(t.lineitem, "l_suppkey", t.supplier, "s_suppkey"),
+        checks.unique(t.orders, ["o_orderkey"]),
+        checks.unique(t.lineitem, ["l_orderkey", "l_linenumber"]),
+        checks.not_null(t.orders, "o_orderdate"),
+        checks.in_range(t.lineitem, "l_discount", 0.0, 0.1),
+    ])
+
+
+register("fk_checks", """
+    SELECT 'fk:o_custkey' AS "check", COUNT(*) AS violations FROM orders
+      WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)
+    UNION ALL SELECT 'fk:l_orderkey', COUNT(*) FROM lineitem
+      WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)
+    UNION ALL SELECT 'fk:l_partkey', COUNT(*) FROM lineitem
+      WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL)
+    UNION ALL SELECT 'fk:l_suppkey', COUNT(*) FROM lineitem
+      WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL)
+    UNION ALL SELECT 'unique:o_orderkey', COUNT(*) FROM (
+      SELECT o_orderkey FROM orders GROUP BY o_orderkey HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'unique:l_orderkey,l_linenumber', COUNT(*) FROM (
+      SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1)
+    UNION ALL SELECT 'not_null:o_orderdate', COUNT(*) FROM orders WHERE o_orderdate IS NULL
+    UNION ALL SELECT 'range:l_discount', COUNT(*) FROM lineitem
+      WHERE l_discount < 0.0 OR l_discount > 0.1""")(_fk_checks)
+
+_PROFILE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+register("profile_orders", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls,
+               COUNT(DISTINCT {c}) AS "distinct", CAST(MIN({c}) AS VARCHAR) AS min,
+               CAST(MAX({c}) AS VARCHAR) AS max FROM orders""" for c in _PROFILE_COLS))(
+    lambda t: checks.profile(t.orders, _PROFILE_COLS))
+
+register("masked_customers", """
+    SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal,
+           CASE WHEN c_mktsegment IS NULL THEN NULL ELSE '*****' END AS c_mktsegment
+    FROM customer""")(
+    lambda t: masking.mask(t.customer, {"c_name": "sha2", "c_acctbal": "null",
+                                        "c_mktsegment": "redact"}))
+register("retention_tiers", """
+    SELECT CASE WHEN o_orderdate IS NULL THEN 'undated'
+                WHEN o_orderdate < DATE '1999-01-01' THEN 'archive' ELSE 'hot' END AS tier,
+           COUNT(*) AS rows FROM orders GROUP BY 1""")(
+    lambda t: retention.tier_counts(t.orders, "o_orderdate", "1999-01-01"))
+
+
+def _schema_evolution(t: Tables) -> DataFrame:
+    """Orders written in two schema versions: v1 (before 1998) with an INT
+    key and no priority column; v2 with BIGINT key and o_orderpriority."""
+    o = t.orders
+    cut = _F.lit("1998-01-01").cast("date")
+    v1 = o.where(_F.col("o_orderdate") < cut).select(
+        _F.col("o_orderkey").cast("int").alias("o_orderkey"), "o_custkey", "o_totalprice")
+    v2 = o.where(_F.col("o_orderdate") >= cut).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    return union_evolving(v1, v2)
+
+
+register("schema_evolution_union", """
+    SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderpriority
+      FROM orders WHERE o_orderdate < DATE '1998-01-01'
+    UNION ALL
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority
+      FROM orders WHERE o_orderdate >= DATE '1998-01-01'""")(_schema_evolution)
+
+# ------------------------------------------------------------ streaming
+import uuid as _uuid  # noqa: E402
+
+from ..session import checkpoint_dir as _ckdir  # noqa: E402
+from ..streaming import incremental as _inc  # noqa: E402
+
+
+def _stream_incremental_orders(t: Tables) -> DataFrame:
+    """Orders land as one parquet file per order year; a file-source stream
+    (one file per micro-batch) upserts each batch into a (year, month)
+    partitioned dim_order table keyed on orderkey. The result must equal
+    the batch-built dim_order."""
+    spark = t.spark
+    root = f"{_ckdir(spark).rstrip('/')}/strata-stream-{_uuid.uuid4().hex}"
+    landing, target = f"{root}/landing", f"{root}/dim_order"
+    (t.orders.repartition(_F.year("o_orderdate")).write.mode("overwrite").parquet(landing))
+    stream = _inc.file_stream(spark, landing, t.orders.schema, glob="*.parquet")
+
+    def to_dim(batch: DataFrame) -> DataFrame:
+        d = star.dim_order(batch)
+        return d.withColumns({"year": _F.year("orderdate"), "month": _F.month("orderdate")})
+
+    _inc.run_incremental(spark, stream, target, ["orderkey"], job=f"stream-{root[-8:]}",
+                         partition_cols=("year", "month"), transform=to_dim,
+                         checkpoint=f"{root}/_checkpoint", ledger_path=f"{root}/_ledger")
+    return spark.read.parquet(target).select("orderkey", "orderstatus", "totalprice",
+                                             "orderdate", "priority", "custkey")
+
+
+register("stream_incremental_orders", ORACLE["dim_order"])(_stream_incremental_orders)
