@@ -24,7 +24,9 @@ def col_or_null(df: DataFrame, name: str, dtype: str) -> Column:
 
 def safe_cast(df: DataFrame, name: str, dtype: str) -> Column:
     """Cast that yields NULL on bad input instead of failing (ANSI stays on)."""
-    field = df.schema[name]
-    if field.dataType.simpleString() == T._parse_datatype_string(dtype).simpleString():
+    src = df.schema[name].dataType
+    if src.simpleString() == T._parse_datatype_string(dtype).simpleString():
         return F.col(name)
-    return F.expr(f"try_cast(`{name}` AS {dtype})")
+    if isinstance(src, T.StringType):
+        return F.expr(f"try_cast(`{name}` AS {dtype})")
+    return F.col(name).cast(dtype)

@@ -337,18 +337,19 @@ def _label(score, cap=False):
 register("sentiment_lexicon_a", f"""
     SELECT doc_id, {_label(_SA)} AS predicted_label, CAST({_SA} AS DOUBLE) AS score
     FROM documents""")(
-    lambda t: t.documents.select("doc_id", S.label_a("text").alias("predicted_label"),
-                                 S.score_a("text").alias("score")))
+    lambda t: S.with_lexicon(t.documents.select("doc_id", "text"), "text", "a")
+    .select("doc_id", "predicted_label", "score"))
 register("sentiment_lexicon_b", f"""
     SELECT doc_id, CAST({_SB} AS FLOAT) AS sentiment_score, {_label(_SB, True)} AS sentiment
     FROM documents""")(
-    lambda t: t.documents.select("doc_id", S.score_b("text").alias("sentiment_score"))
-    .withColumn("sentiment", S.label_b(_F.col("sentiment_score"))))
+    lambda t: S.with_lexicon(t.documents.select("doc_id", "text"), "text", "b",
+                             score_col="sentiment_score", label_col="sentiment")
+    .select("doc_id", "sentiment_score", "sentiment"))
 register("sentiment_conversations", f"""
     SELECT conv_id, turn, {_label(_SA)} AS predicted_label, CAST({_SA} AS DOUBLE) AS score
     FROM conversations""")(
-    lambda t: t.conversations.select("conv_id", "turn", S.label_a("text").alias("predicted_label"),
-                                     S.score_a("text").alias("score")))
+    lambda t: S.with_lexicon(t.conversations.select("conv_id", "turn", "text"), "text", "a")
+    .select("conv_id", "turn", "predicted_label", "score"))
 register("weak_label", f"""
     SELECT doc_id, CAST(({_sql_flags(S.WEAK_POSITIVE)}) > 0 AS INTEGER) AS weak_label
     FROM documents""")(

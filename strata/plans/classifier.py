@@ -8,12 +8,15 @@ replaces, but on whole texts (no truncation to a fixed token count):
 
 Tokenizing, vocabulary counting and the optimiser's gradient steps are
 distributed; only the 1000-term vocabulary and the coefficients reach the
-driver. Output: id, label (weak), probability of positive, and the
-Positive / Negative prediction at threshold 0.5.
+driver. Texts are tokenized once: the sparse count vectors (far smaller
+than the texts) are persisted (memory, spilling to disk) for the
+vocabulary pass, the optimiser's passes and the scoring pass.
+Output: id, weak label, probability of positive, and the Positive /
+Negative prediction at threshold 0.5.
 """
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -27,15 +30,19 @@ def classify(df: DataFrame, id_col: str, text_col: str, *, vocab_size: int = 100
              max_iter: int = 20, reg: float = 0.01) -> DataFrame:
     data = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
                      weak_label(text_col).cast("double").alias("label"))
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern="\\W+", toLowercase=True),
-        CountVectorizer(inputCol="_tokens", outputCol="_features", vocabSize=vocab_size),
-        LogisticRegression(featuresCol="_features", labelCol="label", maxIter=max_iter,
-                           regParam=reg, probabilityCol="_prob"),
-    ])
-    model = pipe.fit(data)
-    scored = model.transform(data)
+    tokens = (RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern="\\W+",
+                             toLowercase=True)
+              .transform(data).select(id_col, "label", "_tokens")
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    cv = CountVectorizer(inputCol="_tokens", outputCol="_features", vocabSize=vocab_size).fit(tokens)
+    feats = (cv.transform(tokens).select(id_col, "label", "_features")
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    feats.count()          # materialise the vectors once, then drop the token lists
+    tokens.unpersist()
+    lr = LogisticRegression(featuresCol="_features", labelCol="label", maxIter=max_iter,
+                            regParam=reg, probabilityCol="_prob").fit(feats)
     p = vector_to_array("_prob")[1]
-    return scored.select(F.col(id_col), F.col("label").cast("int").alias("weak_label"),
-                         p.alias("p_positive"),
-                         F.when(p > 0.5, "Positive").otherwise("Negative").alias("sentiment"))
+    return lr.transform(feats).select(F.col(id_col), F.col("label").cast("int").alias("weak_label"),
+                                      p.alias("p_positive"),
+                                      F.when(p > 0.5, "Positive").otherwise("Negative")
+                                      .alias("sentiment"))

@@ -19,10 +19,8 @@ SANDBOX_COLUMNS = ("custkey", "customer_name", "nationkey", "comment", "predicte
 
 
 def score_comments(comments: DataFrame, text_col: str = "comment") -> DataFrame:
-    s = S.lexicon_score(text_col, S.LEXICON_A_POSITIVE, S.LEXICON_A_NEGATIVE)
-    return comments.withColumn("_s", s).withColumns({
-        "predicted_label": S.label_from_score(F.col("_s")),
-        "score": F.col("_s").cast("double")}).drop("_s")
+    return S.with_lexicon(comments, text_col, "a", score_col="score",
+                          label_col="predicted_label")
 
 
 def enrich(comments: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -41,8 +39,8 @@ def enrich_products(comments: DataFrame, dim_customer_b: DataFrame,
     lexicon-B sentiment ⟕ customers ⟕ parts. If the dimensions lack their
     key columns the comments are returned with sentiment only (explicit
     schema check instead of catching errors)."""
-    scored = comments.withColumn("sentiment_score", S.score_b("comment_text"))
-    scored = scored.withColumn("sentiment", S.label_b(F.col("sentiment_score")))
+    scored = S.with_lexicon(comments, "comment_text", "b", score_col="sentiment_score",
+                            label_col="sentiment")
     if "customer_key" not in dim_customer_b.columns or "part_key" not in dim_part_b.columns:
         return scored
     cust = dim_customer_b.select(F.col("customer_key").alias("_ck"), "customer_name")
