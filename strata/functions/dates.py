@@ -20,7 +20,7 @@ def as_date(df: DataFrame, name: str, fmt: str | None = "yyyy-MM-dd") -> Column:
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
     if isinstance(dt, T.StringType):
-        return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+        return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
     return F.lit(None).cast("date")
 
 

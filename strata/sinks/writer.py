@@ -85,3 +85,16 @@ def save_star(spark: SparkSession, star, root: str, files_per_partition: int = 8
 def database_path(warehouse: str, zone: str) -> str:
     """Folder of a zone (raw, datawarehouse, delivery, sandbox)."""
     return f"{warehouse.rstrip('/')}/{zone}"
+
+
+def delete_partitions(spark: SparkSession, path: str, partition_cols: Sequence[str],
+                      values: list[dict]) -> None:
+    """Remove partition directories ``col=value/...`` of a path-based table
+    through the Hadoop FileSystem of that path (works for any cluster
+    filesystem)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        sub = "/".join(f"{c}={v[c]}" for c in partition_cols)
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
+        p.getFileSystem(conf).delete(p, True)
