@@ -279,7 +279,7 @@ def _raw_dedup(t: Tables) -> DataFrame:
             {"year": _F.lit(y), "month": _F.lit(m), "day": _F.lit(d), "hour": _F.lit(h)})
     both = (extract("1995-01-01", "1998-01-01", "2024", "01", "01", "10")
             .unionByName(extract("1997-01-01", "2000-01-01", "2024", "01", "02", "10")))
-    return rawzone.latest_ingest(both, ["o_orderkey"])
+    return rawzone.latest_ingest(both, ["o_orderkey"]).select(*_ORDER_OUT)
 
 
 register("raw_dedup", """

@@ -32,6 +32,7 @@ class ExtractSpec:
     check_column: str | None = None             # incremental append column
     predicates: tuple[str, ...] = ()            # explicit splits (text columns)
     fetchsize: int = 10_000
+    lower_case_columns: bool = True             # o_orderkey whatever the DB's case
     options: dict = field(default_factory=dict)
 
 
@@ -105,6 +106,8 @@ def extract(spark: SparkSession, url: str, spec: ExtractSpec, props: dict | None
                   .option("numPartitions", spec.num_partitions).load())
     else:
         df = r.option("dbtable", spec.table).load()
+    if spec.lower_case_columns:
+        df = df.toDF(*[c.lower() for c in df.columns])
     return window_filter(df, spec, last_value)
 
 

@@ -117,13 +117,13 @@ def ingest_time(df: DataFrame) -> F.Column:
 
 def latest_ingest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Collapse re-ingested copies: per business key keep the row of the
-    latest ingest hour. A partial ``max(struct)`` aggregate, so a key with
+    latest ingest hour (partition columns included). A partial ``max(struct)`` aggregate, so a key with
     many copies is reduced map-side before the shuffle."""
-    data_cols = [c for c in df.columns if c not in PARTITION_COLS]
-    m = F.max(F.struct(ingest_time(df).alias("_t"), F.struct(*data_cols).alias("r")))
+    cols = df.columns
+    m = F.max(F.struct(ingest_time(df).alias("_t"), F.struct(*cols).alias("r")))
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
     picked = df.where(known).groupBy(*keys).agg(m.alias("_m")).select("_m.r.*")
     # rows without a full key cannot be matched to a copy: keep them all
-    return picked.unionByName(df.where(~known).select(*data_cols))
+    return picked.unionByName(df.where(~known))
