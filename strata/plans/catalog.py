@@ -541,7 +541,7 @@ def _stream_incremental_orders(t: Tables) -> DataFrame:
     spark = t.spark
     root = f"{_ckdir(spark).rstrip('/')}/strata-stream-{_uuid.uuid4().hex}"
     landing, target = f"{root}/landing", f"{root}/dim_order"
-    (t.orders.repartition(_F.year("o_orderdate")).write.mode("overwrite").parquet(landing))
+    (t.orders.repartition(8, _F.year("o_orderdate")).write.mode("overwrite").parquet(landing))
     stream = _inc.file_stream(spark, landing, t.orders.schema, glob="*.parquet")
 
     def to_dim(batch: DataFrame) -> DataFrame:

@@ -1,0 +1,90 @@
+"""Lexicon scoring against the golden table of FIXTURES.md §4, edge rows,
+the comment generator and the enrichment joins."""
+import pytest
+from pyspark.sql import functions as F
+
+from strata.functions import sentiment as S
+from strata.plans import sentiment as sent
+from strata.sources.comments import (NEGATIVE_COMMENTS, NEUTRAL_COMMENTS, POSITIVE_COMMENTS,
+                                     generate_comments)
+
+# (text, score A, score B, weak) for the pool texts that score non-zero
+GOLDEN = [
+    ("Amazing flight experience!", 0, 0, 1),
+    ("Loved the service and comfort.", 1, 1, 0),
+    ("Excellent crew, smooth flight.", 1, 1, 1),
+    ("Best airline I’ve flown with.", 1, 0, 0),
+    ("Loved the entertainment system.", 1, 1, 0),
+    ("Great value for money!", 1, 1, 1),
+    ("The food was terrible.", -1, -1, 0),
+    ("Long queues and poor management.", -1, -1, 0),
+    ("Not too bad, not too good.", 0, 0, 0),
+]
+EDGES = [(None, 0, 0, 0), ("", 0, 0, 0), ("GREAT great great", 1, 1, 1), ("breakfast", 1, 1, 0),
+         ("good but bad", 0, 0, 0), ("TERRIBLE", -1, -1, 0)]
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    pool = POSITIVE_COMMENTS + NEGATIVE_COMMENTS + NEUTRAL_COMMENTS
+    gold = {t: (a, b, w) for t, a, b, w in GOLDEN}
+    rows = [(t, *gold.get(t, (0, 0, 0))) for t in pool] + EDGES
+    df = spark.createDataFrame(rows, "text string, a int, b int, w int")
+    df = S.with_lexicon(df, "text", "a", score_col="sa", label_col="la")
+    df = S.with_lexicon(df, "text", "b", score_col="sb", label_col="lb")
+    return df.withColumn("wk", S.weak_label("text")).collect()
+
+
+def test_golden_scores(scored):
+    for r in scored:
+        assert (r.sa, r.sb, r.wk) == (r.a, r.b, r.w), r.text
+
+
+def test_labels_and_types(scored):
+    for r in scored:
+        assert r.la == ("positive" if r.a > 0 else "negative" if r.a < 0 else "neutral")
+        assert r.lb == ("Positive" if r.b > 0 else "Negative" if r.b < 0 else "Neutral")
+        assert isinstance(r.sa, float) and isinstance(r.sb, float)
+
+
+def test_no_python_in_scoring_plan(spark):
+    df = S.with_lexicon(spark.createDataFrame([("x",)], "text string"), "text", "a")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "*(1) Project" in plan
+
+
+def test_generator_is_deterministic_and_weighted(spark):
+    a = generate_comments(spark, 10_000, 100, num_partitions=4)
+    b = generate_comments(spark, 10_000, 100, num_partitions=7)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    pos = a.where(F.col("comment").isin(POSITIVE_COMMENTS)).count()
+    neg = a.where(F.col("comment").isin(NEGATIVE_COMMENTS)).count()
+    assert (pos, neg) == (4000, 3000)
+    assert a.agg(F.min("custkey"), F.max("custkey")).first() == (0, 99)
+    r = generate_comments(spark, 20_000, 50, mode="random", seed=7)
+    frac = r.where(F.col("comment").isin(POSITIVE_COMMENTS)).count() / 20_000
+    assert 0.37 < frac < 0.43
+
+
+def test_enrich_keeps_comments_without_customer(spark):
+    comments = spark.createDataFrame([(1, "great"), (99, "bad")], "custkey int, comment string")
+    dim = spark.createDataFrame([(1, "C1", 7)], "custkey bigint, name string, nationkey bigint")
+    out = {r.custkey: r for r in sent.enrich(comments, dim).collect()}
+    assert list(sent.enrich(comments, dim).columns) == list(sent.SANDBOX_COLUMNS)
+    assert out["1"].customer_name == "C1" and out["1"].predicted_label == "positive"
+    assert out["99"].customer_name is None and out["99"].score == -1.0
+
+
+def test_product_enrichment_without_dimension_keys(spark):
+    c = spark.createDataFrame([("1", "1", "2", "good")],
+                              "comment_id string, customer_id string, product_id string, comment_text string")
+    out = sent.enrich_products(c, spark.createDataFrame([(1,)], "x int"),
+                               spark.createDataFrame([(1,)], "y int"))
+    assert out.collect()[0].sentiment == "Positive"
+
+
+def test_classifier_runs_on_whole_texts(spark, tables):
+    from strata.plans.classifier import classify
+    out = classify(tables.documents, "doc_id", "text", max_iter=5)
+    assert out.count() == tables.documents.count()
+    assert set(r.sentiment for r in out.select("sentiment").distinct().collect()) <= {"Positive", "Negative"}
