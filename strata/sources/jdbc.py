@@ -133,3 +133,12 @@ def text_predicates(column: str, boundaries: Sequence[str]) -> tuple[str, ...]:
     preds.append(f"{column} >= '{prev}'" if prev is not None else f"{column} IS NOT NULL")
     preds.append(f"{column} IS NULL")
     return tuple(preds)
+
+
+def probe(spark: SparkSession, url: str, sql: str, props: dict | None = None) -> DataFrame:
+    """Run an arbitrary query in the source database (e.g. a LIMIT 5 look
+    at a table) and return its rows as a DataFrame."""
+    r = spark.read.format("jdbc").option("url", url).option("query", sql)
+    for k, v in (props or {}).items():
+        r = r.option(k, v)
+    return r.load()

@@ -13,7 +13,9 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from strata.session import build_session
-    s = build_session("local[4]", app="strata-tests", shuffle_partitions=8)
+    wh = tempfile.mkdtemp(prefix="strata-test-wh-")
+    s = build_session("local[4]", app="strata-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": wh})
     # tests run without a cluster: give them a private checkpoint folder
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="strata-test-ckpt-")

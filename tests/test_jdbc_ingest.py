@@ -103,3 +103,27 @@ def test_star_from_raw_zone_equals_star_from_tables(spark, tables, scratch):
         a = sorted(tuple(r) for r in from_raw[k].collect())
         b = sorted(tuple(r) for r in from_tables[k].collect())
         assert a == b, k
+
+
+def test_probe_query(spark, derby):
+    from strata.sources.jdbc import probe
+    url, props, _ = derby
+    assert probe(spark, url, "SELECT * FROM orders FETCH FIRST 5 ROWS ONLY", props).count() == 5
+
+
+def test_catalog_zones_and_raw_table(spark, tables, scratch):
+    from strata.sinks import catalog
+    catalog.create_zones(spark, ["raw_t"])
+    rawzone.land(tables.region, scratch, "region", dt.datetime(2024, 1, 1, 1))
+    name = catalog.register_raw_table(spark, "region", scratch, db="raw_t")
+    assert spark.table(name).count() == 5
+    rawzone.land(tables.region, scratch, "region", dt.datetime(2024, 1, 1, 2))
+    catalog.repair(spark, name)
+    assert spark.table(name).count() == 10
+    assert len(catalog.describe(spark, name)["partitions"]) == 2
+    with pytest.raises(ValueError):
+        catalog.drop_zones(spark, ["raw_t"])
+    catalog.drop_zones(spark, ["raw_t"], reset=True)
+    assert "raw_t" not in catalog.describe(spark)["databases"]
+    # the landed files survive dropping the external table
+    assert rawzone.read_raw(spark, scratch, "region").count() == 10
