@@ -83,9 +83,15 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     return src.unionByName(kept)
 
 
-def _read_existing(spark, path: str) -> DataFrame | None:
+def _read_existing(spark, path: str, like: DataFrame | None = None) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        if like is not None:
+            # partition columns read back as strings: give them the source's types
+            types = dict(like.dtypes)
+            fix = {c: F.col(c).cast(types[c]) for c, t in df.dtypes if c in types and t != types[c]}
+            df = df.withColumns(fix) if fix else df
+        return df
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
             return None
@@ -117,7 +123,7 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
     from ..session import checkpoint_dir
     checkpoint_dir(spark)
     keys = list(keys)
-    target = _read_existing(spark, path)
+    target = _read_existing(spark, path, like=source)
     if target is None:
         merged = merge_frames(source.limit(0), source, keys, on_duplicate=on_duplicate,
                               order_by=order_by)

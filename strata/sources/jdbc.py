@@ -142,3 +142,15 @@ def probe(spark: SparkSession, url: str, sql: str, props: dict | None = None) ->
     for k, v in (props or {}).items():
         r = r.option(k, v)
     return r.load()
+
+
+def register_view(spark: SparkSession, url: str, table: str, view: str | None = None,
+                  props: dict | None = None) -> str:
+    """Expose a source-database table as a temp view (federated query:
+    filters and projections on the view are pushed into the database)."""
+    r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in (props or {}).items():
+        r = r.option(k, v)
+    name = view or table
+    r.load().createOrReplaceTempView(name)
+    return name
