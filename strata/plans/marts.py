@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import davg, dsum, money, net_price, rate
+from ..functions.money import amount_avg, amount_sum, cents, net_units, percent, sum_units, to_amount
 from ..operators.joins import bounded_broadcast
 
 # ---------------------------------------------------------------- variant A
@@ -33,11 +33,10 @@ def sales_by_customer(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     replaces).
     """
     per_cust = (fact.groupBy("custkey")
-                .agg(F.sum(net_price("extendedprice", "discount")).alias("_rev"),
+                .agg(amount_sum(net_units("extendedprice", "discount"), 4).alias("total_revenue"),
                      F.count_distinct("orderkey").alias("total_orders")))
     return (per_cust.join(dim_customer.select("custkey", "name"), "custkey")
-            .select("custkey", "name", F.col("_rev").cast("double").alias("total_revenue"),
-                    "total_orders"))
+            .select("custkey", "name", "total_revenue", "total_orders"))
 
 
 def sales_by_region(fact: DataFrame, dim_customer: DataFrame,
@@ -50,22 +49,22 @@ def sales_by_region(fact: DataFrame, dim_customer: DataFrame,
     order belongs to a single customer.
     """
     per_order = (fact.groupBy("custkey", "orderkey")
-                 .agg(F.sum(net_price("extendedprice", "discount")).alias("_rev")))
+                 .agg(sum_units(net_units("extendedprice", "discount")).alias("_rev")))
     geo = bounded_broadcast(dim_geography.select("nationkey", "regionname"))
     cust_region = dim_customer.select("custkey", "nationkey").join(geo, "nationkey")
     return (per_order.join(cust_region, "custkey")
             .groupBy("regionname")
-            .agg(F.sum("_rev").cast("double").alias("total_revenue"),
+            .agg(to_amount(F.sum("_rev"), 4).alias("total_revenue"),
                  F.count_distinct("orderkey").alias("total_orders")))
 
 
 def sales_summary(fact: DataFrame) -> DataFrame:
     """Per (year, month): gross revenue, average discount and tax, units."""
     return (fact.groupBy("year", "month")
-            .agg(dsum(money("extendedprice")).alias("total_revenue"),
-                 davg(rate("discount")).alias("avg_discount"),
-                 davg(rate("tax")).alias("avg_tax"),
-                 dsum(money("quantity")).alias("total_quantity")))
+            .agg(amount_sum(cents("extendedprice"), 2).alias("total_revenue"),
+                 amount_avg(percent("discount"), 2).alias("avg_discount"),
+                 amount_avg(percent("tax"), 2).alias("avg_tax"),
+                 amount_sum(cents("quantity"), 2).alias("total_quantity")))
 
 
 # ---------------------------------------------------------------- variant B
@@ -75,21 +74,21 @@ def sales_summary(fact: DataFrame) -> DataFrame:
 
 def revenue_by_customer(fact_b: DataFrame) -> DataFrame:
     return (fact_b.groupBy("customer_key")
-            .agg(dsum(net_price("extended_price", "discount")).alias("total_revenue"),
-                 dsum(money("quantity")).alias("total_units")))
+            .agg(amount_sum(net_units("extended_price", "discount"), 4).alias("total_revenue"),
+                 amount_sum(cents("quantity"), 2).alias("total_units")))
 
 
 def supplier_performance(fact_b: DataFrame) -> DataFrame:
     return (fact_b.groupBy("supplier_key")
-            .agg(dsum(net_price("extended_price", "discount")).alias("total_revenue"),
-                 dsum(money("quantity")).alias("total_units"),
+            .agg(amount_sum(net_units("extended_price", "discount"), 4).alias("total_revenue"),
+                 amount_sum(cents("quantity"), 2).alias("total_units"),
                  F.count(F.lit(1)).alias("transactions")))
 
 
 def inventory_summary(fact_b: DataFrame) -> DataFrame:
     return (fact_b.groupBy("part_key")
-            .agg(dsum(money("quantity")).alias("units_ordered"),
-                 dsum(net_price("extended_price", "discount")).alias("revenue")))
+            .agg(amount_sum(cents("quantity"), 2).alias("units_ordered"),
+                 amount_sum(net_units("extended_price", "discount"), 4).alias("revenue")))
 
 
 def order_fulfillment(fact_b: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
-from ..functions.money import dsum, money
+from ..functions.money import cents, sum_units, to_amount
 from ..sources.tables import Tables
 
 
@@ -56,7 +56,7 @@ def _revenue_by_customer(t: Tables, revenue_col: str = "rev") -> DataFrame:
     over the join.
     """
     per_order = (t.lineitem.groupBy("l_orderkey")
-                 .agg(F.sum(money("l_extendedprice")).alias("_rev")))
+                 .agg(sum_units(cents("l_extendedprice")).alias("_rev")))
     o = t.orders.select("o_orderkey", "o_custkey")
     per_cust = (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
                 .groupBy("o_custkey").agg(F.sum("_rev").alias(revenue_col)))
@@ -69,7 +69,7 @@ def q5_join_sum(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey")
     return (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
             .groupBy("c_nationkey")
-            .agg(F.sum("rev").cast("double").alias("total_revenue")))
+            .agg(to_amount(F.sum("rev"), 2).alias("total_revenue")))
 
 
 def top_customers_by_spend(t: Tables, k: int = 10) -> DataFrame:
@@ -78,6 +78,6 @@ def top_customers_by_spend(t: Tables, k: int = 10) -> DataFrame:
     c = t.customer.select("c_custkey", "c_name")
     return (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
             .groupBy("c_name")
-            .agg(F.sum("rev").cast("double").alias("total_spent"))
+            .agg(to_amount(F.sum("rev"), 2).alias("total_spent"))
             .orderBy(F.desc("total_spent"), "c_name")
             .limit(k))
