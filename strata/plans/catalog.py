@@ -165,15 +165,15 @@ register("fact_sales_shipdate", _fact_b_sql(False))(
 # ------------------------------------------------------------ marts
 
 
-def _star_a(t: Tables):
-    return star.build_star(t, "orderdate")
-
-
 def _fact_b(t: Tables, derived_dates: bool = False):
     li = with_line_dates(t.lineitem) if derived_dates else t.lineitem
     return star.fact_sales(li, t.orders, "shipdate")
 
 
+def _fact_a(t: Tables):
+    return star.fact_sales(t.lineitem, t.orders)
+
+
 register("sales_by_customer", f"""
     SELECT c_custkey AS custkey, c_name AS name,
            CAST(SUM({NET('l_extendedprice', 'l_discount')}) AS DOUBLE) AS total_revenue,
@@ -181,7 +181,7 @@ register("sales_by_customer", f"""
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
     JOIN customer ON o_custkey = c_custkey
     GROUP BY c_custkey, c_name""")(
-    lambda t: marts.sales_by_customer(_star_a(t).fact_sales, _star_a(t).dim_customer))
+    lambda t: marts.sales_by_customer(_fact_a(t), star.dim_customer(t.customer)))
 register("sales_by_region", f"""
     SELECT r_name AS regionname,
            CAST(SUM({NET('l_extendedprice', 'l_discount')}) AS DOUBLE) AS total_revenue,
@@ -190,8 +190,8 @@ register("sales_by_region", f"""
     JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     GROUP BY r_name""")(
-    lambda t: (lambda s: marts.sales_by_region(s.fact_sales, s.dim_customer,
-                                               s.dim_geography))(_star_a(t)))
+    lambda t: marts.sales_by_region(_fact_a(t), star.dim_customer(t.customer),
+                                    star.dim_geography(t.nation, t.region)))
 register("sales_summary", f"""
     SELECT {I('year(o_orderdate)')} AS year, {I('month(o_orderdate)')} AS month,
            CAST(SUM({M('l_extendedprice')}) AS DOUBLE) AS total_revenue,
@@ -199,7 +199,7 @@ register("sales_summary", f"""
            CAST(SUM({R('l_tax')}) AS DOUBLE) / COUNT(l_tax) AS avg_tax,
            CAST(SUM({M('l_quantity')}) AS DOUBLE) AS total_quantity
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    GROUP BY 1, 2""")(lambda t: marts.sales_summary(_star_a(t).fact_sales))
+    GROUP BY 1, 2""")(lambda t: marts.sales_summary(_fact_a(t)))
 register("revenue_by_customer", f"""
     SELECT o_custkey AS customer_key,
            CAST(SUM({NET('l_extendedprice', 'l_discount')}) AS DOUBLE) AS total_revenue,
@@ -542,7 +542,8 @@ def _stream_incremental_orders(t: Tables) -> DataFrame:
     root = f"{_ckdir(spark).rstrip('/')}/strata-stream-{_uuid.uuid4().hex}"
     landing, target = f"{root}/landing", f"{root}/dim_order"
     (t.orders.repartition(8, _F.year("o_orderdate")).write.mode("overwrite").parquet(landing))
-    stream = _inc.file_stream(spark, landing, t.orders.schema, glob="*.parquet")
+    stream = _inc.file_stream(spark, landing, t.orders.schema, glob="*.parquet",
+                              max_files_per_trigger=2)
 
     def to_dim(batch: DataFrame) -> DataFrame:
         d = star.dim_order(batch)

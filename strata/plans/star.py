@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import col_or_null, safe_cast
 from ..functions.dates import as_date, iso_week, quarter_int, quarter_str
-from ..operators.joins import bounded_broadcast
 
 VARIANTS = ("orderdate", "shipdate")
 
@@ -95,12 +94,12 @@ def dim_geography(nation: DataFrame, region: DataFrame, variant: str = "orderdat
                   how: str | None = None) -> DataFrame:
     """nation ⋈ region. A: inner join; B: left join (nations without a region kept).
 
-    Region is a fixed-size reference table; it is broadcast only after its
-    row count is checked against the bound.
+    Both are small reference tables; Spark's planner broadcasts them from
+    their size statistics (no hint needed).
     """
     how = how or ("inner" if variant == "orderdate" else "left")
-    r = bounded_broadcast(region.select(safe_cast(region, "r_regionkey", "bigint").alias("_rk"),
-                                        F.col("r_name").alias("_rn")))
+    r = region.select(safe_cast(region, "r_regionkey", "bigint").alias("_rk"),
+                      F.col("r_name").alias("_rn"))
     n = nation.select(safe_cast(nation, "n_nationkey", "bigint").alias("_nk"),
                       F.col("n_name").alias("_nn"),
                       safe_cast(nation, "n_regionkey", "bigint").alias("_nrk"))
