@@ -29,11 +29,11 @@ def _zone(warehouse: str, zone: str) -> str:
     return f"{warehouse.rstrip('/')}/{zone}"
 
 
-def init_datawarehouse(spark: SparkSession, raw, warehouse: str, variant: str = "orderdate",
-                       files_per_partition: int = 8) -> dict[str, str]:
+def init_datawarehouse(spark: SparkSession, raw, warehouse: str,
+                       variant: str = "orderdate") -> dict[str, str]:
     """Build and write every star table (create-or-replace, idempotent)."""
     s = star.build_star(raw, variant)
-    paths = save_star(spark, s, _zone(warehouse, "datawarehouse"), files_per_partition)
+    paths = save_star(spark, s, _zone(warehouse, "datawarehouse"))
     ledger.record(spark, f"{warehouse}/ledger", "init_datawarehouse", variant,
                   rows_out=spark.read.parquet(paths["fact_sales"]).count())
     return paths

@@ -13,30 +13,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def clustered(df: DataFrame, partition_cols: Sequence[str], files_per_partition: int = 8,
-              salt_cols: Sequence[str] = ()) -> DataFrame:
-    """Shuffle rows so each output partition directory is written by a few
-    tasks: hash on the partition columns plus a salt in
-    ``[0, files_per_partition)``. A hot day or month is spread over
-    ``files_per_partition`` tasks instead of landing in one, and no task
-    writes into every directory (which would make tasks x partitions
-    small files)."""
+def clustered(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Route rows so each output partition directory is written by tasks of
+    bounded size: a REBALANCE on the partition columns. AQE then splits a
+    hot directory (a day or month holding a large share of the data) into
+    several tasks of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and
+    merges small ones, so the number of files per directory follows its
+    volume, no task writes into every directory, and no task is unbounded."""
     if not partition_cols:
         return df
-    # the salt is a hash of row values, so a recomputed task after an
-    # executor loss routes every row to the same place again
-    salt_src = [F.col(c) for c in (salt_cols or df.columns)]
-    salt = F.pmod(F.xxhash64(*salt_src), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in partition_cols], salt)
+    return df.hint("rebalance", *partition_cols)
 
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
-                partition_cols: Sequence[str] = (), files_per_partition: int | None = None,
-                salt_cols: Sequence[str] = ()) -> None:
+                partition_cols: Sequence[str] = (), rebalance: bool = True) -> None:
     """Create or replace (``mode="overwrite"``) or append a parquet table."""
     out = df
-    if partition_cols and files_per_partition:
-        out = clustered(out, partition_cols, files_per_partition, salt_cols)
+    if partition_cols and rebalance:
+        out = clustered(out, partition_cols)
     w = out.write.mode(mode)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
@@ -65,17 +59,16 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: Sequence[str])
        .partitionBy(*partition_cols).parquet(path))
 
 
-def save_star(spark: SparkSession, star, root: str, files_per_partition: int = 8) -> dict[str, str]:
+def save_star(spark: SparkSession, star, root: str) -> dict[str, str]:
     """Write every table of a ``Star`` under ``root``; the fact is
     partitioned (year, month) — day stays a column, which keeps the
-    directory count at ~12 per year instead of ~365."""
+    directory count at ~12 per year instead of ~365 — and rebalanced so
+    each month is written by tasks of bounded size."""
     paths = {}
     for name, df in star.tables().items():
         p = f"{root.rstrip('/')}/{name}"
         if name == "fact_sales":
-            key = "orderkey" if star.variant == "orderdate" else "order_key"
-            write_table(df, p, partition_cols=star.partition_cols,
-                        files_per_partition=files_per_partition, salt_cols=[key])
+            write_table(df, p, partition_cols=star.partition_cols)
         else:
             write_table(df, p)
         paths[name] = p
