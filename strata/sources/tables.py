@@ -13,6 +13,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 _SCHEMAS: dict[str, object] = {}
 
 
+_SPREAD: dict[str, bool] = {}
+
+
+def _spread_cached(df: DataFrame, path: str) -> DataFrame:
+    if path not in _SPREAD:
+        _SPREAD[path] = spread(df, path) is not df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if _SPREAD[path] else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -24,19 +33,49 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+# A text table (heavy per-row work: scoring, tokenizing) of at least this
+# many bytes whose scan yields fewer partitions than the cluster has cores
+# (one large unsplittable row group) is spread round-robin over the cores
+# before any work. Inputs that already come in many splits — any table at
+# cluster scale — are left as they are; for the narrow relational tables
+# the extra exchange costs more than the per-row work it spreads
+# (measured), so they are never spread.
+SPREAD_MIN_BYTES = 2 * 1024 * 1024
+TEXT_TABLES = frozenset({"documents", "conversations", "pages", "benchmark"})
+
+
+def _bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+               .getContentSummary(p).getLength())
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores or _bytes(spark, path) < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(cores)
+
+
 class Tables:
     """Attribute access to the tables of one directory: ``t.orders``."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread_small_splits: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.spread_small_splits = spread_small_splits
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.sf_dir, name)
+            df = read_table(self.spark, self.sf_dir, name)
+            if self.spread_small_splits and name in TEXT_TABLES:
+                df = _spread_cached(df, f"{self.sf_dir.rstrip('/')}/{name}.parquet")
+            self._cache[name] = df
         return self._cache[name]
 
     def register_views(self) -> None:
