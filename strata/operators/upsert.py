@@ -84,18 +84,16 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
 
 
 def _read_existing(spark, path: str, like: DataFrame | None = None) -> DataFrame | None:
-    try:
-        df = spark.read.parquet(path)
-        if like is not None:
-            # partition columns read back as strings: give them the source's types
-            types = dict(like.dtypes)
-            fix = {c: F.col(c).cast(types[c]) for c, t in df.dtypes if c in types and t != types[c]}
-            df = df.withColumns(fix) if fix else df
-        return df
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
-            return None
-        raise
+    from ..sinks import paths
+    if not paths.exists(spark, path):
+        return None
+    df = spark.read.parquet(path)
+    if like is not None:
+        # partition columns may read back as strings: give them the source's types
+        types = dict(like.dtypes)
+        fix = {c: F.col(c).cast(types[c]) for c, t in df.dtypes if c in types and t != types[c]}
+        df = df.withColumns(fix) if fix else df
+    return df
 
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks import paths
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("job", T.StringType(), False),
     T.StructField("target", T.StringType(), False),
@@ -24,10 +26,9 @@ LEDGER_SCHEMA = T.StructType([
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no ledger yet
+    if not paths.exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def record(spark: SparkSession, path: str, job: str, target: str, *, batch_id: int | None = None,

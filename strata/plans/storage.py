@@ -7,10 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (via the path's Hadoop filesystem)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    from ..sinks.paths import size_bytes
+    return size_bytes(spark, path)
 
 
 def storage_report(df: DataFrame, scratch: str, name: str = "table",

@@ -85,9 +85,7 @@ def delete_partitions(spark: SparkSession, path: str, partition_cols: Sequence[s
     """Remove partition directories ``col=value/...`` of a path-based table
     through the Hadoop FileSystem of that path (works for any cluster
     filesystem)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    from . import paths
     for v in values:
         sub = "/".join(f"{c}={v[c]}" for c in partition_cols)
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
-        p.getFileSystem(conf).delete(p, True)
+        paths.delete(spark, f"{path.rstrip('/')}/{sub}")

@@ -45,10 +45,8 @@ TEXT_TABLES = frozenset({"documents", "conversations", "pages", "benchmark"})
 
 
 def _bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-               .getContentSummary(p).getLength())
+    from ..sinks.paths import size_bytes
+    return size_bytes(spark, path)
 
 
 def spread(df: DataFrame, path: str) -> DataFrame:
