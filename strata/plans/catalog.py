@@ -557,3 +557,9 @@ def _stream_incremental_orders(t: Tables) -> DataFrame:
 
 
 register("stream_incremental_orders", ORACLE["dim_order"])(_stream_incremental_orders)
+
+# ------------------------------------------------------------ mart queries
+register("sales_by_region_sorted", f"""
+    SELECT regionname, total_revenue, total_orders FROM ({ORACLE["sales_by_region"]})
+    ORDER BY total_revenue DESC, regionname, total_orders""")(
+    lambda t: marts.sorted_desc(QUERIES["sales_by_region"](t), "total_revenue"))

@@ -100,6 +100,13 @@ def order_fulfillment(fact_b: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("orders")))
 
 
+def sorted_desc(mart: DataFrame, by: str) -> DataFrame:
+    """A mart ordered by ``by`` descending (ties by the other columns): a
+    distributed range-partitioned sort, no single-task window."""
+    rest = [c for c in mart.columns if c != by]
+    return mart.orderBy(F.desc(by), *rest)
+
+
 MARTS_A = ("sales_by_customer", "sales_by_region", "sales_summary")
 MARTS_B = ("revenue_by_customer", "supplier_performance", "inventory_summary",
            "order_fulfillment")

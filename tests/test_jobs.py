@@ -78,3 +78,11 @@ def test_raw_zone_to_warehouse(spark, tables, scratch):
 
     jobs.init_datawarehouse(spark, Raw(), scratch)
     assert jobs.read_star(spark, scratch).fact_sales.count() == tables.lineitem.count()
+
+
+def test_refresh_twice_equals_once(spark, tables, scratch):
+    jobs.init_datawarehouse(spark, tables, scratch)
+    jobs.refresh_datawarehouse(spark, tables, scratch, mode="reference", on_duplicate="last")
+    once = _sorted(spark.read.parquet(f"{scratch}/datawarehouse/fact_sales"))
+    jobs.refresh_datawarehouse(spark, tables, scratch, mode="reference", on_duplicate="last")
+    assert _sorted(spark.read.parquet(f"{scratch}/datawarehouse/fact_sales")) == once
