@@ -54,3 +54,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def sizing(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings that keep every task's data bounded at a given input volume.
+
+    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
+    * ``shuffle.partitions`` so one shuffle partition of the full input is
+      about one split (at least 2 x cores); AQE coalesces small ones and
+      splits skewed ones above the advisory size;
+    * a skewed join partition is split when it is 5x the median and above
+      the advisory size.
+
+    Example: 100 TB on 1000 executors x 8 cores → 409,600 scan splits of
+    256 MB and 409,600 shuffle partitions before AQE coalescing.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
