@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sinks.writer import append_by_name, save_star, write_table
+from ..sources import rawzone
 from ..sources.comments import generate_comments
 from . import ledger, marts, refresh, sentiment, star
 
@@ -90,3 +91,16 @@ def init_sandbox(spark: SparkSession, warehouse: str, n_comments: int, customers
     ledger.record(spark, f"{warehouse}/ledger", "init_sandbox", target,
                   rows_in=n_comments, rows_out=written.count())
     return written.where(F.lit(True))
+
+
+def sentiment_products(spark: SparkSession, comments_dir: str, warehouse: str) -> str:
+    """Score CSV comment files (header, ``"`` escaping) with lexicon B and
+    join them to the ship-date star's customer and part dimensions; replace
+    sandbox/sentiment_analysis_results_b."""
+    comments = rawzone.read_csv_with_header(spark, comments_dir,
+                                            rawzone.raw_schema("social_comments", False))
+    s = read_star(spark, warehouse, "shipdate")
+    out = sentiment.enrich_products(comments, s.dim_customer, s.dim_part)
+    target = f"{_zone(warehouse, 'sandbox')}/sentiment_analysis_results_b"
+    write_table(out, target)
+    return target

@@ -48,6 +48,16 @@ def register_raw_table(spark: SparkSession, table: str, root: str, db: str = "ra
     return name
 
 
+def register_csv_table(spark: SparkSession, name: str, location: str, ddl: str) -> str:
+    """External CSV table whose files start with a header line (skipped)
+    and quote with ``"`` (escape ``"``), e.g. the social-comments files."""
+    spark.sql(f"""
+        CREATE TABLE IF NOT EXISTS {name} ({ddl})
+        USING csv OPTIONS (header 'true', escape '"')
+        LOCATION '{location}'""")
+    return name
+
+
 def repair(spark: SparkSession, name: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {name}")
 

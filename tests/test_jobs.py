@@ -86,3 +86,26 @@ def test_refresh_twice_equals_once(spark, tables, scratch):
     once = _sorted(spark.read.parquet(f"{scratch}/datawarehouse/fact_sales"))
     jobs.refresh_datawarehouse(spark, tables, scratch, mode="reference", on_duplicate="last")
     assert _sorted(spark.read.parquet(f"{scratch}/datawarehouse/fact_sales")) == once
+
+
+def test_product_sentiment_job_from_csv(spark, tables, scratch):
+    import os
+    from strata.sinks import catalog
+    jobs.init_datawarehouse(spark, tables, scratch, variant="shipdate")
+    d = f"{scratch}/comments"
+    os.makedirs(d)
+    with open(f"{d}/c1.csv", "w") as fh:
+        fh.write("comment_id,customer_id,product_id,comment_text,comment_date\n"
+                 '1,3,5,"Great, ""fast"" delivery",2024-01-01\n'
+                 "2,x,7,terrible,2024-01-02\n")
+    out = spark.read.parquet(jobs.sentiment_products(spark, d, scratch))
+    rows = {r.comment_id: r for r in out.collect()}
+    assert rows["1"].sentiment == "Positive" and rows["1"].sentiment_score == 2.0
+    assert rows["1"].customer_name is not None and rows["1"].part_name is not None
+    assert rows["2"].sentiment == "Negative" and rows["2"].customer_name is None
+    catalog.create_zones(spark, ["raw_csv"])
+    catalog.register_csv_table(spark, "raw_csv.social_comments", d,
+                               "comment_id STRING, customer_id STRING, product_id STRING, "
+                               "comment_text STRING, comment_date STRING")
+    assert spark.table("raw_csv.social_comments").count() == 2
+    catalog.drop_zones(spark, ["raw_csv"], reset=True)
