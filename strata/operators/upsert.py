@@ -42,13 +42,17 @@ def align_by_name(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast(types[c]).alias(c) for c in like.columns])
 
 
+def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Non-null source keys occurring more than once (partial aggregate: a
+    hot key costs one row per map task in the shuffle)."""
+    return (source.where(_not_null(keys)).groupBy(*keys).count()
+            .where(F.col("count") > 1).drop("count"))
+
+
 def duplicate_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source keys that occur more than once *and* match a target row —
-    exactly the rows MERGE rejects. Counted with a partial aggregate, so a
-    hot key costs one row per map task in the shuffle."""
-    dup = (source.where(_not_null(keys)).groupBy(*keys).count()
-           .where(F.col("count") > 1).drop("count"))
-    return dup.join(target.select(*keys), list(keys), "left_semi")
+    exactly the rows MERGE rejects."""
+    return duplicate_keys(source, keys).join(target.select(*keys), list(keys), "left_semi")
 
 
 def latest_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -69,7 +73,10 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
     keys = list(keys)
     src = align_by_name(source, target)
     if on_duplicate == "error":
-        bad = duplicate_matches(target, src, keys).limit(1).collect()
+        # the target is only consulted when the source has a repeated key
+        bad = duplicate_keys(src, keys).limit(1).collect()
+        if bad:
+            bad = duplicate_matches(target, src, keys).limit(1).collect()
         if bad:
             raise MergeCardinalityError(
                 f"MERGE: several source rows match one target row, e.g. key {bad[0].asDict()}")
