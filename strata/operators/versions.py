@@ -39,3 +39,51 @@ def expire(versioned: DataFrame, keys: Sequence[str], version: int,
 def history(versioned: DataFrame, col: str = "batch_id") -> DataFrame:
     """Rows per batch (the table's list of snapshots)."""
     return versioned.groupBy(col).agg(F.count(F.lit(1)).alias("rows")).orderBy(col)
+
+
+# ---------------------------------------------------------------- stored versions
+# A stored versioned table is a parquet folder partitioned by ``_version``
+# (the batch a row was written in, or the compaction version), while
+# ``batch_id`` stays a data column. An as-of read of version v opens only
+# the partitions ``_version <= v``; every row has batch_id <= _version.
+PART = "_version"
+
+
+def append_version(df: DataFrame, path: str, batch_id: int, col: str = "batch_id") -> None:
+    """Write ``df`` as batch ``batch_id`` (re-running the same batch replaces it)."""
+    (stamp(df, batch_id, col).withColumn(PART, F.lit(batch_id).cast("bigint"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PART).parquet(path))
+
+
+def read_versions(spark, path: str, version: int | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    df = df.withColumn(PART, F.col(PART).cast("bigint"))
+    if version is not None:
+        df = df.where(F.col(PART) <= F.lit(version))   # partition pruning
+    return df.drop(PART)
+
+
+def read_as_of(spark, path: str, keys: Sequence[str], version: int | None = None,
+               col: str = "batch_id") -> DataFrame:
+    return as_of(read_versions(spark, path, version), keys, version, col)
+
+
+def expire_stored(spark, path: str, keys: Sequence[str], version: int,
+                  col: str = "batch_id") -> None:
+    """Compact partitions ``_version <= version`` into one snapshot stored in
+    partition ``version`` (rows keep their batch_id), then remove the older
+    partitions. The snapshot is checkpointed first (it is read from the
+    partitions it replaces); after a crash between the two steps a re-run
+    yields the same table."""
+    from ..session import checkpoint_dir
+    from ..sinks import paths
+    checkpoint_dir(spark)
+    snap = (as_of(read_versions(spark, path, version), keys, version, col)
+            .withColumn(PART, F.lit(version).cast("bigint")).checkpoint(eager=True))
+    parts = spark.read.parquet(path).select(F.col(PART).cast("bigint")).distinct()
+    older = [r[0] for r in parts.where(F.col(PART) < version).collect()]
+    (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PART).parquet(path))
+    for b in older:
+        paths.delete(spark, f"{path.rstrip('/')}/{PART}={b}")

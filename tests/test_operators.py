@@ -82,3 +82,21 @@ def test_bounded_broadcast_falls_back_beyond_bound(spark):
     assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower() or \
         "Broadcast" in j1._jdf.queryExecution().executedPlan().toString()
     assert "ResolvedHint (strategy=broadcast)" not in j2._jdf.queryExecution().analyzed().toString()
+
+
+def test_stored_versions_as_of_and_expire(spark, scratch):
+    path = f"{scratch}/v"
+    versions.append_version(spark.createDataFrame([(1, "a"), (2, "x")], "k int, v string"), path, 1)
+    versions.append_version(spark.createDataFrame([(1, "b")], "k int, v string"), path, 2)
+    versions.append_version(spark.createDataFrame([(1, "c"), (3, "y")], "k int, v string"), path, 3)
+    versions.append_version(spark.createDataFrame([(1, "c"), (3, "y")], "k int, v string"), path, 3)
+    df = versions.read_as_of(spark, path, ["k"], 2).where("k = 1")
+    assert "PartitionFilters: [isnotnull(_version" in df._jdf.queryExecution().executedPlan().toString()
+    before = {v: sorted(map(tuple, versions.read_as_of(spark, path, ["k"], v).collect())) for v in (2, 3)}
+    assert before[2] == [(1, "b", 2), (2, "x", 1)]
+    versions.expire_stored(spark, path, ["k"], 2)
+    after = {v: sorted(map(tuple, versions.read_as_of(spark, path, ["k"], v).collect())) for v in (2, 3)}
+    assert after == before
+    assert [r[0] for r in versions.history(versions.read_versions(spark, path)).collect()] == [1, 2, 3]
+    import os
+    assert sorted(d for d in os.listdir(path) if d.startswith("_version=")) == ["_version=2", "_version=3"]
