@@ -38,3 +38,26 @@ def test_no_python_udf_in_any_sql_checked_query(spark):
         if name in ("text_classifier", "stream_incremental_orders", "fact_upsert"):
             continue
         assert "EvalPython" not in plan(fn(spark, SF001)), name
+
+
+def test_cluster_shape_has_no_funnels(spark):
+    """With size-based broadcasting off (the 100 TB shape): no cartesian or
+    nested-loop joins, and a single-partition exchange only ever carries
+    partial aggregates or a limit — never raw rows into one task."""
+    import re
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, fn in E.queries().items():
+            if name in ("text_classifier", "stream_incremental_orders", "fact_upsert"):
+                continue
+            lines = plan(fn(spark, SF001)).splitlines()
+            text = "\n".join(lines)
+            assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+            for i, line in enumerate(lines):
+                if "Exchange SinglePartition" in line:
+                    child = lines[i + 1]
+                    assert re.search(r"Aggregate\(.*partial_|Limit|TakeOrderedAndProject", child), \
+                        (name, child)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
