@@ -563,3 +563,67 @@ register("sales_by_region_sorted", f"""
     SELECT regionname, total_revenue, total_orders FROM ({ORACLE["sales_by_region"]})
     ORDER BY total_revenue DESC, regionname, total_orders""")(
     lambda t: marts.sorted_desc(QUERIES["sales_by_region"](t), "total_revenue"))
+
+# ------------------------------------------------------------ grain, refresh staging, RAW round trips
+import datetime as _dt  # noqa: E402
+
+from . import refresh as _refresh  # noqa: E402
+
+register("fact_sales_line_safe", _FACT_A.replace(
+    "l_quantity AS quantity,", "l_quantity AS quantity, l_linenumber AS linenumber,"))(
+    lambda t: star.fact_sales(t.lineitem, t.orders, line_safe=True))
+
+register("refresh_staging", f"""
+    SELECT DISTINCT * FROM ({_FACT_A.replace("JOIN orders", "JOIN (SELECT DISTINCT * FROM orders) orders")})""")(
+    lambda t: _refresh.staging_fact(t.lineitem, t.orders, "reference"))
+
+
+def _dim_order_upsert(t: Tables) -> DataFrame:
+    """dim_order MERGE on orderkey: base = orders before 2000; delta = orders
+    from 1999-06-01 with status 'U' (the overlap is updated)."""
+    d = star.dim_order(t.orders)
+    cut = _F.lit("2000-01-01").cast("date")
+    base = d.where(_F.col("orderdate") < cut)
+    delta = (d.where(_F.col("orderdate") >= _F.lit("1999-06-01").cast("date"))
+             .withColumn("orderstatus", _F.lit("U")))
+    return merge_frames(base, delta, ["orderkey"])
+
+
+register("dim_order_upsert", f"""
+    WITH d AS ({ORACLE["dim_order"]}),
+    base AS (SELECT * FROM d WHERE orderdate < DATE '2000-01-01'),
+    delta AS (SELECT orderkey, 'U' AS orderstatus, totalprice, orderdate, priority, custkey
+              FROM d WHERE orderdate >= DATE '1999-06-01')
+    SELECT * FROM delta
+    UNION ALL SELECT * FROM base b WHERE NOT EXISTS (SELECT 1 FROM delta x WHERE x.orderkey = b.orderkey)""")(
+    _dim_order_upsert)
+
+
+class _RawZone:
+    """The source tables landed as RAW text (one ingest hour) under the
+    cluster's checkpoint folder, read back with the RAW contracts."""
+
+    def __init__(self, t: Tables, names):
+        root = f"{_ckdir(t.spark).rstrip('/')}/strata-raw-{_uuid.uuid4().hex}"
+        for n in names:
+            rawzone.land(getattr(t, n), root, n, _dt.datetime(2024, 1, 1, 0))
+        self._t, self._root = t, root
+
+    def __getattr__(self, n):
+        if n.startswith("_"):
+            raise AttributeError(n)
+        return rawzone.read_raw(self._t.spark, self._root, n)
+
+
+register("dim_order_via_raw", ORACLE["dim_order"])(
+    lambda t: star.dim_order(_RawZone(t, ["orders"]).orders))
+
+
+def _region_via_raw(t: Tables) -> DataFrame:
+    raw = _RawZone(t, ["lineitem", "orders", "customer", "nation", "region"])
+    return marts.sales_by_region(star.fact_sales(raw.lineitem, raw.orders),
+                                 star.dim_customer(raw.customer),
+                                 star.dim_geography(raw.nation, raw.region))
+
+
+register("sales_by_region_via_raw", ORACLE["sales_by_region"])(_region_via_raw)

@@ -19,25 +19,27 @@ from pyspark.sql import types as T
 
 PARTITION_COLS = ("year", "month", "day", "hour")
 
-# RAW table contracts of the ingestion pipelines.
+# RAW table contracts of the ingestion pipelines (column order and
+# types as landed), except that the TPC-H key columns are BIGINT instead of INT:
+# INT keys overflow beyond 2^31 rows (lineitem past SF ~350), far below 100 TB.
 RAW_DDL = {
-    "customer": "c_custkey INT, c_name STRING, c_address STRING, c_nationkey INT, "
+    "customer": "c_custkey BIGINT, c_name STRING, c_address STRING, c_nationkey INT, "
                 "c_phone STRING, c_acctbal STRING, c_mktsegment STRING, c_comment STRING",
-    "lineitem": "l_orderkey INT, l_partkey INT, l_suppkey INT, l_linenumber INT, "
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
                 "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
                 "l_returnflag STRING, l_linestatus STRING, l_shipdate STRING, "
                 "l_commitdate STRING, l_receiptdate STRING, l_shipinstruct STRING, "
                 "l_shipmode STRING, l_comment STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT, n_comment STRING",
-    "orders": "o_orderkey INT, o_custkey INT, o_orderstatus STRING, o_totalprice STRING, "
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice STRING, "
               "o_orderdate STRING, o_orderpriority STRING, o_clerk STRING, "
               "o_shippriority INT, o_comment STRING",
-    "part": "p_partkey INT, p_name STRING, p_mfgr STRING, p_brand STRING, p_type STRING, "
+    "part": "p_partkey BIGINT, p_name STRING, p_mfgr STRING, p_brand STRING, p_type STRING, "
             "p_size INT, p_container STRING, p_retailprice STRING, p_comment STRING",
-    "partsupp": "ps_partkey INT, ps_suppkey INT, ps_availqty INT, ps_supplycost STRING, "
+    "partsupp": "ps_partkey BIGINT, ps_suppkey BIGINT, ps_availqty INT, ps_supplycost STRING, "
                 "ps_comment STRING",
     "region": "r_regionkey INT, r_name STRING, r_comment STRING",
-    "supplier": "s_suppkey INT, s_name STRING, s_address STRING, s_nationkey INT, "
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_address STRING, s_nationkey INT, "
                 "s_phone STRING, s_acctbal STRING, s_comment STRING",
     "customer_comments": "custkey INT NOT NULL, comment STRING NOT NULL",
     "social_comments": "comment_id STRING, customer_id STRING, product_id STRING, "
