@@ -68,10 +68,16 @@ _ORDER = {
 }
 
 
-def _with_dates(df: DataFrame, names: list[str]) -> DataFrame:
+# Date parsing per variant: A parses strings with the pattern yyyy-MM-dd;
+# B uses the format-less parse (cast rules: also accepts 1996-1-2).
+_DATE_FMT = {"orderdate": "yyyy-MM-dd", "shipdate": None}
+
+
+def _with_dates(df: DataFrame, names: list[str], variant: str = "orderdate") -> DataFrame:
     """Replace date-like columns by parsed DATEs (bad strings → NULL)."""
     present = [n for n in names if n in df.columns]
-    return df.withColumns({n: as_date(df, n) for n in present}) if present else df
+    fmt = _DATE_FMT[variant]
+    return df.withColumns({n: as_date(df, n, fmt) for n in present}) if present else df
 
 
 def dim_customer(customer: DataFrame, variant: str = "orderdate") -> DataFrame:
@@ -87,7 +93,7 @@ def dim_part(part: DataFrame, variant: str = "orderdate") -> DataFrame:
 
 
 def dim_order(orders: DataFrame, variant: str = "orderdate") -> DataFrame:
-    return _sel(_with_dates(orders, ["o_orderdate"]), _ORDER[variant])
+    return _sel(_with_dates(orders, ["o_orderdate"], variant), _ORDER[variant])
 
 
 def dim_geography(nation: DataFrame, region: DataFrame, variant: str = "orderdate",
@@ -119,7 +125,7 @@ def dim_time(orders: DataFrame, variant: str = "orderdate") -> DataFrame:
     A: (datekey, year, quarter INT, month, day); B: (date, year, month, day,
     quarter STRING, week ISO).
     """
-    d = as_date(orders, "o_orderdate")
+    d = as_date(orders, "o_orderdate", _DATE_FMT[variant])
     days = orders.select(d.alias("d")).where(F.col("d").isNotNull()).distinct()
     if variant == "orderdate":
         return days.select(F.col("d").alias("datekey"), F.year("d").alias("year"),
@@ -143,8 +149,8 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, variant: str = "orderdate
     Both sides are shuffled on the order key (sort-merge join; AQE splits a
     skewed key); only the needed order columns are read.
     """
-    li = _with_dates(lineitem, ["l_shipdate", "l_commitdate", "l_receiptdate"])
-    o = _with_dates(orders, ["o_orderdate"]).select(
+    li = _with_dates(lineitem, ["l_shipdate", "l_commitdate", "l_receiptdate"], variant)
+    o = _with_dates(orders, ["o_orderdate"], variant).select(
         safe_cast(orders, "o_orderkey", "bigint").alias("_ok"),
         safe_cast(orders, "o_custkey", "bigint").alias("_ck"),
         F.col("o_orderdate").alias("_od"))

@@ -32,6 +32,15 @@ def test_time_dimension_one_row_per_day_no_null(spark):
         assert t[0][0] == dt.date(1996, 1, 2)
 
 
+def test_variant_date_parsing_rules(spark):
+    o = spark.createDataFrame([("1", "1996-1-2"), ("2", "1996-01-02")],
+                              "o_orderkey string, o_orderdate string")
+    a = {r.orderkey: r.orderdate for r in star.dim_order(o).collect()}
+    b = {r.order_key: r.order_date for r in star.dim_order(o, "shipdate").collect()}
+    assert a == {1: None, 2: dt.date(1996, 1, 2)}
+    assert b == {1: dt.date(1996, 1, 2), 2: dt.date(1996, 1, 2)}
+
+
 def test_quarter_and_iso_week(spark):
     days = [(dt.date(1995, m, 15),) for m in range(1, 13)] + [(dt.date(1993, 1, 1),)]
     o = spark.createDataFrame(days, "o_orderdate date")
