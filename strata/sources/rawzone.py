@@ -76,17 +76,28 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def land(df: DataFrame, root: str, table: str, run_ts: dt.datetime, *,
-         mode: str = "overwrite", compression: str = "snappy") -> str:
+         mode: str = "overwrite", compression: str = "snappy",
+         max_records_per_file: int = 2_000_000) -> str:
     """Write one extract into its ingest-hour directory.
 
     ``mode="overwrite"`` replaces that hour (re-running the same hour is
     idempotent); ``mode="append"`` adds files (incremental append). Text
     is written unquoted with ``\\N`` for NULL, like the landing tool.
+
+    Snappy-compressed text cannot be split on read, so file count is read
+    parallelism: an extract arriving in fewer partitions than the cluster
+    has cores (a JDBC read with a few connections) is spread over the cores
+    first, and no file holds more than ``max_records_per_file`` rows.
     """
     path = f"{root.rstrip('/')}/{table}/{partition_path(run_ts)}"
-    (conform(df, table).write.mode(mode).option("sep", ",").option("quote", "")
-       .option("escape", "").option("nullValue", "\\N").option("emptyValue", "")
-       .option("compression", compression).csv(path))
+    out = conform(df, table)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if out.rdd.getNumPartitions() < cores:
+        out = out.repartition(cores)
+    (out.write.mode(mode).option("sep", ",").option("quote", "")
+        .option("escape", "").option("nullValue", "\\N").option("emptyValue", "")
+        .option("compression", compression).option("maxRecordsPerFile", max_records_per_file)
+        .csv(path))
     return path
 
 
