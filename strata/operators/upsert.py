@@ -144,8 +144,11 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
             hit = (target.select(*keys, *pcols).join(source.select(*keys), keys, "left_semi")
                    .select(*pcols))
             touched = touched.unionByName(hit)
-        touched = bounded_broadcast(touched.distinct(), max_touched_partitions)
-        target = target.join(touched, pcols, "left_semi")
+        # one row per partition; checkpointed so the list is the
+        # pre-write state, whatever the write does to the target later
+        touched = touched.distinct().checkpoint(eager=True)
+        target = target.join(bounded_broadcast(touched, max_touched_partitions), pcols,
+                             "left_semi")
     merged = merge_frames(target, source, keys, on_duplicate=on_duplicate, order_by=order_by)
     merged = merged.checkpoint(eager=True)
     w = merged.write.mode("overwrite")

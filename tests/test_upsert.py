@@ -125,3 +125,14 @@ def test_refresh_reference_key_is_not_unique_at_sf0001(spark, tables):
     distinct_lines = star.fact_sales(tables.lineitem, tables.orders, line_safe=True).distinct()
     assert out.count() == distinct_lines.count()
     assert target.count() == 0
+
+
+def test_key_moving_out_of_partition_that_keeps_other_rows(spark, scratch):
+    path = f"{scratch}/t"
+    spark.createDataFrame([(1, 10, "2020"), (2, 20, "2020"), (3, 30, "2021")],
+                          "k int, v int, y string").write.partitionBy("y").parquet(path)
+    src = spark.createDataFrame([(1, 11, "2022"), (3, 31, "2020")], "k int, v int, y string")
+    upsert_table(src, path, ["k"], partition_cols=["y"], keys_fix_partition=False)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "y").collect())
+    assert got == [(1, 11, "2022"), (2, 20, "2020"), (3, 31, "2020")]
+    assert not os.path.exists(f"{path}/y=2021")
