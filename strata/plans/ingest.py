@@ -23,19 +23,47 @@ from ..sources import rawzone
 from ..sources.jdbc import BATCH_SPECS, INCREMENTAL_SPECS, ExtractSpec, window_filter
 from . import ledger
 
-# A source gives the extract of one spec: (spec, last_value) -> DataFrame.
-Source = Callable[[ExtractSpec, object], DataFrame]
+class Source:
+    """Where extracts come from: ``extract(spec, last, upper)`` gives the
+    rows of a spec with ``last < check <= upper``; ``upper(spec, last)``
+    gives the current MAX(check column) beyond ``last``."""
 
+    def extract(self, spec: ExtractSpec, last=None, upper=None) -> DataFrame:
+        raise NotImplementedError
 
-def jdbc_source(spark: SparkSession, url: str, props: dict | None = None) -> Source:
-    from ..sources.jdbc import extract
-    return lambda spec, last=None: extract(spark, url, spec, props, last)
+    def upper(self, spec: ExtractSpec, last=None):
+        raise NotImplementedError
 
 
-def frame_source(frames: dict[str, DataFrame]) -> Source:
+class JdbcSource(Source):
+    def __init__(self, spark: SparkSession, url: str, props: dict | None = None):
+        self.spark, self.url, self.props = spark, url, props
+
+    def extract(self, spec, last=None, upper=None):
+        from ..sources.jdbc import extract
+        return extract(self.spark, self.url, spec, self.props, last, upper)
+
+    def upper(self, spec, last=None):
+        from ..sources.jdbc import check_upper
+        return check_upper(self.spark, self.url, spec, self.props, last)
+
+
+class FrameSource(Source):
     """Source over existing DataFrames (e.g. parquet tables): same windows
     and marks, applied as pushed-down filters."""
-    return lambda spec, last=None: window_filter(frames[spec.table], spec, last)
+
+    def __init__(self, frames: dict[str, DataFrame]):
+        self.frames = frames
+
+    def extract(self, spec, last=None, upper=None):
+        return window_filter(self.frames[spec.table], spec, last, upper)
+
+    def upper(self, spec, last=None):
+        return window_filter(self.frames[spec.table], spec, last).agg(
+            F.max(spec.check_column)).first()[0]
+
+
+jdbc_source, frame_source = JdbcSource, FrameSource
 
 
 def ingest_batch(spark: SparkSession, source: Source, raw_root: str, run_ts: dt.datetime,
@@ -44,7 +72,7 @@ def ingest_batch(spark: SparkSession, source: Source, raw_root: str, run_ts: dt.
     """Land every spec's extract under ``run_ts``'s hour (replacing it)."""
     out = {}
     for name, spec in (specs or BATCH_SPECS).items():
-        df = source(spec, None)
+        df = source.extract(spec)
         out[name] = rawzone.land(df, raw_root, name, run_ts, mode="overwrite")
         if ledger_path:
             ledger.record(spark, ledger_path, "ingest_batch", name, run_ts=run_ts)
@@ -55,23 +83,29 @@ def ingest_incremental(spark: SparkSession, source: Source, raw_root: str, run_t
                        ledger_path: str, specs: dict[str, ExtractSpec] | None = None) -> dict:
     """Append rows past each table's high-water mark; record the new mark.
 
-    The extract is landed first, then its MAX(check column) is computed by
-    reading back the landed hour (a distributed aggregate) and appended to
-    the ledger. A crash between the two re-extracts the same rows into the
-    same hour directory on retry: the hour is replaced, not appended twice.
+    The upper mark is read first (MAX of the check column, computed by the
+    source), the run extracts exactly ``last < check <= upper`` and appends
+    it to this run's hour (two runs in one hour keep both batches), then
+    ``upper`` goes to the ledger. Rows arriving meanwhile wait for the next
+    run, so there are no gaps even if the extract is re-read after a lost
+    executor. A crash before the ledger entry re-extracts the same range on
+    retry; identical copies collapse downstream (``rawzone.latest_ingest``).
+    Tables without a check column are re-landed in full for the hour.
     """
     marks = {}
     for name, spec in (specs or INCREMENTAL_SPECS).items():
         last = ledger.last_watermark(spark, ledger_path, "ingest_incremental", name) \
             if spec.check_column else None
-        df = source(spec, None if last is None else int(last))
-        path = rawzone.land(df, raw_root, name, run_ts, mode="overwrite")
         mark = None
         if spec.check_column:
-            landed = spark.read.schema(rawzone.raw_schema(name, False)).option("sep", ",") \
-                .option("quote", "").option("nullValue", "\\N").csv(path)
-            new = landed.agg(F.max(spec.check_column)).first()[0]
-            mark = str(new) if new is not None else last
+            lo = None if last is None else int(last)
+            upper = source.upper(spec, lo)
+            if upper is not None:
+                rawzone.land(source.extract(spec, lo, upper), raw_root, name, run_ts,
+                             mode="append")
+            mark = str(upper) if upper is not None else last
+        else:
+            rawzone.land(source.extract(spec), raw_root, name, run_ts, mode="overwrite")
         ledger.record(spark, ledger_path, "ingest_incremental", name, watermark=mark,
                       run_ts=run_ts)
         marks[name] = mark

@@ -67,20 +67,32 @@ def _reader(spark: SparkSession, url: str, props: dict, spec: ExtractSpec):
     return r
 
 
-def _where(spec: ExtractSpec, last_value=None) -> list[str]:
+def _where(spec: ExtractSpec, last_value=None, upper_value=None) -> list[str]:
     conds = []
     if spec.window and spec.window_col:
         lo, hi = spec.window
         conds.append(f"{spec.window_col} >= '{lo}' AND {spec.window_col} < '{hi}'")
     if spec.check_column and last_value is not None:
         conds.append(f"{spec.check_column} > {last_value}")
+    if spec.check_column and upper_value is not None:
+        conds.append(f"{spec.check_column} <= {upper_value}")
     return conds
 
 
+def check_upper(spark: SparkSession, url: str, spec: ExtractSpec, props: dict | None = None,
+                last_value=None):
+    """MAX(check column) of the rows an incremental extract may take now,
+    computed by the database (one row): the run extracts (last, upper]."""
+    where = _where(spec, last_value)
+    q = (f"SELECT MAX({spec.check_column}) AS hi FROM {spec.table}"
+         + (" WHERE " + " AND ".join(where) if where else ""))
+    return _reader(spark, url, dict(props or {}), spec).option("query", q).load().first()[0]
+
+
 def split_bounds(spark: SparkSession, url: str, props: dict, spec: ExtractSpec,
-                 last_value=None):
+                 last_value=None, upper_value=None):
     """MIN/MAX of the split column, computed by the database (one row)."""
-    where = _where(spec, last_value)
+    where = _where(spec, last_value, upper_value)
     q = (f"SELECT MIN({spec.split_by}) AS lo, MAX({spec.split_by}) AS hi FROM {spec.table}"
          + (" WHERE " + " AND ".join(where) if where else ""))
     row = _reader(spark, url, props, spec).option("query", q).load().first()
@@ -88,7 +100,7 @@ def split_bounds(spark: SparkSession, url: str, props: dict, spec: ExtractSpec,
 
 
 def extract(spark: SparkSession, url: str, spec: ExtractSpec, props: dict | None = None,
-            last_value=None) -> DataFrame:
+            last_value=None, upper_value=None) -> DataFrame:
     """Read one table according to ``spec`` (lazy apart from the bounds query)."""
     props = dict(props or {})
     r = _reader(spark, url, props, spec)
@@ -97,7 +109,7 @@ def extract(spark: SparkSession, url: str, spec: ExtractSpec, props: dict | None
                              properties={**props, **spec.options,
                                          "fetchsize": str(spec.fetchsize)})
     elif spec.split_by and spec.num_partitions > 1:
-        lo, hi = split_bounds(spark, url, props, spec, last_value)
+        lo, hi = split_bounds(spark, url, props, spec, last_value, upper_value)
         if lo is None:   # empty window: nothing to split
             df = r.option("dbtable", spec.table).load()
         else:
@@ -108,18 +120,21 @@ def extract(spark: SparkSession, url: str, spec: ExtractSpec, props: dict | None
         df = r.option("dbtable", spec.table).load()
     if spec.lower_case_columns:
         df = df.toDF(*[c.lower() for c in df.columns])
-    return window_filter(df, spec, last_value)
+    return window_filter(df, spec, last_value, upper_value)
 
 
-def window_filter(df: DataFrame, spec: ExtractSpec, last_value=None) -> DataFrame:
-    """Apply the half-open window and the high-water mark as filters
-    (pushed down to JDBC or parquet sources)."""
+def window_filter(df: DataFrame, spec: ExtractSpec, last_value=None,
+                  upper_value=None) -> DataFrame:
+    """Apply the half-open window and the high-water marks ``last <
+    check <= upper`` as filters (pushed down to JDBC or parquet sources)."""
     if spec.window and spec.window_col:
         lo, hi = spec.window
         c = F.col(spec.window_col)
         df = df.where((c >= F.lit(lo).cast("date")) & (c < F.lit(hi).cast("date")))
     if spec.check_column and last_value is not None:
         df = df.where(F.col(spec.check_column) > F.lit(last_value))
+    if spec.check_column and upper_value is not None:
+        df = df.where(F.col(spec.check_column) <= F.lit(upper_value))
     return df
 
 

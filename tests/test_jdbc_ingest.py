@@ -127,3 +127,22 @@ def test_catalog_zones_and_raw_table(spark, tables, scratch):
     assert "raw_t" not in catalog.describe(spark)["databases"]
     # the landed files survive dropping the external table
     assert rawzone.read_raw(spark, scratch, "region").count() == 10
+
+
+def test_incremental_runs_in_one_hour_keep_both_batches(spark, tables, scratch):
+    led = f"{scratch}/ledger"
+    spec = {"orders": ExtractSpec("orders", check_column="o_orderkey")}
+    base = tables.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                "o_orderdate", "o_orderpriority")
+    hour = dt.datetime(2024, 6, 1, 8)
+    first = ingest.frame_source({"orders": base.where("o_orderkey < 700")})
+    ingest.ingest_incremental(spark, first, scratch, hour, led, spec)
+    both = ingest.frame_source({"orders": base})
+    m = ingest.ingest_incremental(spark, both, scratch, hour, led, spec)
+    raw = rawzone.read_raw(spark, scratch, "orders")
+    assert raw.count() == base.count()
+    assert raw.select("o_orderkey").distinct().count() == base.count()
+    assert int(m["orders"]) == base.agg(F.max("o_orderkey")).first()[0]
+    # nothing new: nothing landed, mark unchanged
+    m2 = ingest.ingest_incremental(spark, both, scratch, hour, led, spec)
+    assert m2 == m and rawzone.read_raw(spark, scratch, "orders").count() == base.count()
