@@ -57,14 +57,31 @@ def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Per column: rows, nulls, exact distinct values, min and max (as strings).
-
-    Values are unpivoted to (column, value) and aggregated per column; the
-    distinct count is planned as a partial aggregate on (column, value), so
-    a hot value is reduced map-side before the shuffle.
+def profile(df: DataFrame, cols: Sequence[str] | None = None, *, approx: bool = False,
+            rsd: float = 0.01) -> DataFrame:
+    """Per column: rows, nulls, distinct values, min and max (as strings).
+
+    Values are unpivoted to (column, value) and aggregated per column. The
+    exact distinct count is planned as a partial aggregate on (column,
+    value), so a hot value is reduced map-side, but every distinct value of
+    a key column is shuffled once; ``approx=True`` uses HyperLogLog++
+    sketches instead (``approx_count_distinct``, relative error ``rsd``),
+    which merge map-side into one small sketch per column.
     """
     cols = list(cols or df.columns)
+    if approx:
+        # one wide aggregate of sketches: no unpivot, no per-value shuffle
+        agg = df.agg(F.count(F.lit(1)).alias("rows"),
+                     *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n__{i}")
+                       for i, c in enumerate(cols)],
+                     *[F.approx_count_distinct(c, rsd).alias(f"d__{i}") for i, c in enumerate(cols)],
+                     *[F.min(c).cast("string").alias(f"min__{i}") for i, c in enumerate(cols)],
+                     *[F.max(c).cast("string").alias(f"max__{i}") for i, c in enumerate(cols)])
+        return agg.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col("rows"), F.col(f"n__{i}").alias("nulls"),
+                     F.col(f"d__{i}").alias("distinct"), F.col(f"min__{i}").alias("min"),
+                     F.col(f"max__{i}").alias("max")) for i, c in enumerate(cols)])).alias("p")
+        ).select("p.*")
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
         for c in cols])).alias("kv")).select("kv.column", "kv.value")

@@ -51,3 +51,15 @@ def committed(spark: SparkSession, path: str, job: str, batch_id: int) -> bool:
     return bool(read_ledger(spark, path)
                 .where((F.col("job") == job) & (F.col("batch_id") == batch_id))
                 .limit(1).collect())
+
+
+def compact(spark: SparkSession, path: str) -> None:
+    """Rewrite the ledger (one small file per entry) as one file. The
+    entries are checkpointed first, so the rewrite never reads the files it
+    replaces."""
+    from ..session import checkpoint_dir
+    if not paths.exists(spark, path):
+        return
+    checkpoint_dir(spark)
+    entries = read_ledger(spark, path).coalesce(1).checkpoint(eager=True)
+    entries.write.mode("overwrite").parquet(path)

@@ -100,3 +100,24 @@ def test_stored_versions_as_of_and_expire(spark, scratch):
     assert [r[0] for r in versions.history(versions.read_versions(spark, path)).collect()] == [1, 2, 3]
     import os
     assert sorted(d for d in os.listdir(path) if d.startswith("_version=")) == ["_version=2", "_version=3"]
+
+
+def test_profile_approx_matches_exact_on_small_data(tables):
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    exact = {r.column: r for r in checks.profile(tables.orders, cols).collect()}
+    approx = {r.column: r for r in checks.profile(tables.orders, cols, approx=True).collect()}
+    for c in cols:
+        e, a = exact[c], approx[c]
+        assert (a.rows, a.nulls, a.min, a.max) == (e.rows, e.nulls, e.min, e.max)
+        assert abs(a.distinct - e.distinct) <= 0.05 * e.distinct
+
+
+def test_ledger_compaction(spark, scratch):
+    from strata.plans import ledger
+    p = f"{scratch}/ledger"
+    for i in range(5):
+        ledger.record(spark, p, "job", "t", batch_id=i, watermark=str(i))
+    ledger.compact(spark, p)
+    assert ledger.read_ledger(spark, p).count() == 5
+    assert len(spark.read.parquet(p).inputFiles()) == 1
+    assert ledger.committed(spark, p, "job", 3)
