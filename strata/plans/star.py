@@ -29,7 +29,8 @@ def _sel(df: DataFrame, spec: list[tuple[str, str, str]]) -> DataFrame:
     return df.select(*[col_or_null(df, s, ty).alias(t) for s, t, ty in spec])
 
 
-# Column contracts per variant: (source column, target column, type)
+# The output column contracts of both variants, in table order,
+# as (source column, target column, type).
 _CUSTOMER = {
     "orderdate": [("c_custkey", "custkey", "bigint"), ("c_name", "name", "string"),
                   ("c_address", "address", "string"), ("c_phone", "phone", "string"),

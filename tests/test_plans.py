@@ -61,3 +61,20 @@ def test_cluster_shape_has_no_funnels(spark):
                         (name, child)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_q5_cluster_shape_shuffles_lineitem_once(spark):
+    """Sort-merge shape: lineitem is exchanged once (the per-order aggregate's
+    exchange also serves the join with orders); five exchanges in all."""
+    import re
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()["q5_join_sum"](spark, SF001)
+        p = df._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in p
+        ex = df._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning", ex)) == 5, ex
+        assert len(re.findall(r"Exchange hashpartitioning\(l_orderkey", ex)) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
