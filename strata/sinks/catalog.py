@@ -74,6 +74,18 @@ def save_table(df: DataFrame, name: str, partition_cols: Sequence[str] = ()) ->
     w.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, buckets: int, by: Sequence[str],
+                  partition_cols: Sequence[str] = ()) -> None:
+    """Create or replace a managed table hash-bucketed on ``by`` (files
+    sorted by it). A later aggregate on ``by``, or a join on ``by`` with
+    another table bucketed the same way (or with a shuffle of the same
+    partition count), reads the buckets as partitions: no exchange."""
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by)
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    w.saveAsTable(name)
+
+
 def describe(spark: SparkSession, name: str | None = None) -> dict:
     out = {"databases": [d.name for d in spark.catalog.listDatabases()]}
     if name:

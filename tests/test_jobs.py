@@ -109,3 +109,20 @@ def test_product_sentiment_job_from_csv(spark, tables, scratch):
                                "comment_text STRING, comment_date STRING")
     assert spark.table("raw_csv.social_comments").count() == 2
     catalog.drop_zones(spark, ["raw_csv"], reset=True)
+
+
+def test_bucketed_catalog_star_runs_customer_mart_without_shuffle(spark, tables):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jobs.init_datawarehouse_catalog(spark, tables, db="dw_bucketed")
+        s = jobs.read_star_catalog(spark, "dw_bucketed")
+        df = marts.sales_by_customer(s.fact_sales, s.dim_customer)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+        want = marts.sales_by_customer(star.fact_sales(tables.lineitem, tables.orders),
+                                       star.dim_customer(tables.customer))
+        assert _sorted(df) == _sorted(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP DATABASE IF EXISTS dw_bucketed CASCADE")
