@@ -40,10 +40,18 @@ def record(spark: SparkSession, path: str, job: str, target: str, *, batch_id: i
 
 
 def last_watermark(spark: SparkSession, path: str, job: str, target: str) -> str | None:
-    """Watermark of the latest run of (job, target), or None."""
-    r = (read_ledger(spark, path).where((F.col("job") == job) & (F.col("target") == target))
-         .where(F.col("watermark").isNotNull())
-         .orderBy(F.desc("run_ts")).select("watermark").limit(1).collect())
+    """High-water mark of (job, target): the largest recorded mark.
+
+    Incremental check columns are numeric and only grow, so the maximum is
+    the current mark whatever the run times (several runs may share one
+    ingest hour). Non-numeric marks fall back to the latest run."""
+    rows = (read_ledger(spark, path).where((F.col("job") == job) & (F.col("target") == target))
+            .where(F.col("watermark").isNotNull()))
+    num = F.expr("try_cast(watermark AS DECIMAL(38,0))")
+    r = rows.agg(F.max(num).alias("m")).first()
+    if r is not None and r["m"] is not None:
+        return str(r["m"])
+    r = rows.orderBy(F.desc("run_ts")).select("watermark").limit(1).collect()
     return r[0][0] if r else None
 
 
