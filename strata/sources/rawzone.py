@@ -91,9 +91,10 @@ def land(df: DataFrame, root: str, table: str, run_ts: dt.datetime, *,
     """
     path = f"{root.rstrip('/')}/{table}/{partition_path(run_ts)}"
     out = conform(df, table)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if out.rdd.getNumPartitions() < cores:
-        out = out.repartition(cores)
+    from .tables import _cores_and_splits
+    cs = _cores_and_splits(out)
+    if cs is not None and cs[1] < cs[0]:
+        out = out.repartition(cs[0])
     (out.write.mode(mode).option("sep", ",").option("quote", "")
         .option("escape", "").option("nullValue", "\\N").option("emptyValue", "")
         .option("compression", compression).option("maxRecordsPerFile", max_records_per_file)

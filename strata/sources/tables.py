@@ -18,7 +18,10 @@ _SPREAD: dict[str, bool] = {}
 
 def _spread_cached(df: DataFrame, path: str) -> DataFrame:
     if path not in _SPREAD:
-        _SPREAD[path] = spread(df, path) is not df
+        try:
+            _SPREAD[path] = spread(df, path) is not df
+        except Exception:  # noqa: BLE001 - no filesystem access: leave as is
+            _SPREAD[path] = False
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if _SPREAD[path] else df
 
 
@@ -49,12 +52,21 @@ def _bytes(spark: SparkSession, path: str) -> int:
     return size_bytes(spark, path)
 
 
+def _cores_and_splits(df: DataFrame):
+    """(cluster cores, scan partitions) or None where the session does not
+    expose them (e.g. a remote client session): then nothing is spread."""
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def spread(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores or _bytes(spark, path) < SPREAD_MIN_BYTES:
+    cs = _cores_and_splits(df)
+    if cs is None or cs[1] >= cs[0] or _bytes(spark, path) < SPREAD_MIN_BYTES:
         return df
-    return df.repartition(cores)
+    return df.repartition(cs[0])
 
 
 class Tables:
