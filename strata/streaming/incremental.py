@@ -73,3 +73,14 @@ def run_incremental(spark: SparkSession, stream: DataFrame, target_path: str, ke
     if trigger == "availableNow":
         q.awaitTermination()
     return q
+
+
+def raw_zone_stream(spark: SparkSession, raw_root: str, table: str, *,
+                    max_files_per_trigger: int = 1) -> DataFrame:
+    """The RAW text zone of ``table`` as a stream: every newly landed file
+    (any ingest hour) arrives once, parsed with the RAW contract, the
+    ``year/month/day/hour`` partition values included as columns."""
+    from ..sources import rawzone
+    return file_stream(spark, f"{raw_root.rstrip('/')}/{table}", rawzone.raw_schema(table),
+                       fmt="csv", max_files_per_trigger=max_files_per_trigger,
+                       options={"sep": ",", "quote": "", "nullValue": "\\N"})
