@@ -141,3 +141,15 @@ def read_star_catalog(spark: SparkSession, db: str = "datawarehouse") -> star.St
          ("dim_customer", "dim_supplier", "dim_part", "dim_order", "dim_geography", "dim_time",
           "fact_sales")}
     return star.Star(variant="orderdate", **t)
+
+
+def run_all(spark: SparkSession, raw, warehouse: str, *, n_comments: int | None = None,
+            customers: int | None = None) -> dict:
+    """The jobs in the order the scheduled pipelines ran them: build the
+    star (create → populate), write the marts, then generate and score the
+    comments (generate → sentiment). Each step is re-run safe."""
+    paths = init_datawarehouse(spark, raw, warehouse)
+    mart_paths = create_datamarts(spark, warehouse)
+    customers = customers or read_star(spark, warehouse).dim_customer.count()
+    sandbox = init_sandbox(spark, warehouse, n_comments or customers, customers)
+    return {"star": paths, "marts": mart_paths, "sandbox_rows": sandbox.count()}

@@ -126,3 +126,10 @@ def test_bucketed_catalog_star_runs_customer_mart_without_shuffle(spark, tables)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.sql("DROP DATABASE IF EXISTS dw_bucketed CASCADE")
+
+
+def test_run_all_in_order(spark, tables, scratch):
+    out = jobs.run_all(spark, tables, scratch, n_comments=500)
+    assert set(out["marts"]) == set(marts.MARTS_A) and out["sandbox_rows"] == 500
+    jobs_done = [r.job for r in ledger.read_ledger(spark, f"{scratch}/ledger").collect()]
+    assert sorted(jobs_done) == ["init_datawarehouse", "init_sandbox"]
