@@ -121,12 +121,15 @@ def test_catalog_zones_and_raw_table(spark, tables, scratch):
     catalog.repair(spark, name)
     assert spark.table(name).count() == 10
     assert len(catalog.describe(spark, name)["partitions"]) == 2
+    rawzone.land(tables.region, scratch, "region", dt.datetime(2024, 1, 1, 3))
+    catalog.add_partition(spark, name, {"year": "2024", "month": "01", "day": "01", "hour": "03"})
+    assert spark.table(name).count() == 15
     with pytest.raises(ValueError):
         catalog.drop_zones(spark, ["raw_t"])
     catalog.drop_zones(spark, ["raw_t"], reset=True)
     assert "raw_t" not in catalog.describe(spark)["databases"]
     # the landed files survive dropping the external table
-    assert rawzone.read_raw(spark, scratch, "region").count() == 10
+    assert rawzone.read_raw(spark, scratch, "region").count() == 15
 
 
 def test_incremental_runs_in_one_hour_keep_both_batches(spark, tables, scratch):
