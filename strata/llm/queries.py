@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, idstore, packing, shuffle, token_counts, tokenizing, topk
+from . import common, idstore, langid, packing, quality, shuffle, token_counts, tokenizing, topk
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,20 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), tokenizing.vocab_path("word_bpe_49k.json"))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+
+
+@query
+def op2_ngram_ratio_rules(spark, sf_dir):
+    return quality.quality_rules(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def op3_byte_cnn_langid(spark, sf_dir):
+    return langid.identify(documents(spark, sf_dir))
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizing.vocab_path("byte_bpe_50k.json"))
