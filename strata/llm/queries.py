@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, idstore, langid, packing, quality, shuffle, token_counts, tokenizing, topk
+from . import common, idstore, langid, packing, quality, shuffle, token_counts, tokenizing, topk, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op9_cover_tree_topk(spark, sf_dir):
     vectors = common.written(topk.integer_vectors(
         spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")), "vectors")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query
+def op10_clause_grammar_toxicity(spark, sf_dir):
+    return toxicity.rate(documents(spark, sf_dir), labels(spark, sf_dir))

@@ -3,7 +3,7 @@
 A text is cut at places where the tokenizer itself always cuts, each distinct
 piece is encoded once by the library and remembered, and the ids of the text
 are the concatenation of its pieces' ids. Texts for which the cut is not
-provably the tokenizer's own go another way (see ``_pieces``), so the ids are
+provably the tokenizer's own go another way (see ``Encoder.pieces``), so the ids are
 always those of encoding the whole text.
 """
 from __future__ import annotations
@@ -15,11 +15,28 @@ from array import array
 #: the tokenizer's byte-level split (fixed value, also public_tokenizers.PATTERN)
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-# two white-space characters in a row, or one at either end
-_RUN = re.compile(r"\s\s|\A\s|\s\Z")
+# where the byte-level cut at spaces, newlines, commas and stops could differ
+# from the pattern's: runs of white space or of symbols, a mark after a space
+_PAIRS = ("  ", " \n", "\n ", "\n\n", " .", " ,", "\n.", "\n,", "_")
+_OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SYMBOLS = re.compile(r"[^\w\s][^\w\s]")
 # characters that str.split() drops but the tokenizer's \s does not
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-CACHE_CHARS = 12_000_000
+_BARE = "\n.,"
+_LATIN = "\u0250"
+
+
+def _byte_marks() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    itself where it prints, else the next free one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    free = iter(range(256, 512))
+    return {b: chr(b if b in prints else next(free)) for b in range(256)}
+
+
+_BYTE_MARKS = _byte_marks()
+#: pieces a cache holds in each of its two generations
+CACHE = 250_000
 
 
 def vocab_path(name: str) -> str:
@@ -27,25 +44,34 @@ def vocab_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-class Pieces(dict):
-    """piece -> value; emptied when its keys exceed ``CACHE_CHARS``."""
+class Pieces:
+    """piece -> value in two generations: what is used moves to the young one;
+    when that is full, it becomes the old one and the old one goes."""
 
     def __init__(self, encode_many):
-        super().__init__()
-        self.encode_many, self.chars = encode_many, 0
-
-    def fill(self, pieces) -> None:
-        new = set(pieces).difference(self)
-        if not new:
-            return
-        size = sum(map(len, new))
-        if self.chars + size > CACHE_CHARS:
-            self.clear()
-            self.chars, new = 0, set(pieces)
-            size = sum(map(len, new))
-        new = list(new)
-        self.update(zip(new, self.encode_many(new)))
-        self.chars += size
+        self.young: dict = {}
+        self.old: dict = {}
+        self.encode_many = encode_many
+
+    def get_all(self, pieces: list) -> list:
+        young = self.young
+        out = list(map(young.get, pieces))
+        if None in out:
+            at = [i for i, v in enumerate(out) if v is None]
+            new = []
+            for p in {pieces[i] for i in at}:
+                v = self.old.get(p)
+                if v is None:
+                    new.append(p)
+                else:
+                    young[p] = v
+            if new:
+                young.update(zip(new, self.encode_many(new)))
+            for i in at:
+                out[i] = young[pieces[i]]
+            if len(young) > CACHE:
+                self.old, self.young = young, {}
+        return out
 
 
 class Encoder:
@@ -59,10 +85,32 @@ class Encoder:
         self.value = value or id_bytes
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.byte_level = byte_level
-        self.heads = Pieces(lambda ps: self._encode(ps))
-        self.tails = Pieces(lambda ps: self._encode([p if p[0] == "\n" else " " + p for p in ps]))
+        self._word = self.tok.model.tokenize
+        # bare: encoded as they are; spaced: a space goes before
+        self.bare = Pieces(lambda ps: self._each(ps, ""))
+        self.spaced = Pieces(lambda ps: self._each(ps, " "))
         self._split = None
 
+    def _each(self, pieces: list, lead: str) -> list:
+        """Values of pieces. Words of Latin letters are one pre-token, which
+        the library's model takes as it is; the rest goes its whole way."""
+        out, rest = [], []
+        first = lead and _BYTE_MARKS[32]
+        for i, p in enumerate(pieces):
+            if p.isalpha() and (p.isascii() or max(p) < _LATIN and "\u0130" not in p):
+                word = p if self.byte_level else p.lower()
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(_BYTE_MARKS)
+                out.append(self.value([t.id for t in self._word(first + word)]))
+            else:
+                out.append(None)
+                rest.append(i)
+        if rest:
+            raw = [pieces[i] if not lead or pieces[i][0] in _BARE else lead + pieces[i] for i in rest]
+            for i, v in zip(rest, self._encode(raw)):
+                out[i] = v
+        return out
+
     def _encode(self, pieces) -> list:
         return [self.value(e.ids) for e in
                 self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -70,10 +118,11 @@ class Encoder:
     def pieces(self, text: str):
         """(cache, pieces) pairs whose values joined in order are the text's.
 
-        Byte level: a single space or newline between two other characters
-        always starts a new pre-token, so such texts are cut there (a piece
-        keeps its leading space or newline); other texts are cut by the
-        pattern. Word level: white space is always a cut and is dropped.
+        Byte level: in a text without runs of white space or symbols, and
+        without a mark after white space, a pre-token starts at every space,
+        newline, comma and stop, so it is cut there. Other texts are cut by
+        the pattern. Word level: white space is always a cut and is dropped;
+        without runs of symbols, so are the places around a comma or stop.
         Texts that spell a special token are encoded whole.
         """
         if not text:
@@ -81,23 +130,24 @@ class Encoder:
         if any(s in text for s in self.specials):
             return ((None, [text]),)
         if not self.byte_level:
-            return ((None, [text]),) if _ODD_SPACE.search(text) else ((self.heads, text.split()),)
-        if _RUN.search(text):
+            if _ODD_SPACE.search(text):
+                return ((None, [text]),)
+            if "_" not in text and not _SYMBOLS.search(text):
+                text = text.replace(",", " , ").replace(".", " . ")
+            return ((self.bare, text.split()),)
+        if (text[0] in " \n" or text[-1] in " \n" or any(p in text for p in _PAIRS)
+                or _SYMBOLS.search(text) or _OTHER_SPACE.search(text)):
             if self._split is None:
                 import regex
                 self._split = regex.compile(BYTE_PATTERN)
-            return ((self.heads, self._split.findall(text)),)
-        parts = text.replace("\n", " \n").split(" ")
-        return (self.heads, parts[:1]), (self.tails, parts[1:])
+            return ((self.bare, self._split.findall(text)),)
+        parts = text.replace("\n", " \n").replace(",", " ,").replace(".", " .").split(" ")
+        return (self.bare, parts[:1]), (self.spaced, parts[1:])
 
     def values(self, text: str) -> list:
         out: list = []
         for cache, parts in self.pieces(text):
-            if cache is None:
-                out += self._encode(parts)
-            else:
-                cache.fill(parts)
-                out += map(cache.__getitem__, parts)
+            out += self._encode(parts) if cache is None else cache.get_all(parts)
         return out
 
 
