@@ -4,7 +4,8 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -29,11 +30,25 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def window(*keys: str):
+    return Window.partitionBy(*keys)
+
+
 def doc_crc(col: str = "doc_id"):
     """crc32 of the key written as text (the split rule of the contracts)."""
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def keep_rows(docs: DataFrame, keep) -> DataFrame:
+    """Rows for whose ``text`` ``keep`` (texts -> booleans) holds, all columns."""
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(list(keep([t.as_py() for t in b.column("text")])), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def is_local(path: str) -> bool:
     return path.startswith("file:") or "://" not in path
 

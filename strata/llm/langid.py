@@ -163,48 +163,8 @@ def predict(docs: DataFrame, model: ByteCnn | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        net = shared.value
         for b in batches:
-            pred, score = [], []
-            held, owner = [], []
-
-            def flush():
-                if not held:
-                    return
-                x, who = np.concatenate(held), np.array(owner)
-                p = net.probabilities(x)
-                weight = (x != 32).sum(1) + 1e-6
-                for d in np.unique(who).tolist():
-                    mine = who == d
-                    total[d] = total.get(d, 0) + (p[mine] * weight[mine, None]).sum(0)
-                held.clear()
-                owner.clear()
-
-            total: dict[int, np.ndarray] = {}
-            texts, pending = b.column(1), 0
-            for i in range(len(texts)):
-                t = texts[i].as_py()
-                if net is None or not t or not any(map(str.isalpha, t)):
-                    continue
-                x = windows(clean(t))
-                for lo in range(0, len(x), 256):
-                    part = x[lo:lo + 256]
-                    held.append(part)
-                    owner.extend([i] * len(part))
-                    pending += len(part)
-                    if pending >= 256:
-                        flush()
-                        pending = 0
-            flush()
-            for i in range(len(texts)):
-                if i in total:
-                    p = total[i] / total[i].sum()
-                    j = int(p.argmax())
-                    pred.append(net.langs[j])
-                    score.append(float(min(1.0, p[j])))
-                else:
-                    pred.append("und")
-                    score.append(0.0)
+            pred, score = predict_texts(shared.value, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                                              ["doc_id", "lang_pred", "score"])
 
@@ -212,6 +172,54 @@ def predict(docs: DataFrame, model: ByteCnn | None) -> DataFrame:
             .mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
 
+def predict_texts(net: ByteCnn | None, texts: pa.Array, batch: int = 256) -> tuple[list[str], list[float]]:
+    """Languages and scores; windows of several texts are run together, and a
+    long text's windows in several batches."""
+    total: dict[int, np.ndarray] = {}
+    held, owner = [], []
+
+    def flush():
+        if held:
+            x, who = np.concatenate(held), np.array(owner)
+            p = net.probabilities(x) * ((x != 32).sum(1) + 1e-6)[:, None]
+            starts = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
+            for d, v in zip(who[starts].tolist(), np.add.reduceat(p, starts)):
+                total[d] = total.get(d, 0) + v
+            held.clear()
+            owner.clear()
+
+    for i in range(len(texts)):
+        t = texts[i].as_py()
+        if net is None or not t or not any(map(str.isalpha, t)):
+            continue
+        x = windows(clean(t))
+        for lo in range(0, len(x), batch):
+            held.append(x[lo:lo + batch])
+            owner.extend([i] * len(held[-1]))
+            if len(owner) >= batch:
+                flush()
+    flush()
+    pred, score = ["und"] * len(texts), [0.0] * len(texts)
+    for i, v in total.items():
+        p = v / v.sum()
+        pred[i], score[i] = net.langs[int(p.argmax())], float(min(1.0, p.max()))
+    return pred, score
+
+
+def keep_known(docs: DataFrame, model: ByteCnn | None, least: float = 0.4) -> DataFrame:
+    """The rows whose language is recognised with a score of ``least``, all
+    columns; all rows when nothing could be learned."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(texts):
+        pred, score = predict_texts(shared.value, pa.array(texts, pa.string()))
+        return [p != "und" and s >= least for p, s in zip(pred, score)]
+
+    return common.keep_rows(docs, keep)
+
+
 def held_out():
     return F.coalesce(F.pmod(common.doc_crc(), F.lit(4)) == 2, F.lit(False))
 

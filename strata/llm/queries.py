@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, idstore, langid, packing, quality, shuffle, token_counts, tokenizing, topk, toxicity
+from . import bpe, common, idstore, langid, ngram_join, packing, quality, shuffle, token_counts, tokenizing, topk, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -53,6 +53,11 @@ def op5_two_pass_shuffle(spark, sf_dir):
                          "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op6_count_vector_rtree_join(spark, sf_dir):
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op7_id_store(spark, sf_dir):
     path = common.scratch(spark, "ids")
@@ -60,6 +65,11 @@ def op7_id_store(spark, sf_dir):
     return idstore.read_store(spark, path).drop("ids")
 
 
+@query
+def op8_byte_bpe(spark, sf_dir):
+    return bpe.digests(documents(spark, sf_dir), tokenizing.vocab_path("byte_bpe_50k.tiktoken"))
+
+
 @query
 def op9_cover_tree_topk(spark, sf_dir):
     vectors = common.written(topk.integer_vectors(
@@ -70,3 +80,10 @@ def op9_cover_tree_topk(spark, sf_dir):
 @query
 def op10_clause_grammar_toxicity(spark, sf_dir):
     return toxicity.rate(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+

@@ -44,6 +44,26 @@ def vocab_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def spaced(piece: str) -> str:
+    """A piece of ``byte_pieces`` as it stood in the text."""
+    return piece if piece[0] in _BARE else " " + piece
+
+
+def byte_pieces(text: str, split) -> list:
+    """(bare, pieces) parts of a text for the byte-level pattern. Without runs
+    of white space or symbols, and without a mark after white space, a match
+    starts at every space, newline, comma and stop: the text is cut there, and
+    the pieces after the first are not bare (see ``spaced``). Other texts are
+    cut by ``split``."""
+    if not text:
+        return []
+    if (text[0] in " \n" or text[-1] in " \n" or any(p in text for p in _PAIRS)
+            or _SYMBOLS.search(text) or _OTHER_SPACE.search(text)):
+        return [(True, split(text))]
+    parts = text.replace("\n", " \n").replace(",", " ,").replace(".", " .").split(" ")
+    return [(True, parts[:1]), (False, parts[1:])]
+
+
 class Pieces:
     """piece -> value in two generations: what is used moves to the young one;
     when that is full, it becomes the old one and the old one goes."""
@@ -106,7 +126,7 @@ class Encoder:
                 out.append(None)
                 rest.append(i)
         if rest:
-            raw = [pieces[i] if not lead or pieces[i][0] in _BARE else lead + pieces[i] for i in rest]
+            raw = [spaced(pieces[i]) if lead else pieces[i] for i in rest]
             for i, v in zip(rest, self._encode(raw)):
                 out[i] = v
         return out
@@ -118,10 +138,7 @@ class Encoder:
     def pieces(self, text: str):
         """(cache, pieces) pairs whose values joined in order are the text's.
 
-        Byte level: in a text without runs of white space or symbols, and
-        without a mark after white space, a pre-token starts at every space,
-        newline, comma and stop, so it is cut there. Other texts are cut by
-        the pattern. Word level: white space is always a cut and is dropped;
+        Byte level: see ``byte_pieces``. Word level: white space is always a cut and is dropped;
         without runs of symbols, so are the places around a comma or stop.
         Texts that spell a special token are encoded whole.
         """
@@ -135,14 +152,10 @@ class Encoder:
             if "_" not in text and not _SYMBOLS.search(text):
                 text = text.replace(",", " , ").replace(".", " . ")
             return ((self.bare, text.split()),)
-        if (text[0] in " \n" or text[-1] in " \n" or any(p in text for p in _PAIRS)
-                or _SYMBOLS.search(text) or _OTHER_SPACE.search(text)):
-            if self._split is None:
-                import regex
-                self._split = regex.compile(BYTE_PATTERN)
-            return ((self.bare, self._split.findall(text)),)
-        parts = text.replace("\n", " \n").replace(",", " ,").replace(".", " .").split(" ")
-        return (self.bare, parts[:1]), (self.spaced, parts[1:])
+        if self._split is None:
+            import regex
+            self._split = regex.compile(BYTE_PATTERN).findall
+        return [(self.bare if bare else self.spaced, parts) for bare, parts in byte_pieces(text, self._split)]
 
     def values(self, text: str) -> list:
         out: list = []

@@ -359,3 +359,9 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score(docs, fit(docs, labels, ~held_out()))
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return common.keep_rows(docs, lambda texts: [shared.value.score(t or "") < threshold for t in texts])
