@@ -251,13 +251,14 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
     """Spanning links among one tile's sets. ``probe``: which ones ask the tree
     (all of which are indexed); ``group``: those of equal group are connected
-    already (-1: none)."""
+    already (-1: none). Connected sets are given as stars."""
     n = len(ids)
     if n < 2:
         return []
+    forest = Forest(n)
     sizes = np.array([len(s) for s in sets])
     points = np.stack([np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
-    tree, forest, out = RTree(points, sizes), Forest(n), []
+    tree = RTree(points, sizes)
     seen: dict[int, int] = {}
     for i, g in enumerate(group.tolist()):
         if g != -1 and seen.setdefault(g, i) != i:
@@ -266,8 +267,12 @@ def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group:
         for j in tree.near(points[i], int(sizes[i])).tolist():
             if i != j and forest.root(i) != forest.root(j) and linked(sets[i], sets[j]):
                 forest.join(i, j)
-                out.append((int(ids[i]), int(ids[j])))
-    return out
+    # as stars: every set to the smallest of its tree
+    least: dict[int, int] = {}
+    for i in range(n):
+        r = forest.root(i)
+        least[r] = min(least.get(r, int(ids[i])), int(ids[i]))
+    return [(int(ids[i]), least[forest.root(i)]) for i in range(n) if least[forest.root(i)] != ids[i]]
 
 
 def _tiles(members: DataFrame) -> DataFrame:
