@@ -68,10 +68,10 @@ class Pieces:
     """piece -> value in two generations: what is used moves to the young one;
     when that is full, it becomes the old one and the old one goes."""
 
-    def __init__(self, encode_many):
+    def __init__(self, encode_many, size: int | None = None):
         self.young: dict = {}
         self.old: dict = {}
-        self.encode_many = encode_many
+        self.encode_many, self.size = encode_many, size or CACHE
 
     def get_all(self, pieces: list) -> list:
         young = self.young
@@ -89,7 +89,7 @@ class Pieces:
                 young.update(zip(new, self.encode_many(new)))
             for i in at:
                 out[i] = young[pieces[i]]
-            if len(young) > CACHE:
+            if len(young) > self.size:
                 self.old, self.young = young, {}
         return out
 
