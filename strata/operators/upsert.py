@@ -19,7 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
+from ..session import shared_copy
+from ..sinks import paths, swap
 
 
 class MergeCardinalityError(ValueError):
@@ -71,6 +72,11 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                  order_by: Sequence[str] | None = None) -> DataFrame:
     """The upserted table as a lazy DataFrame (target's column order)."""
     keys = list(keys)
+    if on_duplicate == "last":
+        if not order_by:
+            raise ValueError("on_duplicate='last' needs order_by")
+        # before alignment: the order may use columns that the target lacks
+        source = latest_per_key(source, keys, order_by)
     src = align_by_name(source, target)
     if on_duplicate == "error":
         # the target is only consulted when the source has a repeated key
@@ -80,18 +86,14 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
         if bad:
             raise MergeCardinalityError(
                 f"MERGE: several source rows match one target row, e.g. key {bad[0].asDict()}")
-    elif on_duplicate == "last":
-        if not order_by:
-            raise ValueError("on_duplicate='last' needs order_by")
-        src = latest_per_key(src, keys, order_by)
-    elif on_duplicate != "ignore":
+    elif on_duplicate not in ("last", "ignore"):
         raise ValueError("on_duplicate must be 'error', 'last' or 'ignore'")
     kept = target.join(src.select(*keys), keys, "left_anti")
     return src.unionByName(kept)
 
 
 def _read_existing(spark, path: str, like: DataFrame | None = None) -> DataFrame | None:
-    from ..sinks import paths
+    swap.recover(spark, path)
     if not paths.exists(spark, path):
         return None
     df = spark.read.parquet(path)
@@ -103,14 +105,21 @@ def _read_existing(spark, path: str, like: DataFrame | None = None) -> DataFrame
     return df
 
 
+def _same(a: DataFrame, b: DataFrame, cols: Sequence[str]):
+    """Null-safe equality on ``cols``: NULL is a partition like any other."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & a[c].eqNullSafe(b[c])
+    return cond
+
+
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
                  partition_cols: Sequence[str] = (), keys_fix_partition: bool = True,
-                 on_duplicate: str = "error", order_by: Sequence[str] | None = None,
-                 max_touched_partitions: int = 100_000) -> DataFrame:
+                 on_duplicate: str = "error", order_by: Sequence[str] | None = None) -> DataFrame:
     """Apply an upsert to the parquet table at ``path`` (created if absent).
 
     With ``partition_cols`` only the affected partitions are read in full
-    and rewritten (dynamic partition overwrite); the rest stay untouched:
+    and rewritten; the rest stay untouched:
 
     * ``keys_fix_partition=True`` — the partition is a function of the keys
       (e.g. year/month of a key date), so a source row can only match in
@@ -120,48 +129,31 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
       by a key-and-partition-column scan of the target (column pruning
       keeps it narrow).
 
-    The merged rows are checkpointed to the cluster's checkpoint folder
-    before the write, so the job never reads the files it replaces and a
-    lost executor recomputes from the checkpoint. Returns the written rows.
+    A NULL partition value is a partition like any other. The source is
+    evaluated once, to a copy on shared storage; the merged rows are written
+    beside the table and swapped in when complete (``sinks.swap``), so a
+    crash at any point loses nothing. Returns the stored table.
     """
     spark = source.sparkSession
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
-    keys = list(keys)
-    target = _read_existing(spark, path, like=source)
-    if target is None:
-        merged = merge_frames(source.limit(0), source, keys, on_duplicate=on_duplicate,
-                              order_by=order_by)
-        w = merged.write.mode("overwrite")
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
-        w.parquet(path)
-        return merged
-    if partition_cols:
-        pcols = list(partition_cols)
-        touched = source.select(*pcols)
-        if not keys_fix_partition:
-            hit = (target.select(*keys, *pcols).join(source.select(*keys), keys, "left_semi")
-                   .select(*pcols))
-            touched = touched.unionByName(hit)
-        # one row per partition; checkpointed so the list is the
-        # pre-write state, whatever the write does to the target later
-        touched = touched.distinct().checkpoint(eager=True)
-        target = target.join(bounded_broadcast(touched, max_touched_partitions), pcols,
-                             "left_semi")
-    merged = merge_frames(target, source, keys, on_duplicate=on_duplicate, order_by=order_by)
-    merged = merged.checkpoint(eager=True)
-    w = merged.write.mode("overwrite")
-    if partition_cols:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols)
-    w.parquet(path)
-    if partition_cols and not keys_fix_partition:
-        # a partition whose every row moved away is absent from the merged
-        # rows, so dynamic overwrite leaves it alone: remove it explicitly.
-        # (After a crash before this step a re-run finds the moved keys in
-        # both partitions and converges to the same result.)
-        emptied = touched.join(merged.select(*pcols).distinct(), pcols, "left_anti").collect()
-        if emptied:
-            from ..sinks.writer import delete_partitions
-            delete_partitions(spark, path, pcols, [r.asDict() for r in emptied])
-    return merged
+    keys, pcols = list(keys), list(partition_cols)
+    with shared_copy(source, "upsert-source") as staged:
+        target = _read_existing(spark, path, like=staged)
+        emptied = None
+        if target is None:
+            merged = merge_frames(staged.limit(0), staged, keys, on_duplicate=on_duplicate, order_by=order_by)
+            swap.replace(merged, path, pcols)
+            return spark.read.schema(merged.schema).parquet(path)
+        if pcols:
+            touched = staged.select(*pcols).distinct()
+            if not keys_fix_partition:
+                hit = (target.select(*keys, *pcols).join(staged.select(*keys), keys, "left_semi")
+                       .select(*pcols))
+                touched = touched.unionByName(hit).distinct()
+            target = target.join(touched, _same(target, touched, pcols), "left_semi")
+        merged = merge_frames(target, staged, keys, on_duplicate=on_duplicate, order_by=order_by)
+        if pcols and not keys_fix_partition:
+            # partitions whose every row moved away: absent from the merged rows
+            left = merged.select(*pcols).distinct()
+            emptied = touched.join(left, _same(touched, left, pcols), "left_anti")
+        swap.replace(merged, path, pcols, whole=not pcols, emptied=emptied)
+        return spark.read.schema(merged.schema).parquet(path)

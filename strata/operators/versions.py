@@ -17,6 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks import swap
+from ..sinks.writer import drop_partitions, replace_partitions
+
 
 def stamp(df: DataFrame, batch_id: int, col: str = "batch_id") -> DataFrame:
     return df.withColumn(col, F.lit(batch_id).cast("bigint"))
@@ -51,9 +54,7 @@ PART = "_version"
 
 def append_version(df: DataFrame, path: str, batch_id: int, col: str = "batch_id") -> None:
     """Write ``df`` as batch ``batch_id`` (re-running the same batch replaces it)."""
-    (stamp(df, batch_id, col).withColumn(PART, F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PART).parquet(path))
+    replace_partitions(stamp(df, batch_id, col).withColumn(PART, F.lit(batch_id).cast("bigint")), path, [PART])
 
 
 def read_versions(spark, path: str, version: int | None = None) -> DataFrame:
@@ -72,18 +73,17 @@ def read_as_of(spark, path: str, keys: Sequence[str], version: int | None = None
 def expire_stored(spark, path: str, keys: Sequence[str], version: int,
                   col: str = "batch_id") -> None:
     """Compact partitions ``_version <= version`` into one snapshot stored in
-    partition ``version`` (rows keep their batch_id), then remove the older
-    partitions. The snapshot is checkpointed first (it is read from the
-    partitions it replaces); after a crash between the two steps a re-run
-    yields the same table."""
-    from ..session import checkpoint_dir
-    from ..sinks import paths
-    checkpoint_dir(spark)
+    partition ``version`` (rows keep their batch_id); the older partitions go
+    in the same swap."""
+    swap.recover(spark, path)
     snap = (as_of(read_versions(spark, path, version), keys, version, col)
-            .withColumn(PART, F.lit(version).cast("bigint")).checkpoint(eager=True))
-    parts = spark.read.parquet(path).select(F.col(PART).cast("bigint")).distinct()
-    older = [r[0] for r in parts.where(F.col(PART) < version).collect()]
-    (snap.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PART).parquet(path))
-    for b in older:
-        paths.delete(spark, f"{path.rstrip('/')}/{PART}={b}")
+            .withColumn(PART, F.lit(version).cast("bigint")))
+    parts = spark.read.parquet(path).select(F.col(PART).cast("bigint").alias(PART)).distinct()
+    swap.replace(snap, path, [PART], whole=False, emptied=parts.where(F.col(PART) < version))
+
+
+def rollback_stored(spark, path: str, version: int) -> None:
+    """Forget every batch after ``version``: the table is again what an as-of
+    read of ``version`` gives."""
+    swap.recover(spark, path)
+    drop_partitions(spark, path, [PART], F.col(PART).cast("bigint") > F.lit(version))

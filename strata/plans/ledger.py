@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks import paths
+from ..sinks import paths, swap
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("job", T.StringType(), False),
@@ -22,10 +22,13 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("rows_in", T.LongType(), True),
     T.StructField("rows_out", T.LongType(), True),
     T.StructField("watermark", T.StringType(), True),
+    # of a stream: its query id, which stays with its checkpoint
+    T.StructField("stream", T.StringType(), True),
 ])
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    swap.recover(spark, path)
     if not paths.exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
@@ -33,9 +36,10 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def record(spark: SparkSession, path: str, job: str, target: str, *, batch_id: int | None = None,
            rows_in: int | None = None, rows_out: int | None = None,
-           watermark: str | None = None, run_ts: dt.datetime | None = None) -> None:
+           watermark: str | None = None, run_ts: dt.datetime | None = None,
+           stream: str | None = None) -> None:
     row = (job, target, batch_id, run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-           rows_in, rows_out, watermark)
+           rows_in, rows_out, watermark, stream)
     spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
@@ -55,19 +59,18 @@ def last_watermark(spark: SparkSession, path: str, job: str, target: str) -> str
     return r[0][0] if r else None
 
 
-def committed(spark: SparkSession, path: str, job: str, batch_id: int) -> bool:
+def committed(spark: SparkSession, path: str, job: str, batch_id: int, stream: str | None = None) -> bool:
+    """Whether the batch of this stream is in the ledger. A fresh checkpoint
+    counts its batches from 0 again, but under another stream id."""
     return bool(read_ledger(spark, path)
-                .where((F.col("job") == job) & (F.col("batch_id") == batch_id))
+                .where((F.col("job") == job) & (F.col("batch_id") == batch_id)
+                       & F.col("stream").eqNullSafe(F.lit(stream)))
                 .limit(1).collect())
 
 
 def compact(spark: SparkSession, path: str) -> None:
-    """Rewrite the ledger (one small file per entry) as one file. The
-    entries are checkpointed first, so the rewrite never reads the files it
-    replaces."""
-    from ..session import checkpoint_dir
-    if not paths.exists(spark, path):
-        return
-    checkpoint_dir(spark)
-    entries = read_ledger(spark, path).coalesce(1).checkpoint(eager=True)
-    entries.write.mode("overwrite").parquet(path)
+    """Rewrite the ledger (one small file per entry) as one file per job,
+    beside the old files, then swap."""
+    swap.recover(spark, path)
+    if paths.exists(spark, path):
+        swap.replace(read_ledger(spark, path).repartition("job"), path)

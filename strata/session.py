@@ -1,9 +1,12 @@
 """Session construction and shared-storage settings."""
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every strata job relies on. None of them change query results;
 # they keep plans adaptive and partition values as written.
@@ -43,37 +46,31 @@ def build_session(master: str | None = None, app: str = "strata",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster.
+    """The shared folder of the cluster, from ``spark.checkpoint.dir``.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a private folder is created and registered.
+    On a cluster it must be set: a folder of one machine is not seen by the
+    others. Only a local session, whose tasks all run in this process, gets a
+    private folder when it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def sizing(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20) -> dict:
-    """Settings that keep every task's data bounded at a given input volume.
-
-    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
-    * ``shuffle.partitions`` so one shuffle partition of the full input is
-      about one split (at least 2 x cores); AQE coalesces small ones and
-      splits skewed ones above the advisory size;
-    * a skewed join partition is split when it is 5x the median and above
-      the advisory size.
-
-    Example: 100 TB on 1000 executors x 8 cores → 409,600 scan splits of
-    256 MB and 409,600 shuffle partitions before AQE coalescing.
-    """
-    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
-    }
+@contextlib.contextmanager
+def shared_copy(df: DataFrame, name: str):
+    """``df`` evaluated once and read back from shared storage; the copy is
+    removed at the end of the ``with`` block."""
+    from .sinks import paths
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/strata-{name}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        paths.delete(spark, path)

@@ -1,4 +1,4 @@
-"""Filesystem checks through the Hadoop FileSystem of a path (local, HDFS,
+"""Filesystem operations through the Hadoop FileSystem of a path (local, HDFS,
 object stores alike)."""
 from __future__ import annotations
 
@@ -24,3 +24,38 @@ def size_bytes(spark: SparkSession, path: str) -> int:
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder or file; the parent of ``new`` is made if absent."""
+    fs, p = _fs_path(spark, old)
+    q = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"cannot move {old} to {new}")
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.create(p, True).close()
+
+
+def folders(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
+    """Relative paths of the visible folders ``depth`` levels below ``path``."""
+    fs, p = _fs_path(spark, path)
+    level = [("", p)]
+    for _ in range(depth):
+        level = [(f"{rel}/{s.getPath().getName()}".lstrip("/"), s.getPath())
+                 for rel, at in level if fs.exists(at)
+                 for s in fs.listStatus(at)
+                 if s.isDirectory() and ("=" in s.getPath().getName()
+                                         or not s.getPath().getName().startswith(("_", ".")))]
+    return sorted(rel for rel, _ in level)
+
+
+def partition_folder(spark: SparkSession, cols, values: dict) -> str:
+    """``col=value/...`` as Spark writes it: escaped, NULL and '' as the
+    default partition."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(utils.getPartitionPathString(c, None if values[c] is None else str(values[c]))
+                    for c in cols)

@@ -25,19 +25,23 @@ from ..session import checkpoint_dir
 
 
 def upsert_sink(target_path: str, keys: Sequence[str], ledger_path: str, job: str, *,
-                partition_cols: Sequence[str] = (), keys_fix_partition: bool = False,
-                transform: Callable[[DataFrame], DataFrame] | None = None,
-                on_duplicate: str = "last", order_by: Sequence[str] | None = None):
-    """foreachBatch function: (batch_df, batch_id) -> upsert + ledger entry."""
+                order_by: Sequence[str], partition_cols: Sequence[str] = (),
+                keys_fix_partition: bool = False,
+                transform: Callable[[DataFrame], DataFrame] | None = None):
+    """foreachBatch function: (batch_df, batch_id) -> upsert + ledger entry.
+    ``order_by`` says which of a batch's rows of one key is the latest; its
+    columns need not be stored."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if ledger.committed(spark, ledger_path, job, batch_id):
+        # set by the running query; stays the same over restarts of a checkpoint
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if ledger.committed(spark, ledger_path, job, batch_id, stream):
             return
         df = transform(batch) if transform else batch
         upsert_table(df, target_path, keys, partition_cols=partition_cols,
-                     keys_fix_partition=keys_fix_partition, on_duplicate=on_duplicate,
-                     order_by=order_by or list(keys))
-        ledger.record(spark, ledger_path, job, target_path, batch_id=batch_id)
+                     keys_fix_partition=keys_fix_partition, on_duplicate="last",
+                     order_by=order_by)
+        ledger.record(spark, ledger_path, job, target_path, batch_id=batch_id, stream=stream)
     return sink
 
 
@@ -54,19 +58,21 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, *, fmt:
 
 
 def run_incremental(spark: SparkSession, stream: DataFrame, target_path: str, keys: Sequence[str],
-                    *, job: str, partition_cols: Sequence[str] = (),
+                    *, job: str, order_by: Sequence[str], partition_cols: Sequence[str] = (),
+                    keys_fix_partition: bool = False,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
-                    order_by: Sequence[str] | None = None, trigger: str = "availableNow",
+                    trigger: str = "availableNow",
                     processing_time: str = "1 minute", checkpoint: str | None = None,
                     ledger_path: str | None = None):
     """Start the stream → upsert query; with ``availableNow`` wait for it."""
     base = checkpoint_dir(spark).rstrip("/")
     checkpoint = checkpoint or f"{base}/streams/{job}"
     ledger_path = ledger_path or f"{base}/ledger"
+    ledger.compact(spark, ledger_path)  # the entries of earlier runs, one file per job
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(upsert_sink(target_path, keys, ledger_path, job,
                                    partition_cols=partition_cols, transform=transform,
-                                   order_by=order_by)))
+                                   keys_fix_partition=keys_fix_partition, order_by=order_by)))
     w = w.trigger(availableNow=True) if trigger == "availableNow" else \
         w.trigger(processingTime=processing_time)
     q = w.start()
@@ -81,6 +87,6 @@ def raw_zone_stream(spark: SparkSession, raw_root: str, table: str, *,
     (any ingest hour) arrives once, parsed with the RAW contract, the
     ``year/month/day/hour`` partition values included as columns."""
     from ..sources import rawzone
-    return file_stream(spark, f"{raw_root.rstrip('/')}/{table}", rawzone.raw_schema(table),
-                       fmt="csv", max_files_per_trigger=max_files_per_trigger,
-                       options={"sep": ",", "quote": "", "nullValue": "\\N"})
+    lines = file_stream(spark, f"{raw_root.rstrip('/')}/{table}", rawzone.line_schema(),
+                        fmt="text", max_files_per_trigger=max_files_per_trigger)
+    return rawzone.parse_lines(lines, table)

@@ -1,10 +1,9 @@
 """Versions (as-of / expire), checks, profile, masking, retention, schema
-alignment, bounded broadcast."""
+alignment."""
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import checks, masking, retention, versions
-from strata.operators.joins import bounded_broadcast
 from strata.schemas import SchemaMismatch, align, union_evolving
 
 
@@ -74,16 +73,6 @@ def test_align_and_union_evolving(spark):
     assert sorted(map(tuple, u.collect())) == [(1, None), (2, "z")]
 
 
-def test_bounded_broadcast_falls_back_beyond_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j1 = spark.range(100).join(bounded_broadcast(small, 100), "id")
-    j2 = spark.range(100).join(bounded_broadcast(big, 100), "id")
-    assert "broadcast" in j1._jdf.queryExecution().analyzed().toString().lower() or \
-        "Broadcast" in j1._jdf.queryExecution().executedPlan().toString()
-    assert "ResolvedHint (strategy=broadcast)" not in j2._jdf.queryExecution().analyzed().toString()
-
-
 def test_stored_versions_as_of_and_expire(spark, scratch):
     path = f"{scratch}/v"
     versions.append_version(spark.createDataFrame([(1, "a"), (2, "x")], "k int, v string"), path, 1)
@@ -121,3 +110,53 @@ def test_ledger_compaction(spark, scratch):
     assert ledger.read_ledger(spark, p).count() == 5
     assert len(spark.read.parquet(p).inputFiles()) == 1
     assert ledger.committed(spark, p, "job", 3)
+
+
+def test_rollback_forgets_later_batches(spark, scratch):
+    path = f"{scratch}/v"
+    for batch, rows in ((1, [(1, "a"), (2, "x")]), (2, [(1, "b")]), (3, [(1, "c")])):
+        versions.append_version(spark.createDataFrame(rows, "k int, v string"), path, batch)
+    want = sorted(map(tuple, versions.read_as_of(spark, path, ["k"], 2).collect()))
+    versions.rollback_stored(spark, path, 2)
+    assert sorted(map(tuple, versions.read_as_of(spark, path, ["k"]).collect())) == want == [(1, "b", 2), (2, "x", 1)]
+
+
+def test_a_swap_that_was_cut_short_is_finished_or_dropped(spark, scratch):
+    from strata.sinks import swap
+    path = f"{scratch}/t"
+    row = lambda v, y: spark.createDataFrame([(v, y)], "v int, y string")
+    read = lambda: sorted(map(tuple, spark.read.parquet(path).select("v", "y").collect()))
+    swap.replace(row(1, "a").unionByName(row(2, None)), path, ["y"])
+    row(9, "a").write.partitionBy("y").parquet(f"{path}.staged/rows")     # died before the marker
+    swap.recover(spark, path)
+    assert sorted(map(repr, read())) == ["(1, 'a')", "(2, None)"]
+    swap.stage(row(3, "a"), path, ["y"], whole=False)                     # died after it
+    swap.recover(spark, path)
+    swap.recover(spark, path)
+    assert sorted(map(repr, read())) == ["(2, None)", "(3, 'a')"]
+
+
+def test_drop_partitions_with_null_and_escaped_names(spark, scratch):
+    from strata.sinks.writer import drop_partitions, write_table
+    path = f"{scratch}/t"
+    write_table(spark.createDataFrame([(1, None), (2, "a/b=c"), (3, "z")], "v int, y string"), path,
+                partition_cols=["y"])
+    assert drop_partitions(spark, path, ["y"], F.col("y").isNull() | (F.col("y") == "a/b=c")) == 2
+    assert [r.v for r in spark.read.parquet(path).collect()] == [3]
+
+
+def test_a_rewritten_table_reads_its_new_schema(spark, scratch):
+    from strata.sources.tables import Tables
+    spark.range(2).write.parquet(f"{scratch}/orders.parquet")
+    assert Tables(spark, scratch).orders.columns == ["id"]
+    spark.range(2).withColumnRenamed("id", "x").write.mode("overwrite").parquet(f"{scratch}/orders.parquet")
+    assert Tables(spark, scratch).orders.columns == ["x"] and Tables(spark, scratch).orders.count() == 2
+
+
+def test_a_cluster_needs_a_checkpoint_folder():
+    from types import SimpleNamespace
+    from strata.session import checkpoint_dir
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    for master in ("spark://h:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))

@@ -18,7 +18,7 @@ def test_stream_equals_batch_and_replay_is_noop(spark, tables, scratch):
 
     def run():
         s = inc.file_stream(spark, landing, tables.orders.schema, glob="*.parquet")
-        inc.run_incremental(spark, s, target, ["orderkey"], job="t", partition_cols=("year", "month"),
+        inc.run_incremental(spark, s, target, ["orderkey"], job="t", order_by=["orderdate"], partition_cols=("year", "month"),
                             transform=_to_dim, checkpoint=ck, ledger_path=led)
 
     run()
@@ -35,7 +35,7 @@ def test_stream_equals_batch_and_replay_is_noop(spark, tables, scratch):
 
 def test_sink_skips_committed_batch(spark, scratch):
     target, led = f"{scratch}/t", f"{scratch}/ledger"
-    sink = inc.upsert_sink(target, ["k"], led, "job1")
+    sink = inc.upsert_sink(target, ["k"], led, "job1", order_by=["v"])
     b = spark.createDataFrame([(1, 10)], "k int, v int")
     sink(b, 0)
     sink(spark.createDataFrame([(1, 99)], "k int, v int"), 0)   # replay of batch 0
@@ -61,8 +61,28 @@ def test_raw_zone_stream_to_dimension(spark, tables, scratch):
         return star.dim_order(rawzone.latest_ingest(batch, ["o_orderkey"]))
 
     s = inc.raw_zone_stream(spark, f"{scratch}/raw", "orders", max_files_per_trigger=4)
-    inc.run_incremental(spark, s, f"{scratch}/dim", ["orderkey"], job="raw", transform=to_dim,
+    inc.run_incremental(spark, s, f"{scratch}/dim", ["orderkey"], job="raw", order_by=["orderdate"], transform=to_dim,
                         checkpoint=f"{scratch}/ck", ledger_path=f"{scratch}/led")
     got = spark.read.parquet(f"{scratch}/dim")
     want = star.dim_order(o.where(F.col("o_orderkey") % 5 != 0).unionByName(fix))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_the_latest_row_of_a_batch_wins(spark, scratch):
+    """'O' then 'F' in one batch: the order decides, and need not be stored."""
+    target, led = f"{scratch}/t", f"{scratch}/ledger"
+    spark.createDataFrame([(1, "N")], "k int, s string").write.parquet(target)
+    sink = inc.upsert_sink(target, ["k"], led, "job", order_by=["seq"])
+    sink(spark.createDataFrame([(1, "O", 1), (1, "F", 2)], "k int, s string, seq int"), 0)
+    assert [tuple(r) for r in spark.read.parquet(target).collect()] == [(1, "F")]
+
+
+def test_a_fresh_checkpoint_is_not_taken_for_a_replay(spark, scratch):
+    target, led = f"{scratch}/t", f"{scratch}/ledger"
+    for i in (1, 2):
+        spark.createDataFrame([(i, i)], "k int, v int").coalesce(1).write.parquet(f"{scratch}/in{i}")
+        s = inc.file_stream(spark, f"{scratch}/in{i}", spark.createDataFrame([], "k int, v int").schema,
+                            glob="*.parquet")
+        inc.run_incremental(spark, s, target, ["k"], job="same", order_by=["v"], checkpoint=f"{scratch}/ck{i}",
+                            ledger_path=led)
+    assert sorted(map(tuple, spark.read.parquet(target).collect())) == [(1, 1), (2, 2)]

@@ -136,3 +136,54 @@ def test_key_moving_out_of_partition_that_keeps_other_rows(spark, scratch):
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "y").collect())
     assert got == [(1, 11, "2022"), (2, 20, "2020"), (3, 31, "2020")]
     assert not os.path.exists(f"{path}/y=2021")
+
+
+def test_null_partitions_keep_their_rows(spark, scratch):
+    path = f"{scratch}/t"
+    schema = "k int, v int, y int"
+    spark.createDataFrame([(1, 10, None), (3, 30, 2000)], schema).write.partitionBy("y").parquet(path)
+    for fixed in (True, False):
+        upsert_table(spark.createDataFrame([(2, 20, None)], schema), path, ["k"], partition_cols=["y"],
+                     keys_fix_partition=fixed)
+        got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v").collect())
+        assert got == [(1, 10), (2, 20), (3, 30)]
+    # the last row of the NULL partition moves away: the partition goes
+    upsert_table(spark.createDataFrame([(1, 11, 2000), (2, 21, 2000)], schema), path, ["k"], partition_cols=["y"],
+                 keys_fix_partition=False)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v").collect())
+    assert got == [(1, 11), (2, 21), (3, 30)]
+    assert not [d for d in os.listdir(path) if "HIVE_DEFAULT" in d]
+
+
+def test_upsert_evaluates_its_source_once(spark, scratch):
+    path, seen = f"{scratch}/t", spark.sparkContext.accumulator(0)
+    spark.createDataFrame([(1, 10, "a")], "k int, v int, y string").write.partitionBy("y").parquet(path)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    src = spark.createDataFrame([(1, 11, "a"), (2, 20, "b")], "k int, v int, y string")
+    upsert_table(src.mapInArrow(count, src.schema), path, ["k"], partition_cols=["y"], keys_fix_partition=False)
+    assert seen.value == 2 and spark.read.parquet(path).count() == 2
+
+
+def test_a_crash_between_write_and_swap_loses_nothing(spark, scratch, monkeypatch):
+    from strata.sinks import paths, swap
+    path = f"{scratch}/t"
+    spark.createDataFrame([(1, 10, "a"), (2, 20, "b")], "k int, v int, y string").write.partitionBy("y").parquet(path)
+    src = spark.createDataFrame([(1, 11, "a"), (2, 21, "b"), (3, 30, "c")], "k int, v int, y string")
+    moves = []
+
+    def die(spark_, old, new, rename=paths.rename):
+        moves.append(old)
+        if len(moves) == 3:
+            raise OSError("killed")
+        rename(spark_, old, new)
+    monkeypatch.setattr(paths, "rename", die)
+    with pytest.raises(OSError):
+        upsert_table(src, path, ["k"], partition_cols=["y"])
+    monkeypatch.undo()
+    swap.recover(spark, path)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("k", "v", "y").collect())
+    assert got == [(1, 11, "a"), (2, 21, "b"), (3, 30, "c")]
