@@ -7,9 +7,8 @@
   mark (check column), append them, and record the new mark in the
   ledger — the mark comes from the data landed, so windows cannot leave
   gaps or re-read rows.
-* ``window_batches`` / ``range_split_counts``: the same split and window
-  rules as distributed queries over any DataFrame (used to audit an
-  extract and in tests).
+* ``window_batches``: the same window rule as a distributed query over any
+  DataFrame (used to audit an extract and in tests).
 """
 from __future__ import annotations
 
@@ -68,14 +67,15 @@ jdbc_source, frame_source = JdbcSource, FrameSource
 
 def ingest_batch(spark: SparkSession, source: Source, raw_root: str, run_ts: dt.datetime,
                  specs: dict[str, ExtractSpec] | None = None,
-                 ledger_path: str | None = None) -> dict[str, str]:
+                 ledger_path: str | None = None, fmt: str = "text") -> dict[str, str]:
     """Land every spec's extract under ``run_ts``'s hour (replacing it)."""
     out = {}
     for name, spec in (specs or BATCH_SPECS).items():
         df = source.extract(spec)
-        out[name] = rawzone.land(df, raw_root, name, run_ts, mode="overwrite")
+        out[name] = rawzone.land(df, raw_root, name, run_ts, mode="overwrite", fmt=fmt)
         if ledger_path:
-            ledger.record(spark, ledger_path, "ingest_batch", name, run_ts=run_ts)
+            ledger.record(spark, ledger_path, "ingest_batch", name, run_ts=run_ts,
+                          rows_out=spark.read.format(fmt).load(out[name]).count())
     return out
 
 
@@ -130,19 +130,3 @@ def window_batches(df: DataFrame, col: str, bounds: Sequence[str], key: str) ->
     return agg.select(lo_map.cast("date").alias("window_lo"), hi_map.cast("date").alias("window_hi"),
                       "rows", "watermark")
 
-
-def range_split_counts(df: DataFrame, col: str, num_partitions: int) -> DataFrame:
-    """Rows per split of an equal-width range split on ``col`` between its
-    MIN and MAX, with the split rule of the JDBC reader (integer stride
-    ``hi/n - lo/n``; the first split also takes values below the range and
-    NULLs, the last everything above). Shows the balance a parallel
-    extract would get."""
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
-    n = num_partitions
-    stride = hi // n - lo // n
-    if stride <= 0:
-        return df.groupBy(F.lit(0).alias("split")).agg(F.count(F.lit(1)).alias("rows"))
-    split = F.when(F.col(col).isNull(), F.lit(0)).otherwise(
-        F.least(F.greatest(F.floor((F.col(col) - F.lit(lo)) / F.lit(stride)), F.lit(0)),
-                F.lit(n - 1))).cast("int")
-    return df.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("rows"))

@@ -58,18 +58,18 @@ CLASS_WEIGHTS = (0.4, 0.3, 0.3)
 
 def generate_comments(spark: SparkSession, n: int, customers: int, *, mode: str = "hash",
                       seed: int = 42, num_partitions: int | None = None) -> DataFrame:
-    """(custkey INT, comment STRING) x n, spread over ``num_partitions``."""
+    """(custkey BIGINT, comment STRING), keys 1 to ``customers``, x n, spread over ``num_partitions``."""
     ids = spark.range(0, n, numPartitions=num_partitions) if num_partitions else spark.range(n)
     pools = {c: F.array(*[F.lit(s) for s in p]) for c, p in
              (("p", POSITIVE_COMMENTS), ("n", NEGATIVE_COMMENTS), ("u", NEUTRAL_COMMENTS))}
     idc = F.col("id")
     if mode == "hash":
-        cust = F.pmod(idc * 7919, F.lit(customers))
+        cust = F.pmod(idc * 7919, F.lit(customers)) + 1
         cls = F.pmod(idc * 31, F.lit(100))
         pick = F.pmod(idc * 17, F.lit(10)) + 1
         pos_cut, neg_cut = 40, 70
     elif mode == "random":
-        cust = F.floor(F.rand(seed) * customers)
+        cust = F.floor(F.rand(seed) * customers) + 1
         cls = F.floor(F.rand(seed + 1) * 100)
         pick = F.floor(F.rand(seed + 2) * 10) + 1
         pos_cut, neg_cut = int(CLASS_WEIGHTS[0] * 100), int((CLASS_WEIGHTS[0] + CLASS_WEIGHTS[1]) * 100)
@@ -78,4 +78,4 @@ def generate_comments(spark: SparkSession, n: int, customers: int, *, mode: str
     text = (F.when(cls < pos_cut, F.element_at(pools["p"], pick.cast("int")))
              .when(cls < neg_cut, F.element_at(pools["n"], pick.cast("int")))
              .otherwise(F.element_at(pools["u"], pick.cast("int"))))
-    return ids.select(cust.cast("int").alias("custkey"), text.alias("comment"))
+    return ids.select(cust.cast("bigint").alias("custkey"), text.alias("comment"))

@@ -1,7 +1,8 @@
 """RAW landing zone: delimited text partitioned by ingest time.
 
 Layout: ``{root}/{table}/year=YYYY/month=MM/day=DD/hour=HH/part-*``, comma
-separated, no quoting, snappy-compressed text by default. The partition
+separated, no quoting but an escape for what would break a line, snappy-compressed
+text by default, or Parquet. The partition
 values are strings (``month=01`` stays ``"01"``) and the run time is a
 parameter, so a re-run of the same hour replaces that hour only.
 
@@ -41,7 +42,7 @@ RAW_DDL = {
     "region": "r_regionkey INT, r_name STRING, r_comment STRING",
     "supplier": "s_suppkey BIGINT, s_name STRING, s_address STRING, s_nationkey INT, "
                 "s_phone STRING, s_acctbal STRING, s_comment STRING",
-    "customer_comments": "custkey INT NOT NULL, comment STRING NOT NULL",
+    "customer_comments": "custkey BIGINT NOT NULL, comment STRING NOT NULL",
     "social_comments": "comment_id STRING, customer_id STRING, product_id STRING, "
                        "comment_text STRING, comment_date STRING",
 }
@@ -75,50 +76,100 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols)
 
 
+def _escaped(c) -> F.Column:
+    r"""A field as it stands in the text: backslash, comma and line ends are
+    escaped (``\\``, ``\c``, ``\n``, ``\r``), so that no value holds a
+    separator; NULL is ``\N``, an empty string an empty field."""
+    for raw, mark in (("\\", "\\\\"), (",", "\\c"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(raw), F.lit(mark))
+    return F.coalesce(c, F.lit("\\N"))
+
+
+def _unescaped(c) -> F.Column:
+    # the escape of a backslash goes by way of a character no text line holds
+    c = F.replace(c, F.lit("\\\\"), F.lit("\n"))
+    for mark, raw in (("\\c", ","), ("\\r", "\r")):
+        c = F.replace(c, F.lit(mark), F.lit(raw))
+    # \n last but one: its result must not be taken for the stand-in
+    parts = F.transform(F.split(c, "\n"), lambda x: F.replace(x, F.lit("\\n"), F.lit("\n")))
+    return F.array_join(parts, "\\")
+
+
 def land(df: DataFrame, root: str, table: str, run_ts: dt.datetime, *,
-         mode: str = "overwrite", compression: str = "snappy",
-         max_records_per_file: int = 2_000_000) -> str:
-    """Write one extract into its ingest-hour directory.
+         mode: str = "overwrite", fmt: str = "text", compression: str = "snappy",
+         partitions: int | None = None, max_records_per_file: int = 2_000_000) -> str:
+    r"""Write one extract into its ingest-hour directory.
 
     ``mode="overwrite"`` replaces that hour (re-running the same hour is
-    idempotent); ``mode="append"`` adds files (incremental append). Text
-    is written unquoted with ``\\N`` for NULL, like the landing tool.
+    idempotent); ``mode="append"`` adds files (incremental append).
+    ``fmt="text"`` writes unquoted comma-separated lines, values escaped as in
+    ``_escaped``: plain values look as any unquoted text does, and every value
+    reads back as it was. ``fmt="parquet"`` writes the same columns as Parquet.
 
     Snappy-compressed text cannot be split on read, so file count is read
-    parallelism: an extract arriving in fewer partitions than the cluster
-    has cores (a JDBC read with a few connections) is spread over the cores
-    first, and no file holds more than ``max_records_per_file`` rows.
+    parallelism: give ``partitions`` for an extract that arrives in few (a
+    JDBC read with a few connections); no file holds more than
+    ``max_records_per_file`` rows.
     """
     path = f"{root.rstrip('/')}/{table}/{partition_path(run_ts)}"
     out = conform(df, table)
-    from .tables import _cores_and_splits
-    cs = _cores_and_splits(out)
-    if cs is not None and cs[1] < cs[0]:
-        out = out.repartition(cs[0])
-    (out.write.mode(mode).option("sep", ",").option("quote", "")
-        .option("escape", "").option("nullValue", "\\N").option("emptyValue", "")
-        .option("compression", compression).option("maxRecordsPerFile", max_records_per_file)
-        .csv(path))
+    if partitions:
+        out = out.repartition(partitions)
+    if fmt == "parquet":
+        out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(path)
+        return path
+    line = F.concat_ws(",", *[_escaped(F.col(c)) for c in out.columns])
+    (out.select(line.alias("value")).write.mode(mode).option("compression", compression)
+        .option("maxRecordsPerFile", max_records_per_file).text(path))
     return path
 
 
-def read_raw(spark: SparkSession, root: str, table: str) -> DataFrame:
+#: when a row's file was landed; orders copies within one ingest hour
+LANDED = "_landed"
+
+
+def read_raw(spark: SparkSession, root: str, table: str, *, fmt: str = "text",
+             landed: bool = False) -> DataFrame:
     """Scan every landed hour of a RAW table with its fixed schema.
 
-    Fields are split on every comma (no quote handling, so a comma inside a
-    value shifts the following columns, as with the Hive text format);
-    ``\\N`` and unparseable numbers read as NULL; partition columns are
-    strings and prune directories when filtered.
-    """
-    return (spark.read.schema(raw_schema(table)).option("sep", ",").option("quote", "")
-            .option("nullValue", "\\N").option("mode", "PERMISSIVE")
-            .csv(f"{root.rstrip('/')}/{table}"))
+    Text fields are split on every comma (no quote handling, so an unescaped
+    comma shifts the following columns, as with the Hive text format) and
+    unescaped; ``\\N``, missing fields and unparseable numbers are NULL.
+    Partition columns are strings and prune directories when filtered.
+    ``landed`` adds the landing time of each row's file."""
+    path = f"{root.rstrip('/')}/{table}"
+    data = raw_schema(table, with_partitions=False)
+    parts = T.StructType([T.StructField(c, T.StringType()) for c in PARTITION_COLS])
+    extra = [F.col("_metadata.file_modification_time").alias(LANDED)] if landed else []
+    if fmt == "parquet":
+        strings = T.StructType([T.StructField(f.name, T.StringType()) for f in data.fields] + parts.fields)
+        df = spark.read.schema(strings).parquet(path)
+        return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in data.fields],
+                         *PARTITION_COLS, *extra)
+    return parse_lines(spark.read.schema(line_schema()).text(path), table, landed=landed)
+
+
+def line_schema() -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in ("value", *PARTITION_COLS)])
+
+
+def parse_lines(lines: DataFrame, table: str, *, landed: bool = False) -> DataFrame:
+    """Lines of a RAW text table (batch or stream) by its contract."""
+    extra = [F.col("_metadata.file_modification_time").alias(LANDED)] if landed else []
+    lines = lines.select(F.split("value", ",", -1).alias("_f"), *PARTITION_COLS, *extra)
+    fields = []
+    for i, f in enumerate(raw_schema(table, with_partitions=False).fields):
+        v = F.get("_f", F.lit(i))
+        v = F.when(v != F.lit("\\N"), F.when(v.contains("\\"), _unescaped(v)).otherwise(v))
+        fields.append((v if isinstance(f.dataType, T.StringType) else v.try_cast(f.dataType)).alias(f.name))
+    return lines.select(*fields, *PARTITION_COLS, *([LANDED] if landed else []))
 
 
 def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                         escape: str = '"') -> DataFrame:
-    """CSV with a header line and ``"`` escaping (the social-comments files)."""
-    r = spark.read.option("header", "true").option("escape", escape)
+                         escape: str = '"', multi_line: bool = False) -> DataFrame:
+    """CSV with a header line and ``"`` escaping (the social-comments files).
+    ``multi_line`` reads values with line breaks; such files are not split."""
+    r = spark.read.option("header", "true").option("escape", escape).option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
     return r.csv(path)
@@ -131,13 +182,36 @@ def ingest_time(df: DataFrame) -> F.Column:
 
 def latest_ingest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Collapse re-ingested copies: per business key keep the row of the
-    latest ingest hour (partition columns included). A partial ``max(struct)`` aggregate, so a key with
-    many copies is reduced map-side before the shuffle."""
+    latest ingest hour and, within it, of the file landed last (where the
+    column ``LANDED`` is there). One ``max(struct)`` aggregate: a key with
+    many copies is reduced map-side, but the whole row travels through the
+    aggregate's buffer, which plans as a sort aggregate."""
     cols = df.columns
-    m = F.max(F.struct(ingest_time(df).alias("_t"), F.struct(*cols).alias("r")))
+    order = [ingest_time(df).alias("_t")] + ([F.col(LANDED)] if LANDED in cols else [])
+    m = F.max(F.struct(*order, F.struct(*cols).alias("r")))
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
     picked = df.where(known).groupBy(*keys).agg(m.alias("_m")).select("_m.r.*")
     # rows without a full key cannot be matched to a copy: keep them all
     return picked.unionByName(df.where(~known))
+
+
+# Business keys of the RAW tables.
+KEYS = {"customer": ["c_custkey"], "lineitem": ["l_orderkey", "l_linenumber"], "nation": ["n_nationkey"],
+        "orders": ["o_orderkey"], "part": ["p_partkey"], "partsupp": ["ps_partkey", "ps_suppkey"],
+        "region": ["r_regionkey"], "supplier": ["s_suppkey"]}
+
+
+class RawTables:
+    """The tables of a RAW zone by attribute, one row per business key: the
+    latest copy of each."""
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "text"):
+        self._spark, self._root, self._fmt = spark, root, fmt
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in KEYS:
+            raise AttributeError(table)
+        copies = read_raw(self._spark, self._root, table, fmt=self._fmt, landed=True)
+        return latest_ingest(copies, KEYS[table]).drop(LANDED, *PARTITION_COLS)

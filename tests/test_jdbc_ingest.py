@@ -151,23 +151,12 @@ def test_incremental_runs_in_one_hour_keep_both_batches(spark, tables, scratch):
     assert m2 == m and rawzone.read_raw(spark, scratch, "orders").count() == base.count()
 
 
-def test_balanced_predicates_split_a_hot_key(spark, derby, scratch):
-    url, props, o = derby
-    # a third of the orders belong to customer 0
-    skewed = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0))
-                          .otherwise(F.col("o_custkey")))
-    (skewed.toDF(*[c.upper() for c in skewed.columns]).write
-     .option("createTableColumnTypes", "O_ORDERSTATUS VARCHAR(1), O_ORDERPRIORITY VARCHAR(20)")
-     .jdbc(url, "orders_skewed", properties=props))
-    from strata.sources.jdbc import balanced_predicates
-    spec = ExtractSpec("orders_skewed", split_by="o_custkey")
-    preds = balanced_predicates(spark, url, spec, 4, props, hot_split_col="o_orderkey")
-    df = extract(spark, url, ExtractSpec("orders_skewed", predicates=preds), props)
-    assert df.count() == o.count()
-    assert df.select("o_orderkey").distinct().count() == o.count()
-    sizes = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) <= 0.4 * o.count()
-    equal = extract(spark, url, ExtractSpec("orders_skewed", split_by="o_custkey",
-                                            num_partitions=4), props)
-    eq_sizes = [r[1] for r in equal.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) < max(eq_sizes)
+def test_incremental_specs_leave_no_rows_out(spark, tables, scratch):
+    """Rows outside any fixed date window are taken, and a second run takes nothing."""
+    from strata.sources.jdbc import INCREMENTAL_SPECS
+    assert all(s.window is None and s.check_column for s in INCREMENTAL_SPECS.values())
+    source = ingest.frame_source({"orders": tables.orders, "lineitem": tables.lineitem})
+    for hour in (8, 9):
+        ingest.ingest_incremental(spark, source, scratch, dt.datetime(2024, 6, 1, hour), f"{scratch}/ledger")
+    for n in ("orders", "lineitem"):
+        assert rawzone.read_raw(spark, scratch, n).count() == getattr(tables, n).count()

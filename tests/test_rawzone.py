@@ -62,3 +62,27 @@ def test_csv_with_header_and_escape(spark, scratch):
                  '1,2,3,"Great, ""really"" fast",2024-01-01\n')
     df = rawzone.read_csv_with_header(spark, p, rawzone.raw_schema("social_comments", False))
     assert df.collect()[0].comment_text == 'Great, "really" fast'
+
+
+AWKWARD = ["plain", "", None, "a,b", "line\nbreak", "cr\r\nlf", "back\\slash", "\\N", "\\", "\\n", "\\\\c", ",", '"q"', " s "]
+
+
+def test_every_value_survives_the_text(spark, scratch):
+    df = spark.createDataFrame(list(enumerate(AWKWARD)), "custkey long, comment string")
+    rawzone.land(df, scratch, "customer_comments", RUN1, partitions=2)
+    for fmt in ("text", "parquet"):
+        if fmt == "parquet":
+            rawzone.land(df, f"{scratch}/p", "customer_comments", RUN1, fmt=fmt)
+        got = rawzone.read_raw(spark, scratch if fmt == "text" else f"{scratch}/p", "customer_comments", fmt=fmt)
+        assert sorted((r.custkey, r.comment) for r in got.collect()) == list(enumerate(AWKWARD))
+    # values without a separator look as in any unquoted text
+    assert "0,plain" in [r.value for r in spark.read.text(f"{scratch}/customer_comments").collect()]
+
+
+def test_latest_copy_within_one_hour(spark, scratch):
+    for v in ("old", "new"):
+        rawzone.land(spark.createDataFrame([(1, v)], "r_regionkey int, r_name string"), scratch, "region", RUN1,
+                     mode="append")
+        import time
+        time.sleep(1.1)  # the store's clock for file times may count seconds
+    assert [r.r_name for r in rawzone.RawTables(spark, scratch).region.collect()] == ["new"]
