@@ -1,32 +1,27 @@
 """Exact money arithmetic.
 
-Money columns are stored as DOUBLE, but totals are computed exactly: a
-total is the exact sum of the cent-rounded inputs, independent of
-partitioning and summation order, and equal in every engine.
-
-Fast path (used by the queries): each value becomes an integer number of
-units (rounded half up from the stored double; for cent-exact data the
-same as a DECIMAL(12,2) cast) — ``cents(x)`` for amounts, ``net_units(price, discount)`` =
-cents(price) * (100 - discount%) in 1e-4 units — and ``sum_units`` sums
-the units with 64-bit integer aggregates: every unit is split into a high
-part (``u >> 20``) and a low part (``u & (2^20 - 1)``), both summed as
-BIGINT. Neither partial sum can overflow below ~8.8e12 rows per group, so
-the hot loop stays in long arithmetic inside whole-stage codegen; the two
-sums are combined into an exact DECIMAL(38,0) once per group.
-``to_amount`` scales a unit total back to currency as DOUBLE (one correctly
-rounded conversion from the exact decimal).
-
-Simple path (kept for ad-hoc use): DECIMAL columns summed with ``dsum`` /
-``davg``; exact as well, but a DECIMAL sum wider than 18 digits
-accumulates in BigDecimal, several times slower per row.
+Money columns are stored as DOUBLE, but totals are computed exactly: a total is
+the exact sum of the inputs at four decimals (a rate of 0.055 is exact), so it
+does not depend on partitioning or summation order and is the same in every
+engine. A NaN input gives a NaN total, as a DOUBLE sum would.
+
+Each value becomes an integer number of units: ``units(x)`` in 1e-4,
+``net_units(price, discount)`` = price * (1 - discount) in 1e-8. ``sum_units``
+sums them with 64-bit integer aggregates: every unit is split into a high part
+(``u >> 20``) and a low part (``u & (2^20 - 1)``), both summed as BIGINT.
+Neither partial sum can overflow below ~8.8e12 rows per group, so the hot loop
+stays in long arithmetic inside whole-stage codegen; the two sums are combined
+into an exact DECIMAL(38,0) once per group. A value too large for its units
+(an amount of 9e10) fails rather than wraps.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(12,2)"
-RATE = "decimal(4,2)"
+#: decimals of amounts, and of products of two
+SCALE, NET_SCALE = 4, 8
+_ONE = 10 ** SCALE
 _SPLIT = 20
 _LOW_MASK = (1 << _SPLIT) - 1
 
@@ -35,42 +30,16 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def money(c: Column | str) -> Column:
-    return _c(c).cast(MONEY)
-
-
-def rate(c: Column | str) -> Column:
-    return _c(c).cast(RATE)
-
-
-def net_price(price: Column | str, discount: Column | str) -> Column:
-    """price * (1 - discount) as an exact DECIMAL(18,4)."""
-    return money(price) * (F.lit(1) - rate(discount))
-
-
-# ---------------------------------------------------------------- units
-
-
-def _hundredths(c: Column | str) -> Column:
-    # floor(x * 100 + 0.5): double arithmetic only (no per-row BigDecimal as
-    # in a DOUBLE -> DECIMAL cast). For cent-exact values x * 100 lies within
-    # 1e-9 of an integer, so this is exactly CAST(x AS DECIMAL(_, 2)) * 100.
-    return F.floor(_c(c) * 100 + 0.5).cast("long")
-
-
-def cents(c: Column | str) -> Column:
-    """Amount rounded half up to cents, as BIGINT cents."""
-    return _hundredths(c)
-
-
-def percent(c: Column | str) -> Column:
-    """Rate rounded half up to hundredths, as BIGINT percent."""
-    return _hundredths(c)
+def units(c: Column | str) -> Column:
+    """Amount or rate in 1e-4 units (BIGINT), halves away from zero as a
+    DECIMAL cast has them; NULL for NULL and NaN (see ``amount_sum``)."""
+    x = _c(c) * _ONE
+    return F.when(~F.isnan(x), F.when(x < 0, F.ceil(x - 0.5)).otherwise(F.floor(x + 0.5))).cast("long")
 
 
 def net_units(price: Column | str, discount: Column | str) -> Column:
-    """price * (1 - discount) in 1e-4 currency units (BIGINT, exact)."""
-    return cents(price) * (F.lit(100) - percent(discount))
+    """price * (1 - discount) in 1e-8 units (BIGINT, exact)."""
+    return units(price) * (F.lit(_ONE) - units(discount))
 
 
 def sum_units(u: Column) -> Column:
@@ -81,28 +50,32 @@ def sum_units(u: Column) -> Column:
 
 
 def to_amount(total: Column, scale: int) -> Column:
-    """Unit total (``scale`` decimals, e.g. 2 for cents) → DOUBLE amount."""
-    return (total.cast(f"decimal(38,{scale})") / F.lit(10 ** scale)).cast("double")
+    """Unit total -> DOUBLE amount, one correctly rounded conversion."""
+    return F.concat(total.cast("decimal(38,0)").cast("string"), F.lit(f"E-{scale}")).cast("double")
 
 
-def amount_sum(u: Column, scale: int) -> Column:
-    """Exact SUM of units as a DOUBLE amount (an aggregate)."""
-    return to_amount(sum_units(u), scale)
+def any_nan(*inputs: Column | str) -> Column:
+    """Whether a group has a NaN input (an aggregate)."""
+    found = F.lit(False)
+    for c in inputs:
+        found = found | F.coalesce(F.isnan(_c(c)), F.lit(False))
+    return F.max(found)
 
 
-def amount_avg(u: Column, scale: int) -> Column:
-    """Exact AVG of units over the non-null rows, as DOUBLE (an aggregate)."""
-    return F.try_divide(amount_sum(u, scale), F.count(u))
+def _nan_or(inputs, value: Column) -> Column:
+    return F.when(any_nan(*inputs), F.lit(float("nan"))).otherwise(value)
 
 
-# ---------------------------------------------------------------- simple path
+def amount_sum(c: Column | str) -> Column:
+    """Exact SUM as DOUBLE (an aggregate)."""
+    return _nan_or([c], to_amount(sum_units(units(c)), SCALE))
 
 
-def dsum(c: Column) -> Column:
-    """SUM of a decimal expression, returned as DOUBLE."""
-    return F.sum(c).cast("double")
+def net_sum(price: Column | str, discount: Column | str) -> Column:
+    """Exact SUM of price * (1 - discount) as DOUBLE (an aggregate)."""
+    return _nan_or([price, discount], to_amount(sum_units(net_units(price, discount)), NET_SCALE))
 
 
-def davg(c: Column) -> Column:
-    """AVG of a decimal expression over its non-null rows, as DOUBLE."""
-    return F.try_divide(F.sum(c).cast("double"), F.count(c))
+def amount_avg(c: Column | str) -> Column:
+    """Exact AVG over the non-null rows as DOUBLE (an aggregate)."""
+    return F.try_divide(amount_sum(c), F.count(_c(c)))

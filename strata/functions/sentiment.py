@@ -70,22 +70,6 @@ def with_lexicon(df: DataFrame, text_col: str, lexicon: str = "a", *,
                                label_col: label_from_score(F.col("_s"), cap)}).drop("_low", "_s")
 
 
-def score_a(text) -> Column:
-    return lexicon_score(text, LEXICON_A_POSITIVE, LEXICON_A_NEGATIVE).cast("double")
-
-
-def label_a(text) -> Column:
-    return label_from_score(lexicon_score(text, LEXICON_A_POSITIVE, LEXICON_A_NEGATIVE))
-
-
-def score_b(text) -> Column:
-    return lexicon_score(text, LEXICON_B_POSITIVE, LEXICON_B_NEGATIVE).cast("float")
-
-
-def label_b(score: Column) -> Column:
-    return label_from_score(score, capitalised=True)
-
-
 def weak_label(text: Column | str) -> Column:
     """1 if the lower-cased text contains any weak-positive word, else 0."""
     t = F.col(text) if isinstance(text, str) else text

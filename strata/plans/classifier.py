@@ -8,9 +8,8 @@ replaces, but on whole texts (no truncation to a fixed token count):
 
 Tokenizing, vocabulary counting and the optimiser's gradient steps are
 distributed; only the 1000-term vocabulary and the coefficients reach the
-driver. Texts are tokenized once: the sparse count vectors (far smaller
-than the texts) are persisted (memory, spilling to disk) for the
-vocabulary pass, the optimiser's passes and the scoring pass.
+driver. The sparse count vectors (far smaller than the texts) are persisted
+(memory, spilling to disk) while the optimiser passes over them, then released.
 Output: id, weak label, probability of positive, and the Positive /
 Negative prediction at threshold 0.5.
 """
@@ -30,17 +29,16 @@ def classify(df: DataFrame, id_col: str, text_col: str, *, vocab_size: int = 100
              max_iter: int = 20, reg: float = 0.01) -> DataFrame:
     data = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
                      weak_label(text_col).cast("double").alias("label"))
-    tokens = (RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern="\\W+",
-                             toLowercase=True)
-              .transform(data).select(id_col, "label", "_tokens")
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    tokens = (RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern="\\W+", toLowercase=True)
+              .transform(data).select(id_col, "label", "_tokens"))
     cv = CountVectorizer(inputCol="_tokens", outputCol="_features", vocabSize=vocab_size).fit(tokens)
-    feats = (cv.transform(tokens).select(id_col, "label", "_features")
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    feats.count()          # materialise the vectors once, then drop the token lists
-    tokens.unpersist()
-    lr = LogisticRegression(featuresCol="_features", labelCol="label", maxIter=max_iter,
-                            regParam=reg, probabilityCol="_prob").fit(feats)
+    feats = cv.transform(tokens).select(id_col, "label", "_features")
+    kept = feats.persist(StorageLevel.MEMORY_AND_DISK)  # for the optimiser's passes only
+    try:
+        lr = LogisticRegression(featuresCol="_features", labelCol="label", maxIter=max_iter,
+                                regParam=reg, probabilityCol="_prob").fit(kept)
+    finally:
+        kept.unpersist()
     p = vector_to_array("_prob")[1]
     return lr.transform(feats).select(F.col(id_col), F.col("label").cast("int").alias("weak_label"),
                                       p.alias("p_positive"),

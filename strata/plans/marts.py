@@ -18,8 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import amount_avg, amount_sum, cents, net_units, percent, sum_units, to_amount
-from ..operators.joins import bounded_broadcast
+from ..functions.money import NET_SCALE, amount_avg, amount_sum, any_nan, net_sum, net_units, sum_units, to_amount
 
 # ---------------------------------------------------------------- variant A
 
@@ -33,7 +32,7 @@ def sales_by_customer(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     replaces).
     """
     per_cust = (fact.groupBy("custkey")
-                .agg(amount_sum(net_units("extendedprice", "discount"), 4).alias("total_revenue"),
+                .agg(net_sum("extendedprice", "discount").alias("total_revenue"),
                      F.count_distinct("orderkey").alias("total_orders")))
     return (per_cust.join(dim_customer.select("custkey", "name"), "custkey")
             .select("custkey", "name", "total_revenue", "total_orders"))
@@ -44,27 +43,29 @@ def sales_by_region(fact: DataFrame, dim_customer: DataFrame,
     """Net revenue and distinct orders per region name.
 
     The fact is reduced to one row per (custkey, orderkey) before the
-    customer join; the geography dimension (25 rows) is broadcast behind a
-    size check. The distinct-order count stays exact without assuming an
+    customer join; whether the geography dimension is broadcast is left to
+    the optimizer's size threshold. The distinct-order count stays exact without assuming an
     order belongs to a single customer.
     """
     per_order = (fact.groupBy("custkey", "orderkey")
-                 .agg(sum_units(net_units("extendedprice", "discount")).alias("_rev")))
-    geo = bounded_broadcast(dim_geography.select("nationkey", "regionname"))
+                 .agg(sum_units(net_units("extendedprice", "discount")).alias("_rev"),
+                      any_nan("extendedprice", "discount").alias("_nan")))
+    geo = dim_geography.select("nationkey", "regionname")
     cust_region = dim_customer.select("custkey", "nationkey").join(geo, "nationkey")
     return (per_order.join(cust_region, "custkey")
             .groupBy("regionname")
-            .agg(to_amount(F.sum("_rev"), 4).alias("total_revenue"),
+            .agg(F.when(F.max("_nan"), F.lit(float("nan"))).otherwise(to_amount(F.sum("_rev"), NET_SCALE))
+                 .alias("total_revenue"),
                  F.count_distinct("orderkey").alias("total_orders")))
 
 
 def sales_summary(fact: DataFrame) -> DataFrame:
     """Per (year, month): gross revenue, average discount and tax, units."""
     return (fact.groupBy("year", "month")
-            .agg(amount_sum(cents("extendedprice"), 2).alias("total_revenue"),
-                 amount_avg(percent("discount"), 2).alias("avg_discount"),
-                 amount_avg(percent("tax"), 2).alias("avg_tax"),
-                 amount_sum(cents("quantity"), 2).alias("total_quantity")))
+            .agg(amount_sum("extendedprice").alias("total_revenue"),
+                 amount_avg("discount").alias("avg_discount"),
+                 amount_avg("tax").alias("avg_tax"),
+                 amount_sum("quantity").alias("total_quantity")))
 
 
 # ---------------------------------------------------------------- variant B
@@ -74,21 +75,21 @@ def sales_summary(fact: DataFrame) -> DataFrame:
 
 def revenue_by_customer(fact_b: DataFrame) -> DataFrame:
     return (fact_b.groupBy("customer_key")
-            .agg(amount_sum(net_units("extended_price", "discount"), 4).alias("total_revenue"),
-                 amount_sum(cents("quantity"), 2).alias("total_units")))
+            .agg(net_sum("extended_price", "discount").alias("total_revenue"),
+                 amount_sum("quantity").alias("total_units")))
 
 
 def supplier_performance(fact_b: DataFrame) -> DataFrame:
     return (fact_b.groupBy("supplier_key")
-            .agg(amount_sum(net_units("extended_price", "discount"), 4).alias("total_revenue"),
-                 amount_sum(cents("quantity"), 2).alias("total_units"),
+            .agg(net_sum("extended_price", "discount").alias("total_revenue"),
+                 amount_sum("quantity").alias("total_units"),
                  F.count(F.lit(1)).alias("transactions")))
 
 
 def inventory_summary(fact_b: DataFrame) -> DataFrame:
     return (fact_b.groupBy("part_key")
-            .agg(amount_sum(cents("quantity"), 2).alias("units_ordered"),
-                 amount_sum(net_units("extended_price", "discount"), 4).alias("revenue")))
+            .agg(amount_sum("quantity").alias("units_ordered"),
+                 net_sum("extended_price", "discount").alias("revenue")))
 
 
 def order_fulfillment(fact_b: DataFrame) -> DataFrame:

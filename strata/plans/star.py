@@ -191,6 +191,22 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, variant: str = "orderdate
                           "order_day": F.dayofmonth("ship_date")})
 
 
+def line_fact(lineitem: DataFrame, variant: str = "shipdate") -> DataFrame:
+    """The ship-date fact without its customer key: for marts that take
+    nothing from orders, lines alone give the same rows (a left join on a
+    unique order key), without shuffling either table."""
+    li = _with_dates(lineitem, ["l_shipdate", "l_commitdate", "l_receiptdate"], variant)
+    return li.select(safe_cast(lineitem, "l_orderkey", "bigint").alias("order_key"),
+                     safe_cast(lineitem, "l_partkey", "bigint").alias("part_key"),
+                     safe_cast(lineitem, "l_suppkey", "bigint").alias("supplier_key"),
+                     safe_cast(lineitem, "l_extendedprice", "double").alias("extended_price"),
+                     safe_cast(lineitem, "l_discount", "double").alias("discount"),
+                     safe_cast(lineitem, "l_quantity", "double").alias("quantity"),
+                     col_or_null(li, "l_shipdate", "date").alias("ship_date"),
+                     col_or_null(li, "l_commitdate", "date").alias("commit_date"),
+                     col_or_null(li, "l_receiptdate", "date").alias("receipt_date"))
+
+
 @dataclass
 class Star:
     variant: str

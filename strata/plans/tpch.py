@@ -9,21 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
-from ..functions.money import cents, sum_units, to_amount
+from ..functions.money import SCALE, sum_units, to_amount, units
 from ..sources.tables import Tables
 
 
-def q1_projection_limit(t: Tables, n: int = 1000) -> DataFrame:
-    """Two-column projection with LIMIT.
+def q1_projection_limit(t: Tables, n: int = 1000, ordered: bool = False) -> DataFrame:
+    """Two-column projection with LIMIT: any ``n`` rows, so the scan stops early.
 
-    Ordered by both output columns so the sample is deterministic; Spark
-    plans ORDER BY + LIMIT as a per-partition top-k (TakeOrderedAndProject),
+    ``ordered`` sorts by both output columns, which makes the sample
+    deterministic at the cost of a whole scan; Spark plans ORDER BY + LIMIT as a per-partition top-k (TakeOrderedAndProject),
     never a full sort.
     """
     li = t.lineitem
-    return (li.select("l_orderkey", as_date(li, "l_shipdate").alias("l_shipdate"))
-              .orderBy("l_orderkey", "l_shipdate")
-              .limit(n))
+    rows = li.select("l_orderkey", as_date(li, "l_shipdate").alias("l_shipdate"))
+    return (rows.orderBy("l_orderkey", "l_shipdate") if ordered else rows).limit(n)
 
 
 def q2_filter(t: Tables, status: str = "F") -> DataFrame:
@@ -56,7 +55,7 @@ def _revenue_by_customer(t: Tables, revenue_col: str = "rev") -> DataFrame:
     over the join.
     """
     per_order = (t.lineitem.groupBy("l_orderkey")
-                 .agg(sum_units(cents("l_extendedprice")).alias("_rev")))
+                 .agg(sum_units(units("l_extendedprice")).alias("_rev")))
     o = t.orders.select("o_orderkey", "o_custkey")
     per_cust = (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
                 .groupBy("o_custkey").agg(F.sum("_rev").alias(revenue_col)))
@@ -69,7 +68,7 @@ def q5_join_sum(t: Tables) -> DataFrame:
     c = t.customer.select("c_custkey", "c_nationkey")
     return (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
             .groupBy("c_nationkey")
-            .agg(to_amount(F.sum("rev"), 2).alias("total_revenue")))
+            .agg(to_amount(F.sum("rev"), SCALE).alias("total_revenue")))
 
 
 def top_customers_by_spend(t: Tables, k: int = 10) -> DataFrame:
@@ -78,6 +77,6 @@ def top_customers_by_spend(t: Tables, k: int = 10) -> DataFrame:
     c = t.customer.select("c_custkey", "c_name")
     return (per_cust.join(c, per_cust.o_custkey == c.c_custkey)
             .groupBy("c_name")
-            .agg(to_amount(F.sum("rev"), 2).alias("total_spent"))
+            .agg(to_amount(F.sum("rev"), SCALE).alias("total_spent"))
             .orderBy(F.desc("total_spent"), "c_name")
             .limit(k))
