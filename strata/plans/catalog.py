@@ -30,11 +30,11 @@ def register(name: str, sql: str | None = None):
 
 # SQL fragments
 def M(c: str) -> str:  # exact money
-    return f"CAST({c} AS DECIMAL(12,2))"
+    return f"CAST({c} AS DECIMAL(18,4))"
 
 
 def R(c: str) -> str:  # exact rate
-    return f"CAST({c} AS DECIMAL(4,2))"
+    return f"CAST({c} AS DECIMAL(10,4))"
 
 
 def NET(p: str, d: str) -> str:
@@ -48,7 +48,8 @@ def I(e: str) -> str:  # integer calendar part
 # ------------------------------------------------------------ benchmark queries
 register("q1_projection_limit", """
     SELECT l_orderkey, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem
-    ORDER BY l_orderkey, l_shipdate LIMIT 1000""")(tpch.q1_projection_limit)
+    ORDER BY l_orderkey, l_shipdate LIMIT 1000""")(
+    lambda t: tpch.q1_projection_limit(t, ordered=True))
 register("q2_filter", """
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
            CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
@@ -165,9 +166,8 @@ register("fact_sales_shipdate", _fact_b_sql(False))(
 # ------------------------------------------------------------ marts
 
 
-def _fact_b(t: Tables, derived_dates: bool = False):
-    li = with_line_dates(t.lineitem) if derived_dates else t.lineitem
-    return star.fact_sales(li, t.orders, "shipdate")
+def _fact_b(t: Tables):
+    return star.fact_sales(t.lineitem, t.orders, "shipdate")
 
 
 def _fact_a(t: Tables):
@@ -211,18 +211,18 @@ register("supplier_performance", f"""
            CAST(SUM({NET('l_extendedprice', 'l_discount')}) AS DOUBLE) AS total_revenue,
            CAST(SUM({M('l_quantity')}) AS DOUBLE) AS total_units,
            COUNT(*) AS transactions
-    FROM lineitem GROUP BY l_suppkey""")(lambda t: marts.supplier_performance(_fact_b(t)))
+    FROM lineitem GROUP BY l_suppkey""")(lambda t: marts.supplier_performance(star.line_fact(t.lineitem)))
 register("inventory_summary", f"""
     SELECT l_partkey AS part_key,
            CAST(SUM({M('l_quantity')}) AS DOUBLE) AS units_ordered,
            CAST(SUM({NET('l_extendedprice', 'l_discount')}) AS DOUBLE) AS revenue
-    FROM lineitem GROUP BY l_partkey""")(lambda t: marts.inventory_summary(_fact_b(t)))
+    FROM lineitem GROUP BY l_partkey""")(lambda t: marts.inventory_summary(star.line_fact(t.lineitem)))
 register("order_fulfillment", f"""
     SELECT supplier_key, AVG(date_diff('day', commit_date, ship_date)) AS avg_ship_delay,
            AVG(date_diff('day', ship_date, receipt_date)) AS avg_fulfillment_days,
            COUNT(*) AS orders
     FROM ({_fact_b_sql(True)}) GROUP BY supplier_key""")(
-    lambda t: marts.order_fulfillment(_fact_b(t, derived_dates=True)))
+    lambda t: marts.order_fulfillment(star.line_fact(with_line_dates(t.lineitem))))
 
 # ------------------------------------------------------------ upsert / refresh
 from pyspark.sql import functions as _F  # noqa: E402
@@ -277,28 +277,19 @@ def _raw_dedup(t: Tables) -> DataFrame:
         return df.select(*[(_F.to_date(c) if c == "o_orderdate" else _F.col(c)).alias(c)
                            for c in _ORDER_OUT]).withColumns(
             {"year": _F.lit(y), "month": _F.lit(m), "day": _F.lit(d), "hour": _F.lit(h)})
-    both = (extract("1995-01-01", "1998-01-01", "2024", "01", "01", "10")
-            .unionByName(extract("1997-01-01", "2000-01-01", "2024", "01", "02", "10")))
+    both = (extract("1900-01-01", "1998-01-01", "2024", "01", "01", "10")
+            .unionByName(extract("1997-01-01", "2100-01-01", "2024", "01", "02", "10")))
     return rawzone.latest_ingest(both, ["o_orderkey"]).select(*_ORDER_OUT)
 
 
 register("raw_dedup", """
     SELECT DISTINCT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
            CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM (
-        SELECT * FROM orders WHERE o_orderdate >= DATE '1995-01-01' AND o_orderdate < DATE '1998-01-01'
+        SELECT * FROM orders WHERE o_orderdate >= DATE '1900-01-01' AND o_orderdate < DATE '1998-01-01'
         UNION ALL
-        SELECT * FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '2000-01-01')
+        SELECT * FROM orders WHERE o_orderdate >= DATE '1997-01-01' AND o_orderdate < DATE '2100-01-01')
     """)(_raw_dedup)
 
-register("range_split_counts", """
-    WITH b AS (SELECT MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi FROM orders)
-    SELECT CAST(CASE WHEN o_orderkey IS NULL THEN 0
-                ELSE LEAST(GREATEST(FLOOR((o_orderkey - lo) / ((hi // 6) - (lo // 6))), 0), 5)
-                END AS INTEGER) AS split,
-           COUNT(*) AS rows
-    FROM orders, b GROUP BY 1""")(
-    lambda t: ingest.range_split_counts(t.orders, "o_orderkey", 6))
-
 _YEARS = [f"{y}-01-01" for y in range(1995, 2003)]
 register("incremental_window", """
     SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS window_lo,
@@ -310,8 +301,6 @@ register("incremental_window", """
 
 # ------------------------------------------------------------ sentiment sandbox
 from ..functions import sentiment as S  # noqa: E402
-from ..sources.comments import (NEGATIVE_COMMENTS, NEUTRAL_COMMENTS,  # noqa: E402
-                                POSITIVE_COMMENTS, generate_comments)
 from . import classifier  # noqa: E402
 from . import sentiment as sent  # noqa: E402
 
@@ -395,27 +384,9 @@ register("sentiment_product", f"""
     LEFT JOIN part p ON turn = p.p_partkey""")(_sentiment_product)
 
 
-def _pool_sql(pool):
-    return "[" + ", ".join("'" + s.replace("'", "''") + "'" for s in pool) + "]"
-
-
-def _comments_generated(t: Tables) -> DataFrame:
-    """One generated comment per order, customers drawn over the customer
-    table's size (modular picks)."""
-    return generate_comments(t.spark, t.orders.count(), t.customer.count(), mode="hash")
-
-
-register("comments_generated", f"""
-    WITH ids AS (SELECT row_number() OVER () - 1 AS id FROM orders),
-    nc AS (SELECT COUNT(*) AS n FROM customer)
-    SELECT CAST((id * 7919) % n AS INTEGER) AS custkey,
-           CASE WHEN (id * 31) % 100 < 40 THEN {_pool_sql(POSITIVE_COMMENTS)}[(id * 17) % 10 + 1]
-                WHEN (id * 31) % 100 < 70 THEN {_pool_sql(NEGATIVE_COMMENTS)}[(id * 17) % 10 + 1]
-                ELSE {_pool_sql(NEUTRAL_COMMENTS)}[(id * 17) % 10 + 1] END AS comment
-    FROM ids, nc""")(_comments_generated)
-
-# No SQL oracle: an iterative model fit (rows-only check).
-register("text_classifier")(lambda t: classifier.classify(t.documents, "doc_id", "text"))
+# The fitted probability has no SQL form (tests bound it); the labels it learns from do.
+register("text_classifier", ORACLE["weak_label"])(
+    lambda t: classifier.classify(t.documents, "doc_id", "text").select("doc_id", "weak_label"))
 
 # ------------------------------------------------------------ versions, checks, masking, ...
 from ..operators import checks, masking, retention, versions  # noqa: E402
@@ -534,14 +505,14 @@ from ..streaming import incremental as _inc  # noqa: E402
 
 
 def _stream_incremental_orders(t: Tables) -> DataFrame:
-    """Orders land as one parquet file per order year; a file-source stream
-    (one file per micro-batch) upserts each batch into a (year, month)
+    """Orders land as eight parquet files; a file-source stream (two files per
+    micro-batch) upserts each batch into a (year, month)
     partitioned dim_order table keyed on orderkey. The result must equal
     the batch-built dim_order."""
     spark = t.spark
     root = f"{_ckdir(spark).rstrip('/')}/strata-stream-{_uuid.uuid4().hex}"
     landing, target = f"{root}/landing", f"{root}/dim_order"
-    (t.orders.repartition(8, _F.year("o_orderdate")).write.mode("overwrite").parquet(landing))
+    t.orders.repartition(8, "o_orderkey").write.parquet(landing)
     stream = _inc.file_stream(spark, landing, t.orders.schema, glob="*.parquet",
                               max_files_per_trigger=2)
 
@@ -550,7 +521,7 @@ def _stream_incremental_orders(t: Tables) -> DataFrame:
         return d.withColumns({"year": _F.year("orderdate"), "month": _F.month("orderdate")})
 
     _inc.run_incremental(spark, stream, target, ["orderkey"], job=f"stream-{root[-8:]}",
-                         partition_cols=("year", "month"), transform=to_dim,
+                         order_by=["orderdate"], partition_cols=("year", "month"), transform=to_dim,
                          checkpoint=f"{root}/_checkpoint", ledger_path=f"{root}/_ledger")
     return spark.read.parquet(target).select("orderkey", "orderstatus", "totalprice",
                                              "orderdate", "priority", "custkey")
@@ -627,3 +598,107 @@ def _region_via_raw(t: Tables) -> DataFrame:
 
 
 register("sales_by_region_via_raw", ORACLE["sales_by_region"])(_region_via_raw)
+
+
+# ------------------------------------------------------------ stored tables
+from ..operators.upsert import upsert_table as _upsert_table  # noqa: E402
+from ..sinks.writer import write_table as _write_table  # noqa: E402
+
+
+def _stored(t: Tables, name: str) -> str:
+    return f"{_ckdir(t.spark).rstrip('/')}/strata-{name}-{_uuid.uuid4().hex}"
+
+
+def _upsert_stored_orders(t: Tables) -> DataFrame:
+    """dim_order on disk, partitioned by year, a seventh of the orders without
+    a date; the delta gives every third order status 'U' and dates those of
+    them that had none (they move out of the NULL partition)."""
+    d = star.dim_order(t.orders)
+    dated = lambda df: df.withColumn("year", _F.year("orderdate"))
+    base = d.withColumn("orderdate", _F.when(_F.col("orderkey") % 7 != 0, _F.col("orderdate")))
+    delta = d.where(_F.col("orderkey") % 3 == 0).withColumn("orderstatus", _F.lit("U"))
+    path = _stored(t, "upsert")
+    _write_table(dated(base), path, partition_cols=["year"])
+    stored = _upsert_table(dated(delta), path, ["orderkey"], partition_cols=["year"], keys_fix_partition=False)
+    return stored.drop("year")
+
+
+register("upsert_stored_orders", f"""
+    SELECT orderkey, CASE WHEN orderkey % 3 = 0 THEN 'U' ELSE orderstatus END AS orderstatus, totalprice,
+           CASE WHEN orderkey % 7 <> 0 OR orderkey % 3 = 0 THEN orderdate END AS orderdate, priority, custkey
+    FROM ({ORACLE["dim_order"]})""")(_upsert_stored_orders)
+
+
+def _raw_text_roundtrip(t: Tables) -> DataFrame:
+    """Whole document texts (commas, newlines) landed as RAW text and read back."""
+    root = _stored(t, "raw-text")
+    rawzone.land(t.documents.select(_F.col("doc_id").alias("custkey"), _F.col("text").alias("comment")),
+                 root, "customer_comments", _dt.datetime(2024, 1, 1, 0))
+    return rawzone.read_raw(t.spark, root, "customer_comments").select("custkey", "comment")
+
+
+register("raw_text_roundtrip", "SELECT doc_id AS custkey, text AS comment FROM documents")(_raw_text_roundtrip)
+
+
+def _fact_partitioned(t: Tables) -> DataFrame:
+    path = _stored(t, "fact")
+    f = star.fact_sales(t.lineitem, t.orders)
+    _write_table(f, path, partition_cols=["year", "month"])
+    return t.spark.read.schema(f.schema).parquet(path).select(f.columns)
+
+
+register("fact_partitioned_readback", _FACT_A)(_fact_partitioned)
+
+
+def _rollback_orders(t: Tables) -> DataFrame:
+    path = _stored(t, "versions")
+    v = _versioned_orders(t)
+    for batch in (1, 2, 3):
+        versions.append_version(v.where(_F.col("batch_id") == batch).drop("batch_id"), path, batch)
+    versions.rollback_stored(t.spark, path, 2)
+    return versions.read_as_of(t.spark, path, ["o_orderkey"])
+
+
+register("rollback_orders", ORACLE["as_of_orders"])(_rollback_orders)
+
+
+def _csv_comments(t: Tables) -> DataFrame:
+    """Conversation turns as comment files with a header line and quotes."""
+    path = _stored(t, "csv")
+    (t.conversations.select(
+        _F.concat_ws("-", "conv_id", "turn").alias("comment_id"), _F.col("conv_id").cast("string").alias("customer_id"),
+        _F.col("turn").cast("string").alias("product_id"), _F.col("text").alias("comment_text"),
+        _F.lit("2024-01-01").alias("comment_date"))
+     .write.option("header", "true").option("escape", '"').option("quoteAll", "true").csv(path))
+    return rawzone.read_csv_with_header(t.spark, path, rawzone.raw_schema("social_comments", False), multi_line=True)
+
+
+register("csv_header_comments", """
+    SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS comment_id,
+           CAST(conv_id AS VARCHAR) AS customer_id, CAST(turn AS VARCHAR) AS product_id,
+           text AS comment_text, '2024-01-01' AS comment_date FROM conversations""")(_csv_comments)
+
+register("masked_role_view", """
+    SELECT o_orderkey, repeat('*', greatest(length(o_orderpriority) - 4, 0)) || right(o_orderpriority, 4) AS o_orderpriority,
+           CAST(date_trunc('year', o_orderdate) AS DATE) AS o_orderdate
+    FROM orders WHERE o_orderstatus = 'O'""")(
+    lambda t: masking.role_view(t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate", "o_orderstatus"),
+                                ["o_orderkey", "o_orderpriority", "o_orderdate"], _F.col("o_orderstatus") == "O",
+                                {"o_orderpriority": "last4", "o_orderdate": "year"}))
+
+
+def _dates_without_format(t: Tables) -> DataFrame:
+    """Order dates as strings the format-less parse must read: unpadded, with
+    a time, or of no date at all."""
+    from ..functions.dates import as_date
+    d, k = _F.col("o_orderdate"), _F.col("o_orderkey") % 4
+    plain = _F.concat_ws("-", _F.year(d), _F.month(d), _F.dayofmonth(d))
+    text = (_F.when(k == 0, plain).when(k == 1, _F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+            .when(k == 2, _F.date_format(d, "yyyy-MM-dd")).otherwise(_F.lit("no date")))
+    df = t.orders.select("o_orderkey", text.alias("d"))
+    return df.select("o_orderkey", as_date(df, "d", None).alias("parsed"))
+
+
+register("dates_without_format", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders""")(
+    _dates_without_format)

@@ -1,7 +1,9 @@
 """End-to-end jobs over the zones of a warehouse folder.
 
     {warehouse}/datawarehouse/<star table>     parquet (fact partitioned by year, month)
+    {warehouse}/datawarehouse_shipdate/...     the ship-date variant beside it
     {warehouse}/delivery/<mart>                parquet, replaced each run
+    {warehouse}/delivery_shipdate/...
     {warehouse}/sandbox/<table>                parquet
     {warehouse}/ledger                         run ledger
 
@@ -15,11 +17,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.writer import append_by_name, save_star, write_table
+from ..operators import checks
+from ..session import shared_copy
+from ..sinks import swap
+from ..sinks.writer import save_star, write_by_name, write_table
 from ..sources import rawzone
 from ..sources.comments import generate_comments
-from . import ledger, marts, refresh, sentiment, star
+from . import classifier, ledger, marts, refresh, sentiment, star
 
+STAR_TABLES = ("dim_customer", "dim_supplier", "dim_part", "dim_order", "dim_geography", "dim_time", "fact_sales")
 SANDBOX_CONTRACT = T.StructType([
     T.StructField("custkey", T.StringType()), T.StructField("customer_name", T.StringType()),
     T.StructField("nationkey", T.LongType()), T.StructField("comment", T.StringType()),
@@ -30,21 +36,29 @@ def _zone(warehouse: str, zone: str) -> str:
     return f"{warehouse.rstrip('/')}/{zone}"
 
 
-def init_datawarehouse(spark: SparkSession, raw, warehouse: str,
-                       variant: str = "orderdate") -> dict[str, str]:
-    """Build and write every star table (create-or-replace, idempotent)."""
-    s = star.build_star(raw, variant)
-    paths = save_star(spark, s, _zone(warehouse, "datawarehouse"))
+def _of(variant: str, zone: str) -> str:
+    """Zone folder of a star variant: the two can live in one warehouse."""
+    return zone if variant == "orderdate" else f"{zone}_{variant}"
+
+
+def init_datawarehouse(spark: SparkSession, raw, warehouse: str, variant: str = "orderdate",
+                       line_safe: bool = False) -> dict[str, str]:
+    """Build and write every star table (create-or-replace, idempotent).
+    ``raw`` may be ``rawzone.RawTables``, which holds the latest copy of each
+    row. ``line_safe`` keeps ``linenumber`` in the fact, for refreshes of the
+    same mode."""
+    s = star.build_star(raw, variant, line_safe)
+    paths = save_star(spark, s, _zone(warehouse, _of(variant, "datawarehouse")))
     ledger.record(spark, f"{warehouse}/ledger", "init_datawarehouse", variant,
                   rows_out=spark.read.parquet(paths["fact_sales"]).count())
     return paths
 
 
 def read_star(spark: SparkSession, warehouse: str, variant: str = "orderdate") -> star.Star:
-    root = _zone(warehouse, "datawarehouse")
-    t = {n: spark.read.parquet(f"{root}/{n}") for n in
-         ("dim_customer", "dim_supplier", "dim_part", "dim_order", "dim_geography", "dim_time",
-          "fact_sales")}
+    root = _zone(warehouse, _of(variant, "datawarehouse"))
+    for n in STAR_TABLES:
+        swap.recover(spark, f"{root}/{n}")
+    t = {n: spark.read.parquet(f"{root}/{n}") for n in STAR_TABLES}
     # partition values come back as strings (type inference is off so RAW
     # hours keep their zeros); the fact contract has them as INT
     f = t["fact_sales"]
@@ -59,8 +73,16 @@ def create_datamarts(spark: SparkSession, warehouse: str, variant: str = "orderd
     are small aggregates: not partitioned by their grouping key (that would
     make one directory per customer / part / supplier)."""
     out = {}
-    for name, df in marts.build_marts(read_star(spark, warehouse, variant)).items():
-        p = f"{_zone(warehouse, 'delivery')}/{name}"
+    s = read_star(spark, warehouse, variant)
+    if variant == "shipdate":
+        # the marts leave out the left joins to these dimensions, which change
+        # nothing as long as their keys are unique
+        keys = [checks.unique(s.dim_customer, ["customer_key"]), checks.unique(s.dim_supplier, ["supplier_key"]),
+                checks.unique(s.dim_part, ["part_key"])]
+        if bad := [r["check"] for r in checks.run_checks(keys).where("violations > 0").collect()]:
+            raise ValueError(f"dimension keys repeat: {bad}")
+    for name, df in marts.build_marts(s).items():
+        p = f"{_zone(warehouse, _of(variant, 'delivery'))}/{name}"
         write_table(df, p)
         out[name] = p
     return out
@@ -71,28 +93,46 @@ def refresh_datawarehouse(spark: SparkSession, raw, warehouse: str, mode: str =
     root = _zone(warehouse, "datawarehouse")
     refresh.refresh_tables(raw, f"{root}/fact_sales", f"{root}/dim_order", mode=mode, dims=dims,
                            on_duplicate=on_duplicate)
-    ledger.record(spark, f"{warehouse}/ledger", "refresh_datawarehouse", mode)
+    ledger.record(spark, f"{warehouse}/ledger", "refresh_datawarehouse", mode,
+                  rows_out=spark.read.parquet(f"{root}/fact_sales").count())
 
 
 def init_sandbox(spark: SparkSession, warehouse: str, n_comments: int, customers: int,
                  mode: str = "hash", seed: int = 42) -> DataFrame:
     """Generate comments into raw/customer_comments, score and enrich them
-    with the customer dimension, append to sandbox/sentiment_analysis_results
-    (columns matched by name). The ledger gets the written row count, read
-    back from the written files instead of re-running the plan."""
+    with the customer dimension and replace sandbox/sentiment_analysis_results
+    (columns matched by name), so a second run gives the same table. The
+    ledger gets the run's row count, read back from the written files."""
     comments_path = f"{_zone(warehouse, 'raw')}/customer_comments"
     write_table(generate_comments(spark, n_comments, customers, mode=mode, seed=seed), comments_path)
     comments = spark.read.parquet(comments_path)
     dim = read_star(spark, warehouse).dim_customer
     out = sentiment.enrich(comments, dim)
     target = f"{_zone(warehouse, 'sandbox')}/sentiment_analysis_results"
-    append_by_name(out, target, SANDBOX_CONTRACT)
+    write_by_name(out, target, SANDBOX_CONTRACT, mode="overwrite")
     written = spark.read.parquet(target)
     ledger.record(spark, f"{warehouse}/ledger", "init_sandbox", target,
                   rows_in=n_comments, rows_out=written.count())
     return written
 
 
+def customer_sentiment(spark: SparkSession, warehouse: str) -> str:
+    """Classify the stored comments by the weakly supervised model, join the
+    customer dimension (left) and replace sandbox/customer_sentiment."""
+    comments = (spark.read.parquet(f"{_zone(warehouse, 'raw')}/customer_comments")
+                .withColumn("comment_id", F.monotonically_increasing_id()))
+    target = f"{_zone(warehouse, 'sandbox')}/customer_sentiment"
+    with shared_copy(comments, "comments") as stored:  # ids must not change between passes
+        rated = classifier.classify(stored, "comment_id", "comment")
+        dim = read_star(spark, warehouse).dim_customer.select("custkey", F.col("name").alias("customer_name"))
+        out = (stored.join(rated, "comment_id").join(dim, "custkey", "left")
+               .select("custkey", "customer_name", "comment", "p_positive", "sentiment"))
+        write_table(out, target)
+    ledger.record(spark, f"{warehouse}/ledger", "customer_sentiment", target,
+                  rows_out=spark.read.parquet(target).count())
+    return target
+
+
 def sentiment_products(spark: SparkSession, comments_dir: str, warehouse: str) -> str:
     """Score CSV comment files (header, ``"`` escaping) with lexicon B and
     join them to the ship-date star's customer and part dimensions; replace
@@ -137,9 +177,7 @@ def init_datawarehouse_catalog(spark: SparkSession, raw, db: str = "datawarehous
 
 
 def read_star_catalog(spark: SparkSession, db: str = "datawarehouse") -> star.Star:
-    t = {n: spark.table(f"{db}.{n}") for n in
-         ("dim_customer", "dim_supplier", "dim_part", "dim_order", "dim_geography", "dim_time",
-          "fact_sales")}
+    t = {n: spark.table(f"{db}.{n}") for n in STAR_TABLES}
     return star.Star(variant="orderdate", **t)
 
 
@@ -152,4 +190,5 @@ def run_all(spark: SparkSession, raw, warehouse: str, *, n_comments: int | None
     mart_paths = create_datamarts(spark, warehouse)
     customers = customers or read_star(spark, warehouse).dim_customer.count()
     sandbox = init_sandbox(spark, warehouse, n_comments or customers, customers)
+    customer_sentiment(spark, warehouse)
     return {"star": paths, "marts": mart_paths, "sandbox_rows": sandbox.count()}
