@@ -39,6 +39,20 @@ def doc_crc(col: str = "doc_id"):
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+#: rows of an Arrow batch: texts are long, and a batch is held several times
+#: over on its way to a worker and back
+BATCH_ROWS = 1000
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` in batches of at most ``BATCH_ROWS`` rows (a larger
+    setting of the session is lowered)."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def keep_rows(docs: DataFrame, keep) -> DataFrame:
     """Rows for whose ``text`` ``keep`` (texts -> booleans) holds, all columns."""
 
@@ -46,7 +60,7 @@ def keep_rows(docs: DataFrame, keep) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(list(keep([t.as_py() for t in b.column("text")])), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def is_local(path: str) -> bool:

@@ -182,7 +182,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
     ordered = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
                .repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
-    ordered.mapInArrow(run, MANIFEST).write.parquet(f"{path}/manifest")
+    common.map_arrow(ordered, run, MANIFEST).write.parquet(f"{path}/manifest")
     return read_manifest(spark, path)
 
 

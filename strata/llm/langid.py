@@ -168,8 +168,8 @@ def predict(docs: DataFrame, model: ByteCnn | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                                              ["doc_id", "lang_pred", "score"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, lang_pred string, score double"))
+    return common.map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
+                            "doc_id long, lang_pred string, score double")
 
 
 def predict_texts(net: ByteCnn | None, texts: pa.Array, batch: int = 256) -> tuple[list[str], list[float]]:

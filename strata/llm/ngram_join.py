@@ -43,7 +43,7 @@ SHINGLE, GROUPS, LEAF = 3, 64, 16
 TOP, BOTTOM = 100, 90
 #: classes of a tile; classes meant for one task of small neighbourhoods
 TILE, BUNDLE = 2048, 1024
-WORDS_HELD, CLASSES_HELD = 400_000, 300_000
+WORDS_HELD, CLASSES_HELD, KEYS_HELD = 300_000, 300_000, 1_000_000
 #: a neighbourhood's sizes span this ratio at most per band of block counts
 BAND = 1.25
 _LEAST = BOTTOM // (TOP - BOTTOM)  # 9: smaller sets only link when equal
@@ -142,24 +142,37 @@ def sets_of(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()),
                                               pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "set_id", "keys"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, n_shingles long, set_id long, keys binary"))
+    return common.map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
+                            "doc_id long, n_shingles long, set_id long, keys binary")
+
+
+def _runs(batches):
+    ids, keys, held = [], [], 0
+    for b in batches:
+        ids += b.column(0).to_pylist()
+        keys += [np.frombuffer(k, np.int64) for k in b.column(1).to_pylist()]
+        held += sum(len(k) for k in keys[-b.num_rows:]) if b.num_rows else 0
+        if held > KEYS_HELD:
+            yield ids, keys
+            ids, keys, held = [], [], 0
+    if keys:
+        yield ids, keys
 
 
 def neighbourhoods(sets: DataFrame) -> DataFrame:
     """(node, label): classes that share a block, directly or through others."""
 
     def combine(batches):
-        """One row per key and batch; its other classes are tied to its first."""
-        for b in batches:
-            keys = [np.frombuffer(k, np.int64) for k in b.column(1).to_pylist()]
-            k = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            s = np.repeat(np.array(b.column(0).to_pylist(), np.int64), [len(x) for x in keys])
+        """One row per key and run of about ``KEYS_HELD`` keys; the key's other
+        classes there are tied to its first."""
+        for ids, keys in _runs(batches):
+            k = np.concatenate(keys)
+            s = np.repeat(np.array(ids, np.int64), [len(x) for x in keys])
             order = np.lexsort((s, k))
             k, s = k[order], s[order]
-            first = np.append(True, k[1:] != k[:-1]) if len(k) else np.zeros(0, bool)
-            head = s[np.flatnonzero(first)][np.cumsum(first) - 1] if len(k) else s
-            tied = np.unique(np.stack([s[~first], head[~first]], 1), axis=0) if len(k) else np.zeros((0, 2), np.int64)
+            first = np.append(True, k[1:] != k[:-1])
+            head = s[np.flatnonzero(first)][np.cumsum(first) - 1]
+            tied = np.unique(np.stack([s[~first], head[~first]], 1), axis=0)
             key = pa.concat_arrays([pa.array(k[first], pa.int64()), pa.nulls(len(tied), pa.int64())])
             yield pa.RecordBatch.from_arrays([
                 key, pa.array(np.concatenate([s[first], tied[:, 0]]), pa.int64()),
@@ -325,8 +338,8 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     # a key that several rows share gives the class each of its rows; one is kept below
     members = common.written(
-        texts.join(picked, "doc_id").select("text", "node", "label", "tiles", "home", "bundle")
-        .mapInArrow(rehash, "node long, label long, tiles long, home long, bundle long, hashes binary"), "members")
+        common.map_arrow(texts.join(picked, "doc_id").select("text", "node", "label", "tiles", "home", "bundle"),
+                         rehash, "node long, label long, tiles long, home long, bundle long, hashes binary"), "members")
     members = members.select(F.col("node").alias("set_id"), F.col("label").alias("place"), "tiles", "home", "bundle",
                              "hashes")
     everywhere = F.when((F.col("tiles") > 1) & (F.col("home") == 0),

@@ -61,7 +61,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return common.map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, schema)
 
 
 class _Open:

@@ -36,7 +36,7 @@ def _byte_marks() -> dict[int, str]:
 
 _BYTE_MARKS = _byte_marks()
 #: pieces a cache holds in each of its two generations
-CACHE = 450_000
+CACHE = 300_000
 
 
 def vocab_path(name: str) -> str:

@@ -217,7 +217,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, int]:
         F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")).collect()}
     if len(totals) < 2:
         return {}
-    words = (sample.select("text", "toxic").mapInArrow(count, "word string, toxic int, n long")
+    words = (common.map_arrow(sample.select("text", "toxic"), count, "word string, toxic int, n long")
              .groupBy("word").agg(F.sum(F.col("n") * F.col("toxic")).alias("bad"),
                                   F.sum(F.col("n") * (1 - F.col("toxic"))).alias("fine")))
     sizes = F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST)))
@@ -305,7 +305,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn) -> Model:
                 [pa.array([m.counts(t.as_py()) for t in b.column(0)], pa.list_(pa.int64())), b.column(1), b.column(2)],
                 ["counts", "toxic", "weight"])
 
-    rows = (sample.select("text", "toxic", "weight").mapInArrow(count, "counts array<long>, toxic int, weight double")
+    rows = (common.map_arrow(sample.select("text", "toxic", "weight"), count,
+                             "counts array<long>, toxic int, weight double")
             .select(F.transform("counts", lambda c: F.least(c, F.lit(20))).alias("counts"), "toxic", "weight")
             .groupBy("counts", "toxic").agg(F.sum("weight").alias("weight")).collect())  # at most one row per sampled text
     rows.sort(key=lambda r: (r["counts"], r["toxic"]))
@@ -346,8 +347,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [b.column(0), pa.array([m.score(t.as_py() or "") for t in b.column(1)], pa.float64())],
                 ["doc_id", "score"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, score double"))
+    return common.map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
+                            "doc_id long, score double")
 
 
 def held_out():
