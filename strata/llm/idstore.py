@@ -97,7 +97,7 @@ class PerfectHash:
 class Shard:
     """An opened shard: ``get(key)`` and ``record(i)``."""
 
-    def __init__(self, ids_path: str, index_path: str, mapped=None):
+    def __init__(self, ids_path: str, index_path: str):
         with common.open_read(index_path) as f:
             x = np.load(io.BytesIO(f.read()))
             self.keys, self.nulls, self.offsets = x["keys"], x["nulls"], x["offsets"]
@@ -235,15 +235,25 @@ def lookup(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
     want = keys.select(F.col("doc_id").cast("long"))
     known = want.join(manifest, F.coalesce("doc_id", F.lit(NULL_KEY)).between(F.col("least"), F.col("most")))
 
-    def run(key, batches):
-        shard = Shard(key[0].as_py(), key[1].as_py())
+    def run(batches):
+        shard, at = None, None
         for b in batches:
-            ks = b.column("doc_id").to_pylist()
-            first, count = shard.locate(np.array([NULL_KEY if k is None else k for k in ks], np.int64))
-            hits = [(k, shard.record(i).tobytes()) for k, f, n in zip(ks, first.tolist(), count.tolist())
-                    for i in range(f, f + n)]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in hits], pa.int64()),
-                                              pa.array([x for _, x in hits], pa.binary())], ["doc_id", "ids"])
-        shard.close()
-
-    return known.groupBy("ids_path", "index_path").applyInArrow(run, "doc_id long, ids binary")
+            paths, index = b.column("ids_path").to_pylist(), b.column("index_path").to_pylist()
+            keys = np.array([NULL_KEY if k is None else k for k in b.column("doc_id").to_pylist()], np.int64)
+            cuts = [i for i in range(len(paths)) if not i or paths[i] != paths[i - 1]] + [len(paths)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if paths[lo] != at:
+                    if shard:
+                        shard.close()
+                    shard, at = Shard(paths[lo], index[lo]), paths[lo]
+                first, count = shard.locate(keys[lo:hi])
+                hits = [(b.column("doc_id")[i].as_py(), shard.record(r).tobytes())
+                        for i, f, n in zip(range(lo, hi), first.tolist(), count.tolist()) for r in range(f, f + n)]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in hits], pa.int64()),
+                                                  pa.array([x for _, x in hits], pa.binary())], ["doc_id", "ids"])
+        if shard:
+            shard.close()
+
+    sorted_ = (known.select("doc_id", "ids_path", "index_path")
+               .repartition(common.shuffle_parts(spark), "ids_path").sortWithinPartitions("ids_path"))
+    return common.map_arrow(sorted_, run, "doc_id long, ids binary")
