@@ -77,6 +77,20 @@ def op9_cover_tree_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+ORACLE["op9_cover_tree_topk"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+    FROM (SELECT q.vec_id AS query_id, d.vec_id, list_dot_product(q.v, d.v) AS score,
+                 row_number() OVER (PARTITION BY q.vec_id
+                                    ORDER BY list_dot_product(q.v, d.v) DESC, d.vec_id) AS rank
+          FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0)
+    WHERE rank <= 20"""
+
+
 @query
 def op10_clause_grammar_toxicity(spark, sf_dir):
     return toxicity.rate(documents(spark, sf_dir), labels(spark, sf_dir))
