@@ -35,7 +35,7 @@ from . import common
 #: the sample: at most so many labelled rows of either class, by hash
 PER_CLASS = 12_000
 #: candidates that are weighed, entries that may be chosen, words a task counts
-CANDIDATES, ENTRIES, HELD = 4096, 1024, 300_000
+CANDIDATES, ENTRIES, HELD = 4096, 1024, 100_000
 SURE, SUSPECTED = 0.97, 0.8
 SHORTEST, LONGEST, SCOPE = 3, 12, 3
 
@@ -208,9 +208,9 @@ def learn_lexicon(sample: DataFrame) -> dict[str, int]:
         for b in batches:
             for t, c in zip(b.column(0), b.column(1).to_pylist()):
                 held.update((w, c) for w in _words(t.as_py()))
-            if len(held) > HELD:
-                yield _counted(held)
-                held.clear()
+                if len(held) > HELD:
+                    yield _counted(held)
+                    held.clear()
         yield _counted(held)
 
     totals = {r["toxic"]: r for r in sample.groupBy("toxic").agg(
@@ -220,6 +220,7 @@ def learn_lexicon(sample: DataFrame) -> dict[str, int]:
     words = (common.map_arrow(sample.select("text", "toxic"), count, "word string, toxic int, n long")
              .groupBy("word").agg(F.sum(F.col("n") * F.col("toxic")).alias("bad"),
                                   F.sum(F.col("n") * (1 - F.col("toxic"))).alias("fine")))
+    words = common.written(words, "toxic-words")
     sizes = F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST)))
     begins = F.transform(sizes, lambda k: F.substring(F.col("word"), F.lit(1), k))
     more = F.transform(F.filter(begins, lambda x: F.length(x) < F.length("word")), lambda x: F.concat(x, F.lit("+")))
