@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 from . import common
 
 BUCKET_BYTES = 24 << 20
+#: 16 MB of bucket offsets, for 24 TB of records
+BROADCAST_BUCKETS = 1 << 20
 
 
 def bucket_count(docs: DataFrame, bucket_bytes: int) -> int:
@@ -71,6 +73,9 @@ def write_shuffled(docs: DataFrame, path: str, shards: int = 40, seed: int = 17,
     # one row per bucket
     sizes = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     base = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("base"))
+    # one row per bucket is broadcast up to a bound; beyond it the records are
+    # shuffled once more
+    base = F.broadcast(base) if buckets <= BROADCAST_BUCKETS else base
     at = F.col("base") + F.col("place")
     return (written.join(base, "bucket")
             .select("r.*", F.pmod(at, F.lit(shards)).cast("int").alias("shard"),

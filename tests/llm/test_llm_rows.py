@@ -183,7 +183,7 @@ def test_op5(spark, small):
         {(k, len(t) + 16, zlib.crc32(t), "rows", None) for k, t in texts.items()}
 
 
-def test_shuffle_odd(spark, odd, odd_rows, empty):
+def test_shuffle_odd(spark, odd, odd_rows, empty, monkeypatch):
     out = shuffle.write_shuffled(odd, common.scratch(spark, "shuffle"), shards=4, bucket_bytes=60_000)
     assert sorted(out.columns) == sorted(odd.columns)
     rows = out.collect()
@@ -192,6 +192,9 @@ def test_shuffle_odd(spark, odd, odd_rows, empty):
     assert sorted([(r.doc_id, r.text) for r in rows], key=key) == sorted(odd_rows, key=key)
     again = shuffle.write_shuffled(odd.repartition(7), common.scratch(spark, "shuffle"), shards=4, bucket_bytes=60_000)
     assert sorted(map(repr, again.collect())) == sorted(map(repr, rows))  # order of input does not matter
+    monkeypatch.setattr(shuffle, "BROADCAST_BUCKETS", 0)
+    joined = shuffle.write_shuffled(odd, common.scratch(spark, "shuffle"), shards=4, bucket_bytes=60_000)
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, rows))
     assert shuffle.write_shuffled(empty, common.scratch(spark, "shuffle"), shards=4).collect() == []
 
 
