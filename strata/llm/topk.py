@@ -179,7 +179,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     # bounded samples by hash: pivots to cut blocks, seeds for first kth scores
     seeds = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEEDS).toArrow()
     seed_ids, seed_v = np.array(seeds.column(0).to_pylist(), np.int64), matrix(seeds.column(1))
-    pivots = seed_v[:PIVOTS]
+
+    def pivots(df, rows):  # as many as full blocks, at most PIVOTS
+        return seed_v[:max(1, min(PIVOTS, df.count() // rows))]
 
     def first(batches):
         for b in batches:
@@ -192,8 +194,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(kth, pa.float64())],
                                              ["vec_id", "v", "q_block", "worst"])
 
-    d = _blocked(vectors, pivots, DATA_BLOCK, "d_block")
-    q = _blocked(queries, pivots, QUERY_BLOCK, "q_block")
+    d = _blocked(vectors, pivots(vectors, DATA_BLOCK), DATA_BLOCK, "d_block")
+    q = _blocked(queries, pivots(queries, QUERY_BLOCK), QUERY_BLOCK, "q_block")
     d_blocks = d.select(F.col("d_block").alias("d_other")).distinct()
     q_blocks = q.select(F.col("q_block").alias("q_other")).distinct()
     q = q.mapInArrow(first, "vec_id long, v array<long>, q_block long, worst double")
