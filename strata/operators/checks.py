@@ -32,10 +32,13 @@ def unique(df: DataFrame, keys: Sequence[str], name: str | None = None) -> DataF
 
 def foreign_key(child: DataFrame, col: str, parent: DataFrame, parent_col: str,
                 name: str | None = None) -> DataFrame:
-    """Child rows with a non-null key absent from the parent."""
+    """Child rows with a non-null key absent from the parent. Rows are counted
+    per key first (partially, so a hot key is one row per task), and only the
+    counts meet the parent."""
     p = parent.select(F.col(parent_col).alias("_pk"))
-    c = child.select(F.col(col).alias("_ck")).where(F.col("_ck").isNotNull())
-    v = c.join(p, c._ck == p._pk, "left_anti").agg(F.count(F.lit(1)).alias("_n"))
+    c = (child.select(F.col(col).alias("_ck")).where(F.col("_ck").isNotNull())
+         .groupBy("_ck").agg(F.count(F.lit(1)).alias("_rows")))
+    v = c.join(p, c._ck == p._pk, "left_anti").agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_n"))
     return _one(name or f"fk:{col}", v)
 
 
