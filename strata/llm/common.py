@@ -39,6 +39,21 @@ def doc_crc(col: str = "doc_id"):
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of ``counts`` (column ``n``) with the largest ``n``: all down
+    to an eighth of a power of two, so that at most ``most`` rows are left.
+    Only the sizes of those steps reach the driver."""
+    counts = written(counts.withColumn("_step", F.floor(F.log2("n") * 8).cast("int")), "counts")
+    left, cut = most, None
+    for r in counts.groupBy("_step").count().orderBy(F.desc("_step")).collect():  # at most 8 * 63 rows
+        left -= r["count"]
+        if left < 0:
+            break
+        cut = r["_step"]
+    kept = counts.where(F.col("_step") >= cut) if cut is not None else counts.limit(0)
+    return kept.drop("_step")
+
+
 #: rows of an Arrow batch: texts are long, and a batch is held several times
 #: over on its way to a worker and back
 BATCH_ROWS = 1000
