@@ -26,8 +26,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near duplicates (three words, 0.9)."""
-    return ngram_join.keep_one(docs)
+    """The smallest doc_id of each group of near duplicates (five words, 0.8)."""
+    return ngram_join.keep_one(docs, ngram_join.STAGE)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

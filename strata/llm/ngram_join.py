@@ -10,10 +10,13 @@ Which points meet in one tree:
 
 1. Equal sets are one class (64-bit sum of mixed hashes); classes are joined.
 2. Classes that can link are brought together without comparing them. Sets of
-   sizes a <= b that link differ in at most a/9 shingles (threshold 0.9). Cut
-   every set into more blocks than that, by hash: some block is equal. So each
-   class emits the sum of hashes of each block, and classes that share one are
-   put into one neighbourhood: the connected components of "shares a block".
+   sizes a <= b that link differ in at most a/9 shingles at threshold 0.9, a/4
+   at 0.8. Cut every set into more blocks than that, by hash: some block is
+   equal. So each class emits the sum of hashes of each block, and classes that
+   share one are put into one neighbourhood: the connected components of
+   "shares a block". With spare blocks several are equal, and a set with fewer
+   empty blocks than that has one among them that holds shingles: only a set
+   with as many empty blocks emits those too.
    No link crosses neighbourhoods. Keys are combined before they are shuffled,
    within batches, and a key ties its classes to the smallest one (a star), so
    a block that a third of all classes share costs one row for each.
@@ -28,6 +31,7 @@ is a spanning forest of the links, never all pairs of a group.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +42,34 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 
-SHINGLE, GROUPS, LEAF = 3, 64, 16
-#: linked when TOP * intersection >= BOTTOM * union
-TOP, BOTTOM = 100, 90
+GROUPS, LEAF = 64, 16
 #: classes of a tile; classes meant for one task of small neighbourhoods
 TILE, BUNDLE = 2048, 1024
 WORDS_HELD, CLASSES_HELD, KEYS_HELD = 300_000, 300_000, 1_000_000
 #: a neighbourhood's sizes span this ratio at most per band of block counts
 BAND = 1.25
-_LEAST = BOTTOM // (TOP - BOTTOM)  # 9: smaller sets only link when equal
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What links: sets of ``shingle`` words with top * intersection >= bottom
+    * union. ``spare``: further blocks, as a share of the differing shingles."""
+
+    shingle: int
+    top: int
+    bottom: int
+    spare: float = 0.0
+
+    @property
+    def least(self) -> int:
+        """Smaller sets only link when equal; larger ones differ in a share of
+        1 / least at most."""
+        return self.bottom // (self.top - self.bottom)
+
+
+#: the contract of op6; that of stages on word shingles (blocks of four or five
+#: shingles are often empty, those of nine hardly ever)
+OP6, STAGE = Rule(3, 100, 90), Rule(5, 100, 80, 0.2)
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -60,7 +83,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sorted distinct shingle hashes of a text; words are hashed once."""
 
-    def __init__(self):
+    def __init__(self, rule: Rule = OP6):
+        self.shingle = rule.shingle
         self.words: dict[bytes, int] = {}
 
     def hashes(self, text: str | None) -> np.ndarray:
@@ -77,7 +101,7 @@ class Shingler:
                 if v is None:
                     w[i] = known[words[i]] = xxhash.xxh64_intdigest(words[i])
         w = np.array(w, np.uint64)
-        n = min(SHINGLE, len(w))
+        n = min(self.shingle, len(w))
         h = np.full(len(w) - n + 1, n, np.uint64)
         for i in range(n):
             h = mix(h * _M1 + w[i:len(w) - n + 1 + i] * _M2 + _M3)
@@ -95,39 +119,45 @@ def set_id(h: np.ndarray) -> int:
     return int(signed(mix(np.array([mix(h).sum() + np.uint64(len(h))], np.uint64)))[0]) or 1
 
 
-def band(n: int) -> int:
-    return int(math.floor(math.log(n / _LEAST) / math.log(BAND) + 1e-9))
+def band(n: int, rule: Rule = OP6) -> int:
+    return int(math.floor(math.log(n / rule.least) / math.log(BAND) + 1e-9))
 
 
-def blocks(b: int) -> int:
-    """More blocks than shingles in which a set of band ``b`` may differ."""
-    return math.ceil(_LEAST * BAND ** (b + 1)) // _LEAST + 1
+def blocks(b: int, rule: Rule = OP6) -> tuple[int, int]:
+    """Blocks of a set of band ``b``, and how many of them are equal at least
+    in two sets that link."""
+    differ = math.ceil(rule.least * BAND ** (b + 1)) // rule.least
+    equal = 1 + math.ceil(rule.spare * differ)
+    return differ + equal, equal
 
 
-def block_keys(h: np.ndarray) -> np.ndarray:
+def block_keys(h: np.ndarray, rule: Rule = OP6) -> np.ndarray:
     """Keys of a set's blocks, as the smaller partner (its own band) and as
     the larger one (bands of the sizes it may link with)."""
     n, out = len(h), []
-    if n < _LEAST:
+    if n < rule.least:
         return np.zeros(0, np.int64)
-    low = band(max(_LEAST, -(-BOTTOM * n // TOP)))
-    for b in range(low, band(n) + 1):
-        m = blocks(b)
+    low = band(max(rule.least, -(-rule.bottom * n // rule.top)), rule)
+    for b in range(low, band(n, rule) + 1):
+        m, equal = blocks(b, rule)
         at = ((h >> np.uint64(32)) % np.uint64(m)).astype(np.int64)
         order = np.argsort(at, kind="stable")
         starts = np.searchsorted(at[order], np.arange(m))
         sums = np.add.reduceat(np.append(mix(h)[order], np.uint64(0)), np.minimum(starts, n))
-        sums[np.append(starts[1:], n) == starts] = 0  # an empty block equals an empty one
-        out.append(mix(sums * _M1 + np.arange(m, dtype=np.uint64) * _M2 + _M3 + np.uint64(b + 1)))
+        empty = np.append(starts[1:], n) == starts
+        sums[empty] = 0  # an empty block equals an empty one
+        keys = mix(sums * _M1 + np.arange(m, dtype=np.uint64) * _M2 + _M3 + np.uint64(b + 1))
+        # if all equal blocks of a pair are empty, both sets have that many
+        out.append(keys if empty.sum() >= equal else keys[~empty])
     return signed(np.concatenate(out))
 
 
-def sets_of(docs: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
     """(doc_id, n_shingles, set_id) of every row, and ``keys``: the block keys,
     left out for sets that the task has lately given keys for."""
 
     def run(batches):
-        shingler, given = Shingler(), {}
+        shingler, given = Shingler(rule), {}
         for b in batches:
             n, ids, keys = [], [], []
             for t in b.column(1):
@@ -135,7 +165,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
                 s = set_id(h)
                 n.append(len(h))
                 ids.append(s)
-                keys.append(b"" if s in given else block_keys(h).tobytes())
+                keys.append(b"" if s in given else block_keys(h, rule).tobytes())
                 given[s] = True
                 if len(given) > CLASSES_HELD:
                     given.clear()
@@ -235,14 +265,15 @@ class RTree:
             at += 1
         self.upper, self.least, self.most, self.kids = np.array(upper), np.array(least), np.array(most), kids
 
-    def near(self, point: np.ndarray, size: int) -> np.ndarray:
+    def near(self, point: np.ndarray, size: int, rule: Rule = OP6) -> np.ndarray:
         """Points whose overlap bound reaches the threshold."""
+        top, bottom = rule.top, rule.bottom
         out, todo = [], np.array([0])
         while len(todo):
             bound = np.minimum(self.upper[todo], point).sum(1)
             # o >= q * (a + b - o), at the node's smallest size
-            fits = (bound * (TOP + BOTTOM) >= BOTTOM * (size + self.least[todo])) \
-                & (TOP * np.minimum(size, self.most[todo]) >= BOTTOM * np.maximum(size, self.least[todo]))
+            fits = (bound * (top + bottom) >= bottom * (size + self.least[todo])) \
+                & (top * np.minimum(size, self.most[todo]) >= bottom * np.maximum(size, self.least[todo]))
             todo = todo[fits]
             leaves = [i for i in todo.tolist() if self.nodes[i] is not None]
             out += [self.nodes[i] for i in leaves]
@@ -251,17 +282,18 @@ class RTree:
             return np.zeros(0, np.int64)
         rows = np.concatenate(out)
         bound = np.minimum(self.points[rows], point).sum(1)
-        return np.sort(rows[bound * (TOP + BOTTOM) >= BOTTOM * (size + self.sizes[rows])])
+        return np.sort(rows[bound * (top + bottom) >= bottom * (size + self.sizes[rows])])
 
 
-def linked(a: np.ndarray, b: np.ndarray) -> bool:
+def linked(a: np.ndarray, b: np.ndarray, rule: Rule = OP6) -> bool:
     both = np.concatenate([a, b])
     both.sort()
     o = int((both[1:] == both[:-1]).sum())
-    return TOP * o >= BOTTOM * (len(a) + len(b) - o)
+    return rule.top * o >= rule.bottom * (len(a) + len(b) - o)
 
 
-def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group: np.ndarray) -> list[tuple[int, int]]:
+def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group: np.ndarray,
+              rule: Rule = OP6) -> list[tuple[int, int]]:
     """Spanning links among one tile's sets. ``probe``: which ones ask the tree
     (all of which are indexed); ``group``: those of equal group are connected
     already (-1: none). Connected sets are given as stars."""
@@ -277,8 +309,8 @@ def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group:
         if g != -1 and seen.setdefault(g, i) != i:
             forest.join(i, seen[g])
     for i in np.flatnonzero(probe).tolist():
-        for j in tree.near(points[i], int(sizes[i])).tolist():
-            if i != j and forest.root(i) != forest.root(j) and linked(sets[i], sets[j]):
+        for j in tree.near(points[i], int(sizes[i]), rule).tolist():
+            if i != j and forest.root(i) != forest.root(j) and linked(sets[i], sets[j], rule):
                 forest.join(i, j)
     # as stars: every set to the smallest of its tree
     least: dict[int, int] = {}
@@ -288,7 +320,7 @@ def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group:
     return [(int(ids[i]), least[forest.root(i)]) for i in range(n) if least[forest.root(i)] != ids[i]]
 
 
-def _tiles(members: DataFrame) -> DataFrame:
+def _tiles(members: DataFrame, rule: Rule) -> DataFrame:
     """Join every (bundle, place, tile) group of members (set_id, hashes,
     probe, known) and return the links (a, b)."""
 
@@ -303,14 +335,14 @@ def _tiles(members: DataFrame) -> DataFrame:
         cuts = np.flatnonzero(np.append(True, place[order][1:] != place[order][:-1])).tolist() + [len(order)]
         for lo, hi in zip(cuts, cuts[1:]):
             rows = order[lo:hi]
-            links += join_tile(ids[rows], [sets[r] for r in rows], probe[rows], known[rows])
+            links += join_tile(ids[rows], [sets[r] for r in rows], probe[rows], known[rows], rule)
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
                          "b": pa.array([y for _, y in links], pa.int64())})
 
     return members.groupBy("bundle", "tile").applyInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
+def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> DataFrame:
     """(a, b): links between classes that connect what the join connects."""
     spark = docs.sparkSession
     near = common.written(neighbourhoods(sets), "neighbourhoods")
@@ -326,7 +358,7 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     picked = chosen.join(picked.withColumnRenamed("set_id", "node"), "node").where(F.col("doc_id").isNotNull())
 
     def rehash(batches):
-        shingler = Shingler()
+        shingler = Shingler(rule)
         for b in batches:
             hashes = [shingler.hashes(t.as_py()) for t in b.column("text")]
             ok = pa.array([set_id(h) == s for h, s in zip(hashes, b.column("node").to_pylist())], pa.bool_())
@@ -346,7 +378,7 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
                         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).otherwise(F.array("home"))
     first = members.select("*", F.explode(everywhere).alias("tile"), F.lit(True).alias("probe"),
                            F.lit(-1).cast("long").alias("known"))
-    found = common.written(_tiles(first), "tile-links")
+    found = common.written(_tiles(first, rule), "tile-links")
     wide = members.where(F.col("tiles") > 1)
     if wide.isEmpty():
         return found
@@ -363,18 +395,18 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
                       lambda t: (t != F.col("home")) & (F.col("home") != 0))
     asks = part.where(outside).select("*", F.explode(others).alias("tile"), F.lit(True).alias("probe"))
     stays = part.select("*", F.col("home").alias("tile"), F.lit(False).alias("probe"))
-    again = _tiles(asks.unionByName(stays).drop("main"))
+    again = _tiles(asks.unionByName(stays).drop("main"), rule)
     return found.unionByName(again)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``:
     ``component_id`` is the smallest key reachable over links, the row's own
     included. A null text, and one without words, links with nothing; equal
     non-empty sets always link; a row without key gets its component's
     smallest key, null when there is none."""
-    sets = common.written(sets_of(docs), "sets")
-    label = components(links(docs, sets))
+    sets = common.written(sets_of(docs, rule), "sets")
+    label = components(links(docs, sets, rule))
     classes = sets.where(F.col("set_id") != 0).groupBy("set_id").agg(F.min("doc_id").alias("least"))
     classes = common.written(
         classes.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -385,10 +417,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, rule: Rule = STAGE) -> DataFrame:
     """One row of each component, that with its smallest key, all columns.
     Rows without key are kept: nothing tells them apart from each other."""
-    groups = near_duplicates(docs)
+    groups = near_duplicates(docs, rule)
     ids = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     keyed = docs.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return keyed.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
