@@ -152,9 +152,19 @@ def block_keys(h: np.ndarray, rule: Rule = OP6) -> np.ndarray:
     return signed(np.concatenate(out))
 
 
+#: what tells rows apart: their key (0 and ``keyless`` for none) and a hash of the text
+ROW = ["key0", "keyless", "text_hash"]
+
+
+def _row(docs: DataFrame) -> list:
+    key = F.col("doc_id").cast("long")
+    return [F.coalesce(key, F.lit(0).cast("long")).alias(ROW[0]), key.isNull().alias(ROW[1]),
+            F.xxhash64(F.col("text").cast("string")).alias(ROW[2])]
+
+
 def sets_of(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
-    """(doc_id, n_shingles, set_id) of every row, and ``keys``: the block keys,
-    left out for sets that the task has lately given keys for."""
+    """(doc_id, n_shingles, set_id, text_hash) of every row, and ``keys``: the
+    block keys, left out for sets that the task has lately given keys for."""
 
     def run(batches):
         shingler, given = Shingler(rule), {}
@@ -170,10 +180,12 @@ def sets_of(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
                 if len(given) > CLASSES_HELD:
                     given.clear()
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()),
-                                              pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "set_id", "keys"])
+                                              pa.array(keys, pa.binary()), b.column(2)],
+                                             ["doc_id", "n_shingles", "set_id", "keys", "text_hash"])
 
-    return common.map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
-                            "doc_id long, n_shingles long, set_id long, keys binary")
+    text = F.col("text").cast("string")
+    return common.map_arrow(docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text)), run,
+                            "doc_id long, n_shingles long, set_id long, keys binary, text_hash long")
 
 
 def _runs(batches):
@@ -399,12 +411,8 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> DataFrame:
     return found.unionByName(again)
 
 
-def near_duplicates(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``:
-    ``component_id`` is the smallest key reachable over links, the row's own
-    included. A null text, and one without words, links with nothing; equal
-    non-empty sets always link; a row without key gets its component's
-    smallest key, null when there is none."""
+def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """The rows' sets, and (set_id, label, component_id) of every class."""
     sets = common.written(sets_of(docs, rule), "sets")
     label = components(links(docs, sets, rule))
     classes = sets.where(F.col("set_id") != 0).groupBy("set_id").agg(F.min("doc_id").alias("least"))
@@ -412,15 +420,30 @@ def near_duplicates(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
         classes.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
         .withColumn("label", F.coalesce("label", "set_id")), "classes")
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_class = classes.join(least, "label").select("set_id", "component_id")
-    return (sets.drop("keys").join(of_class, "set_id", "left")
+    return sets, classes.join(least, "label").select("set_id", "label", "component_id")
+
+
+def near_duplicates(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``:
+    ``component_id`` is the smallest key reachable over links, the row's own
+    included. A null text, and one without words, links with nothing; equal
+    non-empty sets always link; a row without key gets its component's
+    smallest key, null when there is none."""
+    sets, of_class = _grouped(docs, rule)
+    return (sets.select("doc_id", "n_shingles", "set_id").join(of_class.drop("label"), "set_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, rule: Rule = STAGE) -> DataFrame:
-    """One row of each component, that with its smallest key, all columns.
-    Rows without key are kept: nothing tells them apart from each other."""
-    groups = near_duplicates(docs, rule)
-    ids = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    keyed = docs.where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return keyed.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each component, all columns: of its smallest key (a row
+    without key only where no row has one), and of that key's texts in the
+    component the one of smallest hash. Rows without words are all kept."""
+    sets, of_class = _grouped(docs, rule)
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias(ROW[1]), F.coalesce("doc_id", F.lit(0).cast("long")).alias(ROW[0]),
+                           F.col(ROW[2])))
+    chosen = sets.join(of_class, "set_id").groupBy("label").agg(first.alias("row")).select("row.*")
+    names = [f"_near_{c}" for c in ROW]  # docs may have columns of these names
+    rows = (docs.where(worded).select("*", *[c.alias(n) for c, n in zip(_row(docs), names)]).dropDuplicates(names)
+            .join(chosen.select(*[F.col(c).alias(n) for c, n in zip(ROW, names)]), names, "left_semi"))
+    return rows.select(*docs.columns).unionByName(docs.where(~worded))

@@ -81,3 +81,15 @@ def test_unlike_sets_share_no_empty_blocks():
     rnd, rule = np.random.default_rng(6), ngram_join.STAGE
     keys = [ngram_join.block_keys(np.unique(rnd.integers(0, 2**63, 1000).astype(np.uint64)), rule) for _ in range(200)]
     assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+
+
+def test_rows_of_one_key_are_kept_by_text(spark):
+    """Unlike texts under one key are each the only row of their group."""
+    a, b, c = (" ".join(words(40, s)) for s in (11, 12, 13))
+    near_b = f"{b} more"
+    rows = [(3, a), (3, b), (3, b), (3, c), (2, near_b), (7, a), (None, a), (None, "no key here"), (5, None), (5, " \n"),
+            (5, ""), (None, None), (3, None)]
+    docs = table(spark, rows).repartition(4)
+    got = sorted(((r.doc_id, r.text) for r in stage(spark, docs).collect()), key=repr)
+    assert got == sorted([(3, a), (2, near_b), (3, c), (None, "no key here"), (5, None), (5, " \n"), (5, ""),
+                          (None, None), (3, None)], key=repr)
