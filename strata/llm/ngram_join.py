@@ -366,8 +366,12 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> DataFrame:
                           .otherwise(F.lit(0)).cast("long"))
               .withColumn("bundle", F.when(F.col("tiles") > 1, F.col("label"))
                           .otherwise(F.pmod(F.xxhash64("label"), small))))
-    picked = sets.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    picked = chosen.join(picked.withColumnRenamed("set_id", "node"), "node").where(F.col("doc_id").isNotNull())
+    # the text of each class: that of one row, by key and text
+    least = F.min(F.struct(F.col("doc_id").isNull().alias(ROW[1]),
+                           F.coalesce("doc_id", F.lit(0).cast("long")).alias(ROW[0]), F.col(ROW[2])))
+    picked = sets.groupBy("set_id").agg(least.alias("row"))
+    picked = (chosen.join(picked.withColumnRenamed("set_id", "node"), "node").where(~F.col("row.keyless"))
+              .select(*chosen.columns, "row.*"))
 
     def rehash(batches):
         shingler = Shingler(rule)
@@ -379,10 +383,10 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> DataFrame:
                 + [pa.array([h.tobytes() for h in hashes], pa.binary())],
                 ["node", "label", "tiles", "home", "bundle", "hashes"]).filter(ok)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    # a key that several rows share gives the class each of its rows; one is kept below
+    # rows that repeat are one before they meet, so a class has one row
+    texts = docs.select(F.col("text").cast("string"), *_row(docs)).groupBy(*ROW).agg(F.min("text").alias("text"))
     members = common.written(
-        common.map_arrow(texts.join(picked, "doc_id").select("text", "node", "label", "tiles", "home", "bundle"),
+        common.map_arrow(texts.join(picked, ROW).select("text", "node", "label", "tiles", "home", "bundle"),
                          rehash, "node long, label long, tiles long, home long, bundle long, hashes binary"), "members")
     members = members.select(F.col("node").alias("set_id"), F.col("label").alias("place"), "tiles", "home", "bundle",
                              "hashes")

@@ -93,3 +93,23 @@ def test_rows_of_one_key_are_kept_by_text(spark):
     got = sorted(((r.doc_id, r.text) for r in stage(spark, docs).collect()), key=repr)
     assert got == sorted([(3, a), (2, near_b), (3, c), (None, "no key here"), (5, None), (5, " \n"), (5, ""),
                           (None, None), (3, None)], key=repr)
+
+
+def test_one_member_row_for_each_class(spark, monkeypatch):
+    """A key with many texts and repeated rows: a class enters its tile once."""
+    rows = []
+    for size in (60, 61, 62):
+        text = words(size, size)
+        for i in range(6):
+            rows += [(3, " ".join(text))] * 5 + [(100 + i, " ".join(text))]
+            text[7 * i] = f"new{i}"
+    seen, write = {}, ngram_join.common.written
+
+    def written(df, name):
+        out = seen[name] = write(df, name)
+        return out
+    monkeypatch.setattr(ngram_join.common, "written", written)
+    got = ngram_join.near_duplicates(table(spark, rows).repartition(4), ngram_join.STAGE).collect()
+    assert {r.component_id for r in got} == {3} and len(got) == len(rows)
+    nodes = [r.node for r in seen["members"].collect()]
+    assert len(nodes) == len(set(nodes)) == 18
