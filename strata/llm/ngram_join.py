@@ -370,8 +370,7 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> DataFrame:
     least = F.min(F.struct(F.col("doc_id").isNull().alias(ROW[1]),
                            F.coalesce("doc_id", F.lit(0).cast("long")).alias(ROW[0]), F.col(ROW[2])))
     picked = sets.groupBy("set_id").agg(least.alias("row"))
-    picked = (chosen.join(picked.withColumnRenamed("set_id", "node"), "node").where(~F.col("row.keyless"))
-              .select(*chosen.columns, "row.*"))
+    picked = chosen.join(picked.withColumnRenamed("set_id", "node"), "node").select(*chosen.columns, "row.*")
 
     def rehash(batches):
         shingler = Shingler(rule)

@@ -113,3 +113,16 @@ def test_one_member_row_for_each_class(spark, monkeypatch):
     assert {r.component_id for r in got} == {3} and len(got) == len(rows)
     nodes = [r.node for r in seen["members"].collect()]
     assert len(nodes) == len(set(nodes)) == 18
+
+
+def test_rows_without_key_link(spark):
+    """A near copy without key, and one that ties two texts which do not link."""
+    text, pair = words(100, 31), words(50, 32)
+    bridge, end = list(text), list(text)
+    bridge[20] = end[20] = "other"
+    end[70] = "another"
+    rows = [(8, " ".join(text)), (None, " ".join(bridge)), (9, " ".join(end)),
+            (4, " ".join(pair)), (None, " ".join([*pair, "more"])), (None, " ".join(words(30, 33)))]
+    got = ngram_join.near_duplicates(table(spark, rows).repartition(3)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(8, 98, 8), (None, 98, 8), (9, 98, 8), (4, 48, 4), (None, 49, 4),
+                                                        (None, 28, None)], key=repr)
