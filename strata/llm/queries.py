@@ -73,7 +73,7 @@ def op8_byte_bpe(spark, sf_dir):
 @query
 def op9_cover_tree_topk(spark, sf_dir):
     vectors = common.written(topk.integer_vectors(
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")), "vectors")
+        spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"), copies=20), "vectors")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 

@@ -14,7 +14,7 @@ of seed vectors, so that blocks far from it end at their roots.
 Vectors become integers floor(scale * x); scores are exact (sums of products
 below 2^53). A vector that is null or holds a null or non-finite component
 takes no part, nor does a row without key; a shorter vector counts as padded
-with zeros; of rows that share a key the smallest vector is used.
+with zeros; rows that share a key are candidates each.
 """
 from __future__ import annotations
 
@@ -31,15 +31,19 @@ DATA_BLOCK, QUERY_BLOCK, PIVOTS, SEEDS = 8192, 2048, 64, 2048
 LEAF, FAN = 128, 32
 
 
-def integer_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 64) -> DataFrame:
-    """(vec_id, v): one row per usable key, components floor(scale * x)."""
+def integer_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = 64,
+                    copies: int = 1) -> DataFrame:
+    """(vec_id, v) of the usable rows, components floor(scale * x). Rows equal
+    in both are given ``copies`` times at most; of them no more than k can be
+    among the best k."""
     x = F.col(vector)
     usable = x.isNotNull() & F.col(key).isNotNull() & F.forall(
         x, lambda c: F.coalesce(~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < float("inf")), F.lit(False)))
     return (df.where(usable)
             .select(F.col(key).cast("long").alias("vec_id"),
                     F.transform(x, lambda c: F.floor(F.lit(scale) * c.cast("double"))).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+            .groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
+            .select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(copies)))).alias("n")).drop("n"))
 
 
 def matrix(column) -> np.ndarray:
@@ -168,16 +172,17 @@ def _blocked(df: DataFrame, pivots: np.ndarray, rows: int, name: str) -> DataFra
     parts = spark.createDataFrame(parts or [(0, 1)], "pivot int, parts int")
     return (out.join(F.broadcast(parts), "pivot")
             .select("vec_id", "v", (F.col("pivot").cast("long") * (1 << 32)
-                                    + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).alias(name)))
+                                    + F.pmod(F.xxhash64("vec_id", "v"), F.col("parts"))).alias(name)))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` best rows of
     ``vectors``, its own key left out, ties to the smaller key. Both inputs are
-    (vec_id, v) with one row per key; fewer than ``k`` candidates give fewer
-    rows; an empty side gives none."""
+    (vec_id, v); a key's rows are candidates each, and query rows of one key
+    share one ranking; fewer than ``k`` candidates give fewer rows; an empty
+    side gives none."""
     # bounded samples by hash: pivots to cut blocks, seeds for first kth scores
-    seeds = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SEEDS).toArrow()
+    seeds = vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(SEEDS).toArrow()
     seed_ids, seed_v = np.array(seeds.column(0).to_pylist(), np.int64), matrix(seeds.column(1))
 
     def pivots(df, rows):  # as many as full blocks, at most PIVOTS
