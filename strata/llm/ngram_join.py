@@ -215,19 +215,18 @@ def neighbourhoods(sets: DataFrame) -> DataFrame:
             first = np.append(True, k[1:] != k[:-1])
             head = s[np.flatnonzero(first)][np.cumsum(first) - 1]
             tied = np.unique(np.stack([s[~first], head[~first]], 1), axis=0)
-            key = pa.concat_arrays([pa.array(k[first], pa.int64()), pa.nulls(len(tied), pa.int64())])
+            # ties need no other rows: each goes by its own class
+            own = signed(mix(tied[:, 0].view(np.uint64) * _M1 + _M2))
+            key = pa.concat_arrays([pa.array(k[first], pa.int64()), pa.array(own, pa.int64())])
             yield pa.RecordBatch.from_arrays([
                 key, pa.array(np.concatenate([s[first], tied[:, 0]]), pa.int64()),
                 pa.concat_arrays([pa.nulls(int(first.sum()), pa.int64()), pa.array(tied[:, 1], pa.int64())])],
                 ["key", "a", "b"])
 
-    rows = common.written(sets.where(F.length("keys") > 0).select("set_id", "keys")
-                          .mapInArrow(combine, "key long, a long, b long"), "block-keys")
+    rows = sets.where(F.length("keys") > 0).select("set_id", "keys").mapInArrow(combine, "key long, a long, b long")
     # a star per key, of partial minima: rows are already one per key and batch
-    heads = rows.where(F.col("key").isNotNull()).select("key", "a")
-    least = F.min("a").over(common.window("key"))
-    stars = heads.select("a", least.alias("b")).where(F.col("a") != F.col("b"))
-    return components(rows.where(F.col("key").isNull() & (F.col("a") != F.col("b"))).select("a", "b").unionByName(stars))
+    stars = rows.withColumn("b", F.coalesce("b", F.min("a").over(common.window("key"))))
+    return components(stars.select("a", "b").where(F.col("a") != F.col("b")))
 
 
 class Forest:
@@ -333,8 +332,9 @@ def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group:
 
 
 def _tiles(members: DataFrame, rule: Rule) -> DataFrame:
-    """Join every (bundle, place, tile) group of members (set_id, hashes,
-    probe, known) and return the links (a, b)."""
+    """Join every (bundle, place, tile) group of members (set_id, text,
+    probe, known) and return the links (a, b). Texts are smaller than their
+    hashes, so those are made where they are compared."""
 
     def run(table):
         links = []
@@ -342,7 +342,8 @@ def _tiles(members: DataFrame, rule: Rule) -> DataFrame:
         ids = np.array(table.column("set_id").to_pylist(), np.int64)
         probe = np.array(table.column("probe").to_pylist(), bool)
         known = np.array(table.column("known").to_pylist(), np.int64)
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+        shingler = Shingler(rule)
+        sets = [shingler.hashes(t.as_py()) for t in table.column("text")]
         order = np.lexsort((ids, place))
         cuts = np.flatnonzero(np.append(True, place[order][1:] != place[order][:-1])).tolist() + [len(order)]
         for lo, hi in zip(cuts, cuts[1:]):
@@ -372,23 +373,12 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> DataFrame:
     picked = sets.groupBy("set_id").agg(least.alias("row"))
     picked = chosen.join(picked.withColumnRenamed("set_id", "node"), "node").select(*chosen.columns, "row.*")
 
-    def rehash(batches):
-        shingler = Shingler(rule)
-        for b in batches:
-            hashes = [shingler.hashes(t.as_py()) for t in b.column("text")]
-            ok = pa.array([set_id(h) == s for h, s in zip(hashes, b.column("node").to_pylist())], pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("node", "label", "tiles", "home", "bundle")]
-                + [pa.array([h.tobytes() for h in hashes], pa.binary())],
-                ["node", "label", "tiles", "home", "bundle", "hashes"]).filter(ok)
-
     # rows that repeat are one before they meet, so a class has one row
     texts = docs.select(F.col("text").cast("string"), *_row(docs)).groupBy(*ROW).agg(F.min("text").alias("text"))
     members = common.written(
-        common.map_arrow(texts.join(picked, ROW).select("text", "node", "label", "tiles", "home", "bundle"),
-                         rehash, "node long, label long, tiles long, home long, bundle long, hashes binary"), "members")
+        texts.join(picked, ROW).select("text", "node", "label", "tiles", "home", "bundle"), "members")
     members = members.select(F.col("node").alias("set_id"), F.col("label").alias("place"), "tiles", "home", "bundle",
-                             "hashes")
+                             "text")
     everywhere = F.when((F.col("tiles") > 1) & (F.col("home") == 0),
                         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).otherwise(F.array("home"))
     first = members.select("*", F.explode(everywhere).alias("tile"), F.lit(True).alias("probe"),
