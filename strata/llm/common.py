@@ -1,6 +1,7 @@
 """Helpers shared by the corpus operators."""
 from __future__ import annotations
 
+import contextlib
 import os
 import uuid
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from ..sinks import paths
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -26,6 +28,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def temporary(df: DataFrame, name: str, **options):
+    """Like ``written``, for rows that nothing reads after the ``with`` block:
+    their folder is removed at its end."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    try:
+        df.write.options(**options).parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        paths.delete(spark, path)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, idstore, langid, ngram_join, packing, quality, shuffle, token_counts, tokenizing, topk, toxicity
+from . import (bpe, common, idstore, langid, negatives, ngram_join, packing, quality, repair, shuffle, token_counts,
+               tokenizing, topk, toxicity, warc)
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -96,6 +97,82 @@ def op10_clause_grammar_toxicity(spark, sf_dir):
     return toxicity.rate(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def relabelled(vectors: DataFrame) -> DataFrame:
+    """The contract's labels: moved on by one where vec_id is divisible by 7."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return vectors.select("vec_id", "embedding", moved.alias("label"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    vectors = relabelled(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+    return negatives.mine(negatives.usable(vectors), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op11_hard_negatives"] = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    a AS (SELECT *, row_number() OVER () AS anchor FROM (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0)),
+    pairs AS (
+        SELECT a.vec_id AS anchor_id, a.anchor, d.vec_id AS id, a.label = d.label AS same,
+               CAST(list_dot_product(a.v, d.v) AS BIGINT) AS score
+        FROM a JOIN v d ON a.label <> d.label OR a.vec_id <> d.vec_id),
+    p AS (SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS place
+        FROM pairs WHERE same) WHERE place <= 5)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score,
+                 n.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.id) AS rank
+          FROM p JOIN pairs n ON n.anchor = p.anchor AND NOT n.same
+           AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+    WHERE rank <= 10"""
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage of conversations."""
+    spelt = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(spelt("conv_id"), F.lit(":"), spelt("turn")).cast("binary")) % 20
+    text = spelt("text")
+    hit = rows.select("conv_id", "turn", spelt("role").alias("role"), text.alias("text"), code.alias("code"))
+    return (hit.where(F.col("code") != 0).select(
+        "conv_id", "turn", F.when(F.col("code") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("code") == 1, F.lit("")).when(F.col("code") == 2, F.translate("text", ".!?", ""))
+        .otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("code") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+        .drop("copy"))
+
+
+@query
+def op12_grammar_repair(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return repair.report(damaged(rows), rows)
+
+
+@query
+def op13_chunked_warc(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    manifest = warc.write_warc(pages, common.scratch(spark, "warc"))
+    return warc.read_warc(spark, manifest, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op13_chunked_warc"] = """
+    WITH p AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+    r AS (
+        SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS first
+        FROM p WINDOW same AS (PARTITION BY digest ORDER BY page_id NULLS LAST))
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND place > 1 THEN first END AS refers_to
+    FROM r"""
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
