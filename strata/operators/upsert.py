@@ -8,6 +8,11 @@ matched target rows are replaced by their source row, unmatched source
 rows are inserted, unmatched target rows are kept, and NULL keys never
 match (a NULL-key target row is kept, a NULL-key source row inserted).
 
+``newer_by`` names a column that both sides hold, the version of a row, and
+makes the update conditional (``WHEN MATCHED AND source.version >=
+target.version``): a source row older than the stored one loses, so rows may
+come in any order, in one batch or over many.
+
 Like MERGE, more than one source row for one target row is an error
 (``on_duplicate="error"``), unless an ordering picks one
 (``on_duplicate="last"`` with ``order_by``).
@@ -67,11 +72,34 @@ def latest_per_key(source: DataFrame, keys: Sequence[str], order_by: Sequence[st
     return picked.unionByName(source.where(~_not_null(keys)))
 
 
+def _version(c):
+    """A NULL version is older than any other."""
+    return F.struct(c.isNotNull(), c)
+
+
+def not_older(source: DataFrame, target: DataFrame, keys: Sequence[str], newer_by: str) -> DataFrame:
+    """The source rows whose version is at least that of their target row (the
+    newest one, should the key repeat), or that have none. Target versions are
+    reduced per key before they meet the source; only keys and versions of the
+    target are read."""
+    stored = (target.where(_not_null(keys)).groupBy(*keys)
+              .agg(F.max(_version(F.col(newer_by))).alias("_stored")))
+    return (source.join(stored, list(keys), "left")
+            .where(F.col("_stored").isNull() | (_version(F.col(newer_by)) >= F.col("_stored")))
+            .select(*source.columns))
+
+
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-                 on_duplicate: str = "error",
-                 order_by: Sequence[str] | None = None) -> DataFrame:
-    """The upserted table as a lazy DataFrame (target's column order)."""
+                 on_duplicate: str = "error", order_by: Sequence[str] | None = None,
+                 newer_by: str | None = None) -> DataFrame:
+    """The upserted table as a lazy DataFrame (target's column order). With
+    ``newer_by`` the newest source row of a key is taken, the order within a
+    version is ``order_by``'s, and it replaces no newer target row."""
     keys = list(keys)
+    if newer_by:
+        if newer_by not in source.columns or newer_by not in target.columns:
+            raise ValueError(f"both sides must hold the version column {newer_by!r}")
+        on_duplicate, order_by = "last", [newer_by, *[c for c in order_by or () if c != newer_by]]
     if on_duplicate == "last":
         if not order_by:
             raise ValueError("on_duplicate='last' needs order_by")
@@ -88,6 +116,8 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
                 f"MERGE: several source rows match one target row, e.g. key {bad[0].asDict()}")
     elif on_duplicate not in ("last", "ignore"):
         raise ValueError("on_duplicate must be 'error', 'last' or 'ignore'")
+    if newer_by:
+        src = not_older(src, target, keys, newer_by)
     kept = target.join(src.select(*keys), keys, "left_anti")
     return src.unionByName(kept)
 
@@ -115,7 +145,8 @@ def _same(a: DataFrame, b: DataFrame, cols: Sequence[str]):
 
 def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
                  partition_cols: Sequence[str] = (), keys_fix_partition: bool = True,
-                 on_duplicate: str = "error", order_by: Sequence[str] | None = None) -> DataFrame:
+                 on_duplicate: str = "error", order_by: Sequence[str] | None = None,
+                 newer_by: str | None = None) -> DataFrame:
     """Apply an upsert to the parquet table at ``path`` (created if absent).
 
     With ``partition_cols`` only the affected partitions are read in full
@@ -129,6 +160,9 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
       by a key-and-partition-column scan of the target (column pruning
       keeps it narrow).
 
+    ``newer_by`` compares versions as in ``merge_frames``; where a key may move
+    between partitions, the stored version is found in the one that holds it.
+
     A NULL partition value is a partition like any other. The source is
     evaluated once, to a copy on shared storage; the merged rows are written
     beside the table and swapped in when complete (``sinks.swap``), so a
@@ -140,7 +174,8 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
         target = _read_existing(spark, path, like=staged)
         emptied = None
         if target is None:
-            merged = merge_frames(staged.limit(0), staged, keys, on_duplicate=on_duplicate, order_by=order_by)
+            merged = merge_frames(staged.limit(0), staged, keys, on_duplicate=on_duplicate, order_by=order_by,
+                                  newer_by=newer_by)
             swap.replace(merged, path, pcols)
             return spark.read.schema(merged.schema).parquet(path)
         if pcols:
@@ -150,7 +185,7 @@ def upsert_table(source: DataFrame, path: str, keys: Sequence[str], *,
                        .select(*pcols))
                 touched = touched.unionByName(hit).distinct()
             target = target.join(touched, _same(target, touched, pcols), "left_semi")
-        merged = merge_frames(target, staged, keys, on_duplicate=on_duplicate, order_by=order_by)
+        merged = merge_frames(target, staged, keys, on_duplicate=on_duplicate, order_by=order_by, newer_by=newer_by)
         if pcols and not keys_fix_partition:
             # partitions whose every row moved away: absent from the merged rows
             left = merged.select(*pcols).distinct()

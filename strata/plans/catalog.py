@@ -529,6 +529,39 @@ def _stream_incremental_orders(t: Tables) -> DataFrame:
 
 register("stream_incremental_orders", ORACLE["dim_order"])(_stream_incremental_orders)
 
+
+
+def _stream_late_orders(t: Tables) -> DataFrame:
+    """Versions of orders land newest first: version 3 of every seventh order,
+    then version 2 of every third, then version 1 of all, two files a batch. A
+    row that comes in a later batch than a newer one of its order loses; status
+    and year (the partition) tell versions apart."""
+    spark = t.spark
+    root = f"{_ckdir(spark).rstrip('/')}/strata-late-{_uuid.uuid4().hex}"
+    landing, target = f"{root}/landing", f"{root}/dim_order"
+    for version, every in ((3, 7), (2, 3), (1, 1)):
+        (t.orders.where(_F.col("o_orderkey") % every == 0).withColumn("version", _F.lit(version))
+         .repartition(3, "o_orderkey").write.mode("append").parquet(landing))
+    schema = spark.read.parquet(landing).schema
+    stream = _inc.file_stream(spark, landing, schema, glob="*.parquet", max_files_per_trigger=2)
+
+    def to_dim(batch: DataFrame) -> DataFrame:
+        named = batch.withColumn("o_orderstatus", _F.concat(_F.lit("v"), _F.col("version").cast("string")))
+        d = star.dim_order(named).withColumn("version", _F.substring("orderstatus", 2, 9).cast("int"))
+        return d.withColumn("year", _F.year("orderdate") + _F.col("version"))
+
+    _inc.run_incremental(spark, stream, target, ["orderkey"], job=f"late-{root[-8:]}", order_by=["totalprice"],
+                         partition_cols=("year",), newer_by="version", transform=to_dim,
+                         checkpoint=f"{root}/_checkpoint", ledger_path=f"{root}/_ledger")
+    return spark.read.parquet(target).select("orderkey", "orderstatus", "totalprice", "orderdate", "priority",
+                                             "custkey", "version")
+
+
+register("stream_late_orders", f"""
+    SELECT * REPLACE ('v' || CAST(version AS VARCHAR) AS orderstatus) FROM (
+        SELECT *, CAST(CASE WHEN orderkey % 7 = 0 THEN 3 WHEN orderkey % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS version
+        FROM ({ORACLE["dim_order"]}))""")(_stream_late_orders)
+
 # ------------------------------------------------------------ mart queries
 register("sales_by_region_sorted", f"""
     SELECT regionname, total_revenue, total_orders FROM ({ORACLE["sales_by_region"]})
@@ -600,6 +633,27 @@ def _region_via_raw(t: Tables) -> DataFrame:
 register("sales_by_region_via_raw", ORACLE["sales_by_region"])(_region_via_raw)
 
 
+def _fact_via_raw_twice(t: Tables) -> DataFrame:
+    """Lineitem landed whole, then the even orders again an hour later: prices
+    one up, without the first lines of every fourth order. The fact is built
+    from the latest copies."""
+    raw = _RawZone(t, ["orders", "lineitem"])
+    even = t.lineitem.where((_F.col("l_orderkey") % 2 == 0)
+                            & ((_F.col("l_orderkey") % 4 != 0) | (_F.col("l_linenumber") != 1)))
+    rawzone.land(even.withColumn("l_extendedprice", _F.col("l_extendedprice") + 1), raw._root, "lineitem",
+                 _dt.datetime(2024, 1, 1, 1))
+    latest = rawzone.RawTables(t.spark, raw._root)
+    return star.fact_sales(latest.lineitem, latest.orders)
+
+
+register("fact_via_raw_twice", f"""
+    WITH again AS (SELECT * REPLACE (l_extendedprice + 1 AS l_extendedprice) FROM lineitem
+                   WHERE l_orderkey % 2 = 0 AND (l_orderkey % 4 <> 0 OR l_linenumber <> 1)),
+    latest AS (SELECT * FROM again UNION ALL
+               SELECT * FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM again))
+    {_FACT_A.replace("FROM lineitem JOIN orders", "FROM latest JOIN orders")}""")(_fact_via_raw_twice)
+
+
 # ------------------------------------------------------------ stored tables
 from ..operators.upsert import upsert_table as _upsert_table  # noqa: E402
 from ..sinks.writer import write_table as _write_table  # noqa: E402

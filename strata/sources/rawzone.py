@@ -126,6 +126,14 @@ def land(df: DataFrame, root: str, table: str, run_ts: dt.datetime, *,
 
 #: when a row's file was landed; orders copies within one ingest hour
 LANDED = "_landed"
+#: which write a row's file came from: the job id that Spark puts into the names
+#: of all its files ('' for files of other writers: one landing an hour)
+LANDING = "_landing"
+
+
+def _landing_columns() -> list[F.Column]:
+    return [F.col("_metadata.file_modification_time").alias(LANDED),
+            F.regexp_extract("_metadata.file_name", r"^part-\d+-([0-9a-f-]{36})", 1).alias(LANDING)]
 
 
 def read_raw(spark: SparkSession, root: str, table: str, *, fmt: str = "text",
@@ -136,11 +144,11 @@ def read_raw(spark: SparkSession, root: str, table: str, *, fmt: str = "text",
     comma shifts the following columns, as with the Hive text format) and
     unescaped; ``\\N``, missing fields and unparseable numbers are NULL.
     Partition columns are strings and prune directories when filtered.
-    ``landed`` adds the landing time of each row's file."""
+    ``landed`` adds the landing time of each row's file, and its landing."""
     path = f"{root.rstrip('/')}/{table}"
     data = raw_schema(table, with_partitions=False)
     parts = T.StructType([T.StructField(c, T.StringType()) for c in PARTITION_COLS])
-    extra = [F.col("_metadata.file_modification_time").alias(LANDED)] if landed else []
+    extra = _landing_columns() if landed else []
     if fmt == "parquet":
         strings = T.StructType([T.StructField(f.name, T.StringType()) for f in data.fields] + parts.fields)
         df = spark.read.schema(strings).parquet(path)
@@ -155,14 +163,14 @@ def line_schema() -> T.StructType:
 
 def parse_lines(lines: DataFrame, table: str, *, landed: bool = False) -> DataFrame:
     """Lines of a RAW text table (batch or stream) by its contract."""
-    extra = [F.col("_metadata.file_modification_time").alias(LANDED)] if landed else []
+    extra = _landing_columns() if landed else []
     lines = lines.select(F.split("value", ",", -1).alias("_f"), *PARTITION_COLS, *extra)
     fields = []
     for i, f in enumerate(raw_schema(table, with_partitions=False).fields):
         v = F.get("_f", F.lit(i))
         v = F.when(v != F.lit("\\N"), F.when(v.contains("\\"), _unescaped(v)).otherwise(v))
         fields.append((v if isinstance(f.dataType, T.StringType) else v.try_cast(f.dataType)).alias(f.name))
-    return lines.select(*fields, *PARTITION_COLS, *([LANDED] if landed else []))
+    return lines.select(*fields, *PARTITION_COLS, *([LANDED, LANDING] if landed else []))
 
 
 def read_csv_with_header(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -197,21 +205,53 @@ def latest_ingest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return picked.unionByName(df.where(~known))
 
 
-# Business keys of the RAW tables.
-KEYS = {"customer": ["c_custkey"], "lineitem": ["l_orderkey", "l_linenumber"], "nation": ["n_nationkey"],
-        "orders": ["o_orderkey"], "part": ["p_partkey"], "partsupp": ["ps_partkey", "ps_suppkey"],
-        "region": ["r_regionkey"], "supplier": ["s_suppkey"]}
+def latest_groups(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Collapse re-landed copies of rows that have no key of their own: per
+    group (the lines of an order), the rows of the newest landing that holds
+    it, all of them, equal ones included. Older landings of the group go as a
+    whole, so a line that a later copy changed or no longer has goes too.
+
+    A landing is one write into one hour, so ``df`` needs ``LANDED`` and
+    ``LANDING``; within an hour the landing with the latest file is the newest.
+    The newest landing of a group is a partial maximum (a hot order is one row
+    per task), and rows meet it in a join on the group, which AQE splits. Rows
+    without a full group key are kept."""
+    known = F.lit(True)
+    for k in group:
+        known = known & F.col(k).isNotNull()
+    stamp = F.struct(ingest_time(df).alias("t"), F.col(LANDED).alias("at"), F.col(LANDING).alias("id"))
+    newest = df.where(known).groupBy(*group).agg(F.max(stamp).alias("_newest"))
+    picked = (df.where(known).join(newest, list(group))
+              .where((ingest_time(df) == F.col("_newest.t")) & (F.col(LANDING) == F.col("_newest.id")))
+              .select(*df.columns))
+    return picked.unionByName(df.where(~known))
+
+
+# Business keys of the RAW tables. A line has none: an order may
+# repeat (l_orderkey, l_linenumber), so lines are replaced order by order.
+KEYS = {"customer": ["c_custkey"], "nation": ["n_nationkey"], "orders": ["o_orderkey"], "part": ["p_partkey"],
+        "partsupp": ["ps_partkey", "ps_suppkey"], "region": ["r_regionkey"], "supplier": ["s_suppkey"]}
+GROUPS = {"lineitem": ["l_orderkey"]}
 
 
 class RawTables:
-    """The tables of a RAW zone by attribute, one row per business key: the
-    latest copy of each."""
+    """The tables of a RAW zone by attribute, each row's latest copy: by
+    business key, or by group where rows have none.
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "text"):
-        self._spark, self._root, self._fmt = spark, root, fmt
+    ``windows`` names the date column by which a table is landed in windows
+    (``{"lineitem": "l_shipdate"}``): a landing then holds an order's lines of
+    some dates only, and replaces no others."""
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "text", windows: dict[str, str] | None = None):
+        self._spark, self._root, self._fmt, self._windows = spark, root, fmt, windows or {}
 
     def __getattr__(self, table: str) -> DataFrame:
-        if table not in KEYS:
+        if table not in KEYS and table not in GROUPS:
             raise AttributeError(table)
         copies = read_raw(self._spark, self._root, table, fmt=self._fmt, landed=True)
-        return latest_ingest(copies, KEYS[table]).drop(LANDED, *PARTITION_COLS)
+        if table in KEYS:
+            rows = latest_ingest(copies, KEYS[table])
+        else:
+            window = [self._windows[table]] if table in self._windows else []
+            rows = latest_groups(copies, GROUPS[table] + window)
+        return rows.drop(LANDED, LANDING, *PARTITION_COLS)

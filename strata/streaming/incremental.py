@@ -5,7 +5,9 @@ New files arriving in a landing folder are read as a file-source stream
 upserted into a partitioned parquet table by ``foreachBatch``. Exactly-once
 result: a batch id already recorded in the ledger is skipped, and the upsert
 itself is idempotent, so a batch replayed after a failure between the write
-and the ledger entry rewrites the same rows. Stream progress lives in the
+and the ledger entry rewrites the same rows. With ``newer_by``, a version
+column that is stored beside each row, a row that arrives in a later batch than
+a newer one of its key loses, so files may come in any order. Stream progress lives in the
 checkpoint location on shared storage (``spark.checkpoint.dir``).
 
 ``trigger="availableNow"`` processes everything present and stops (a
@@ -26,11 +28,12 @@ from ..session import checkpoint_dir
 
 def upsert_sink(target_path: str, keys: Sequence[str], ledger_path: str, job: str, *,
                 order_by: Sequence[str], partition_cols: Sequence[str] = (),
-                keys_fix_partition: bool = False,
+                keys_fix_partition: bool = False, newer_by: str | None = None,
                 transform: Callable[[DataFrame], DataFrame] | None = None):
     """foreachBatch function: (batch_df, batch_id) -> upsert + ledger entry.
     ``order_by`` says which of a batch's rows of one key is the latest; its
-    columns need not be stored."""
+    columns need not be stored. ``newer_by`` is stored, comes before
+    ``order_by`` and holds between batches too."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # set by the running query; stays the same over restarts of a checkpoint
@@ -40,7 +43,7 @@ def upsert_sink(target_path: str, keys: Sequence[str], ledger_path: str, job: st
         df = transform(batch) if transform else batch
         upsert_table(df, target_path, keys, partition_cols=partition_cols,
                      keys_fix_partition=keys_fix_partition, on_duplicate="last",
-                     order_by=order_by)
+                     order_by=order_by, newer_by=newer_by)
         ledger.record(spark, ledger_path, job, target_path, batch_id=batch_id, stream=stream)
     return sink
 
@@ -59,7 +62,7 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, *, fmt:
 
 def run_incremental(spark: SparkSession, stream: DataFrame, target_path: str, keys: Sequence[str],
                     *, job: str, order_by: Sequence[str], partition_cols: Sequence[str] = (),
-                    keys_fix_partition: bool = False,
+                    keys_fix_partition: bool = False, newer_by: str | None = None,
                     transform: Callable[[DataFrame], DataFrame] | None = None,
                     trigger: str = "availableNow",
                     processing_time: str = "1 minute", checkpoint: str | None = None,
@@ -72,7 +75,8 @@ def run_incremental(spark: SparkSession, stream: DataFrame, target_path: str, ke
     w = (stream.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(upsert_sink(target_path, keys, ledger_path, job,
                                    partition_cols=partition_cols, transform=transform,
-                                   keys_fix_partition=keys_fix_partition, order_by=order_by)))
+                                   keys_fix_partition=keys_fix_partition, order_by=order_by,
+                                   newer_by=newer_by)))
     w = w.trigger(availableNow=True) if trigger == "availableNow" else \
         w.trigger(processingTime=processing_time)
     q = w.start()

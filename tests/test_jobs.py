@@ -61,15 +61,24 @@ def test_storage_report(spark, tables, scratch):
 
 
 def test_raw_zone_to_warehouse(spark, tables, scratch):
-    # lines that the business key tells apart: the sample holds a few that it does not
-    lines = tables.lineitem.dropDuplicates(["l_orderkey", "l_linenumber"])
-    for hour in (0, 1):  # the same tables landed in two hours give one star
+    """Whole tables, landed in one hour and again in a second, give the star
+    of the tables: every line, those that share order and number included."""
+    lines = tables.lineitem.count()
+    want = _sorted(marts.sales_by_region(star.fact_sales(tables.lineitem, tables.orders),
+                                         star.dim_customer(tables.customer),
+                                         star.dim_geography(tables.nation, tables.region)))
+    for hour in (0, 1):
         for n in ("customer", "orders", "lineitem", "nation", "region", "supplier", "part"):
-            df = lines if n == "lineitem" else getattr(tables, n)
-            rawzone.land(df, f"{scratch}/rawzone", n, dt.datetime(2024, 5, 1, hour))
-    jobs.init_datawarehouse(spark, rawzone.RawTables(spark, f"{scratch}/rawzone"), scratch)
-    s = jobs.read_star(spark, scratch)
-    assert s.fact_sales.count() == lines.count() and s.dim_customer.count() == tables.customer.count()
+            rawzone.land(getattr(tables, n), f"{scratch}/rawzone", n, dt.datetime(2024, 5, 1, hour),
+                         partitions=3 if n == "lineitem" else None)
+        raw = rawzone.RawTables(spark, f"{scratch}/rawzone")
+        assert raw.lineitem.count() == lines == 6000
+        jobs.init_datawarehouse(spark, raw, scratch)
+        s = jobs.read_star(spark, scratch)
+        assert s.fact_sales.count() == lines and s.dim_customer.count() == tables.customer.count()
+        region = marts.sales_by_region(s.fact_sales, s.dim_customer, s.dim_geography)
+        assert _sorted(region) == want
+    jobs.refresh_datawarehouse(spark, raw, scratch, on_duplicate="last")
 
 
 def test_refresh_twice_equals_once(spark, tables, scratch):

@@ -4,7 +4,7 @@ from conftest import SF001
 from strata.plans.catalog import QUERIES
 
 # they run jobs while they are built
-EAGER = {"stream_incremental_orders", "fact_upsert", "upsert_stored_orders", "rollback_orders"}
+EAGER = {"stream_incremental_orders", "stream_late_orders", "fact_via_raw_twice", "fact_upsert", "upsert_stored_orders", "rollback_orders"}
 
 
 def plan(df):

@@ -2,6 +2,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.sources import rawzone
@@ -86,3 +87,49 @@ def test_latest_copy_within_one_hour(spark, scratch):
         import time
         time.sleep(1.1)  # the store's clock for file times may count seconds
     assert [r.r_name for r in rawzone.RawTables(spark, scratch).region.collect()] == ["new"]
+
+
+def _lines(spark, rows):
+    """rows of (order, line number, price, ship date)"""
+    return spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_extendedprice double, l_shipdate string")
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "append"])
+def test_lines_are_replaced_order_by_order(spark, scratch, mode):
+    """A later landing replaces an order's lines as a whole: equal lines stay
+    as often as they come, changed and vanished ones go, other orders stay.
+    The same within one hour."""
+    import time
+    old = [(1, 1, 10.0, "d"), (1, 1, 10.0, "d"), (1, 2, 11.0, "d"), (2, 1, 20.0, "d"), (2, 1, 21.0, "d"),
+           (None, 1, 1.0, "d")]
+    new = [(1, 1, 10.5, "d"), (1, 1, 10.5, "d"), (3, 1, 30.0, "d")]
+    rawzone.land(_lines(spark, old), scratch, "lineitem", RUN1, partitions=4)
+    time.sleep(1.1)
+    rawzone.land(_lines(spark, new), scratch, "lineitem", RUN1 if mode == "append" else RUN2, mode=mode, partitions=4)
+    got = _prices_of(rawzone.RawTables(spark, scratch))
+    assert got == [(1, 10.5), (1, 10.5), (2, 20.0), (2, 21.0), (3, 30.0), (None, 1.0)]
+
+
+def _prices_of(raw):
+    return sorted(((r.l_orderkey, r.l_extendedprice) for r in raw.lineitem.collect()), key=lambda r: (r[0] is None, r))
+
+
+def test_lines_landed_by_window(spark, scratch):
+    """Windows of ship dates: a landing replaces the order's lines of its own
+    dates, and leaves those of other windows."""
+    rawzone.land(_lines(spark, [(1, 1, 1.0, "1992-01-05"), (1, 2, 2.0, "1992-03-01")]), scratch, "lineitem", RUN1)
+    rawzone.land(_lines(spark, [(1, 2, 2.5, "1992-03-01"), (1, 3, 3.0, "1992-03-02")]), scratch, "lineitem", RUN2)
+    assert _prices_of(rawzone.RawTables(spark, scratch)) == [(1, 2.5), (1, 3.0)]
+    by_date = rawzone.RawTables(spark, scratch, windows={"lineitem": "l_shipdate"})
+    assert _prices_of(by_date) == [(1, 1.0), (1, 2.5), (1, 3.0)]
+
+
+def test_files_of_other_writers_are_one_landing_an_hour(spark, scratch):
+    for hour, files in (("01", [["1,1"], ["1,2"]]), ("02", [["2,9"]])):
+        d = f"{scratch}/lineitem/year=2024/month=01/day=01/hour={hour}"
+        os.makedirs(d)
+        for i, lines in enumerate(files):
+            with open(f"{d}/part-m-0000{i}", "w") as fh:
+                fh.write("".join(f"{x.split(',')[0]},7,7,{x.split(',')[1]}\n" for x in lines))
+    rows = rawzone.RawTables(spark, scratch).lineitem.collect()
+    assert sorted((r.l_orderkey, r.l_linenumber) for r in rows) == [(1, 1), (1, 2), (2, 9)]
