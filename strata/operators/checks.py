@@ -3,13 +3,15 @@
 Every check is a distributed aggregate returning one row
 ``(check, violations)``; ``run_checks`` unions them so a single action
 evaluates them all. Foreign keys are checked with a left anti join
-(orphans), uniqueness with a partial-aggregated group count.
+(orphans), uniqueness with a partial-aggregated group count. A ``Suite`` takes
+the checks of several tables together and shares scans and shuffles.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -60,6 +62,118 @@ def run_checks(checks: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+class Suite:
+    """Checks evaluated together.
+
+    * Row checks of one table (not null, range, accepted values) are counters
+      of one aggregate: the table is scanned once for all of them.
+    * Uniqueness checks of all tables go through one shuffle of their keys.
+    * Foreign keys of all tables go through one aggregate of bitmaps. A key is
+      a bit (``bitmap_bucket_number``, ``bitmap_bit_position``); a bucket whose
+      child bits are all parent bits has no orphan, exactly, and is done. Only
+      keys of doubtful buckets are shuffled and matched one by one; where no
+      bucket is doubtful that is nothing.
+
+    A task holds a bitmap of 4 KB for every bucket it meets, so bitmaps are used
+    for parents whose keys span at most ``buckets`` buckets (one MIN/MAX per
+    parent decides); other keys are counted and matched one by one at once.
+    """
+
+    def __init__(self, buckets: int = 8192):
+        self._buckets = buckets
+        self._rows: dict[int, tuple[DataFrame, list]] = {}
+        self._unique: list = []
+        self._fks: list = []
+
+    def _row(self, df: DataFrame, name: str, bad: Column) -> Suite:
+        self._rows.setdefault(id(df), (df, []))[1].append((name, bad))
+        return self
+
+    def not_null(self, df: DataFrame, col: str, name: str | None = None) -> Suite:
+        return self._row(df, name or f"not_null:{col}", F.col(col).isNull())
+
+    def in_range(self, df: DataFrame, col: str, lo=None, hi=None, name: str | None = None) -> Suite:
+        bad = F.lit(False)
+        for bound, wrong in ((lo, lambda x: F.col(col) < x), (hi, lambda x: F.col(col) > x)):
+            bad = bad if bound is None else bad | wrong(F.lit(bound))
+        return self._row(df, name or f"range:{col}", bad)
+
+    def accepted(self, df: DataFrame, col: str, values: Sequence, name: str | None = None) -> Suite:
+        """Non-null values outside ``values``."""
+        return self._row(df, name or f"accepted:{col}", F.col(col).isNotNull() & ~F.col(col).isin(*values))
+
+    def unique(self, df: DataFrame, keys: Sequence[str], name: str | None = None) -> Suite:
+        """Key groups (NULL is a value) that occur more than once."""
+        self._unique.append((name or f"unique:{','.join(keys)}", df, list(keys)))
+        return self
+
+    def foreign_key(self, child: DataFrame, col: str, parent: DataFrame, parent_col: str,
+                    name: str | None = None) -> Suite:
+        """Child rows with a non-null key (an integer) absent from the parent."""
+        self._fks.append((name or f"fk:{col}", child, col, parent, parent_col))
+        return self
+
+    def run(self) -> DataFrame:
+        """(check, violations), one row per check."""
+        parts = [self._row_checks(df, rules) for df, rules in self._rows.values()]
+        if self._unique:
+            parts.append(self._unique_checks())
+        if self._fks:
+            parts.append(self._fk_checks())
+        return reduce(DataFrame.unionByName, parts)
+
+    @staticmethod
+    def _row_checks(df: DataFrame, rules: list) -> DataFrame:
+        one = df.agg(*[F.count(F.when(bad, 1)).alias(f"n{i}") for i, (_, bad) in enumerate(rules)])
+        return one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"n{i}").alias("violations"))
+                                              for i, (name, _) in enumerate(rules)])).alias("r")).select("r.*")
+
+    @staticmethod
+    def _totals(found: DataFrame, names: list[str]) -> DataFrame:
+        """Violations per check, zero where ``found`` (check, n) has none."""
+        none = found.sparkSession.createDataFrame([(n, 0) for n in names], "check string, n long")
+        return found.unionByName(none).groupBy("check").agg(F.sum("n").cast("bigint").alias("violations"))
+
+    def _unique_checks(self) -> DataFrame:
+        keys = [df.select(F.lit(name).alias("check"), F.array(*[F.col(k).cast("string") for k in cols]).alias("k"))
+                for name, df, cols in self._unique]
+        twice = (reduce(DataFrame.unionByName, keys).groupBy("check", "k").agg(F.count(F.lit(1)).alias("n"))
+                 .where(F.col("n") > 1).select("check", F.lit(1).cast("bigint").alias("n")))
+        return self._totals(twice, [name for name, *_ in self._unique])
+
+    def _keys(self, fks: list) -> DataFrame:
+        """(check, key, child) of the parents' and the children's keys."""
+        sides = []
+        for name, child, col, parent, parent_col in fks:
+            for df, c, is_child in ((child, col, True), (parent, parent_col, False)):
+                sides.append(df.select(F.lit(name).alias("check"), F.col(c).cast("bigint").alias("key"),
+                                       F.lit(is_child).alias("child")).where(F.col("key").isNotNull()))
+        return reduce(DataFrame.unionByName, sides)
+
+    def _fk_checks(self) -> DataFrame:
+        bounded, other = [], []
+        for fk in self._fks:
+            bucket = F.bitmap_bucket_number(F.col(fk[4]).cast("bigint"))
+            lo, hi = fk[3].agg(F.min(bucket), F.max(bucket)).first()
+            (bounded if lo is None or hi - lo < self._buckets else other).append(fk)
+        rows = []
+        if bounded:
+            keys = self._keys(bounded).withColumn("bucket", F.bitmap_bucket_number("key"))
+            bit = F.bitmap_bit_position("key")
+            maps = keys.groupBy("check", "bucket").agg(
+                F.bitmap_count(F.bitmap_construct_agg(bit)).alias("all"),
+                F.bitmap_count(F.bitmap_construct_agg(F.when(~F.col("child"), bit))).alias("parent"))
+            doubtful = maps.where(F.col("all") > F.col("parent")).select("check", "bucket")
+            # an inner join (doubtful buckets are distinct): a semi join would be
+            # pushed into every branch of the union, and the bitmaps made in each
+            rows.append(keys.join(doubtful, ["check", "bucket"]).select("check", "key", "child"))
+        if other:
+            rows.append(self._keys(other))
+        per_key = (reduce(DataFrame.unionByName, rows).groupBy("check", "key")
+                   .agg(F.sum(F.col("child").cast("bigint")).alias("n"), F.max(~F.col("child")).alias("known")))
+        return self._totals(per_key.where(~F.col("known")).select("check", "n"), [fk[0] for fk in self._fks])
+
+
 def profile(df: DataFrame, cols: Sequence[str] | None = None, *, approx: bool = False,
             rsd: float = 0.01) -> DataFrame:
     """Per column: rows, nulls, distinct values, min and max (as strings).

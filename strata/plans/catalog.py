@@ -190,8 +190,8 @@ register("sales_by_region", f"""
     JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     GROUP BY r_name""")(
-    lambda t: marts.sales_by_region(_fact_a(t), star.dim_customer(t.customer),
-                                    star.dim_geography(t.nation, t.region)))
+    lambda t: marts.region_sales(t.lineitem, t.orders, star.dim_customer(t.customer),
+                                 star.dim_geography(t.nation, t.region)))
 register("sales_summary", f"""
     SELECT {I('year(o_orderdate)')} AS year, {I('month(o_orderdate)')} AS month,
            CAST(SUM({M('l_extendedprice')}) AS DOUBLE) AS total_revenue,
@@ -384,9 +384,15 @@ register("sentiment_product", f"""
     LEFT JOIN part p ON turn = p.p_partkey""")(_sentiment_product)
 
 
-# The fitted probability has no SQL form (tests bound it); the labels it learns from do.
-register("text_classifier", ORACLE["weak_label"])(
-    lambda t: classifier.classify(t.documents, "doc_id", "text").select("doc_id", "weak_label"))
+# The fitted probability has no SQL form. What it must come to has: on the rows
+# that it learned from, the model tells those that the weak rule marks.
+register("text_classifier", f"""
+    SELECT doc_id, weak_label, CASE weak_label WHEN 1 THEN 'Positive' ELSE 'Negative' END AS sentiment,
+           TRUE AS probable FROM ({ORACLE["weak_label"]})""")(
+    lambda t: classifier.classify(t.documents, "doc_id", "text").select(
+        "doc_id", "weak_label", "sentiment",
+        ((_F.col("p_positive") >= 0) & (_F.col("p_positive") <= 1)
+         & ((_F.col("p_positive") > 0.5) == (_F.col("sentiment") == "Positive"))).alias("probable")))
 
 # ------------------------------------------------------------ versions, checks, masking, ...
 from ..operators import checks, masking, retention, versions  # noqa: E402
@@ -429,16 +435,16 @@ register("orders_history_expired", f"""
 
 
 def _fk_checks(t: Tables) -> DataFrame:
-    return checks.run_checks([
-        checks.foreign_key(t.orders, "o_custkey", t.customer, "c_custkey"),
-        checks.foreign_key(t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
-        checks.foreign_key(t.lineitem, "l_partkey", t.part, "p_partkey"),
-        checks.foreign_key(t.lineitem, "l_suppkey", t.supplier, "s_suppkey"),
-        checks.unique(t.orders, ["o_orderkey"]),
-        checks.unique(t.lineitem, ["l_orderkey", "l_linenumber"]),
-        checks.not_null(t.orders, "o_orderdate"),
-        checks.in_range(t.lineitem, "l_discount", 0.0, 0.1),
-    ])
+    orders, lines = t.orders, t.lineitem
+    return (checks.Suite()
+            .foreign_key(orders, "o_custkey", t.customer, "c_custkey")
+            .foreign_key(lines, "l_orderkey", orders, "o_orderkey")
+            .foreign_key(lines, "l_partkey", t.part, "p_partkey")
+            .foreign_key(lines, "l_suppkey", t.supplier, "s_suppkey")
+            .unique(orders, ["o_orderkey"])
+            .unique(lines, ["l_orderkey", "l_linenumber"])
+            .not_null(orders, "o_orderdate")
+            .in_range(lines, "l_discount", 0.0, 0.1)).run()
 
 
 register("fk_checks", """
@@ -458,6 +464,58 @@ register("fk_checks", """
     UNION ALL SELECT 'range:l_discount', COUNT(*) FROM lineitem
       WHERE l_discount < 0.0 OR l_discount > 0.1""")(_fk_checks)
 
+
+
+def _orphan_checks(t: Tables) -> DataFrame:
+    """Lines whose order, part or supplier is missing (every 50th order, every
+    third part; all suppliers are there), and values outside the accepted."""
+    lines = t.lineitem
+    return (checks.Suite()
+            .foreign_key(lines, "l_orderkey", t.orders.where(_F.col("o_orderkey") % 50 != 0), "o_orderkey")
+            .foreign_key(lines, "l_partkey", t.part.where(_F.col("p_partkey") % 3 != 0), "p_partkey")
+            .foreign_key(lines, "l_suppkey", t.supplier, "s_suppkey")
+            .accepted(t.orders, "o_orderstatus", ["F", "O"])
+            .in_range(lines, "l_quantity", 10, 40)).run()
+
+
+register("orphan_checks", """
+    SELECT 'fk:l_orderkey' AS "check", COUNT(*) AS violations FROM lineitem
+      WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 50 <> 0)
+    UNION ALL SELECT 'fk:l_partkey', COUNT(*) FROM lineitem
+      WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 3 <> 0)
+    UNION ALL SELECT 'fk:l_suppkey', COUNT(*) FROM lineitem
+      WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+    UNION ALL SELECT 'accepted:o_orderstatus', COUNT(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')
+    UNION ALL SELECT 'range:l_quantity', COUNT(*) FROM lineitem WHERE l_quantity < 10 OR l_quantity > 40""")(
+    _orphan_checks)
+
+from ..operators import profiles  # noqa: E402
+
+
+def _profile_merged(t: Tables) -> DataFrame:
+    """Profiles of the orders of each year, merged without reading the orders
+    again: the exact part, and whether each estimate is within its error of
+    the whole table's figure."""
+    orders = t.orders.select(*_PROFILE_COLS, "o_totalprice", _F.year("o_orderdate").alias("year"))
+    stored = _stored(t, "profiles")
+    cols = [*_PROFILE_COLS, "o_totalprice"]
+    profiles.partial(orders, cols, ["year"]).write.partitionBy("year").parquet(stored)
+    whole = profiles.merged(t.spark.read.parquet(stored))
+    table = profiles.summary(whole, quantiles=[0.5])
+    true = checks.profile(orders, cols).select("column", _F.col("distinct").alias("_distinct"))
+    # the estimated median's rank, and the count of the most frequent status
+    half = table.where(_F.col("column") == "o_totalprice").select(_F.col("quantiles")[0].alias("m"))
+    below = (orders.join(half).agg(_F.avg((_F.col("o_totalprice") <= _F.col("m")).cast("double")).alias("r"))
+             .select((_F.abs(_F.col("r") - 0.5) <= 0.03).alias("median_fits")))
+    status = orders.groupBy("o_orderstatus").count().agg(_F.max("count").alias("_most"))
+    top = _F.when(_F.col("column") == "o_orderstatus", _F.col("top")[0]["count"] == _F.col("_most")).otherwise(True)
+    return (table.join(true, "column").join(below).join(status).select(
+        "column", "rows", "nulls", _F.when(_F.col("column") != "o_totalprice", _F.col("min")).alias("min"),
+        _F.when(_F.col("column") != "o_totalprice", _F.col("max")).alias("max"),
+        (_F.abs(_F.col("distinct") - _F.col("_distinct")) <= 0.06 * _F.col("_distinct")).alias("distinct_fits"),
+        "median_fits", top.alias("top_fits")))
+
+
 _PROFILE_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
 register("profile_orders", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls,
@@ -465,6 +523,13 @@ register("profile_orders", " UNION ALL ".join(
                CAST(MAX({c}) AS VARCHAR) AS max FROM orders""" for c in _PROFILE_COLS))(
     lambda t: checks.profile(t.orders, _PROFILE_COLS))
 
+register("profile_merged", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls,
+               {f'CAST(MIN({c}) AS VARCHAR)' if c != 'o_totalprice' else 'CAST(NULL AS VARCHAR)'} AS min,
+               {f'CAST(MAX({c}) AS VARCHAR)' if c != 'o_totalprice' else 'CAST(NULL AS VARCHAR)'} AS max,
+               TRUE AS distinct_fits, TRUE AS median_fits, TRUE AS top_fits FROM orders"""
+    for c in [*_PROFILE_COLS, "o_totalprice"]))(_profile_merged)
+
 register("masked_customers", """
     SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal,
            CASE WHEN c_mktsegment IS NULL THEN NULL ELSE '*****' END AS c_mktsegment
@@ -683,6 +748,107 @@ register("upsert_stored_orders", f"""
     FROM ({ORACLE["dim_order"]})""")(_upsert_stored_orders)
 
 
+from . import archive as _archive  # noqa: E402
+from . import reconcile as _reconcile  # noqa: E402
+
+
+def _damaged_landing(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Orders, and what a RAW landing of them with planted faults reads: every
+    101st order is lost, every 103rd twice there, every 107th has another price."""
+    k = _F.col("o_orderkey")
+    rows = t.orders.where(k % 101 != 0).withColumn(
+        "o_totalprice", _F.when((k % 107 == 0) & (k % 103 != 0), _F.col("o_totalprice") + 1).otherwise(_F.col("o_totalprice")))
+    root = _stored(t, "landing")
+    rawzone.land(rows.unionByName(rows.where(k % 103 == 0)), root, "orders", _dt.datetime(2024, 1, 1, 0))
+    return t.orders, rawzone.read_raw(t.spark, root, "orders")
+
+
+def _reconciled(t: Tables) -> _reconcile.Reconciliation:
+    source, landed = _damaged_landing(t)
+    return _reconcile.landing(source, landed, "orders", _F.substring("o_orderdate", 1, 7), "o_orderkey")
+
+
+register("reconcile_differences", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS key,
+           CASE WHEN o_orderkey % 101 = 0 THEN 'lost' WHEN o_orderkey % 103 = 0 THEN 'doubled' ELSE 'changed' END AS kind,
+           CAST(1 AS BIGINT) AS source_rows,
+           CAST(CASE WHEN o_orderkey % 101 = 0 THEN 0 WHEN o_orderkey % 103 = 0 THEN 2 ELSE 1 END AS BIGINT) AS landed_rows
+    FROM orders WHERE o_orderkey % 101 = 0 OR o_orderkey % 103 = 0 OR o_orderkey % 107 = 0""")(
+    lambda t: _reconciled(t).differences())
+register("reconcile_windows", """
+    SELECT strftime(o_orderdate, '%Y-%m') AS "window", COUNT(*) AS source_rows,
+           CAST(SUM(CASE WHEN o_orderkey % 101 = 0 THEN 0 WHEN o_orderkey % 103 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS landed_rows,
+           bool_and(o_orderkey % 101 <> 0 AND o_orderkey % 103 <> 0 AND o_orderkey % 107 <> 0) AS same
+    FROM orders GROUP BY 1""")(lambda t: _reconciled(t).windows())
+
+
+def _archived_orders(t: Tables) -> DataFrame:
+    """dim_order partitioned by month in many small files; the months before
+    1999 go to the archive, packed. Both tiers together are the table."""
+    hot, cold, parts = _stored(t, "hot"), _stored(t, "archive"), ["year", "month"]
+    d = star.dim_order(t.orders)
+    d.withColumns({"year": _F.year("orderdate"), "month": _F.month("orderdate")}).repartition(4).write.partitionBy(*parts).parquet(hot)
+    _archive.archive(t.spark, hot, cold, parts, _F.col("year").cast("int") < 1999)
+    rows = _archive.tiers(t.spark, hot, cold, parts)
+    return rows.select(*d.columns, "tier")
+
+
+register("archived_orders", f"""
+    SELECT *, CASE WHEN orderdate < DATE '1999-01-01' THEN 'archive' ELSE 'hot' END AS tier
+    FROM ({ORACLE["dim_order"]})""")(_archived_orders)
+
+
+def _marts_maintained(t: Tables) -> DataFrame:
+    """The star of the orders before 2000 with its marts' state, then a refresh
+    with the orders from June 1999 on, prices one up: the marts that followed
+    the refresh by its changes, one row per group."""
+    from . import jobs, maintain
+
+    class Source:
+        def __init__(self, **changed):
+            self._changed = changed
+
+        def __getattr__(self, name):
+            return self._changed[name] if name in self._changed else getattr(t, name)
+
+    warehouse, day = _stored(t, "maintained"), _F.col("o_orderdate").cast("date")
+    jobs.init_datawarehouse(t.spark, Source(orders=t.orders.where(day < _F.lit("2000-01-01").cast("date"))), warehouse)
+    jobs.init_maintained_marts(t.spark, warehouse)
+    later = t.orders.where(day >= _F.lit("1999-06-01").cast("date"))
+    dearer = t.lineitem.withColumn("l_extendedprice", _F.col("l_extendedprice") + 1)
+    jobs.refresh_datawarehouse(t.spark, Source(orders=later, lineitem=dearer), warehouse, on_duplicate="ignore",
+                               maintain_marts=True)
+    kept = maintain.view(t.spark, warehouse)
+    rows = [kept["sales_by_customer"].select(_F.lit("customer").alias("mart"), _F.col("custkey").cast("string").alias("grp"),
+                                             "total_revenue", "total_orders"),
+            kept["sales_by_region"].select(_F.lit("region"), "regionname", "total_revenue", "total_orders"),
+            kept["sales_summary"].select(_F.lit("month"), (_F.col("year") * 100 + _F.col("month")).cast("string"),
+                                         "total_revenue", _F.col("total_quantity").cast("long"))]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
+register("marts_maintained", f"""
+    WITH f AS ({_FACT_A}),
+    delta AS (SELECT DISTINCT orderkey, partkey, suppkey, custkey, extendedprice + 1 AS extendedprice, discount, tax,
+                     quantity, orderdate, year, month, day
+              FROM f WHERE orderdate >= DATE '1999-06-01'),
+    fact AS (SELECT * FROM delta UNION ALL
+             SELECT * FROM f b WHERE orderdate < DATE '2000-01-01' AND NOT EXISTS (
+                 SELECT 1 FROM delta d WHERE d.orderkey = b.orderkey AND d.partkey = b.partkey
+                   AND d.suppkey = b.suppkey AND d.custkey = b.custkey AND d.orderdate = b.orderdate))
+    SELECT 'customer' AS mart, CAST(custkey AS VARCHAR) AS grp,
+           CAST(SUM({NET('extendedprice', 'discount')}) AS DOUBLE) AS total_revenue,
+           COUNT(DISTINCT orderkey) AS total_orders
+    FROM fact JOIN customer ON custkey = c_custkey GROUP BY custkey
+    UNION ALL
+    SELECT 'region', r_name, CAST(SUM({NET('extendedprice', 'discount')}) AS DOUBLE), COUNT(DISTINCT orderkey)
+    FROM fact JOIN customer ON custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey GROUP BY r_name
+    UNION ALL
+    SELECT 'month', CAST(year * 100 + month AS VARCHAR), CAST(SUM({M('extendedprice')}) AS DOUBLE),
+           CAST(SUM({M('quantity')}) AS BIGINT) FROM fact GROUP BY year, month""")(_marts_maintained)
+
+
 def _raw_text_roundtrip(t: Tables) -> DataFrame:
     """Whole document texts (commas, newlines) landed as RAW text and read back."""
     root = _stored(t, "raw-text")

@@ -4,43 +4,79 @@ Labels come from the weak rule (contains great / amazing / excellent);
 the model is trained and applied on the same rows, as in the job it
 replaces, but on whole texts (no truncation to a fixed token count):
 
-    RegexTokenizer -> CountVectorizer(vocabSize=1000) -> LogisticRegression
-
-Tokenizing, vocabulary counting and the optimiser's gradient steps are
-distributed; only the 1000-term vocabulary and the coefficients reach the
-driver. The sparse count vectors (far smaller than the texts) are persisted
-(memory, spilling to disk) while the optimiser passes over them, then released.
-Output: id, weak label, probability of positive, and the Positive /
-Negative prediction at threshold 0.5.
+    RegexTokenizer -> ordered grams -> HashingTF -> Normalizer -> LogisticRegression
+
+The model it replaces reads words in order. So beside its words, a text gives
+its word pairs and each word with its place (which eighth of the text), hashed
+to ``FEATURES`` columns: texts of the same words in another order have other
+features. Texts of either label weigh the same in sum, however rare a label is.
+
+Tokenizing, hashing and the optimiser's gradient steps are distributed; only
+``FEATURES`` coefficients reach the driver, and no vocabulary is counted. The
+sparse vectors are persisted (memory, spilling to disk) while the optimiser
+passes over them, then released. Output: id, weak label, probability of
+positive, and the Positive / Negative prediction at threshold 0.5.
 """
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sentiment import weak_label
 
+FEATURES, PLACES = 1 << 16, 8
+
+
+def ordered_grams(tokens: str):
+    """Words, word pairs and words with their place, of a column of tokens."""
+    w = F.col(tokens)
+    n = F.size(w)
+    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(0), n - 2),
+                                      lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1)))
+                   ).otherwise(F.array().cast("array<string>"))
+    placed = F.transform(w, lambda x, i: F.concat_ws("@", F.floor(i * F.lit(PLACES) / n).cast("string"), x))
+    return F.concat(w, pairs, placed)
+
+
+def features(df: DataFrame, text_col: str, out: str = "_features") -> DataFrame:
+    """``df`` with a normalised sparse vector of the text's grams (null text:
+    no grams)."""
+    data = df.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
+    tokens = RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern="\\W+", toLowercase=True).transform(data)
+    grams = tokens.withColumn("_grams", ordered_grams("_tokens"))
+    hashed = HashingTF(inputCol="_grams", outputCol="_counts", numFeatures=FEATURES).transform(grams)
+    return (Normalizer(inputCol="_counts", outputCol=out).transform(hashed)
+            .drop("_text", "_tokens", "_grams", "_counts"))
 
-def classify(df: DataFrame, id_col: str, text_col: str, *, vocab_size: int = 1000,
-             max_iter: int = 20, reg: float = 0.01) -> DataFrame:
-    data = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-                     weak_label(text_col).cast("double").alias("label"))
-    tokens = (RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern="\\W+", toLowercase=True)
-              .transform(data).select(id_col, "label", "_tokens"))
-    cv = CountVectorizer(inputCol="_tokens", outputCol="_features", vocabSize=vocab_size).fit(tokens)
-    feats = cv.transform(tokens).select(id_col, "label", "_features")
+
+def fit(feats: DataFrame, label: str = "label", *, max_iter: int = 20, reg: float = 1e-4) -> LogisticRegressionModel:
+    """Logistic regression of ``feats`` (a ``label`` of 0 or 1 and
+    ``_features``), either label with half of the weight."""
     kept = feats.persist(StorageLevel.MEMORY_AND_DISK)  # for the optimiser's passes only
     try:
-        lr = LogisticRegression(featuresCol="_features", labelCol="label", maxIter=max_iter,
-                                regParam=reg, probabilityCol="_prob").fit(kept)
+        sizes = {r[0]: r[1] for r in kept.groupBy(label).count().collect()}  # two rows
+        share = F.when(F.col(label) == 1, F.lit(1.0 / sizes.get(1, 1))).otherwise(F.lit(1.0 / sizes.get(0, 1)))
+        weighted = kept.withColumn("_weight", share * (sum(sizes.values()) / max(1, len(sizes))))
+        return LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", maxIter=max_iter,
+                                  regParam=reg, probabilityCol="_prob", standardization=False).fit(weighted)
     finally:
         kept.unpersist()
+
+
+def rate(feats: DataFrame, model: LogisticRegressionModel) -> DataFrame:
+    """``p_positive`` and ``sentiment`` (Positive above 0.5) added."""
     p = vector_to_array("_prob")[1]
-    return lr.transform(feats).select(F.col(id_col), F.col("label").cast("int").alias("weak_label"),
-                                      p.alias("p_positive"),
-                                      F.when(p > 0.5, "Positive").otherwise("Negative")
-                                      .alias("sentiment"))
+    return (model.transform(feats).withColumn("p_positive", p)
+            .withColumn("sentiment", F.when(F.col("p_positive") > 0.5, "Positive").otherwise("Negative"))
+            .drop("_prob", "_features", "rawPrediction", "prediction"))
+
+
+def classify(df: DataFrame, id_col: str, text_col: str, *, max_iter: int = 20, reg: float = 1e-4) -> DataFrame:
+    data = df.select(F.col(id_col), F.col(text_col).alias("_in"), weak_label(text_col).cast("double").alias("label"))
+    feats = features(data, "_in").drop("_in")
+    rated = rate(feats, fit(feats, max_iter=max_iter, reg=reg))
+    return rated.select(F.col(id_col), F.col("label").cast("int").alias("weak_label"), "p_positive", "sentiment")

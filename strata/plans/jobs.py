@@ -23,7 +23,7 @@ from ..sinks import swap
 from ..sinks.writer import save_star, write_by_name, write_table
 from ..sources import rawzone
 from ..sources.comments import generate_comments
-from . import classifier, ledger, marts, refresh, sentiment, star
+from . import classifier, ledger, maintain, marts, refresh, sentiment, star
 
 STAR_TABLES = ("dim_customer", "dim_supplier", "dim_part", "dim_order", "dim_geography", "dim_time", "fact_sales")
 SANDBOX_CONTRACT = T.StructType([
@@ -89,12 +89,28 @@ def create_datamarts(spark: SparkSession, warehouse: str, variant: str = "orderd
 
 
 def refresh_datawarehouse(spark: SparkSession, raw, warehouse: str, mode: str = "reference",
-                          dims: bool = False, on_duplicate: str = "error") -> None:
+                          dims: bool = False, on_duplicate: str = "error", maintain_marts: bool = False) -> int:
+    """Merge the staging rows into the stored order-date fact; the ledger gets
+    how many this run merged. With ``maintain_marts`` the marts' state
+    (``init_maintained_marts``) follows by the changes alone."""
     root = _zone(warehouse, "datawarehouse")
-    refresh.refresh_tables(raw, f"{root}/fact_sales", f"{root}/dim_order", mode=mode, dims=dims,
-                           on_duplicate=on_duplicate)
-    ledger.record(spark, f"{warehouse}/ledger", "refresh_datawarehouse", mode,
-                  rows_out=spark.read.parquet(f"{root}/fact_sales").count())
+    if maintain_marts:
+        merged = maintain.refresh_marts(spark, raw, lambda: read_star(spark, warehouse), f"{root}/fact_sales",
+                                        warehouse, mode=mode, on_duplicate=on_duplicate)
+        if dims:
+            refresh.refresh_dim_order(raw, f"{root}/dim_order", on_duplicate)
+    else:
+        merged = refresh.refresh_tables(raw, f"{root}/fact_sales", f"{root}/dim_order", mode=mode, dims=dims,
+                                        on_duplicate=on_duplicate)
+    ledger.record(spark, f"{warehouse}/ledger", "refresh_datawarehouse", mode, rows_out=merged)
+    return merged
+
+
+def init_maintained_marts(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
+    """Build the state of the order-date marts from the stored star; refreshes
+    with ``maintain_marts`` keep it up to date."""
+    maintain.rebuild(spark, read_star(spark, warehouse), warehouse)
+    return maintain.view(spark, warehouse)
 
 
 def init_sandbox(spark: SparkSession, warehouse: str, n_comments: int, customers: int,

@@ -18,8 +18,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.casts import safe_cast
 from ..functions.money import NET_SCALE, amount_avg, amount_sum, any_nan, net_sum, net_units, sum_units, to_amount
 
+#: nations that a task may hold for a look-up
+GEOGRAPHY = 10_000
+
 # ---------------------------------------------------------------- variant A
 
 
@@ -68,6 +72,41 @@ def sales_summary(fact: DataFrame) -> DataFrame:
                  amount_sum("quantity").alias("total_quantity")))
 
 
+def region_sales(lineitem: DataFrame, orders: DataFrame, dim_customer: DataFrame,
+                 dim_geography: DataFrame) -> DataFrame:
+    """``sales_by_region`` from lines and orders, without a stored fact.
+
+    The customer's region joins the narrow orders before lines do, so the last
+    join is on the order key and its partitioning serves the distinct count:
+    one row per (region, order) is made where the order is, and only partial
+    counts and sums per region are shuffled after it. Five shuffles: orders and
+    customers by customer, orders and lines (summed per order first) by order,
+    regions. Distinct orders need no bitmaps or second shuffle.
+
+    The geography is looked up in the task when it has at most ``GEOGRAPHY``
+    nations, which its rows prove; beyond that it is joined."""
+    geo = dim_geography.select("nationkey", "regionname")
+    cust = dim_customer.select("custkey", "nationkey")
+    few = geo.limit(GEOGRAPHY + 1).collect()
+    if len(few) <= GEOGRAPHY:
+        geo = F.broadcast(geo.sparkSession.createDataFrame(few, geo.schema))
+    cust = cust.join(geo, "nationkey").select("custkey", "regionname")
+    o = orders.select(safe_cast(orders, "o_orderkey", "bigint").alias("orderkey"),
+                      safe_cast(orders, "o_custkey", "bigint").alias("custkey"))
+    of_region = o.join(cust, "custkey").select("orderkey", "regionname")
+    price, discount = (safe_cast(lineitem, c, "double") for c in ("l_extendedprice", "l_discount"))
+    lines = lineitem.select(safe_cast(lineitem, "l_orderkey", "bigint").alias("orderkey"),
+                            price.alias("price"), discount.alias("discount"))
+    per_order = lines.groupBy("orderkey").agg(sum_units(net_units("price", "discount")).alias("_rev"),
+                                              any_nan("price", "discount").alias("_nan"))
+    # an order that several rows bring to a region counts once, its lines each time
+    both = (of_region.join(per_order, "orderkey").groupBy("orderkey", "regionname")
+            .agg(F.sum("_rev").alias("_rev"), F.max("_nan").alias("_nan")))
+    return both.groupBy("regionname").agg(
+        F.when(F.max("_nan"), F.lit(float("nan"))).otherwise(to_amount(F.sum("_rev"), NET_SCALE)).alias("total_revenue"),
+        F.count(F.lit(1)).alias("total_orders"))
+
+
 # ---------------------------------------------------------------- variant B
 # The dimension left joins of the source pipeline do not change these
 # aggregates (dimension keys are unique), so they are not planned.

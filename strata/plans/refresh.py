@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.upsert import merge_frames, upsert_table
+from ..session import shared_copy
 from . import star as star_mod
 
 FACT_KEYS = ("orderkey", "partkey", "suppkey", "custkey", "orderdate")
@@ -48,12 +49,19 @@ def refreshed_fact(target: DataFrame, lineitem: DataFrame, orders: DataFrame,
 
 def refresh_tables(raw, fact_path: str, dim_order_path: str | None = None,
                    mode: str = "reference", dims: bool = False,
-                   on_duplicate: str = "error") -> None:
+                   on_duplicate: str = "error") -> int:
     """Upsert the staging rows into the stored fact (touched year/month
-    partitions only) and, with ``dims``, upsert dim_order on orderkey."""
-    staging = staging_fact(raw.lineitem, raw.orders, mode)
-    upsert_table(staging, fact_path, fact_keys(mode), partition_cols=("year", "month"),
-                 on_duplicate=on_duplicate, order_by=["extendedprice"])
+    partitions only) and, with ``dims``, upsert dim_order on orderkey. Returns
+    the number of rows merged into the fact."""
+    with shared_copy(staging_fact(raw.lineitem, raw.orders, mode), "staging") as staging:
+        upsert_table(staging, fact_path, fact_keys(mode), partition_cols=("year", "month"),
+                     on_duplicate=on_duplicate, order_by=["extendedprice"])
+        merged = staging.count()
     if dims and dim_order_path:
-        upsert_table(star_mod.dim_order(raw.orders).distinct(), dim_order_path, ["orderkey"],
-                     on_duplicate=on_duplicate, order_by=["orderdate"])
+        refresh_dim_order(raw, dim_order_path, on_duplicate)
+    return merged
+
+
+def refresh_dim_order(raw, path: str, on_duplicate: str = "error") -> None:
+    upsert_table(star_mod.dim_order(raw.orders).distinct(), path, ["orderkey"],
+                 on_duplicate=on_duplicate, order_by=["orderdate"])

@@ -3,10 +3,15 @@
 One extract = one table (or query) read by ``num_partitions`` concurrent
 tasks. Splitting follows the column type:
 
-* numeric / date / timestamp ``split_by``: equal-width ranges between the
-  column's MIN and MAX (one aggregate row fetched from the database), the
-  built-in ``partitionColumn / lowerBound / upperBound / numPartitions``;
-* text ``split_by`` (or any column): explicit ``predicates``, one task each;
+* ``split="quantile"``: split points are the keys of equally spaced ranks,
+  asked from the database (one counting query, then one row per point), so a
+  dense key range is cut where its rows are. Numbers, dates and text alike;
+  both ends are open and NULL keys go with the first split. One key is never
+  cut: a split holds at most a share of the rows and the copies of one key;
+* ``split="range"``: equal-width ranges between a number's or date's MIN and MAX
+  (one aggregate row), the built-in ``partitionColumn / lowerBound /
+  upperBound / numPartitions``, without ordered queries in the database;
+* explicit ``predicates``, one task each;
 * no ``split_by``: a single task (small tables).
 
 A half-open window ``lo <= col < hi`` and an incremental high-water mark
@@ -15,8 +20,9 @@ database's WHERE clause.
 """
 from __future__ import annotations
 
+import decimal
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +36,10 @@ class ExtractSpec:
     window_col: str | None = None
     window: tuple[str, str] | None = None      # half-open [lo, hi)
     check_column: str | None = None             # incremental append column
-    predicates: tuple[str, ...] = ()            # explicit splits (text columns)
+    predicates: tuple[str, ...] = ()            # explicit splits
+    split: str = "range"                        # or "quantile"
+    # the row of a rank in an ordered query, in the database's dialect
+    row_at: str = "OFFSET {rank} ROWS FETCH NEXT 1 ROWS ONLY"
     fetchsize: int = 10_000
     lower_case_columns: bool = True             # o_orderkey whatever the DB's case
     options: dict = field(default_factory=dict)
@@ -43,18 +52,20 @@ BATCH_SPECS = {
     "nation": ExtractSpec("nation", num_partitions=1),
     "region": ExtractSpec("region", num_partitions=1),
     "supplier": ExtractSpec("supplier", num_partitions=1),
-    "customer": ExtractSpec("customer", split_by="c_nationkey", num_partitions=4),
-    "part": ExtractSpec("part", split_by="p_size", num_partitions=4),
-    "partsupp": ExtractSpec("partsupp", split_by="ps_partkey", num_partitions=4),
-    "orders": ExtractSpec("orders", split_by="o_orderdate", num_partitions=4,
+    "customer": ExtractSpec("customer", split_by="c_nationkey", num_partitions=4, split="quantile"),
+    "part": ExtractSpec("part", split_by="p_size", num_partitions=4, split="quantile"),
+    "partsupp": ExtractSpec("partsupp", split_by="ps_partkey", num_partitions=4, split="quantile"),
+    "orders": ExtractSpec("orders", split_by="o_orderdate", num_partitions=4, split="quantile",
                           window_col="o_orderdate", window=("1992-01-01", "1994-01-01")),
-    "lineitem": ExtractSpec("lineitem", split_by="l_shipdate", num_partitions=4,
+    "lineitem": ExtractSpec("lineitem", split_by="l_shipdate", num_partitions=4, split="quantile",
                             window_col="l_shipdate", window=("1992-01-01", "1992-06-01")),
 }
 INCREMENTAL_SPECS = {
     # by mark alone: a date window beside it would leave rows out for good
-    "orders": ExtractSpec("orders", split_by="o_orderdate", num_partitions=4, check_column="o_orderkey"),
-    "lineitem": ExtractSpec("lineitem", split_by="l_shipdate", num_partitions=4, check_column="l_orderkey"),
+    "orders": ExtractSpec("orders", split_by="o_orderdate", num_partitions=4, split="quantile",
+                          check_column="o_orderkey"),
+    "lineitem": ExtractSpec("lineitem", split_by="l_shipdate", num_partitions=4, split="quantile",
+                            check_column="l_orderkey"),
 }
 
 
@@ -97,13 +108,55 @@ def split_bounds(spark: SparkSession, url: str, props: dict, spec: ExtractSpec,
     return row[0], row[1]
 
 
+def _literal(value) -> str:
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def quantile_points(spark: SparkSession, url: str, props: dict, spec: ExtractSpec,
+                    last_value=None, upper_value=None) -> list:
+    """Distinct keys of ranks n/k, 2n/k, ... of the rows that the extract takes
+    (its window and marks), ascending; at most ``num_partitions - 1``."""
+    where = " WHERE " + " AND ".join([*_where(spec, last_value, upper_value), f"{spec.split_by} IS NOT NULL"])
+    ask = lambda q: _reader(spark, url, props, spec).option("query", q).load()
+    rows = int(ask(f"SELECT COUNT(*) AS n FROM {spec.table}{where}").first()[0])
+    ranks = sorted({rows * i // spec.num_partitions for i in range(1, spec.num_partitions)} - {0})
+    points = []
+    for rank in ranks:
+        q = (f"SELECT {spec.split_by} AS k FROM {spec.table}{where} ORDER BY {spec.split_by} "
+             + spec.row_at.format(rank=rank))
+        key = ask(q).first()[0]
+        if not points or key != points[-1]:
+            points.append(key)
+    return points
+
+
+def quantile_predicates(spark: SparkSession, url: str, props: dict, spec: ExtractSpec,
+                        last_value=None, upper_value=None) -> tuple[str, ...]:
+    """One predicate per split; together they hold every row once. A key that
+    spans a whole split is a split of its own start."""
+    points, c = quantile_points(spark, url, props, spec, last_value, upper_value), spec.split_by
+    if not points:
+        return ()
+    at = [_literal(p) for p in points]
+    first = f"({c} < {at[0]} OR {c} IS NULL)"
+    middle = [f"{c} >= {a} AND {c} < {b}" for a, b in zip(at, at[1:])]
+    return (first, *middle, f"{c} >= {at[-1]}")
+
+
 def extract(spark: SparkSession, url: str, spec: ExtractSpec, props: dict | None = None,
             last_value=None, upper_value=None) -> DataFrame:
     """Read one table according to ``spec`` (lazy apart from the bounds query)."""
     props = dict(props or {})
     r = _reader(spark, url, props, spec)
-    if spec.predicates:
-        df = spark.read.jdbc(url, spec.table, predicates=list(spec.predicates),
+    predicates = spec.predicates
+    if not predicates and spec.split == "quantile" and spec.split_by and spec.num_partitions > 1:
+        predicates = quantile_predicates(spark, url, props, spec, last_value, upper_value)
+        if not predicates:  # too few rows to split
+            spec = replace(spec, split_by=None)
+    if predicates:
+        df = spark.read.jdbc(url, spec.table, predicates=list(predicates),
                              properties={**props, **spec.options,
                                          "fetchsize": str(spec.fetchsize)})
     elif spec.split_by and spec.num_partitions > 1:
@@ -138,12 +191,13 @@ def window_filter(df: DataFrame, spec: ExtractSpec, last_value=None,
 
 def text_predicates(column: str, boundaries: Sequence[str]) -> tuple[str, ...]:
     """Predicates splitting a text column at the given sorted boundaries
-    (plus a NULL split), for ``ExtractSpec.predicates``."""
+    (plus a NULL split), for ``ExtractSpec.predicates``; ``split="quantile"``
+    finds boundaries itself."""
     preds, prev = [], None
-    for b in boundaries:
-        preds.append(f"{column} < '{b}'" if prev is None else f"{column} >= '{prev}' AND {column} < '{b}'")
+    for b in map(_literal, boundaries):
+        preds.append(f"{column} < {b}" if prev is None else f"{column} >= {prev} AND {column} < {b}")
         prev = b
-    preds.append(f"{column} >= '{prev}'" if prev is not None else f"{column} IS NOT NULL")
+    preds.append(f"{column} >= {prev}" if prev is not None else f"{column} IS NOT NULL")
     preds.append(f"{column} IS NULL")
     return tuple(preds)
 

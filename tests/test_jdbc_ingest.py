@@ -160,3 +160,55 @@ def test_incremental_specs_leave_no_rows_out(spark, tables, scratch):
         ingest.ingest_incremental(spark, source, scratch, dt.datetime(2024, 6, 1, hour), f"{scratch}/ledger")
     for n in ("orders", "lineitem"):
         assert rawzone.read_raw(spark, scratch, n).count() == getattr(tables, n).count()
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Half of the keys in a hundredth of their range, NULLs among numbers and
+    dates, texts that share beginnings and hold quotes."""
+    url = f"jdbc:derby:memory:skewed{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": DRIVER}
+    i = F.col("id")
+    df = spark.range(2000).select(
+        i.alias("ID"),
+        F.when(i % 50 != 7, F.when(i % 2 == 0, i % 100).otherwise(i * 5)).alias("N"),
+        F.when(i % 50 != 8, F.date_add(F.lit("2020-01-01").cast("date"), F.when(i % 3 != 0, i % 60).otherwise(i).cast("int"))).alias("D"),
+        F.concat(F.when(i % 4 != 0, "it's-").otherwise("zz"), F.lpad(i.cast("string"), 5, "0")).alias("T"))
+    df.write.option("createTableColumnTypes", "T VARCHAR(20)").jdbc(url, "skewed", properties=props)
+    return url, props
+
+
+@pytest.mark.parametrize("column", ["n", "d", "t"])
+@pytest.mark.parametrize("parts", [4, 7])
+def test_quantile_splits_are_balanced(spark, skewed, column, parts):
+    """Numbers, dates and text: each row once, no split above twice the median."""
+    url, props = skewed
+    spec = ExtractSpec("skewed", split_by=column, num_partitions=parts, split="quantile")
+    df = extract(spark, url, spec, props)
+    sizes = sorted(r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect())
+    assert len(sizes) == parts == df.rdd.getNumPartitions() and sum(sizes) == 2000
+    assert df.select("id").distinct().count() == 2000
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    if column == "n":  # equal-width ranges of the same table
+        wide = extract(spark, url, ExtractSpec("skewed", split_by=column, num_partitions=parts), props)
+        most = wide.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert most > 1.5 * sizes[-1]
+
+
+def test_quantile_splits_of_windows_few_rows_and_one_key(spark, skewed, derby):
+    url, props = skewed
+    window = ExtractSpec("skewed", split_by="n", num_partitions=3, split="quantile", window_col="d",
+                         window=("2020-01-01", "2020-02-01"), check_column="id")
+    taken = extract(spark, url, window, props, 100, 1500)
+    whole = extract(spark, url, ExtractSpec("skewed"), props)
+    want = whole.where("d >= '2020-01-01' and d < '2020-02-01' and id > 100 and id <= 1500")
+    assert sorted(r.id for r in taken.collect()) == sorted(r.id for r in want.collect())
+    sizes = [r["count"] for r in taken.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    empty = ExtractSpec("skewed", split_by="n", num_partitions=3, split="quantile", check_column="id")
+    assert extract(spark, url, empty, props, 10**6).count() == 0
+    assert extract(spark, url, empty, props, 1998).count() == 1
+    # one key holds most rows: it is a split, nothing is lost
+    url, props, o = derby
+    hot = extract(spark, url, ExtractSpec("orders", split_by="o_orderstatus", num_partitions=8, split="quantile"), props)
+    assert hot.count() == o.count() and hot.rdd.getNumPartitions() <= 4  # three keys, and what lies before the first

@@ -4,7 +4,8 @@ from conftest import SF001
 from strata.plans.catalog import QUERIES
 
 # they run jobs while they are built
-EAGER = {"stream_incremental_orders", "stream_late_orders", "fact_via_raw_twice", "fact_upsert", "upsert_stored_orders", "rollback_orders"}
+EAGER = {"stream_incremental_orders", "stream_late_orders", "fact_via_raw_twice", "marts_maintained", "archived_orders",
+         "profile_merged", "fact_upsert", "upsert_stored_orders", "rollback_orders"}
 
 
 def plan(df):
@@ -88,3 +89,30 @@ def test_line_marts_read_no_orders(spark):
     for name in ("supplier_performance", "inventory_summary", "order_fulfillment"):
         p = plan(E.queries()[name](spark, SF001))
         assert "orders.parquet" not in p and "Join" not in p, name
+
+
+def test_sales_by_region_takes_five_shuffles(spark):
+    """Cluster shape: orders and customers by customer, orders and lines by
+    order, regions. The distinct count reuses the order key's partitioning."""
+    import re
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(E.queries()["sales_by_region"](spark, SF001))
+        keys = re.findall(r"Exchange hashpartitioning\((\w+?)#", p)
+        assert sorted(keys) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey", "regionname"] or len(keys) == 5, keys
+        assert p.count("Exchange hashpartitioning") == 5, p
+        # the geography goes to the tasks: at most GEOGRAPHY rows, which the driver has counted
+        assert p.count("BroadcastExchange") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_large_geographies_are_joined(spark, tables, monkeypatch):
+    from strata.plans import marts, star
+    args = (tables.lineitem, tables.orders, star.dim_customer(tables.customer), star.dim_geography(tables.nation, tables.region))
+    few = sorted(map(tuple, marts.region_sales(*args).collect()))
+    monkeypatch.setattr(marts, "GEOGRAPHY", 3)
+    assert sorted(map(tuple, marts.region_sales(*args).collect())) == few
+    fact = star.fact_sales(tables.lineitem, tables.orders)
+    assert sorted(map(tuple, marts.sales_by_region(fact, *args[2:]).collect())) == few

@@ -100,3 +100,41 @@ def test_classifier_reproduces_its_weak_labels(spark, tables):
     assert agree / len(out) >= 0.95
     want = {r.doc_id: r.w for r in tables.documents.select("doc_id", S.weak_label("text").alias("w")).collect()}
     assert {r.doc_id: r.weak_label for r in out} == want
+
+
+def test_classifier_learns_word_order(spark):
+    """Every text has the same words; which of two comes first, and which pairs
+    meet, decides the label. A bag of words cannot tell them apart."""
+    import random
+    from strata.plans import classifier
+    rnd, rows = random.Random(3), []
+    for i in range(240):
+        rest = rnd.sample([f"w{j}" for j in range(12)], 12)
+        cut = rnd.randrange(13)
+        good = i % 2
+        pair = ["fully", "recommended", "never", "returned"] if good else ["never", "recommended", "fully", "returned"]
+        rows.append((i, " ".join(rest[:cut] + pair + rest[cut:]), float(good)))
+    df = spark.createDataFrame(rows, "id long, text string, label double")
+    feats = classifier.features(df, "text")
+    model = classifier.fit(feats.where("id < 160"))
+    held = classifier.rate(feats.where("id >= 160"), model).collect()
+    assert sum((r.sentiment == "Positive") == (r.label == 1) for r in held) == len(held) == 80
+    # first or last eighth of the text: same pairs, other places
+    rows = []
+    for i in range(240):
+        body = [f"v{rnd.randrange(9)}" for _ in range(30)]
+        rows.append((i, " ".join(["sign", *body, "end"] if i % 2 else ["end", *body, "sign"]), float(i % 2)))
+    feats = classifier.features(spark.createDataFrame(rows, "id long, text string, label double"), "text")
+    rated = classifier.rate(feats.where("id >= 160"), classifier.fit(feats.where("id < 160"))).collect()
+    assert all((r.sentiment == "Positive") == (r.label == 1) for r in rated)
+
+
+def test_classifier_odd_texts_and_nothing_left_cached(spark):
+    from strata.plans.classifier import classify
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    rows = [(1, None), (2, ""), (3, "great"), (4, "word"), (5, "%%%"), (6, "Great " * 5000)]
+    out = {r.id: r for r in classify(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect()}
+    assert {k: r.weak_label for k, r in out.items()} == {1: 0, 2: 0, 3: 1, 4: 0, 5: 0, 6: 1}
+    assert {k for k, r in out.items() if r.sentiment == "Positive"} == {3, 6}
+    assert all(0 <= r.p_positive <= 1 for r in out.values())
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
