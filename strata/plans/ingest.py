@@ -18,9 +18,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_copy
 from ..sources import rawzone
 from ..sources.jdbc import BATCH_SPECS, INCREMENTAL_SPECS, ExtractSpec, window_filter
 from . import ledger
+from .reconcile import landing
 
 class Source:
     """Where extracts come from: ``extract(spec, last, upper)`` gives the
@@ -79,6 +81,32 @@ def ingest_batch(spark: SparkSession, source: Source, raw_root: str, run_ts: dt.
     return out
 
 
+class LandingMismatch(ValueError):
+    pass
+
+
+def validate_landing(spark: SparkSession, source: Source, raw_root: str, run_ts: dt.datetime, name: str,
+                     spec: ExtractSpec, window, key: str, ledger_path: str | None = None, fmt: str = "text") -> int:
+    """Compare what this run's hour holds of a table with the source's extract,
+    as multisets per ``window`` (an expression over the RAW columns). Returns
+    the rows; a difference raises ``LandingMismatch`` with the first windows
+    that differ. The ledger gets source rows in and landed rows out."""
+    hour = dict(p.split("=") for p in rawzone.partition_path(run_ts).split("/"))
+    landed = rawzone.read_raw(spark, raw_root, name, fmt=fmt)
+    for c, v in hour.items():
+        landed = landed.where(F.col(c) == v)
+    found = landing(source.extract(spec), landed, name, window, key)
+    with shared_copy(found.windows(), "windows") as windows:
+        total = windows.agg(F.sum("source_rows"), F.sum("landed_rows")).first()
+        bad = windows.where(~F.col("same")).orderBy("window").limit(5).collect()
+    if ledger_path:
+        ledger.record(spark, ledger_path, "validate_landing", name, run_ts=run_ts, rows_in=total[0] or 0, rows_out=total[1] or 0)
+    if bad:
+        raise LandingMismatch(f"{name}: " + "; ".join(
+            f"window {r['window']}: {r['source_rows']} rows in the source, {r['landed_rows']} landed" for r in bad))
+    return total[0] or 0
+
+
 def ingest_incremental(spark: SparkSession, source: Source, raw_root: str, run_ts: dt.datetime,
                        ledger_path: str, specs: dict[str, ExtractSpec] | None = None) -> dict:
     """Append rows past each table's high-water mark; record the new mark.

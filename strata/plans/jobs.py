@@ -23,7 +23,7 @@ from ..sinks import swap
 from ..sinks.writer import save_star, write_by_name, write_table
 from ..sources import rawzone
 from ..sources.comments import generate_comments
-from . import classifier, ledger, maintain, marts, refresh, sentiment, star
+from . import archive, classifier, ledger, maintain, marts, refresh, sentiment, star
 
 STAR_TABLES = ("dim_customer", "dim_supplier", "dim_part", "dim_order", "dim_geography", "dim_time", "fact_sales")
 SANDBOX_CONTRACT = T.StructType([
@@ -113,6 +113,26 @@ def init_maintained_marts(spark: SparkSession, warehouse: str) -> dict[str, Data
     return maintain.view(spark, warehouse)
 
 
+def archive_fact(spark: SparkSession, warehouse: str, before: str, target_bytes: int = archive.TARGET_BYTES) -> int:
+    """Move the fact's months before the date ``before`` (its month stays hot)
+    to the archive zone, packed into files of ``target_bytes``; the ledger gets
+    how many partitions went. ``read_fact_tiers`` reads both."""
+    year, month = F.col("year").cast("int"), F.col("month").cast("int")
+    cut = F.to_date(F.lit(before))
+    cold = (year * 12 + month) < (F.year(cut) * 12 + F.month(cut))
+    moved = archive.archive(spark, f"{_zone(warehouse, 'datawarehouse')}/fact_sales",
+                            f"{_zone(warehouse, 'archive')}/fact_sales", ["year", "month"], cold, target_bytes)
+    ledger.record(spark, f"{warehouse}/ledger", "archive_fact", before, rows_out=moved)
+    return moved
+
+
+def read_fact_tiers(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The fact with both tiers' rows, and ``tier``."""
+    rows = archive.tiers(spark, f"{_zone(warehouse, 'datawarehouse')}/fact_sales",
+                         f"{_zone(warehouse, 'archive')}/fact_sales", ["year", "month"])
+    return rows.withColumns({c: F.col(c).cast("int") for c in ("year", "month")})
+
+
 def init_sandbox(spark: SparkSession, warehouse: str, n_comments: int, customers: int,
                  mode: str = "hash", seed: int = 42) -> DataFrame:
     """Generate comments into raw/customer_comments, score and enrich them

@@ -50,15 +50,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster it must be set: a folder of one machine is not seen by the
     others. Only a local session, whose tasks all run in this process, gets a
-    private folder when it is unset.
+    private folder when it is unset; the context keeps it.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not d:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        kept = context._jsc.sc().getCheckpointDir()
+        if kept.isDefined():
+            return kept.get()
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+        return context._jsc.sc().getCheckpointDir().get()
+    context.setCheckpointDir(d)
     return d
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..sources import rawzone
 
@@ -48,6 +49,29 @@ def register_raw_table(spark: SparkSession, table: str, root: str, db: str = "ra
     return name
 
 
+def _plain(column: str) -> str:
+    """SQL of a RAW text field as it was before landing (``rawzone.land``
+    escapes backslash, comma and line ends)."""
+    step = f"replace({column}, '{BS * 2}', chr(10))"  # no text line holds a line end
+    for mark, code in (("c", 44), ("r", 13)):
+        step = f"replace({step}, '{BS}{mark}', chr({code}))"
+    return (f"array_join(transform(split({step}, chr(10)), x -> replace(x, '{BS}n', chr(10))), '{BS}')")
+
+
+#: a backslash inside a SQL string
+BS = "\\" * 2
+
+
+def register_raw_view(spark: SparkSession, table: str, db: str = "raw") -> str:
+    """View ``<table>_plain`` over a registered RAW text table: text columns
+    unescaped, everything else as it is."""
+    cols = [f"{_plain(f.name)} AS {f.name}" if f.dataType == T.StringType() else f.name
+            for f in rawzone.raw_schema(table, with_partitions=False).fields]
+    name = f"{db}.{table}_plain"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join([*cols, *rawzone.PARTITION_COLS])} FROM {db}.{table}")
+    return name
+
+
 def register_csv_table(spark: SparkSession, name: str, location: str, ddl: str) -> str:
     """External CSV table whose files start with a header line (skipped)
     and quote with ``"`` (escape ``"``), e.g. the social-comments files."""
@@ -90,8 +114,6 @@ def describe(spark: SparkSession, name: str | None = None) -> dict:
     out = {"databases": [d.name for d in spark.catalog.listDatabases()]}
     if name:
         out["ddl"] = spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
-        try:
-            out["partitions"] = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-        except Exception:  # noqa: BLE001 - unpartitioned
-            out["partitions"] = []
+        parted = any(c.isPartition for c in spark.catalog.listColumns(name))
+        out["partitions"] = [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] if parted else []
     return out

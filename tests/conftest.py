@@ -16,11 +16,6 @@ def spark():
     wh = tempfile.mkdtemp(prefix="strata-test-wh-")
     s = build_session("local[4]", app="strata-tests", shuffle_partitions=8,
                       extra={"spark.sql.warehouse.dir": wh})
-    # tests run without a cluster: give them a private checkpoint folder
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="strata-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
     s.stop()
 

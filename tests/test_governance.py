@@ -208,3 +208,72 @@ def test_a_wrong_copy_keeps_the_hot_rows(spark, scratch, monkeypatch):
     with pytest.raises(ValueError, match="archive differs"):
         archive.archive(spark, hot, cold, PARTS, F.col("year").cast("int") < 1998)
     assert rows_of(spark.read.parquet(hot)) == want
+
+
+# ---------------------------------------------------------------- in the jobs
+
+def test_landing_is_validated_against_its_source(spark, tables, scratch):
+    import datetime as dt
+    from strata.plans import ingest, ledger
+    from strata.sources import rawzone
+    from strata.sources.jdbc import ExtractSpec
+    run, specs = dt.datetime(2024, 1, 1, 5), {"orders": ExtractSpec("orders"), "lineitem": ExtractSpec("lineitem")}
+    src = ingest.frame_source({"orders": tables.orders, "lineitem": tables.lineitem})
+    ingest.ingest_batch(spark, src, scratch, run, specs)
+    day = {"orders": (F.substring("o_orderdate", 1, 4), "o_orderkey"), "lineitem": (F.substring("l_shipdate", 1, 4), "l_orderkey")}
+    for name, (window, key) in day.items():
+        n = ingest.validate_landing(spark, src, scratch, run, name, specs[name], window, key, f"{scratch}/ledger")
+        assert n == getattr(tables, name).count()
+    rawzone.land(tables.orders.where("o_orderkey = 7"), scratch, "orders", run, mode="append")
+    with pytest.raises(ingest.LandingMismatch, match="landed"):
+        ingest.validate_landing(spark, src, scratch, run, "orders", specs["orders"], *day["orders"], f"{scratch}/ledger")
+    entries = [r for r in ledger.read_ledger(spark, f"{scratch}/ledger").collect() if r.target == "orders"]
+    assert sorted(r.rows_out - r.rows_in for r in entries) == [0, 1]
+
+
+def test_fact_archive_job(spark, tables, scratch):
+    from strata.plans import jobs
+    jobs.init_datawarehouse(spark, tables, scratch)
+    whole = jobs.read_star(spark, scratch).fact_sales
+    cols, want = whole.columns, whole.count()
+    old = whole.where("orderdate < '1997-05-01'").count()
+    assert jobs.archive_fact(spark, scratch, "1997-05-20") == 28  # months of 1995, 1996, and four
+    both = jobs.read_fact_tiers(spark, scratch)
+    assert {r["tier"]: r["count"] for r in both.groupBy("tier").count().collect()} == {"archive": old, "hot": want - old}
+    assert both.select(*cols).exceptAll(jobs.star.fact_sales(tables.lineitem, tables.orders).select(*cols)).count() == 0
+    assert jobs.archive_fact(spark, scratch, "1997-05-20") == 0
+
+
+def test_escaped_raw_text_reads_plain_from_the_catalog(spark, scratch):
+    import datetime as dt
+    from strata.sinks import catalog
+    from strata.sources import rawzone
+    rows = [(1, "a,b"), (2, "back\\slash"), (3, "\\n"), (4, "line\nend\r"), (5, None), (6, "\\\\c"), (7, "plain"), (8, "")]
+    rawzone.land(spark.createDataFrame(rows, "custkey long, comment string"), scratch, "customer_comments", dt.datetime(2024, 1, 1))
+    catalog.create_zones(spark, ["raw_plain"])
+    try:
+        table = catalog.register_raw_table(spark, "customer_comments", scratch, db="raw_plain")
+        view = catalog.register_raw_view(spark, "customer_comments", db="raw_plain")
+        got = {r.custkey: r.comment for r in spark.table(view).collect()}
+        assert {k: v or None for k, v in got.items()} == {k: v or None for k, v in rows}
+        assert catalog.describe(spark, table)["partitions"] and catalog.describe(spark, view)["partitions"] == []
+    finally:
+        catalog.drop_zones(spark, ["raw_plain"], reset=True)
+
+
+def test_entry_without_the_corpus_modules(tmp_path):
+    """An empty folder left of the subpackage, or one of its libraries absent."""
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = tmp_path / "repo"
+    shutil.copytree(os.path.join(root, "strata"), copy / "strata", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), copy)
+    ask = [sys.executable, "-B", "-c", "import __spark_entry__ as e; print(len(e.queries()), 'pipeline' in e.queries())"]
+    for make in (None, "__pycache__"):
+        if make:
+            (copy / "strata" / "llm" / make).mkdir(parents=True)
+        out = subprocess.run(ask, cwd=copy, capture_output=True, text=True, timeout=120)
+        from strata.plans.catalog import QUERIES
+        assert out.stdout.split() == [str(len(QUERIES)), "False"], out.stderr
