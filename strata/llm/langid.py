@@ -14,17 +14,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 WINDOW, EMBED, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 12
-#: the sample: at most about so many texts of each language (by hash of the
-#: key), so many windows of each text, and so many languages (most frequent)
-PER_LANG, PER_TEXT, LANGS = 600, 3, 64
+#: the sample: at most so many texts of each language (by hash of key and text),
+#: so many windows of each text, and so many languages: the most frequent, of at
+#: least so many texts. Others are never predicted.
+PER_LANG, PER_TEXT, LANGS, LEAST = 600, 3, 64, 8
 STEPS, BATCH, RATE = 500, 128, 0.01
-LEAST = 8  # texts a language must have in the sample's source
 
 # one byte per ASCII letter, a space for every other ASCII character
 _TABLE = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -139,8 +139,13 @@ def sample(docs: DataFrame, learn) -> DataFrame:
              .orderBy(F.desc("n"), "lang").limit(LANGS).collect())
     share = F.lit(0)
     for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], min(1_000_000, int(1e6 * PER_LANG / r["n"]) + 1)).otherwise(share)
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
+        share = F.when(F.col("lang") == r["lang"], min(1_000_000, int(1.3e6 * PER_LANG / r["n"]) + 1)).otherwise(share)
+    # the share spares most rows the ranking; the rank bounds the sample where
+    # rows are equal (a task keeps PER_LANG of a language before the shuffle)
+    drawn = rows.withColumn("_hash", F.xxhash64("doc_id", "text")).where(
+        F.pmod("_hash", F.lit(1_000_000)) < share)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
+    picked = drawn.withColumn("_rank", rank).where(F.col("_rank") <= PER_LANG)
     at = [F.substring(F.col("text"), F.floor(F.length("text") * i / PER_TEXT).cast("int") + 1, F.lit(WINDOW))
           for i in range(PER_TEXT)]
     return picked.select("lang", F.explode(F.array(*at)).alias("part")).where(F.length(F.trim("part")) >= 20)

@@ -32,9 +32,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: the sample: at most so many labelled rows of either class, by hash
+#: the sample: at most so many labelled rows of either class, by hash, and one
+#: text of each key, so that a key which many rows share gives one row too
 PER_CLASS = 12_000
-#: candidates that are weighed, entries that may be chosen, words a task counts
+#: of the fit: candidates that are weighed (those seen in most toxic texts of
+#: the sample), entries that may be chosen; words a task counts before it passes them on
 CANDIDATES, ENTRIES, HELD = 4096, 1024, 100_000
 SURE, SUSPECTED = 0.97, 0.8
 SHORTEST, LONGEST, SCOPE = 3, 12, 3
@@ -142,16 +144,17 @@ class Lexicon:
         if not text:
             return
         low, done = text.lower(), -1
+        start, ends = 0, _CLAUSE_END.finditer(low)
+        end_of = next(ends, None)
         for end, size in self.auto.iter(low):
             at = end - size + 1
             if at < done or (at and low[at - 1].isalnum()):
                 continue
-            start = 0
-            for m in _CLAUSE_END.finditer(low, max(0, at - 2000), at):
-                start = m.end()
-            start = max(start, at - 2000)
-            m = _CLAUSE_END.search(low, at)
-            stop = m.start() if m else len(low)
+            # the ends are passed once, however long a clause is; hits inside
+            # one word may come out of order, but no clause ends in a word
+            while end_of is not None and end_of.start() < at:
+                start, end_of = end_of.end(), next(ends, None)
+            stop = end_of.start() if end_of is not None else len(low)
             done = stop
             state = 0
             for w in _WORD.findall(low, start, stop):
@@ -183,8 +186,9 @@ class Model:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
     """(doc_id, text, toxic, weight): at most ``PER_CLASS`` labelled rows of
-    each class, chosen by hash among those where ``learn`` holds; ``weight`` is
-    how many labelled rows each stands for."""
+    each class, chosen by hash among those where ``learn`` holds, of the rows
+    that share a key the text of smallest hash; ``weight`` is how many labelled
+    rows each stands for."""
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).where(learn)
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     known = common.written(known, "toxic-labels")
@@ -192,8 +196,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
     parts = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS)
              .withColumn("weight", F.lit(max(1.0, sizes.get(c, 0) / PER_CLASS))) for c in (0, 1)]
     # at most 2 * PER_CLASS rows are broadcast
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").where(F.col("text").isNotNull()))
+    rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(F.col("text").isNotNull())
+            .join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id"))
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return (rows.groupBy("doc_id", "toxic", "weight").agg(one)
+            .select("doc_id", F.col("one.text").alias("text"), "toxic", "weight"))
 
 
 def _words(text: str) -> set:
