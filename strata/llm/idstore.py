@@ -138,7 +138,10 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
     """Encode every whole text (null: empty), append ``end_id`` and write the
     shards under ``path``; returns the manifest (one row per shard, read back
     from ``path/manifest``). Keys ascend through the shards; a null key comes
-    first; rows that share a key are stored each, next to one another."""
+    first; rows that share a key are stored each, next to one another, by the
+    hash of their text, so a key of many texts goes over several shards. An
+    empty table gives no shards. Executors write with plain file calls (or an
+    Arrow file system, for a URI): ``path`` must be shared by all machines."""
     spark = docs.sparkSession
     shards = shards or common.shuffle_parts(spark)
     wide = _vocabulary(tokenizer) > 1 << 16
@@ -180,8 +183,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
                               ("most", pa.int64())]))
 
     ordered = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-               .repartitionByRange(shards, F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
+               .withColumn("_hash", F.xxhash64("text"))
+               .repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "_hash")
+               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_hash", "text").drop("_hash"))
     common.map_arrow(ordered, run, MANIFEST).write.parquet(f"{path}/manifest")
     return read_manifest(spark, path)
 

@@ -174,7 +174,8 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, salts: int | None = None
     an empty table gives an empty result."""
     spark = pieces.sparkSession
     salts = salts or 4 * common.shuffle_parts(spark)
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    told_apart = [c for c in ("doc_id", "piece", "ids_crc32") if c in pieces.columns]
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*told_apart), F.lit(salts)).cast("int"))
     counts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.select(
         "length", "_salt",
@@ -185,7 +186,7 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, salts: int | None = None
     segments, _ = plan_segments(hist, capacity)
     plan = spark.createDataFrame(
         segments, "length long, _first long, _pieces long, _sequence long, offset long")
-    number = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece"))
+    number = F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*told_apart))
     numbered = (salted.withColumn("_in", number.cast("long") - 1)
                 .join(before, ["length", "_salt"])
                 .withColumn("_number", F.col("_in") + F.col("_before")))
