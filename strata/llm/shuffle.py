@@ -1,14 +1,17 @@
 """Two-pass external shuffle of records into equal shards.
 
-Pass one scatters every record, whole, to a bucket by a seeded hash; a bucket
-is meant to fit in one task's memory (``bucket_bytes``). Pass two gives each
-bucket a Fisher-Yates shuffle from a generator seeded by (seed, bucket) and
+Pass one scatters every record, whole, to a bucket by a seeded hash of key and
+text; a bucket is meant to fit in one task's memory (``bucket_bytes``). Records
+that share key and text and together exceed a quarter of that are counted,
+numbered and scattered one by one, so many equal records spread over buckets like
+others. Pass two gives each bucket a Fisher-Yates shuffle from a generator seeded by (seed, bucket) and
 writes it. A record's place in the whole order is its bucket's offset plus its
 place in the bucket; records are dealt to shards by place, so the numbers of
 rows of any two shards differ by at most one (law ``rows``).
 
 The order depends on the rows and the seed alone, not on partitions or tasks:
-a task that is run again writes the same rows.
+a task that is run again writes the same rows. (Equal records are numbered, and
+a bucket is sorted by all columns first.)
 """
 from __future__ import annotations
 
@@ -24,6 +27,8 @@ from . import common
 BUCKET_BYTES = 24 << 20
 #: 16 MB of bucket offsets, for 24 TB of records
 BROADCAST_BUCKETS = 1 << 20
+#: equal records that a task makes of one counted record
+COPIES = 1000
 
 
 def bucket_count(docs: DataFrame, bucket_bytes: int) -> int:
@@ -42,6 +47,31 @@ def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(seq, np.int64)
 
 
+def _scattered(docs: DataFrame, payload: list[str], seed: int, buckets: int, bucket_bytes: int) -> DataFrame:
+    """(r, bucket) of every record."""
+    text = F.xxhash64("r.text")
+    rows = docs.select(F.struct(*payload).alias("r")).withColumn("_h", F.xxhash64(F.lit(seed), F.col("r.doc_id"), text))
+    size = F.coalesce(F.octet_length("r.text"), F.lit(0)) + 16
+    # narrow rows, summed in the tasks first; at most four of these per bucket
+    hot = (rows.groupBy("_h").agg(F.sum(size).alias("bytes")).where(F.col("bytes") * 4 > bucket_bytes)
+           .select("_h", F.ceil(F.col("bytes") * 4 / F.lit(bucket_bytes)).alias("parts")))
+    hot = common.written(hot, "hot")
+    n = hot.count()
+    by = lambda *h: F.pmod(F.xxhash64(*h), F.lit(buckets)).cast("int").alias("bucket")
+    plain = F.pmod("_h", F.lit(buckets)).cast("int").alias("bucket")
+    if not n:
+        return rows.select("r", plain)
+    hot = F.broadcast(hot) if n <= BROADCAST_BUCKETS else hot
+    cold = rows.join(hot, "_h", "left_anti").select("r", plain)
+    counted = rows.join(hot, "_h").groupBy("_h", "parts", "r").agg(F.count(F.lit(1)).alias("n"))
+    step = F.lit(COPIES).cast("long")
+    runs = counted.select("_h", "parts", "r", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, step)).alias("lo"))
+    copies = runs.repartition("_h", "lo").select(
+        "_h", "parts", "r", F.explode(F.sequence("lo", F.least(F.col("lo") + step, F.col("n")) - 1)).alias("copy"))
+    spread = F.pmod(F.xxhash64(F.xxhash64("r"), "copy"), F.col("parts"))
+    return cold.unionByName(copies.select("r", by("_h", spread)))
+
+
 def write_shuffled(docs: DataFrame, path: str, shards: int = 40, seed: int = 17,
                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Write the shuffled records of ``docs`` (all columns; needs ``doc_id``
@@ -51,17 +81,17 @@ def write_shuffled(docs: DataFrame, path: str, shards: int = 40, seed: int = 17,
     spark = docs.sparkSession
     buckets = bucket_count(docs, bucket_bytes)
     payload = [c for c in docs.columns if c not in ("shard", "slot")]
-    scattered = docs.select(F.struct(*payload).alias("r")).withColumn(
-        "bucket", F.pmod(F.xxhash64(F.lit(seed), F.col("r.doc_id"), F.xxhash64("r.text")), F.lit(buckets)).cast("int"))
+    scattered = _scattered(docs, payload, seed, buckets, bucket_bytes)
     schema = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("place", T.LongType()),
                            scattered.schema["r"]])
 
     def run(key, table):
         bucket = key[0].as_py()
         rows = table.column("r").combine_chunks()
-        ids = pa.Table.from_arrays([rows.field("doc_id"), rows.field("text")], ["k", "t"])
         # rows reach a bucket in any order: sort first
-        first = pc.sort_indices(ids, sort_keys=[("k", "ascending"), ("t", "ascending")])
+        flat = [i for i in range(rows.type.num_fields) if not pa.types.is_nested(rows.type[i].type)]
+        ids = pa.Table.from_arrays([rows.field(i) for i in flat], [str(i) for i in flat])
+        first = pc.sort_indices(ids, sort_keys=[(str(i), "ascending") for i in flat])
         order = fisher_yates(len(rows), np.random.default_rng([seed, bucket]))
         taken = rows.take(first.take(pa.array(order)))
         return pa.Table.from_arrays([pa.array(np.full(len(rows), bucket, np.int32)),
