@@ -8,8 +8,10 @@ pair with centres q, r and covering radii s, t no inner product exceeds
     <q, r> + |q| t + |r| s + s t,
 
 so the pair is dropped when that is below the worst kth score within the query
-node. Before any pair is walked, each query has a kth score from a bounded set
-of seed vectors, so that blocks far from it end at their roots.
+node. Before any row is copied, each query has a kth score from a bounded set of
+seed vectors, and the same bound, with a data block's pivot and its true covering
+radius, names the blocks that can still hold a better one: a query goes to those
+blocks only, and a data block only to the query blocks that ask for it.
 
 Vectors become integers floor(scale * x); scores are exact (sums of products
 below 2^53). A vector that is null or holds a null or non-finite component
@@ -25,8 +27,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: rows of a data block and of a query block, pivots, seed vectors
-DATA_BLOCK, QUERY_BLOCK, PIVOTS, SEEDS = 8192, 2048, 64, 2048
+#: rows of a data block and of a query block, pivots, seed vectors (pivots are
+#: seeds; beyond as many full blocks, a pivot's rows are cut by hash)
+DATA_BLOCK, QUERY_BLOCK, PIVOTS, SEEDS = 8192, 2048, 2048, 2048
 #: points of a leaf, children of a node
 LEAF, FAN = 128, 32
 
@@ -150,29 +153,27 @@ def dual_search(q_ids, queries, d_ids, data, k: int, worst: np.ndarray):
 
 
 def _blocked(df: DataFrame, pivots: np.ndarray, rows: int, name: str) -> DataFrame:
-    """Add a block number: nearest pivot, and a salt where a pivot has more
-    than ``rows`` rows."""
-    spark = df.sparkSession
-    schema = "vec_id long, v array<long>, pivot int"
+    """(vec_id, v, far, pivot, block): nearest pivot, the distance to it, and a
+    block number; a pivot with more than ``rows`` rows has several blocks."""
+    schema = "vec_id long, v array<long>, pivot int, far double"
 
     def near(batches):
         for b in batches:
             m = matrix(b.column(1))
             w = max(m.shape[1], pivots.shape[1])
-            p = _widen(pivots, w)
-            d = (p ** 2).sum(1)[None, :] - 2 * _widen(m, w) @ p.T
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1),
-                                              pa.array(d.argmin(1).astype(np.int32))], ["vec_id", "v", "pivot"])
+            m, p = _widen(m, w), _widen(pivots, w)
+            d = (m ** 2).sum(1)[:, None] - 2 * m @ p.T + (p ** 2).sum(1)[None, :]
+            at = d.argmin(1)
+            far = np.sqrt(((m - p[at]) ** 2).sum(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at.astype(np.int32)), pa.array(far)],
+                                             ["vec_id", "v", "pivot", "far"])
 
-    if not len(pivots):
-        return df.withColumn(name, F.lit(0))
     out = common.written(df.select("vec_id", "v").mapInArrow(near, schema), name)
-    sizes = out.groupBy("pivot").count().collect()  # one row per pivot
-    parts = [(r["pivot"], -(-r["count"] // rows)) for r in sizes]
-    parts = spark.createDataFrame(parts or [(0, 1)], "pivot int, parts int")
-    return (out.join(F.broadcast(parts), "pivot")
-            .select("vec_id", "v", (F.col("pivot").cast("long") * (1 << 32)
-                                    + F.pmod(F.xxhash64("vec_id", "v"), F.col("parts"))).alias(name)))
+    sizes = out.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("parts"))
+    # one row per pivot, at most PIVOTS
+    return (out.join(F.broadcast(sizes), "pivot")
+            .select("vec_id", "v", "far", "pivot", (F.col("pivot").cast("long") * (1 << 32)
+                                                    + F.pmod(F.xxhash64("vec_id", "v"), F.col("parts"))).alias(name)))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
@@ -181,32 +182,62 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     (vec_id, v); a key's rows are candidates each, and query rows of one key
     share one ranking; fewer than ``k`` candidates give fewer rows; an empty
     side gives none."""
+    found = asked(vectors, queries, k)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def pairs_to_walk(vectors: DataFrame, queries: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Query rows, each with the data blocks it goes to, and data rows, each
+    with the query blocks that ask for its block."""
+    spark = vectors.sparkSession
     # bounded samples by hash: pivots to cut blocks, seeds for first kth scores
     seeds = vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v").limit(SEEDS).toArrow()
     seed_ids, seed_v = np.array(seeds.column(0).to_pylist(), np.int64), matrix(seeds.column(1))
 
     def pivots(df, rows):  # as many as full blocks, at most PIVOTS
-        return seed_v[:max(1, min(PIVOTS, df.count() // rows))]
+        return (seed_v if len(seed_v) else np.zeros((1, 1)))[:max(1, min(PIVOTS, df.count() // rows))]
 
-    def first(batches):
+    d_pivots = pivots(vectors, DATA_BLOCK)
+    d = _blocked(vectors, d_pivots, DATA_BLOCK, "d_block")
+    q = _blocked(queries, pivots(queries, QUERY_BLOCK), QUERY_BLOCK, "q_block")
+    # one narrow row per data block: pivot and covering radius
+    blocks = d.groupBy("d_block", "pivot").agg(F.max("far").alias("radius")).toArrow()
+    block = np.array(blocks.column("d_block").to_pylist(), np.int64)
+    centre = d_pivots[np.array(blocks.column("pivot").to_pylist(), np.int64)]
+    radius = np.array(blocks.column("radius").to_pylist(), np.float64)
+    shared = spark.sparkContext.broadcast((seed_ids, seed_v, block, centre, radius))
+
+    def ask(batches):
+        seed_ids, seed_v, block, centre, radius = shared.value
         for b in batches:
             q_ids, m = np.array(b.column(0).to_pylist(), np.int64), matrix(b.column(1))
-            w = max(m.shape[1], seed_v.shape[1])
-            score = _widen(m, w) @ _widen(seed_v, w).T
+            w = max(m.shape[1], seed_v.shape[1], centre.shape[1])
+            m = _widen(m, w)
+            score = m @ _widen(seed_v, w).T
             score[q_ids[:, None] == seed_ids[None, :]] = -np.inf
             kth = (np.partition(score, -k, axis=1)[:, -k] if score.shape[1] >= k
                    else np.full(len(m), -np.inf))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(kth, pa.float64())],
-                                             ["vec_id", "v", "q_block", "worst"])
-
-    d = _blocked(vectors, pivots(vectors, DATA_BLOCK), DATA_BLOCK, "d_block")
-    q = _blocked(queries, pivots(queries, QUERY_BLOCK), QUERY_BLOCK, "q_block")
-    d_blocks = d.select(F.col("d_block").alias("d_other")).distinct()
-    q_blocks = q.select(F.col("q_block").alias("q_other")).distinct()
-    q = q.mapInArrow(first, "vec_id long, v array<long>, q_block long, worst double")
-    # the grid of blocks: a stated query set against all rows
-    left = q.join(d_blocks, how="cross")
-    right = d.join(q_blocks, how="cross")
+            top = m @ _widen(centre, w).T + np.sqrt((m ** 2).sum(1))[:, None] * radius[None, :]
+            near = top + 1e-9 * np.abs(top) + 1e-6 >= kth[:, None]
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), b.column(1), b.column(2), pa.array(kth, pa.float64()),
+                pa.array([block[row] for row in near], pa.list_(pa.int64()))],
+                ["vec_id", "v", "q_block", "worst", "d_blocks"])
+
+    asking = common.written(q.select("vec_id", "v", "q_block").mapInArrow(
+        ask, "vec_id long, v array<long>, q_block long, worst double, d_blocks array<long>"), "asking")
+    left = asking.select("vec_id", "v", "q_block", "worst", F.explode("d_blocks").alias("d_block"))
+    wanted = (asking.select(F.col("q_block").alias("q_other"), F.explode("d_blocks").alias("d_block"))
+              .distinct())
+    # an inner join on the block: a block goes once to each query block that asks for it
+    right = d.select("vec_id", "v", "d_block").join(wanted, "d_block")
+    return left, right
+
+
+def asked(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the best of every (query block, data block)."""
+    left, right = pairs_to_walk(vectors, queries, k)
 
     def pair(lt, rt):
         q_ids = np.array(lt.column("vec_id").to_pylist(), np.int64)
@@ -218,7 +249,5 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
                          "vec_id": pa.array(ids[r, c], pa.int64()),
                          "score": pa.array(best[r, c].astype(np.int64), pa.int64())})
 
-    found = (left.groupBy("q_block", "d_other").cogroup(right.groupBy("q_other", "d_block"))
-             .applyInArrow(pair, "query_id long, vec_id long, score long"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return (left.groupBy("q_block", "d_block").cogroup(right.groupBy("q_other", "d_block"))
+            .applyInArrow(pair, "query_id long, vec_id long, score long"))
