@@ -153,6 +153,75 @@ def op12_grammar_repair(spark, sf_dir):
     return repair.report(damaged(rows), rows)
 
 
+def _edit(state: str, cost: str, letter: str, text: str = "''") -> str:
+    """SQL: an edit appended to a state {v: cost in 8 digits and audit, t: text}."""
+    return (f"CASE WHEN {state} IS NULL THEN NULL ELSE {{'v': lpad(CAST(CAST(left({state}.v, 8) AS BIGINT) + {cost} "
+            f"AS VARCHAR), 8, '0') || substr({state}.v, 9) || '{letter}', 't': {state}.t || {text}}} END")
+
+
+_USER, _ASSISTANT, _OWN = "chr(10) || 'user:'", "chr(10) || 'assistant:'", "chr(10) || role || ':' || text"
+_INSERT_U = f"least(s2, {_edit('s0', '2', 'I', _USER)}, {_edit('s1', '2', 'I', _USER)}, {_edit('s3', '2', 'I', _USER)})"
+_INSERT_A = f"least(s3, {_edit('i2', '2', 'I', _ASSISTANT)})"
+#: crc32 by its bits; the four states of the automaton walked turn by turn
+ORACLE["op12_grammar_repair"] = f"""
+    WITH RECURSIVE hashed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+                       string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                       lambda c: CAST(ord(c) AS BIGINT))),
+                   lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                                            lambda x, z: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)))),
+                   CAST(4294967295 AS BIGINT)) % 20 AS code
+        FROM conversations),
+    damaged AS (
+        SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE code WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+               unnest(range(CASE code WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM hashed WHERE code <> 0),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos,
+               rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core FROM damaged),
+    faulty AS (
+        SELECT *, CASE WHEN core = '' THEN 'blank'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                       WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+               lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair FROM placed),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(pos) AS pos,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM faulty GROUP BY conv_id),
+    walk AS (
+        SELECT conv_id, CAST(0 AS BIGINT) AS pos, {{'v': '00000000', 't': ''}} AS s0, CAST(NULL AS STRUCT(v VARCHAR, t VARCHAR)) AS s1,
+               CAST(NULL AS STRUCT(v VARCHAR, t VARCHAR)) AS s2, CAST(NULL AS STRUCT(v VARCHAR, t VARCHAR)) AS s3 FROM counts
+        UNION ALL
+        SELECT conv_id, pos, {_edit('s0', '3', 'D')},
+               CASE WHEN keep AND left(role, 1) = 's' THEN least({_edit('s1', '3', 'D')}, {_edit('s0', 'late', 'K', _OWN)})
+                    ELSE {_edit('s1', '3', 'D')} END,
+               CASE WHEN keep AND left(role, 1) = 'u' THEN least({_edit('i2', '3', 'D')}, {_edit('before', 'late', 'K', _OWN)},
+                                                                 {_edit('before', '2 + late', 'R', _USER + " || text")})
+                    WHEN keep THEN least({_edit('i2', '3', 'D')}, {_edit('before', '2 + late', 'R', _USER + " || text")})
+                    ELSE {_edit('i2', '3', 'D')} END,
+               CASE WHEN keep AND left(role, 1) = 'a' THEN least({_edit('i3', '3', 'D')}, {_edit('i2', 'late', 'K', _OWN)},
+                                                                 {_edit('i2', '2 + late', 'R', _ASSISTANT + " || text")})
+                    WHEN keep THEN least({_edit('i3', '3', 'D')}, {_edit('i2', '2 + late', 'R', _ASSISTANT + " || text")})
+                    ELSE {_edit('i3', '3', 'D')} END
+        FROM (SELECT *, least(s0, s1, i3) AS before FROM (SELECT *, {_INSERT_A} AS i3 FROM (
+            SELECT w.conv_id, f.pos, w.s0, w.s1, w.s2, w.s3, {_INSERT_U} AS i2, f.role, f.text,
+                   f.fault NOT IN ('blank', 'duplicate') AS keep, CASE f.fault WHEN 'truncated' THEN 1 ELSE 0 END AS late
+            FROM walk w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1)))),
+    done AS (
+        SELECT *, least(s0, {_INSERT_A}) AS best FROM (
+            SELECT c.*, s0, s3, {_INSERT_U} AS i2
+            FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.pos = w.pos))
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+           coalesce(CAST(left(best.v, 8) AS BIGINT), 0) AS cost, coalesce(substr(best.v, 9), '') AS audit,
+           sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 @query
 def op13_chunked_warc(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")

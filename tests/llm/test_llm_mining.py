@@ -132,6 +132,15 @@ def test_repair_equals_brute_force(spark):
     assert any(len(set(v[6])) > 2 for v in got.values())
 
 
+def test_sql_equals_brute_force():
+    """The query's SQL on odd rows: the brute force and it check one another."""
+    con, rows = duckdb.connect(), odd_turns(5)
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = {r[0]: r[1:] for r in con.execute(queries.ORACLE["op12_grammar_repair"]).fetchall()}
+    assert got == brute(damage(rows), {r[0] for r in rows})
+
+
 def odd_turns(seed, n=60):
     rnd = random.Random(seed)
     texts = ["Fine.", "cut off", " \t", "", None, "Yes!  ", "no, \n", "é.", "word " * 300 + "."]
