@@ -508,7 +508,7 @@ def _profile_merged(t: Tables) -> DataFrame:
     below = (orders.join(half).agg(_F.avg((_F.col("o_totalprice") <= _F.col("m")).cast("double")).alias("r"))
              .select((_F.abs(_F.col("r") - 0.5) <= 0.03).alias("median_fits")))
     status = orders.groupBy("o_orderstatus").count().agg(_F.max("count").alias("_most"))
-    top = _F.when(_F.col("column") == "o_orderstatus", _F.col("top")[0]["count"] == _F.col("_most")).otherwise(True)
+    top = _F.when(_F.col("column") == "o_orderstatus", _F.get("top", _F.lit(0))["count"] == _F.col("_most")).otherwise(True)
     return (table.join(true, "column").join(below).join(status).select(
         "column", "rows", "nulls", _F.when(_F.col("column") != "o_totalprice", _F.col("min")).alias("min"),
         _F.when(_F.col("column") != "o_totalprice", _F.col("max")).alias("max"),
