@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import os
 import uuid
 
@@ -25,7 +26,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored_in(spark.read.schema(df.schema).parquet(path), path)
+
+
+def stored_in(df: DataFrame, *folders: str) -> DataFrame:
+    """``df``, which reads these folders of ``written``."""
+    df._folders = folders
+    return df
+
+
+def forget(*frames: DataFrame) -> None:
+    """Remove what ``written`` stored for these frames: nothing reads them, or
+    anything made from them, after this."""
+    for df in frames:
+        for path in getattr(df, "_folders", ()):
+            paths.delete(df.sparkSession, path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the shuffle files of finished jobs go: Spark removes them when the
+    driver has collected their plans, which else may take half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 @contextlib.contextmanager

@@ -18,10 +18,15 @@ Which points meet in one tree:
    empty blocks than that has one among them that holds shingles: only a set
    with as many empty blocks emits those too.
    No link crosses neighbourhoods. Keys are combined before they are shuffled,
-   within batches, and a key ties its classes to the smallest one (a star), so
-   a block that a third of all classes share costs one row for each.
-3. Each neighbourhood is indexed and joined. One of more than ``TILE`` classes
-   is dealt into tiles by hash. Every tile also holds the first tile's classes,
+   within runs of ``KEYS_HELD``: a key ties its classes to the smallest one (a
+   star), so a block that a third of all classes share is one key of each run.
+   A run's keys travel packed by bucket of the key: each class once in a bucket,
+   with the low bytes of its keys there. A bucket is one task's group, of about
+   ``BUCKET_KEYS`` keys.
+3. Each neighbourhood is indexed and joined. One of more than ``TILE`` classes,
+   or more than ``HASHES`` shingles, is first cut by set size into windows of
+   two bands, each class in the two that hold its band: sets that link are at
+   most one band apart. A window that is still too large is dealt into tiles by hash. Every tile also holds the first tile's classes,
    which ties the tiles together; then only classes outside the main component
    of their neighbourhood go on to the other tiles.
 
@@ -32,6 +37,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +48,14 @@ from pyspark.sql import functions as F
 from . import common
 from .components import components
 
-GROUPS, LEAF = 64, 16
+GROUPS, LEAF = 64, 128
 #: classes of a tile; classes meant for one task of small neighbourhoods
-TILE, BUNDLE = 2048, 1024
-WORDS_HELD, CLASSES_HELD, KEYS_HELD = 300_000, 300_000, 1_000_000
+TILE, BUNDLE = 2048, 512
+WORDS_HELD, CLASSES_HELD, KEYS_HELD = 100_000, 200_000, 500_000
+#: shingles of a tile; block keys of a bucket, and the bytes of a key that are
+#: compared within one (equal by chance in a millionth of them: such a tie only
+#: makes a neighbourhood larger)
+HASHES, BUCKET_KEYS, KEY_BYTES = 500_000, 400_000, 5
 #: a neighbourhood's sizes span this ratio at most per band of block counts
 BAND = 1.25
 
@@ -152,6 +162,14 @@ def block_keys(h: np.ndarray, rule: Rule = OP6) -> np.ndarray:
     return signed(np.concatenate(out))
 
 
+def count_keys(n: int, rule: Rule = OP6) -> int:
+    """At least as many as ``block_keys`` of a set of ``n``."""
+    if n < rule.least:
+        return 0
+    low = band(max(rule.least, -(-rule.bottom * n // rule.top)), rule)
+    return sum(blocks(b, rule)[0] for b in range(low, band(n, rule) + 1))
+
+
 #: what tells rows apart: their key (0 and ``keyless`` for none) and a hash of the text
 ROW = ["key0", "keyless", "text_hash"]
 
@@ -163,86 +181,110 @@ def _row(docs: DataFrame) -> list:
 
 
 def sets_of(docs: DataFrame, rule: Rule = OP6) -> DataFrame:
-    """(doc_id, n_shingles, set_id, text_hash) of every row, and ``keys``: the
-    block keys, left out for sets that the task has lately given keys for."""
+    """(doc_id, n_shingles, set_id, n_keys, text_hash) of every row."""
 
     def run(batches):
-        shingler, given = Shingler(rule), {}
+        shingler = Shingler(rule)
         for b in batches:
-            n, ids, keys = [], [], []
+            n, ids = [], []
             for t in b.column(1):
                 h = shingler.hashes(t.as_py())
-                s = set_id(h)
                 n.append(len(h))
-                ids.append(s)
-                keys.append(b"" if s in given else block_keys(h, rule).tobytes())
-                given[s] = True
-                if len(given) > CLASSES_HELD:
-                    given.clear()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()),
-                                              pa.array(keys, pa.binary()), b.column(2)],
-                                             ["doc_id", "n_shingles", "set_id", "keys", "text_hash"])
+                ids.append(set_id(h))
+            yield pa.RecordBatch.from_arrays([
+                b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.int64()),
+                pa.array([count_keys(x, rule) for x in n], pa.int64()), b.column(2)],
+                ["doc_id", "n_shingles", "set_id", "n_keys", "text_hash"])
 
     text = F.col("text").cast("string")
     return common.map_arrow(docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text)), run,
-                            "doc_id long, n_shingles long, set_id long, keys binary, text_hash long")
-
-
-def _runs(batches):
-    ids, keys, held = [], [], 0
-    for b in batches:
-        ids += b.column(0).to_pylist()
-        keys += [np.frombuffer(k, np.int64) for k in b.column(1).to_pylist()]
-        held += sum(len(k) for k in keys[-b.num_rows:]) if b.num_rows else 0
-        if held > KEYS_HELD:
-            yield ids, keys
-            ids, keys, held = [], [], 0
-    if keys:
-        yield ids, keys
-
-
-def neighbourhoods(sets: DataFrame) -> DataFrame:
-    """(node, label): classes that share a block, directly or through others."""
-
-    def combine(batches):
-        """One row per key and run of about ``KEYS_HELD`` keys; the key's other
-        classes there are tied to its first."""
-        for ids, keys in _runs(batches):
-            k = np.concatenate(keys)
+                            "doc_id long, n_shingles long, set_id long, n_keys long, text_hash long")
+
+
+def _tied(keys: np.ndarray, classes: np.ndarray):
+    """Keys in order, each with its smallest class, and the pairs that tie its
+    other classes to that."""
+    order = np.lexsort((classes, keys))
+    k, s = keys[order], classes[order]
+    first = np.append(True, k[1:] != k[:-1])[:len(k)]
+    head = s[np.flatnonzero(first)][np.cumsum(first) - 1]
+    return k[first], s[first], np.unique(np.stack([s[~first], head[~first]], 1), axis=0)
+
+
+def _packed(keys: np.ndarray, classes: np.ndarray, buckets: int):
+    """(bucket, bytes): the bucket's classes, how many keys each has, and the
+    keys' low bytes. A bucket is a range of the keys' high halves."""
+    at = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    order = np.lexsort((classes, at))
+    at, keys, classes = at[order], keys[order], classes[order]
+    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    cuts = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)]).tolist() + [len(at)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        own, sizes = np.unique(classes[lo:hi], return_counts=True)
+        yield int(at[lo]), b"".join([np.int64(len(own)).tobytes(), own.tobytes(), sizes.astype(np.int32).tobytes(),
+                                     low[lo:hi].tobytes()])
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    own, sizes = np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.int32, n, 8 + 8 * n)
+    low = np.frombuffer(data, np.uint8, offset=8 + 12 * n).reshape(-1, KEY_BYTES)
+    wide = np.zeros((len(low), 8), np.uint8)
+    wide[:, :KEY_BYTES] = low
+    return wide.view("<u8").ravel(), np.repeat(own, sizes)
+
+
+def neighbourhoods(docs: DataFrame, n_keys: int, rule: Rule = OP6) -> DataFrame:
+    """(node, label): classes that share a block, directly or through others.
+    ``n_keys``: about how many block keys there are."""
+    buckets = min(1 << 30, max(1, -(-n_keys // BUCKET_KEYS)))
+
+    def emit(batches):
+        shingler, given, runs = Shingler(rule), {}, 0
+        ids: list[int] = []
+        keys: list[np.ndarray] = []
+
+        def run():
+            k = np.concatenate(keys).view(np.uint64)
             s = np.repeat(np.array(ids, np.int64), [len(x) for x in keys])
-            order = np.lexsort((s, k))
-            k, s = k[order], s[order]
-            first = np.append(True, k[1:] != k[:-1])
-            head = s[np.flatnonzero(first)][np.cumsum(first) - 1]
-            tied = np.unique(np.stack([s[~first], head[~first]], 1), axis=0)
-            # ties need no other rows: each goes by its own class
-            own = signed(mix(tied[:, 0].view(np.uint64) * _M1 + _M2))
-            key = pa.concat_arrays([pa.array(k[first], pa.int64()), pa.array(own, pa.int64())])
+            ids.clear()
+            keys.clear()
+            k, s, ties = _tied(k, s)
+            rows = list(_packed(k, s, buckets))
             yield pa.RecordBatch.from_arrays([
-                key, pa.array(np.concatenate([s[first], tied[:, 0]]), pa.int64()),
-                pa.concat_arrays([pa.nulls(int(first.sum()), pa.int64()), pa.array(tied[:, 1], pa.int64())])],
-                ["key", "a", "b"])
-
-    rows = sets.where(F.length("keys") > 0).select("set_id", "keys").mapInArrow(combine, "key long, a long, b long")
-    # a star per key, of partial minima: rows are already one per key and batch
-    stars = rows.withColumn("b", F.coalesce("b", F.min("a").over(common.window("key"))))
-    return components(stars.select("a", "b").where(F.col("a") != F.col("b")))
-
-
-class Forest:
-    """Union-find over positions."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
+                pa.array([x for x, _ in rows] + [runs % buckets], pa.int32()),
+                pa.array([x for _, x in rows] + [None], pa.binary()),
+                pa.array([None] * len(rows) + [ties.tobytes()], pa.binary())], ["bucket", "keys", "ties"])
 
-    def join(self, i: int, j: int) -> None:
-        self.up[self.root(i)] = self.root(j)
+        held = 0
+        for b in batches:
+            for t in b.column(0):
+                h = shingler.hashes(t.as_py())
+                s = set_id(h)
+                if s in given:
+                    continue
+                if len(given) > CLASSES_HELD:
+                    given.clear()
+                given[s] = True
+                ids.append(s)
+                keys.append(block_keys(h, rule))
+                held += len(keys[-1])
+                if held > KEYS_HELD:
+                    yield from run()
+                    held, runs = 0, runs + 1
+        if held:
+            yield from run()
+
+    def join(table):
+        rows = [_unpacked(x.as_py()) for x in table.column("keys") if x.is_valid]
+        ties = [np.frombuffer(x.as_py(), np.int64).reshape(-1, 2) for x in table.column("ties") if x.is_valid]
+        if rows:
+            ties.append(_tied(np.concatenate([k for k, _ in rows]), np.concatenate([s for _, s in rows]))[2])
+        links = np.concatenate(ties) if ties else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
+
+    rows = common.map_arrow(docs.select(F.col("text").cast("string")), emit, "bucket int, keys binary, ties binary")
+    return components(rows.groupBy("bucket").applyInArrow(join, "a long, b long").where(F.col("a") != F.col("b")))
 
 
 class RTree:
@@ -276,26 +318,57 @@ class RTree:
             at += 1
         self.upper, self.least, self.most, self.kids = np.array(upper), np.array(least), np.array(most), kids
 
-    def near(self, point: np.ndarray, size: int, rule: Rule = OP6) -> np.ndarray:
-        """Points whose overlap bound reaches the threshold."""
+    def near(self, point: np.ndarray, size: int, rule: Rule = OP6, least: int = 0) -> np.ndarray:
+        """Points of a size of ``least`` or more whose overlap bound reaches
+        the threshold."""
         top, bottom = rule.top, rule.bottom
         out, todo = [], np.array([0])
         while len(todo):
-            bound = np.minimum(self.upper[todo], point).sum(1)
+            # sizes first: they are read much faster than corners
+            small, large = self.least[todo], self.most[todo]
+            todo = todo[(large >= least) & (top * np.minimum(size, large) >= bottom * np.maximum(size, small))]
             # o >= q * (a + b - o), at the node's smallest size
-            fits = (bound * (top + bottom) >= bottom * (size + self.least[todo])) \
-                & (top * np.minimum(size, self.most[todo]) >= bottom * np.maximum(size, self.least[todo]))
-            todo = todo[fits]
-            leaves = [i for i in todo.tolist() if self.nodes[i] is not None]
-            out += [self.nodes[i] for i in leaves]
-            todo = np.array([k for i in todo.tolist() for k in self.kids[i]], np.int64)
+            bound = np.minimum(self.upper[todo], point).sum(1, dtype=np.int64)
+            todo = todo[bound * (top + bottom) >= bottom * (size + self.least[todo])].tolist()
+            out += [self.nodes[i] for i in todo if self.nodes[i] is not None]
+            todo = np.array([k for i in todo for k in self.kids[i]], np.int64)
         if not out:
             return np.zeros(0, np.int64)
         rows = np.concatenate(out)
-        bound = np.minimum(self.points[rows], point).sum(1)
+        other = self.sizes[rows]
+        rows = rows[(other >= least) & (top * np.minimum(size, other) >= bottom * np.maximum(size, other))]
+        bound = np.minimum(self.points[rows], point).sum(1, dtype=np.int64)
         return np.sort(rows[bound * (top + bottom) >= bottom * (size + self.sizes[rows])])
 
 
+class Postings:
+    """Which of a tile's sets hold each shingle: the exact overlaps of one set
+    with all others. Shingles of one set only, which most are, cost nothing."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
+        every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(every, kind="stable")
+        every = every[order]
+        first = np.append(True, every[1:] != every[:-1])
+        count = np.diff(np.append(np.flatnonzero(first), len(every)))
+        shared = np.repeat(count > 1, count)
+        self.owner = owner[order][shared]
+        count = count[count > 1]
+        self.start, self.count = np.cumsum(count) - count, count
+        code = np.full(len(every), -1)
+        code[order[shared]] = np.repeat(np.arange(len(count)), count)
+        self.code = np.split(code, np.cumsum(sizes)[:-1])
+        self.n = len(sets)
+
+    def overlaps(self, i: int) -> np.ndarray:
+        code = self.code[i]
+        code = code[code >= 0]
+        count = self.count[code]
+        ends = np.cumsum(count)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[code] - (ends - count), count)
+        return np.bincount(self.owner[at], minlength=self.n)
+
+
 def linked(a: np.ndarray, b: np.ndarray, rule: Rule = OP6) -> bool:
     both = np.concatenate([a, b])
     both.sort()
@@ -311,24 +384,31 @@ def join_tile(ids: np.ndarray, sets: list[np.ndarray], probe: np.ndarray, group:
     n = len(ids)
     if n < 2:
         return []
-    forest = Forest(n)
     sizes = np.array([len(s) for s in sets])
     points = np.stack([np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
+    if points.max() < 1 << 15:
+        points = points.astype(np.int16)
+    every = bool(probe.all())  # then a pair is found by its smaller set
     tree = RTree(points, sizes)
+    held = Postings(sets, sizes)
+    tied = np.arange(n)  # equal for sets that are connected
     seen: dict[int, int] = {}
     for i, g in enumerate(group.tolist()):
         if g != -1 and seen.setdefault(g, i) != i:
-            forest.join(i, seen[g])
+            tied[i] = seen[g]
     for i in np.flatnonzero(probe).tolist():
-        for j in tree.near(points[i], int(sizes[i]), rule).tolist():
-            if i != j and forest.root(i) != forest.root(j) and linked(sets[i], sets[j], rule):
-                forest.join(i, j)
-    # as stars: every set to the smallest of its tree
-    least: dict[int, int] = {}
-    for i in range(n):
-        r = forest.root(i)
-        least[r] = min(least.get(r, int(ids[i])), int(ids[i]))
-    return [(int(ids[i]), least[forest.root(i)]) for i in range(n) if least[forest.root(i)] != ids[i]]
+        near = tree.near(points[i], int(sizes[i]), rule, int(sizes[i]) if every else 0)
+        near = near[tied[near] != tied[i]]
+        if len(near):
+            o = held.overlaps(i)[near]
+            near = near[rule.top * o >= rule.bottom * (sizes[i] + sizes[near] - o)]
+            if len(near):
+                tied[np.isin(tied, tied[near])] = tied[i]
+    # as stars: every set to the smallest of its group
+    order = np.lexsort((ids, tied))
+    first = np.append(True, tied[order][1:] != tied[order][:-1])
+    least = ids[order][np.flatnonzero(first)][np.cumsum(first) - 1]
+    return [(int(a), int(b)) for a, b in zip(ids[order], least) if a != b]
 
 
 def _tiles(members: DataFrame, rule: Rule) -> DataFrame:
@@ -355,63 +435,92 @@ def _tiles(members: DataFrame, rule: Rule) -> DataFrame:
     return members.groupBy("bundle", "tile").applyInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> DataFrame:
-    """(a, b): links between classes that connect what the join connects."""
-    spark = docs.sparkSession
-    near = common.written(neighbourhoods(sets), "neighbourhoods")
-    sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-    small = F.greatest(F.lit(1), F.ceil(F.lit(near.count()) / F.lit(BUNDLE))).cast("long")
-    chosen = (near.join(sizes, "label")
-              .withColumn("tiles", F.ceil(F.col("size") / F.lit(TILE)))
-              .withColumn("home", F.when(F.col("tiles") > 1, F.pmod(F.xxhash64("node"), F.col("tiles")))
-                          .otherwise(F.lit(0)).cast("long"))
-              .withColumn("bundle", F.when(F.col("tiles") > 1, F.col("label"))
-                          .otherwise(F.pmod(F.xxhash64("label"), small))))
+def _sized(rows: DataFrame) -> DataFrame:
+    """Adds how many ``tiles`` each row's ``label`` needs."""
+    sizes = rows.groupBy("label").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / F.lit(TILE)), F.ceil(F.sum("n") / F.lit(HASHES))).alias("tiles"))
+    return rows.join(sizes, "label")
+
+
+def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> list[DataFrame]:
+    """Stored tables (a, b): links between classes that connect what the join
+    connects."""
+    near = neighbourhoods(docs, sets.agg(F.coalesce(F.sum("n_keys"), F.lit(0))).first()[0], rule)
     # the text of each class: that of one row, by key and text
     least = F.min(F.struct(F.col("doc_id").isNull().alias(ROW[1]),
                            F.coalesce("doc_id", F.lit(0).cast("long")).alias(ROW[0]), F.col(ROW[2])))
-    picked = sets.groupBy("set_id").agg(least.alias("row"))
-    picked = chosen.join(picked.withColumnRenamed("set_id", "node"), "node").select(*chosen.columns, "row.*")
+    picked = sets.groupBy("set_id").agg(least.alias("row"), F.max("n_shingles").alias("n"))
+    placed = common.written(near.join(picked, near["node"] == picked["set_id"])
+                            .select("node", "label", "n", "row.*"), "placed")
+    common.forget(near)
+    common.release_shuffles(docs.sparkSession)  # the keys'
+    total = placed.agg(F.count(F.lit(1)).alias("size"), F.coalesce(F.sum("n"), F.lit(0)).alias("weight")).first()
+    small = max(1, -(-total["size"] // BUNDLE), -(-total["weight"] // HASHES))
+    # windows of two bands of sizes; a band is a little wider than sizes that
+    # link are apart, so rounding cannot put them further
+    step = math.log(rule.top / rule.bottom) * 1.001
+    band_of = F.floor(F.log(F.col("n").cast("double")) / F.lit(step))
+    windows = _sized(placed).select("*", F.explode(F.when(
+        F.col("tiles") > 1, F.array(band_of - 1, band_of)).otherwise(F.array(F.lit(None).cast("long")))).alias("window"))
+    windows = windows.select("node", "n", *ROW, F.when(F.col("window").isNull(), F.col("label"))
+                             .otherwise(F.xxhash64("label", "window")).alias("label"))
+    chosen = (_sized(windows)
+              .withColumn("home", F.when(F.col("tiles") > 1, F.pmod(F.xxhash64("node"), F.col("tiles")))
+                          .otherwise(F.lit(0)).cast("long"))
+              .withColumn("bundle", F.when(F.col("tiles") > 1, F.col("label"))
+                          .otherwise(F.pmod(F.xxhash64("label"), F.lit(small))))
+              .select("node", "label", "tiles", "home", "bundle", *ROW))
 
     # rows that repeat are one before they meet, so a class has one row
     texts = docs.select(F.col("text").cast("string"), *_row(docs)).groupBy(*ROW).agg(F.min("text").alias("text"))
-    members = common.written(
-        texts.join(picked, ROW).select("text", "node", "label", "tiles", "home", "bundle"), "members")
-    members = members.select(F.col("node").alias("set_id"), F.col("label").alias("place"), "tiles", "home", "bundle",
-                             "text")
+    stored = common.written(
+        texts.join(chosen, ROW).select("text", "node", "label", "tiles", "home", "bundle"), "members")
+    common.forget(placed)
+    common.release_shuffles(docs.sparkSession)  # the texts'
+    members = stored.select(F.col("node").alias("set_id"), F.col("label").alias("place"), "tiles", "home", "bundle",
+                            "text")
     everywhere = F.when((F.col("tiles") > 1) & (F.col("home") == 0),
                         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).otherwise(F.array("home"))
     first = members.select("*", F.explode(everywhere).alias("tile"), F.lit(True).alias("probe"),
                            F.lit(-1).cast("long").alias("known"))
     found = common.written(_tiles(first, rule), "tile-links")
+    common.release_shuffles(docs.sparkSession)  # the members'
     wide = members.where(F.col("tiles") > 1)
     if wide.isEmpty():
-        return found
+        common.forget(stored)
+        return [found]
     # neighbourhoods of several tiles: classes outside the main component
     inside = components(found)
-    part = (wide.join(inside.withColumnRenamed("node", "set_id"), "set_id", "left")
-            .withColumn("known", F.coalesce("label", "set_id")).drop("label"))
-    part = common.written(part, "parts")
+    part = common.written(
+        wide.join(inside.withColumnRenamed("node", "set_id"), "set_id", "left")
+        .withColumn("known", F.coalesce("label", "set_id")).drop("label"), "parts")
+    common.forget(stored, inside)
+    common.release_shuffles(docs.sparkSession)
     weight = part.groupBy("place", "known").agg(F.count(F.lit(1)).alias("n"))
     main = weight.groupBy("place").agg(F.max_by("known", F.struct("n", "known")).alias("main"))
-    part = part.join(main, "place")
+    whole = part.join(main, "place")
     outside = F.col("known") != F.col("main")
     others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1),
                       lambda t: (t != F.col("home")) & (F.col("home") != 0))
-    asks = part.where(outside).select("*", F.explode(others).alias("tile"), F.lit(True).alias("probe"))
-    stays = part.select("*", F.col("home").alias("tile"), F.lit(False).alias("probe"))
-    again = _tiles(asks.unionByName(stays).drop("main"), rule)
-    return found.unionByName(again)
+    asks = whole.where(outside).select("*", F.explode(others).alias("tile"), F.lit(True).alias("probe"))
+    stays = whole.select("*", F.col("home").alias("tile"), F.lit(False).alias("probe"))
+    again = common.written(_tiles(asks.unionByName(stays).drop("main"), rule), "tile-links")
+    common.forget(part)
+    common.release_shuffles(docs.sparkSession)
+    return [found, again]
 
 
 def _grouped(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """The rows' sets, and (set_id, label, component_id) of every class."""
     sets = common.written(sets_of(docs, rule), "sets")
-    label = components(links(docs, sets, rule))
+    found = links(docs, sets, rule)
+    label = components(reduce(DataFrame.unionByName, found))
+    common.forget(*found)
     classes = sets.where(F.col("set_id") != 0).groupBy("set_id").agg(F.min("doc_id").alias("least"))
     classes = common.written(
         classes.join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
         .withColumn("label", F.coalesce("label", "set_id")), "classes")
+    common.forget(label)
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     return sets, classes.join(least, "label").select("set_id", "label", "component_id")
 
