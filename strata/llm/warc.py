@@ -28,8 +28,8 @@ from . import common
 
 #: bytes of a chunk, of a batch of chunks, and after which the next archive starts
 CHUNK, BATCH, ARCHIVE = 1 << 18, 1 << 23, 1 << 30
-#: smaller payloads are never revisited
-LEAST = 100
+#: smaller payloads are never revisited; deflate level of chunks and archives
+LEAST, LEVEL = 100, 5
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -59,9 +59,10 @@ class _Rows:
         return out
 
 
-def chunked(pages: DataFrame, size: int = CHUNK) -> DataFrame:
+def chunked(pages: DataFrame, size: int = CHUNK, packed: bool = False) -> DataFrame:
     """The chunk table of ``pages`` (page_id, url, html): payloads are the html
-    in UTF-8. A null or empty one is a single empty chunk."""
+    in UTF-8. A null or empty one is a single empty chunk. ``packed`` chunks are
+    deflated, each on its own, for the way to the archives."""
 
     def run(batches):
         out = _Rows(["record", "page_id", "url", "chunk", "last", "upto", "digest", "payload"],
@@ -75,7 +76,7 @@ def chunked(pages: DataFrame, size: int = CHUNK) -> DataFrame:
                     part = view[lo:lo + size]
                     digest.update(part)
                     full = out.add((record, page, url, no, lo + size >= len(view), lo + len(part),
-                                    digest.hexdigest(), bytes(part)), len(part))
+                                    digest.hexdigest(), zlib.compress(part, LEVEL) if packed else bytes(part)), len(part))
                     if full:
                         yield full
         yield out.flush()
@@ -129,7 +130,7 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST, size: int = CHUN
     """Write a record for every row of ``pages`` into gzip archives below the
     shared folder ``path`` and return their manifest (file, records, bytes).
     An empty table gives no archives."""
-    with common.temporary(chunked(pages, size), "chunks", compression="zstd") as chunks:
+    with common.temporary(chunked(pages, size, packed=True), "chunks") as chunks:
         heads = decided(chunks, least).select(
             "record", F.lit(-1).alias("chunk"), F.lit(None).cast("binary").alias("payload"),
             F.struct("record", "page_id", "url", "payload_bytes", "payload_digest", "first").alias("head"))
@@ -163,12 +164,12 @@ def write_warc(pages: DataFrame, path: str, least: int = LEAST, size: int = CHUN
                             name = f"{path.rstrip('/')}/{uuid.uuid4().hex}.warc.gz"
                             out, written, records = common.open_write(name), 0, 0
                         row = head.as_py()
-                        pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+                        pack = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                         for part in _header(archive, row):
                             put(pack.compress(part))
                         records, skip = records + 1, bool(row["first"])
                     elif not skip:
-                        put(pack.compress(memoryview(payload.as_buffer())))
+                        put(pack.compress(zlib.decompress(payload.as_buffer())))
             end_record()
             end_file()
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in done], t) for i, t in
