@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from strata.llm import common, components, ngram_join, queries, topk
 
 
-def shingles(text):
+def shingles(text, n=3):
     w = (text or "").encode().lower().split()
-    return frozenset(tuple(w[i:i + 3]) for i in range(len(w) - 2)) or frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i:i + n]) for i in range(len(w) - n + 1)) or frozenset([tuple(w)] if w else [])
 
 
-def brute(rows):
+def brute(rows, n=3, percent=90):
     """{row number: (set size, smallest key over links)}; rows without key link nothing."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, n) for _, t in rows]
     up = list(range(len(rows)))
 
     def root(i):
@@ -28,7 +28,7 @@ def brute(rows):
         for j in range(i):
             b = sets[j]
             o = len(a & b)
-            if a and b and 100 * o >= 90 * (len(a) + len(b) - o):
+            if a and b and 100 * o >= percent * (len(a) + len(b) - o):
                 up[root(i)] = root(j)
     out = []
     for i, (k, _) in enumerate(rows):
@@ -105,6 +105,42 @@ def test_tree_loses_no_pair():
     assert sorted(found) == [(i, root(i)) for i in range(80) if root(i) != i]
 
 
+def test_join_leaves_the_session_as_it_was(spark, small):
+    """Spark ML works in a session that has joined, and only the tables that
+    the result reads are left."""
+    import os
+    from strata.plans import classifier
+    from strata.session import checkpoint_dir
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    docs = table(spark, small)
+    joined = ngram_join.near_duplicates(docs)
+    assert sorted(n.split("-")[1] for n in set(os.listdir(folder)) - before if n.startswith("llm-")) == ["classes", "sets"]
+    assert joined.count() == len(small)
+    assert len(classifier.classify(docs, "doc_id", "text").collect()) == len(small)
+
+
+@pytest.mark.parametrize("held, bucket", [(50, 40), (10**6, 10**6)])
+def test_small_runs_and_buckets_join_alike(spark, monkeypatch, held, bucket):
+    monkeypatch.setattr(ngram_join, "KEYS_HELD", held)
+    monkeypatch.setattr(ngram_join, "BUCKET_KEYS", bucket)
+    monkeypatch.setattr(ngram_join, "HASHES", 900)
+    rows = chains(bucket)
+    assert ordered(ngram_join.near_duplicates(table(spark, rows).repartition(3)).collect()) == ordered(brute(rows))
+
+
+def test_packed_keys_come_back():
+    rnd = np.random.default_rng(8)
+    keys, classes = rnd.integers(0, 2**63, 5000).astype(np.uint64), rnd.integers(-50, 50, 5000)
+    seen = []
+    for bucket, data in ngram_join._packed(keys, classes, 7):
+        k, s = ngram_join._unpacked(data)
+        seen += zip(k.tolist(), s.tolist())
+        assert len(data) < 8 * len(k)
+    low = (1 << 8 * ngram_join.KEY_BYTES) - 1
+    assert sorted(seen) == sorted(zip((keys & np.uint64(low)).tolist(), classes.tolist()))
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 3), (9, 9), (7, 8), (8, 7), (7, 8)] + [(i, i + 1) for i in range(100, 140)]
     got = components.components(spark.createDataFrame(links, "a long, b long")).collect()
@@ -176,22 +212,36 @@ def test_pipeline(spark):
         if name == "toxicity":
             assert not any(label.get(k) == 0 for k in before - kept)
         if name == "ngram_jaccard_join":
-            assert kept == {c for _, _, c in brute([(k, text[k]) for k in sorted(before)])}
+            assert kept == {c for _, _, c in brute([(k, text[k]) for k in sorted(before)], 5, 80)}
     packed = C.STAGES[3][1](spark, docs, SF001).collect()
     assert {r.doc_id for r in packed} == kept
     assert {r.doc_id for r in queries.QUERIES["pipeline"](spark, SF001).collect()} == kept
 
 
-def test_stages_odd(spark, odd, empty):
+def test_stages_odd(spark, odd, odd_rows, empty):
+    """Exactly the rows that a stage has no reason to drop stay, all columns."""
     import corpus_pipeline as C
-    for name, stage in C.STAGES:
-        for docs in (odd, empty):
-            out = stage(spark, docs, SF001)
-            assert name == "best_fit_packing" or out.columns == docs.columns
-            assert out.count() <= docs.count() + 50
+    stages = dict(C.STAGES)
+    plain = lambda df: sorted((tuple(r)[:2] for r in df.collect()), key=repr)
+    every = sorted(odd_rows, key=repr)
+    for name in ("toxicity", "language_id", "ngram_jaccard_join"):
+        assert stages[name](spark, empty, SF001).collect() == []
+        assert stages[name](spark, odd, SF001).columns == odd.columns
+    # the odd rows hold no toxic clause, and no labelled text to learn a language from
+    assert plain(stages["toxicity"](spark, odd, SF001)) == every
+    seen, one = set(), []
+    for k, t in sorted(every, key=lambda r: (r[0] is None, r[0] or 0)):
+        group = shingles(t, 5)
+        if not group or group not in seen:
+            one.append((k, t))
+        seen.add(group)
+    assert plain(stages["ngram_jaccard_join"](spark, odd, SF001)) == sorted(one, key=repr)
+    packed = stages["best_fit_packing"](spark, odd, SF001).collect()
+    assert sorted({r.doc_id for r in packed} - {None}) == sorted({k for k, _ in odd_rows} - {None})
+    assert stages["best_fit_packing"](spark, empty, SF001).collect() == []
 
 
 def test_every_query_is_registered():
     import __spark_entry__ as E
     names = sorted(k for k in E.queries() if k.startswith("op") or k == "pipeline")
-    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 11)] + ["pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([f"op{i}" for i in range(1, 14)] + ["pipeline"])

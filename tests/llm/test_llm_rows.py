@@ -43,19 +43,41 @@ def test_op2(spark):
     assert not lost and sum(r.kept for r in junk) <= 0.05 * len(junk)
 
 
+def trigrams(text):
+    """Each word's characters, three by three from its head on."""
+    return [w[i:i + 3] for w in WORD.findall(text) for i in range(0, len(w), 3)]
+
+
 def test_ratio_is_the_mean_of_log_ratios(spark):
-    rows = [(1, "good words are good words here"), (2, "bad%% worse%% words%%"), (3, "good here")]
+    rows = [(1, "good words are good words here"), (2, "bad%% worse%% words%%"), (3, "good here"), (4, "é" * 70 + " x 中")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     got = {r.doc_id: r.llr for r in quality.quality_rules(docs, labels).collect()}
-    of = {w: b for w, b in docs.select(F.explode(quality.words(F.col("text"))).alias("w"))
-          .select("w", quality.bucket(F.col("w"))).distinct().collect()}
-    raw, trusted = (Counter(of[w] for k, t in rows if k in ks for w in t.split()) for ks in ((1, 2, 3), (1,)))
+    every = sorted({g for _, t in rows for g in trigrams(t)})
+    of = {r.g: r.b for r in spark.createDataFrame([(g,) for g in every], "g string").select(
+        "g", F.pmod(F.xxhash64("g"), F.lit(quality.BUCKETS)).alias("b")).collect()}
+    raw, trusted = (Counter(of[g] for k, t in rows if k in ks for g in trigrams(t)) for ks in ((1, 2, 3, 4), (1,)))
     n = quality.BUCKETS
     weight = lambda b: (np.log((trusted[b] + 1) / (sum(trusted.values()) + n))
                         - np.log((raw[b] + 1) / (sum(raw.values()) + n)))
     for k, t in rows:
-        assert got[k] == pytest.approx(np.mean([weight(of[w]) for w in t.split()]), abs=1e-3)
+        assert got[k] == pytest.approx(np.mean([weight(of[g]) for g in trigrams(t)]), abs=1e-3)
+
+
+def test_junk_is_seen_wherever_it_stands(spark):
+    """Symbols at the head, inside or at the end of words, and between them."""
+    import random
+    rnd = random.Random(4)
+    clean = [" ".join(rnd.choice(["the", "and", "for", "with", "from", "river", "mountain", "reading", "often"])
+                      for _ in range(40)) + f" {i}" for i in range(300)]
+    spoil = [lambda w: f"###{w}", lambda w: f"{w[:2]}%$&{w[2:]}", lambda w: f"{w}|||", lambda w: f"<br>{w}", lambda w: f"{w} @@@"]
+    rows = [(i, t) for i, t in enumerate(clean)]
+    rows += [(1000 + i, " ".join(spoil[i % 5](w) for w in clean[i].split())) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(150)], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality.quality_rules(docs, labels).collect() if r.kept}
+    base_kept = {i for i, t in rows if not base(t)[-1]}
+    assert kept == {i for i in base_kept if i < 1000}
 
 
 def test_quality_odd(spark, odd, odd_rows, empty):
@@ -198,6 +220,76 @@ def test_shuffle_odd(spark, odd, odd_rows, empty, monkeypatch):
     assert shuffle.write_shuffled(empty, common.scratch(spark, "shuffle"), shards=4).collect() == []
 
 
+def test_equal_records_spread_over_buckets(spark, scratch):
+    """A third of the rows are equal, and a third share key and text: no bucket
+    above twice its size, all rows there, the same order from any partitions."""
+    text = "one text that many rows share, " * 8
+    rows = [(7, text, "a", 1)] * 700 + [(8, text, f"s{i}", i) for i in range(700)]
+    rows += [(100 + i, f"{text} {i}", "b", i) for i in range(700)] + [(None, None, None, None)] * 3
+    schema = "doc_id long, text string, source string, bucket long"
+    size, seen = 20_000, []
+    for i, parts in enumerate((2, 9)):
+        docs = spark.createDataFrame(rows, schema).repartition(parts)
+        out = shuffle.write_shuffled(docs, f"{scratch}/{i}", shards=5, bucket_bytes=size)
+        seen.append(sorted(((r.shard, r.slot, r.doc_id, r.source, r.bucket) for r in out.collect()), key=repr))
+        buckets = spark.read.parquet(f"{scratch}/{i}/buckets").groupBy("bucket").agg(
+            F.sum(F.coalesce(F.octet_length("r.text"), F.lit(0)) + 16).alias("b")).collect()
+        assert max(r.b for r in buckets) <= 2 * size and len(buckets) >= 20
+    assert seen[0] == seen[1]
+    assert Counter(r[2:] for r in seen[0]) == Counter((k, s, b) for k, _, s, b in rows)
+
+
 def test_fisher_yates_is_uniform():
     counts = Counter(tuple(shuffle.fisher_yates(3, np.random.default_rng(i)).tolist()) for i in range(6000))
     assert len(counts) == 6 and min(counts.values()) > 850
+
+
+# -- whole clauses, hot keys -------------------------------------------------
+
+def every_clause(lexicon, text):
+    """Kinds of all clauses, each read from its start, by cutting the text."""
+    out = []
+    for clause in re.split(r"[.!?;:\n]", text.lower()):
+        state = 0
+        for w in toxicity._WORD.findall(clause):
+            state = toxicity.MACHINE.step[state][lexicon.word_class(w)][0]
+        kind = toxicity.KIND.get(toxicity.MACHINE.final[state])
+        if kind is not None:
+            out.append(kind)
+    return out
+
+
+def test_every_clause_is_read_from_its_start():
+    """The scan by automaton against reading every clause: random words, far
+    targets and reports, entries inside words, clauses of any length."""
+    import random
+    lexicon = toxicity.Lexicon({"idio": toxicity.INSULT, "ass$": toxicity.INSULT, "moro+": toxicity.SUSPECT, "cl": toxicity.SUSPECT})
+    words = ["idiot", "class", "ass", "moron", "moro", "clown", "you", "not", "said", "kill", "hurt", "don't", "plain", "\"",
+             "x" * 30, "idio'ass", "über", "killer"]
+    rnd = random.Random(7)
+    for n in (1, 3, 10, 60, 400):
+        for _ in range(60):
+            ends = [" ", " ", " ", " ", ", ", ". ", "; ", "\n", "!?", "-"] if n < 400 else [" "]
+            text = "".join(rnd.choice(words) + rnd.choice(ends) for _ in range(n))
+            assert list(lexicon.clauses(text)) == every_clause(lexicon, text), text
+    far = " ".join(["filler"] * 1000)
+    for text in (f"you {far} kill", f"he said {far} idiot", f"{far} class {far}", f"{'x' * 5000} ass", f"you. {far} kill"):
+        assert list(lexicon.clauses(text)) == every_clause(lexicon, text)
+    threat = toxicity.KIND[(0, 0, 0, 1, 1, 0)]
+    assert list(lexicon.clauses(f"you {far} kill")) == [threat] and not list(lexicon.clauses(f"you. {far} kill"))
+
+
+def test_samples_are_bounded_when_keys_are_shared(spark, monkeypatch):
+    """A third of the rows without key, a third under one labelled key."""
+    monkeypatch.setattr(langid, "PER_LANG", 20)
+    monkeypatch.setattr(toxicity, "PER_CLASS", 15)
+    n = 900
+    rows = [(None if i % 3 == 0 else 1 if i % 3 == 1 else i, f"some words of text number {i} to learn from", "en" if i % 2 else "de")
+            for i in range(n)]
+    docs = spark.createDataFrame(rows + [rows[0]] * 300, "doc_id long, text string, lang string").repartition(4)
+    windows = langid.sample(docs, F.lit(True)).groupBy("lang").count().collect()
+    assert {r["lang"] for r in windows} == {"en", "de"} and all(r["count"] <= 20 * langid.PER_TEXT for r in windows)
+    labels = spark.createDataFrame([(1, 1), *[(i, i % 2) for i in range(2, n)]], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, F.lit(True)).collect()
+    assert len({r.doc_id for r in sample}) == len(sample) <= 30
+    assert sorted(map(tuple, sample)) == sorted(map(tuple, toxicity.labelled_sample(docs.repartition(9), labels, F.lit(True)).collect()))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from conftest import SF001
 from llm_fixtures import empty, odd, odd_rows, small  # noqa: F401 (fixtures)
+from llm_fixtures import table as table_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from strata.llm import bpe, common, idstore, packing, queries, token_counts, tokenizing
@@ -126,6 +127,19 @@ def test_counts_odd(odd, odd_rows, empty, table):
     assert token_counts.count_tokens(empty, BYTE).collect() == []
 
 
+def test_the_table_is_fitted_on_a_bounded_sample(spark, small, monkeypatch):
+    """Counts are those of whole encoding whatever rows the sample drew."""
+    path = tokenizing.vocab_path("byte_bpe_50k.json")
+    docs = table_of(spark, small)
+    full = sum(len((t or "").encode()) for _, t, _ in small)
+    few = token_counts.sampled(docs, full // 5)
+    drawn = sum(len((r.text or "").encode()) for r in few.collect())
+    assert full // 12 <= drawn <= full // 2 and token_counts.sampled(docs, full).count() == len(small)
+    want = sorted(map(tuple, token_counts.count_tokens(docs, path).collect()))
+    monkeypatch.setattr(token_counts, "SAMPLE", full // 5)
+    assert sorted(map(tuple, token_counts.count_tokens(docs, path).collect())) == want
+
+
 def test_length_table():
     h = np.array([5, 1, 9], np.uint64)
     t = token_counts.LengthTable(h, np.array([2, 3, 4], np.uint8))
@@ -189,3 +203,17 @@ def test_bpe_odd(odd, odd_rows, empty, monkeypatch):
     check_bpe(bpe.decode(bpe.encode(odd, RANKS, table=5), RANKS)
               .selectExpr("doc_id", "octet_length(ids) div 4", "sha2(ids, 256)", "sha2(bytes, 256)").collect(), odd_rows)
     assert bpe.digests(empty, RANKS).collect() == []
+
+
+def test_rows_that_share_a_key_go_over_several_shards(spark, scratch):
+    """A third of the rows without key, a third under one: no shard above twice
+    the median, every row there, found by its key."""
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text number {i} " * 5) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = tokenizing.vocab_path("byte_bpe_50k.json")
+    sizes = sorted(r.docs for r in idstore.write_store(docs, f"{scratch}/store", path, shards=6).collect())
+    assert sum(sizes) == 600 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    stored = idstore.read_store(spark, f"{scratch}/store").collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in stored) == sorted((k is not None, k or 0) for k, _ in rows)
+    found = idstore.lookup(spark, f"{scratch}/store", spark.createDataFrame([(5,), (4,), (2,)], "doc_id long")).collect()
+    assert sorted(r.doc_id for r in found) == [2] + [5] * 200
