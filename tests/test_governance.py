@@ -277,3 +277,14 @@ def test_entry_without_the_corpus_modules(tmp_path):
         out = subprocess.run(ask, cwd=copy, capture_output=True, text=True, timeout=120)
         from strata.plans.catalog import QUERIES
         assert out.stdout.split() == [str(len(QUERIES)), "False"], out.stderr
+
+
+def test_foreign_keys_sort_no_keys(spark):
+    """Keys are counted in hash tables of fixed-size rows; words of 64 keys,
+    their edges and negative ones included, give the orphans exactly."""
+    child = spark.createDataFrame([(k,) for k in (-65, -64, -1, 0, 63, 64, 127, 2**62, None) for _ in range(3)], "k long")
+    parent = spark.createDataFrame([(k,) for k in (-64, 0, 63, 128, None)], "p long")
+    out = checks.Suite().foreign_key(child, "k", parent, "p").run()
+    assert [tuple(r) for r in out.collect()] == [("fk:k", 15)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
