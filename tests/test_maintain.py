@@ -112,3 +112,16 @@ def test_a_run_that_dies_is_finished_by_the_next(spark, scratch, monkeypatch, br
     same_as_rebuilt(spark, scratch)
     prices = {r.orderkey: r.extendedprice for r in jobs.read_star(spark, scratch).fact_sales.where("partkey = 1").collect()}
     assert prices[1] == 10.0 and prices[4] == 42.0
+
+
+def test_refresh_stores_its_source_once(spark, scratch, monkeypatch):
+    """The merge reads the stored source rows: they are not copied again."""
+    from strata.operators import upsert
+    raw = small(spark)
+    jobs.init_datawarehouse(spark, raw, scratch)
+    jobs.init_maintained_marts(spark, scratch)
+    monkeypatch.setattr(upsert, "shared_copy", lambda *a: pytest.fail("the source is copied again"))
+    later = raw.orders.where(F.col("o_orderdate") >= CUT)
+    assert jobs.refresh_datawarehouse(spark, Source(raw, orders=later), scratch, on_duplicate="ignore", maintain_marts=True)
+    kept, built = maintain.view(spark, scratch), marts.build_marts(jobs.read_star(spark, scratch))
+    assert _sorted(kept["sales_by_customer"]) == _sorted(built["sales_by_customer"].select(*kept["sales_by_customer"].columns))
