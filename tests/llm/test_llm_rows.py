@@ -293,3 +293,8 @@ def test_samples_are_bounded_when_keys_are_shared(spark, monkeypatch):
     sample = toxicity.labelled_sample(docs, labels, F.lit(True)).collect()
     assert len({r.doc_id for r in sample}) == len(sample) <= 30
     assert sorted(map(tuple, sample)) == sorted(map(tuple, toxicity.labelled_sample(docs.repartition(9), labels, F.lit(True)).collect()))
+
+
+def test_every_trusted_document_counts(spark):
+    labels = spark.range(25_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    assert quality.trusted_keys(labels.unionByName(labels)).count() == 25_000
