@@ -23,12 +23,19 @@ Which points meet in one tree:
    A run's keys travel packed by bucket of the key: each class once in a bucket,
    with the low bytes of its keys there. A bucket is one task's group, of about
    ``BUCKET_KEYS`` keys.
-3. Each neighbourhood is indexed and joined. One of more than ``TILE`` classes,
-   or more than ``HASHES`` shingles, is first cut by set size into windows of
-   two bands, each class in the two that hold its band: sets that link are at
-   most one band apart. A window that is still too large is dealt into tiles by hash. Every tile also holds the first tile's classes,
-   which ties the tiles together; then only classes outside the main component
-   of their neighbourhood go on to the other tiles.
+3. A neighbourhood of more than ``TILE`` classes, or more than ``HASHES``
+   shingles, is cut by its rarest shingles: if every set is put in one order of
+   all shingles, the first that two linked sets share is among the first
+   n - ceil(threshold * n) + 1 of each. The order is by how many classes of the
+   neighbourhood hold a shingle, so the shingles of one class only come first
+   and tie nothing, and a passage that many classes share is hardly ever among
+   those that count. Classes that share such a shingle are one neighbourhood.
+4. Each neighbourhood is indexed and joined. One that is still too large is cut
+   by set size into windows of two bands, each class in the two that hold its
+   band: sets that link are at most one band apart. A window that is still too
+   large is dealt into tiles by hash. Every tile also holds the first tile's
+   classes, which ties the tiles together; then only classes outside the main
+   component of their neighbourhood go on to the other tiles.
 
 Inside a tree, pairs that are already connected are not verified: the output
 is a spanning forest of the links, never all pairs of a group.
@@ -287,6 +294,96 @@ def neighbourhoods(docs: DataFrame, n_keys: int, rule: Rule = OP6) -> DataFrame:
     return components(rows.groupBy("bucket").applyInArrow(join, "a long, b long").where(F.col("a") != F.col("b")))
 
 
+def _bundled(keys: np.ndarray, classes: np.ndarray, bundles: int):
+    """(bundle, bytes): the keys that several classes hold, with their class and
+    how many hold them, by bundle of the class."""
+    _, at, count = np.unique(keys, return_inverse=True, return_counts=True)
+    held = count[at]
+    keys, classes, held = keys[held > 1], classes[held > 1], held[held > 1]
+    to = classes % bundles
+    order = np.argsort(to, kind="stable")
+    to = to[order]
+    cuts = np.flatnonzero(np.append(True, to[1:] != to[:-1])[:len(to)]).tolist() + [len(to)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        rows = order[lo:hi]
+        yield int(to[lo]), np.stack([classes[rows], keys[rows], held[rows]]).tobytes()
+
+
+def _rarest(classes: np.ndarray, keys: np.ndarray, held: np.ndarray, ids: np.ndarray, sizes: np.ndarray,
+            rule: Rule = OP6) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, classes) of those shared shingles that are among the first of
+    their set. ``ids``, ``sizes``: the classes and how many shingles they have."""
+    order = np.lexsort((keys, held, classes))
+    keys, classes = keys[order], classes[order]
+    own, start, count = np.unique(classes, return_index=True, return_counts=True)
+    by_id = np.argsort(ids, kind="stable")
+    n = sizes[by_id][np.searchsorted(ids[by_id], own)]
+    # those that are the class's alone come before
+    left = n - -(-rule.bottom * n // rule.top) + 1 - (n - count)
+    first = np.arange(len(classes)) - np.repeat(start, count) < np.repeat(left, count)
+    return keys[first], classes[first]
+
+
+def finer(members: DataFrame, n_hashes: int, rule: Rule = OP6) -> DataFrame:
+    """(node, label): classes of ``members`` (node, label, n, text) that share
+    one of their rarest shingles with another of their label, directly or
+    through others; the rest links with nothing. ``n_hashes``: the sum of n."""
+    buckets = min(1 << 22, max(1, -(-n_hashes // BUCKET_KEYS)))
+
+    def emit(batches):
+        shingler = Shingler(rule)
+        ids: list[int] = []
+        keys: list[np.ndarray] = []
+
+        def run():
+            k, s = np.concatenate(keys), np.repeat(np.array(ids, np.int64), [len(x) for x in keys])
+            ids.clear()
+            keys.clear()
+            rows = list(_packed(k, s, buckets))
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int32()),
+                                               pa.array([x for _, x in rows], pa.binary())], ["bucket", "keys"])
+
+        held = 0
+        for b in batches:
+            labels = np.array(b.column(1).to_pylist(), np.int64).view(np.uint64)
+            for node, label, t in zip(b.column(0).to_pylist(), labels, b.column(2)):
+                ids.append(node)
+                keys.append(mix(shingler.hashes(t.as_py()) ^ mix(np.array([label]))))  # a label's own shingles
+                held += len(keys[-1])
+                if held > KEYS_HELD:
+                    yield run()
+                    held = 0
+        if held:
+            yield run()
+
+    def share(key, table):
+        rows = [_unpacked(x.as_py()) for x in table.column("keys")]
+        keys = np.concatenate([k for k, _ in rows]).astype(np.int64) | np.int64(key[0].as_py() << 8 * KEY_BYTES)
+        rows = list(_bundled(keys, np.concatenate([s for _, s in rows]), buckets))
+        return pa.table({"bundle": pa.array([x for x, _ in rows], pa.int64()),
+                         "shared": pa.array([x for _, x in rows], pa.binary())})
+
+    def choose(table):
+        some = [np.frombuffer(x.as_py(), np.int64).reshape(3, -1) for x in table.column("shared") if x.is_valid]
+        classes, keys, held = np.concatenate(some, 1) if some else np.zeros((3, 0), np.int64)
+        sized = table.filter(table.column("node").is_valid())
+        keys, classes = _rarest(classes, keys, held, np.array(sized.column("node").to_pylist(), np.int64),
+                                np.array(sized.column("n").to_pylist(), np.int64), rule)
+        return pa.table({"key": pa.array(keys, pa.int64()), "node": pa.array(classes, pa.int64())})
+
+    shared = (common.map_arrow(members.select("node", "label", "text"), emit, "bucket int, keys binary")
+              .groupBy("bucket").applyInArrow(share, "bundle long, shared binary"))
+    sizes = members.select(F.pmod("node", F.lit(buckets)).alias("bundle"), "node", "n")
+    rare = common.written(shared.unionByName(sizes, allowMissingColumns=True).groupBy("bundle")
+                          .applyInArrow(choose, "key long, node long"), "rare")
+    common.release_shuffles(members.sparkSession)
+    least = rare.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("of")).where(F.col("of") > 1)
+    out = components(rare.join(least, "key").select(F.col("node").alias("a"), F.col("low").alias("b"))
+                     .where(F.col("a") != F.col("b")).distinct())
+    common.forget(rare)
+    return out
+
+
 class RTree:
     """Bulk-loaded R-tree over count vectors: nodes are split at the median of
     the widest coordinate (the set's size counts as one) down to ``LEAF``
@@ -456,45 +553,56 @@ def links(docs: DataFrame, sets: DataFrame, rule: Rule = OP6) -> list[DataFrame]
     common.release_shuffles(docs.sparkSession)  # the keys'
     total = placed.agg(F.count(F.lit(1)).alias("size"), F.coalesce(F.sum("n"), F.lit(0)).alias("weight")).first()
     small = max(1, -(-total["size"] // BUNDLE), -(-total["weight"] // HASHES))
-    # windows of two bands of sizes; a band is a little wider than sizes that
-    # link are apart, so rounding cannot put them further
-    step = math.log(rule.top / rule.bottom) * 1.001
-    band_of = F.floor(F.log(F.col("n").cast("double")) / F.lit(step))
-    windows = _sized(placed).select("*", F.explode(F.when(
-        F.col("tiles") > 1, F.array(band_of - 1, band_of)).otherwise(F.array(F.lit(None).cast("long")))).alias("window"))
-    windows = windows.select("node", "n", *ROW, F.when(F.col("window").isNull(), F.col("label"))
-                             .otherwise(F.xxhash64("label", "window")).alias("label"))
-    chosen = (_sized(windows)
-              .withColumn("home", F.when(F.col("tiles") > 1, F.pmod(F.xxhash64("node"), F.col("tiles")))
-                          .otherwise(F.lit(0)).cast("long"))
-              .withColumn("bundle", F.when(F.col("tiles") > 1, F.col("label"))
-                          .otherwise(F.pmod(F.xxhash64("label"), F.lit(small))))
-              .select("node", "label", "tiles", "home", "bundle", *ROW))
-
+    bundle = F.pmod(F.xxhash64("label"), F.lit(small))
     # rows that repeat are one before they meet, so a class has one row
     texts = docs.select(F.col("text").cast("string"), *_row(docs)).groupBy(*ROW).agg(F.min("text").alias("text"))
     stored = common.written(
-        texts.join(chosen, ROW).select("text", "node", "label", "tiles", "home", "bundle"), "members")
+        texts.join(_sized(placed), ROW).select("text", "node", "label", "n", "tiles"), "members")
     common.forget(placed)
     common.release_shuffles(docs.sparkSession)  # the texts'
-    members = stored.select(F.col("node").alias("set_id"), F.col("label").alias("place"), "tiles", "home", "bundle",
-                            "text")
+    kept = [stored]
+    members = stored.where(F.col("tiles") == 1).select(
+        F.col("node").alias("set_id"), F.col("label").alias("place"), "tiles", F.lit(0).cast("long").alias("home"),
+        bundle.alias("bundle"), "text")
+    large = stored.where(F.col("tiles") > 1)
+    weight = large.agg(F.sum("n")).first()[0]
+    if weight:
+        label = finer(large, weight, rule)
+        # windows of two bands of sizes; a band is a little wider than sizes that
+        # link are apart, so rounding cannot put them further
+        step = math.log(rule.top / rule.bottom) * 1.001
+        band_of = F.floor(F.log(F.col("n").cast("double")) / F.lit(step))
+        windows = _sized(large.select("node", "n").join(label, "node")).select("*", F.explode(F.when(
+            F.col("tiles") > 1, F.array(band_of - 1, band_of)).otherwise(F.array(F.lit(None).cast("long")))).alias("window"))
+        windows = windows.select("node", "n", F.when(F.col("window").isNull(), F.col("label"))
+                                 .otherwise(F.xxhash64("label", "window")).alias("label"))
+        chosen = (_sized(windows)
+                  .withColumn("home", F.when(F.col("tiles") > 1, F.pmod(F.xxhash64("node"), F.col("tiles")))
+                              .otherwise(F.lit(0)).cast("long"))
+                  .withColumn("bundle", F.when(F.col("tiles") > 1, F.col("label")).otherwise(bundle))
+                  .select("node", F.col("label").alias("place"), "tiles", "home", "bundle"))
+        dealt = common.written(large.select("node", "text").join(chosen, "node").select(
+            F.col("node").alias("set_id"), "place", "tiles", "home", "bundle", "text"), "members")
+        common.forget(label)
+        common.release_shuffles(docs.sparkSession)
+        kept.append(dealt)
+        members = members.unionByName(dealt)
     everywhere = F.when((F.col("tiles") > 1) & (F.col("home") == 0),
                         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).otherwise(F.array("home"))
     first = members.select("*", F.explode(everywhere).alias("tile"), F.lit(True).alias("probe"),
                            F.lit(-1).cast("long").alias("known"))
     found = common.written(_tiles(first, rule), "tile-links")
     common.release_shuffles(docs.sparkSession)  # the members'
-    wide = members.where(F.col("tiles") > 1)
-    if wide.isEmpty():
-        common.forget(stored)
+    wide = dealt.where(F.col("tiles") > 1) if weight else None
+    if wide is None or wide.isEmpty():
+        common.forget(*kept)
         return [found]
     # neighbourhoods of several tiles: classes outside the main component
     inside = components(found)
     part = common.written(
         wide.join(inside.withColumnRenamed("node", "set_id"), "set_id", "left")
         .withColumn("known", F.coalesce("label", "set_id")).drop("label"), "parts")
-    common.forget(stored, inside)
+    common.forget(*kept, inside)
     common.release_shuffles(docs.sparkSession)
     weight = part.groupBy("place", "known").agg(F.count(F.lit(1)).alias("n"))
     main = weight.groupBy("place").agg(F.max_by("known", F.struct("n", "known")).alias("main"))

@@ -74,7 +74,7 @@ def test_stage_blocks_leave_one_equal():
             if ngram_join.linked(a, b, rule):
                 linked += 1
                 assert np.intersect1d(ngram_join.block_keys(a, rule), ngram_join.block_keys(b, rule)).size
-    assert linked > 100
+    assert linked > 50
 
 
 def test_unlike_sets_share_no_empty_blocks():
@@ -128,3 +128,38 @@ def test_rows_without_key_link(spark):
     got = ngram_join.near_duplicates(table(spark, rows).repartition(3)).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(8, 98, 8), (None, 98, 8), (9, 98, 8), (4, 48, 4), (None, 49, 4),
                                                         (None, 28, None)], key=repr)
+
+
+def test_a_passage_that_many_share_does_not_multiply_rows(spark, monkeypatch):
+    """Two hundred texts in one neighbourhood, of which few link: they are not
+    copied to every tile."""
+    monkeypatch.setattr(ngram_join, "TILE", 10)
+    common_part, rows = words(60, 41), []
+    for i in range(200):
+        text = [*common_part, *words(60, 1000 + i)]
+        rows.append((i, " ".join(text)))
+        if i % 20 == 0:
+            text[100] = "other"
+            rows.append((500 + i, " ".join(text)))
+    dealt, tiles = [], ngram_join._tiles
+    monkeypatch.setattr(ngram_join, "_tiles", lambda m, rule: (dealt.append(m.count()), tiles(m, rule))[1])
+    got = ngram_join.near_duplicates(table(spark, rows).repartition(3), ngram_join.STAGE).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k - 500 if k >= 500 else k for k, _ in rows}
+    assert sum(dealt) <= 2 * len(rows)
+
+
+def test_linked_sets_share_one_of_their_rarest_shingles():
+    rnd, rule, linked = np.random.default_rng(8), ngram_join.STAGE, 0
+    base = np.unique(rnd.integers(0, 2**62, 300))
+    for size in (4, 5, 9, 40, 250):
+        sets = [np.unique(np.concatenate([rnd.choice(base, size, replace=False), rnd.integers(0, 2**62, k % 9)]))
+                if k % 3 else np.unique(np.append(base[:size], rnd.integers(0, 2**62, k % 7))) for k in range(24)]
+        keys, ids = np.concatenate(sets), np.repeat(np.arange(24), list(map(len, sets)))
+        some = [np.frombuffer(x, np.int64).reshape(3, -1) for _, x in ngram_join._bundled(keys, ids, 1)]
+        k, c = ngram_join._rarest(some[0][0], some[0][1], some[0][2], np.arange(24), np.array(list(map(len, sets))), rule)
+        for i in range(24):
+            for j in range(i):
+                if ngram_join.linked(sets[i].astype(np.uint64), sets[j].astype(np.uint64), rule):
+                    linked += 1
+                    assert np.intersect1d(k[c == i], k[c == j]).size
+    assert linked > 50
