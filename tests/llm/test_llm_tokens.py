@@ -217,3 +217,13 @@ def test_rows_that_share_a_key_go_over_several_shards(spark, scratch):
     assert sorted((r.doc_id is not None, r.doc_id or 0) for r in stored) == sorted((k is not None, k or 0) for k, _ in rows)
     found = idstore.lookup(spark, f"{scratch}/store", spark.createDataFrame([(5,), (4,), (2,)], "doc_id long")).collect()
     assert sorted(r.doc_id for r in found) == [2] + [5] * 201  # row 5 has it too
+
+
+def test_odd_texts_are_told_by_pairs():
+    """Every pair of Latin-1 characters, at even and odd places, and others."""
+    for a in range(256):
+        for b in range(256):
+            if a < 48 or 123 <= a < 192 or b < 48 or 90 < b < 192:
+                t = "word" * 16 + chr(a) + chr(b) + "word" * (1 + a % 2)
+                assert tokenizing.is_odd(t) == tokenizing.is_odd("x" + t) == tokenizing._odd(t)
+    assert tokenizing.is_odd("\u4e2d" * 70 + "\u3000") and not tokenizing.is_odd("\u4e2d" * 70 + " x")
