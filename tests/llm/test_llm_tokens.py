@@ -219,6 +219,18 @@ def test_rows_that_share_a_key_go_over_several_shards(spark, scratch):
     assert sorted(r.doc_id for r in found) == [2] + [5] * 201  # row 5 has it too
 
 
+def test_counts_of_words_are_whole(spark, monkeypatch):
+    """A task that holds few words passes their counts on, and forgets none."""
+    import regex
+    monkeypatch.setattr(bpe, "HELD", 20)
+    texts = [" ".join(f"w{chr(97 + i * k % 23)}{chr(97 + k % 19)}" for k in range(30)) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    want: dict = {}
+    for w in (w for t in texts for w in regex.findall(tokenizing.BYTE_PATTERN, t)):
+        want[w.encode()] = want.get(w.encode(), 0) + 1
+    assert {bytes(r.word): r.n for r in bpe.frequent_words(docs).collect()} == want
+
+
 def test_odd_texts_are_told_by_pairs():
     """Every pair of Latin-1 characters, at even and odd places, and others."""
     for a in range(256):
