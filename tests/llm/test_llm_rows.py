@@ -64,6 +64,22 @@ def test_ratio_is_the_mean_of_log_ratios(spark):
         assert got[k] == pytest.approx(np.mean([weight(of[g]) for g in trigrams(t)]), abs=1e-3)
 
 
+def test_only_texts_that_may_be_trusted_are_shuffled(spark, monkeypatch):
+    """At any size: no broadcast of keys while they are few, no text shuffled
+    that the bit table rules out; rows that repeat, and without key, stay."""
+    rows = [(i if i % 50 else None, f"text {i}") for i in range(2000)] + [(7, "again"), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 2)) for i in range(1000)] + [(7, 1), (7, 1), (None, 1)],
+                                   "doc_id long, quality int")
+    want = sorted((int(k is not None and (k < 1000 and k % 5 == 2 or k == 7)), t) for k, t in rows)
+    assert sorted(map(tuple, quality.counted_texts(docs, labels).collect())) == want
+    monkeypatch.setattr(quality, "BITS", 64)  # most texts only seem trusted
+    out = quality.counted_texts(docs, labels)
+    assert sorted(map(tuple, out.collect())) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastExchange") >= 1
+
+
 def test_junk_is_seen_wherever_it_stands(spark):
     """Symbols at the head, inside or at the end of words, and between them."""
     import random
