@@ -151,15 +151,18 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0,
         shard, name = TaskContext.get().partitionId(), uuid.uuid4().hex
         dtype = "<u4" if wide else "<u2"
         ids_path, index_path = (f"{path}/{shard:06d}-{name}.{x}" for x in ("ids", "npz"))
-        keys, nulls, sizes, end = [], [], [0], tokenizing.id_bytes([end_id])
+        keys, nulls, sizes = [], [], [0]
         with common.open_write(ids_path) as out:
             for b in batches:
-                for k, t in zip(b.column(0).to_pylist(), b.column(1)):
-                    raw = np.frombuffer(b"".join(enc.values(t.as_py() or "")) + end, "<u4")
-                    out.write(raw.astype(dtype).tobytes())
+                for k in b.column(0).to_pylist():
                     keys.append(NULL_KEY if k is None else k)
                     nulls.append(k is None)
-                    sizes.append(len(raw))
+                texts = b.column(1).to_pylist()
+                for lo, hi in tokenizing.together(texts):
+                    raw, n = enc.batch(texts[lo:hi])
+                    # the end id goes after each text
+                    out.write(np.insert(raw.astype(dtype), np.cumsum(n), end_id).tobytes())
+                    sizes += (n + 1).tolist()
         if not keys:
             return
         keys = np.array(keys, np.int64)

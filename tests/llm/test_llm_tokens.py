@@ -239,3 +239,25 @@ def test_odd_texts_are_told_by_pairs():
                 t = "word" * 16 + chr(a) + chr(b) + "word" * (1 + a % 2)
                 assert tokenizing.is_odd(t) == tokenizing.is_odd("x" + t) == tokenizing._odd(t)
     assert tokenizing.is_odd("\u4e2d" * 70 + "\u3000") and not tokenizing.is_odd("\u4e2d" * 70 + " x")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(PARTS), max_size=12).map("".join),
+                          st.lists(st.sampled_from(["word", "Naïve", "a1"]), max_size=9).map(" ".join)), max_size=8))
+def test_a_batch_has_the_ids_of_its_texts(texts):
+    ids, sizes = tokenizing.encoder(BYTE).batch(texts)
+    want = [library(BYTE)(t) for t in texts]
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+
+
+def test_a_batch_looks_each_distinct_piece_up_once():
+    texts = [f"Some words, and the words of text {i}.\nSome more words" for i in "abc"] * 40 + ["__two  odd__"] * 40
+    enc = tokenizing.Encoder(BYTE)
+    asked = []
+    for cache in (enc.bare, enc.spaced):
+        get = cache.get_all
+        cache.get_all = lambda pieces, get=get: asked.extend(pieces) or get(pieces)
+    ids, sizes = enc.batch(texts)
+    assert len(asked) < 30 and sizes.sum() == len(ids)
+    runs = list(tokenizing.together(["x" * (tokenizing.TOGETHER // 2)] * 7 + [None]))
+    assert [hi for _, hi in runs] == [lo for lo, _ in runs[1:]] + [8] and max(hi - lo for lo, hi in runs) == 3
