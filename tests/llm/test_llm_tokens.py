@@ -261,3 +261,32 @@ def test_a_batch_looks_each_distinct_piece_up_once():
     assert len(asked) < 30 and sizes.sum() == len(ids)
     runs = list(tokenizing.together(["x" * (tokenizing.TOGETHER // 2)] * 7 + [None]))
     assert [hi for _, hi in runs] == [lo for lo, _ in runs[1:]] + [8] and max(hi - lo for lo, hi in runs) == 3
+
+
+def test_a_pair_is_looked_up_by_numbers():
+    """Every pair of tokens that joins to one has its rank; other pairs get no
+    number of a rank."""
+    ranks = bpe.read_ranks(RANKS)
+    pairs = bpe.merges(ranks)
+    shift, slots, modulus = bpe.rank_slots(ranks)
+    other = np.random.default_rng(1).integers(0, max(ranks.values()) + 2, (50_000, 2))
+    joins = set(map(tuple, pairs[:, :2].tolist()))
+    for ab, want in ((pairs[:, :2], pairs[:, 2]), (other, None)):
+        number = (ab[:, 0] << bpe.BITS) + ab[:, 1]
+        at = shift[number % len(shift)] + number % modulus
+        got = np.where(at < len(slots), slots[np.minimum(at, len(slots) - 1)] ^ (number << bpe.BITS), 1 << bpe.BITS)
+        if want is None:
+            assert all((g < 1 << bpe.BITS) == (tuple(p) in joins) for g, p in zip(got.tolist(), ab.tolist()))
+        else:
+            assert (got == want).all()
+
+
+def test_frequent_words_are_chosen_on_a_bounded_sample(spark, small, monkeypatch):
+    """The same ids whatever the sample; decoded beside, as by ``decode``."""
+    docs = table_of(spark, [r[:2] for r in small])
+    seen = []
+    words = bpe.frequent_words
+    monkeypatch.setattr(bpe, "frequent_words", lambda docs, n: seen.append(docs.count()) or words(docs, n))
+    monkeypatch.setattr(bpe, "SAMPLE", sum(len((r[1] or "").encode()) for r in small) // 5)
+    check_bpe(bpe.digests(docs, RANKS).collect(), [r[:2] for r in small])
+    assert 0 < seen[0] < len(small) // 2
