@@ -22,7 +22,11 @@ Which points meet in one tree:
    star), so a block that a third of all classes share is one key of each run.
    A run's keys travel packed by bucket of the key: each class once in a bucket,
    with the low bytes of its keys there. A bucket is one task's group, of about
-   ``BUCKET_KEYS`` keys.
+   ``BLOCK_KEYS`` keys. Two classes may share blocks in every bucket, so each
+   class also travels with marks: hashes of ``MARKS`` of its keys, those of its
+   blocks of fewest shingles, which most often outlast a change. Classes with an
+   equal mark are tied once, in the mark's bucket; a bucket's keys then add only
+   ties between classes that neither marks nor its other keys tie.
 3. A neighbourhood of more than ``TILE`` classes, or more than ``HASHES``
    shingles, is cut by its rarest shingles: if every set is put in one order of
    all shingles, the first that two linked sets share is among the first
@@ -59,10 +63,12 @@ GROUPS, LEAF = 64, 128
 #: classes of a tile; classes meant for one task of small neighbourhoods
 TILE, BUNDLE = 2048, 512
 WORDS_HELD, CLASSES_HELD, KEYS_HELD = 100_000, 200_000, 500_000
-#: shingles of a tile; block keys of a bucket, and the bytes of a key that are
-#: compared within one (equal by chance in a millionth of them: such a tie only
+#: shingles of a tile; block keys of a bucket, shingles of one, and the bytes of
+#: a key that are compared within one (equal by chance in a millionth of them: such a tie only
 #: makes a neighbourhood larger)
-HASHES, BUCKET_KEYS, KEY_BYTES = 500_000, 400_000, 5
+HASHES, BLOCK_KEYS, BUCKET_KEYS, KEY_BYTES = 500_000, 1_000_000, 400_000, 5
+#: keys of a class that are its marks; a mark travels as ``KEY_BYTES`` bytes
+MARKS = 2
 #: a neighbourhood's sizes span this ratio at most per band of block counts
 BAND = 1.25
 
@@ -151,9 +157,14 @@ def blocks(b: int, rule: Rule = OP6) -> tuple[int, int]:
 def block_keys(h: np.ndarray, rule: Rule = OP6) -> np.ndarray:
     """Keys of a set's blocks, as the smaller partner (its own band) and as
     the larger one (bands of the sizes it may link with)."""
-    n, out = len(h), []
+    return _blocks(h, rule)[0]
+
+
+def _blocks(h: np.ndarray, rule: Rule = OP6) -> tuple[np.ndarray, np.ndarray]:
+    """``block_keys`` and how many shingles each block holds."""
+    n, out, held = len(h), [], []
     if n < rule.least:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     low = band(max(rule.least, -(-rule.bottom * n // rule.top)), rule)
     for b in range(low, band(n, rule) + 1):
         m, equal = blocks(b, rule)
@@ -161,12 +172,24 @@ def block_keys(h: np.ndarray, rule: Rule = OP6) -> np.ndarray:
         order = np.argsort(at, kind="stable")
         starts = np.searchsorted(at[order], np.arange(m))
         sums = np.add.reduceat(np.append(mix(h)[order], np.uint64(0)), np.minimum(starts, n))
-        empty = np.append(starts[1:], n) == starts
+        count = np.append(starts[1:], n) - starts
+        empty = count == 0
         sums[empty] = 0  # an empty block equals an empty one
         keys = mix(sums * _M1 + np.arange(m, dtype=np.uint64) * _M2 + _M3 + np.uint64(b + 1))
         # if all equal blocks of a pair are empty, both sets have that many
-        out.append(keys if empty.sum() >= equal else keys[~empty])
-    return signed(np.concatenate(out))
+        kept = slice(None) if empty.sum() >= equal else ~empty
+        out.append(keys[kept])
+        held.append(count[kept])
+    return signed(np.concatenate(out)), np.concatenate(held)
+
+
+def marks(keys: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """``MARKS`` marks of a set with these ``_blocks``: which keys they are of
+    depends on the keys alone. A set of fewer keys has marks that repeat."""
+    k = keys.view(np.uint64)
+    # a block without shingles is equal in sets that are not alike
+    least = np.lexsort((k, np.where(held == 0, len(k) + held.max(initial=0), held)))[:MARKS]
+    return np.resize(k[least] >> np.uint64(64 - 8 * KEY_BYTES), MARKS)
 
 
 def count_keys(n: int, rule: Rule = OP6) -> int:
@@ -215,53 +238,106 @@ def _tied(keys: np.ndarray, classes: np.ndarray):
     k, s = keys[order], classes[order]
     first = np.append(True, k[1:] != k[:-1])[:len(k)]
     head = s[np.flatnonzero(first)][np.cumsum(first) - 1]
-    return k[first], s[first], np.unique(np.stack([s[~first], head[~first]], 1), axis=0)
-
-
-def _packed(keys: np.ndarray, classes: np.ndarray, buckets: int):
-    """(bucket, bytes): the bucket's classes, how many keys each has, and the
+    other = s != head
+    return k[first], s[first], np.unique(np.stack([s[other], head[other]], 1), axis=0)
+
+
+def _spanning(ties: np.ndarray, ids: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """Those of ``ties`` that connect what neither marks nor ties before them
+    do. ``marked``: the marks of the classes ``ids``, which are in order."""
+    of = marked[np.searchsorted(ids, ties)]  # tie, end, mark
+    ties = ties[~(of[:, 0, :, None] == of[:, 1, None, :]).any((1, 2))]
+    up: dict = {}
+
+    def root(x):
+        top = x
+        while (above := up.setdefault(top, top)) != top:
+            top = above
+        while up[x] != top:
+            up[x], x = top, up[x]
+        return top
+
+    nodes = np.unique(ties)
+    for node, own in zip(nodes.tolist(), marked[np.searchsorted(ids, nodes)].tolist()):
+        for m in own:
+            up[root(("mark", m))] = root(node)
+    new = []
+    for a, b in ties.tolist():
+        x, y = root(a), root(b)
+        up[x] = y
+        new.append(x != y)
+    return ties[np.array(new, bool)]
+
+
+def _packed(keys: np.ndarray, classes: np.ndarray, buckets: int, ids: np.ndarray | None = None,
+            marked: np.ndarray | None = None):
+    """(bucket, bytes): the bucket's classes, how many keys each has, the marks
+    of each (``marked``, of the classes ``ids`` in order, if given), and the
     keys' low bytes. A bucket is a range of the keys' high halves."""
     at = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.lexsort((classes, at))
     at, keys, classes = at[order], keys[order], classes[order]
-    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+    low = _short(keys)
     cuts = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)]).tolist() + [len(at)]
     for lo, hi in zip(cuts, cuts[1:]):
         own, sizes = np.unique(classes[lo:hi], return_counts=True)
+        of_own = b"" if marked is None else _short(marked[np.searchsorted(ids, own)].ravel()).tobytes()
         yield int(at[lo]), b"".join([np.int64(len(own)).tobytes(), own.tobytes(), sizes.astype(np.int32).tobytes(),
-                                     low[lo:hi].tobytes()])
+                                     of_own, low[lo:hi].tobytes()])
+
+
+def _short(values: np.ndarray) -> np.ndarray:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+
+
+def _wide(data: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(data) // KEY_BYTES, 8), np.uint8)
+    wide[:, :KEY_BYTES] = data.reshape(-1, KEY_BYTES)
+    return wide.view("<u8").ravel()
 
 
 def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return _parts(data, 0)[:2]
+
+
+def _parts(data: bytes, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and their classes; the classes, and the ``count`` marks of each."""
     n = int(np.frombuffer(data, np.int64, 1)[0])
     own, sizes = np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.int32, n, 8 + 8 * n)
-    low = np.frombuffer(data, np.uint8, offset=8 + 12 * n).reshape(-1, KEY_BYTES)
-    wide = np.zeros((len(low), 8), np.uint8)
-    wide[:, :KEY_BYTES] = low
-    return wide.view("<u8").ravel(), np.repeat(own, sizes)
+    rest = np.frombuffer(data, np.uint8, offset=8 + 12 * n)
+    cut = n * count * KEY_BYTES
+    return _wide(rest[cut:]), np.repeat(own, sizes), own, _wide(rest[:cut]).reshape(n, count)
 
 
 def neighbourhoods(docs: DataFrame, n_keys: int, rule: Rule = OP6) -> DataFrame:
     """(node, label): classes that share a block, directly or through others.
     ``n_keys``: about how many block keys there are."""
-    buckets = min(1 << 30, max(1, -(-n_keys // BUCKET_KEYS)))
+    buckets = min(1 << 30, max(1, -(-n_keys // BLOCK_KEYS)))
 
     def emit(batches):
         shingler, given, runs = Shingler(rule), {}, 0
         ids: list[int] = []
         keys: list[np.ndarray] = []
+        marked: list[np.ndarray] = []
 
         def run():
+            own, at = np.unique(np.array(ids, np.int64), return_index=True)
+            of_own = np.stack(marked)[at]
             k = np.concatenate(keys).view(np.uint64)
             s = np.repeat(np.array(ids, np.int64), [len(x) for x in keys])
-            ids.clear()
-            keys.clear()
+            for x in (ids, keys, marked):
+                x.clear()
             k, s, ties = _tied(k, s)
-            rows = list(_packed(k, s, buckets))
+            mk, ms, mark_ties = _tied(mix(of_own.ravel()), np.repeat(own, MARKS))
+            ties = np.concatenate([mark_ties, _spanning(ties, own, of_own)])
+            by_mark, by_key = list(_packed(mk, ms, buckets)), list(_packed(k, s, buckets, own, of_own))
+            places = [x for x, _ in by_mark] + [x for x, _ in by_key] + [runs % buckets]
+            none = [None] * len(places)
             yield pa.RecordBatch.from_arrays([
-                pa.array([x for x, _ in rows] + [runs % buckets], pa.int32()),
-                pa.array([x for _, x in rows] + [None], pa.binary()),
-                pa.array([None] * len(rows) + [ties.tobytes()], pa.binary())], ["bucket", "keys", "ties"])
+                pa.array(places, pa.int32()),
+                pa.array(([x for _, x in by_mark] + none)[:len(places)], pa.binary()),
+                pa.array(([None] * len(by_mark) + [x for _, x in by_key] + [None]), pa.binary()),
+                pa.array(none[:-1] + [ties.tobytes()], pa.binary())], ["bucket", "marks", "keys", "ties"])
 
         held = 0
         for b in batches:
@@ -273,8 +349,12 @@ def neighbourhoods(docs: DataFrame, n_keys: int, rule: Rule = OP6) -> DataFrame:
                 if len(given) > CLASSES_HELD:
                     given.clear()
                 given[s] = True
+                of_blocks = _blocks(h, rule)
+                if not len(of_blocks[0]):
+                    continue
                 ids.append(s)
-                keys.append(block_keys(h, rule))
+                keys.append(of_blocks[0])
+                marked.append(marks(*of_blocks))
                 held += len(keys[-1])
                 if held > KEYS_HELD:
                     yield from run()
@@ -283,14 +363,21 @@ def neighbourhoods(docs: DataFrame, n_keys: int, rule: Rule = OP6) -> DataFrame:
             yield from run()
 
     def join(table):
-        rows = [_unpacked(x.as_py()) for x in table.column("keys") if x.is_valid]
         ties = [np.frombuffer(x.as_py(), np.int64).reshape(-1, 2) for x in table.column("ties") if x.is_valid]
-        if rows:
-            ties.append(_tied(np.concatenate([k for k, _ in rows]), np.concatenate([s for _, s in rows]))[2])
+        for name, count in (("marks", 0), ("keys", MARKS)):
+            rows = [_parts(x.as_py(), count) for x in table.column(name) if x.is_valid]
+            if rows:
+                keys, classes, own, of_own = map(np.concatenate, zip(*rows))
+                new = _tied(keys, classes)[2]
+                if count:
+                    own, at = np.unique(own, return_index=True)
+                    new = _spanning(new, own, of_own[at])
+                ties.append(new)
         links = np.concatenate(ties) if ties else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
 
-    rows = common.map_arrow(docs.select(F.col("text").cast("string")), emit, "bucket int, keys binary, ties binary")
+    rows = common.map_arrow(docs.select(F.col("text").cast("string")), emit,
+                            "bucket int, marks binary, keys binary, ties binary")
     return components(rows.groupBy("bucket").applyInArrow(join, "a long, b long").where(F.col("a") != F.col("b")))
 
 

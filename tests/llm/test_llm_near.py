@@ -163,3 +163,57 @@ def test_linked_sets_share_one_of_their_rarest_shingles():
                     linked += 1
                     assert np.intersect1d(k[c == i], k[c == j]).size
     assert linked > 50
+
+
+def edited(n, copies, seed):
+    """A text and near copies of it, each with its own few other words."""
+    rnd, text = random.Random(seed), words(n, seed)
+    yield " ".join(text)
+    for _ in range(copies):
+        own = list(text)
+        for _ in range(n // 60):
+            own[rnd.randrange(n)] = "".join(rnd.choice("abcdefgh") for _ in range(6))
+        yield " ".join(own)
+
+
+def test_ties_do_not_grow_with_the_number_of_buckets(spark, monkeypatch):
+    """Near copies share blocks in every bucket, but are not tied in each. The
+    neighbourhoods are those of all shared blocks, and so are the groups."""
+    texts = [t for seed in range(12) for t in edited(600, 5, 50 + seed)] + [" ".join(words(3, s)) for s in range(9)]
+    docs, rule = table(spark, list(enumerate(texts))).repartition(3), ngram_join.STAGE
+    sets = [ngram_join.Shingler(rule).hashes(t) for t in texts]
+    ids, keys = [ngram_join.set_id(h) for h in sets], [set(ngram_join.block_keys(h, rule).tolist()) for h in sets]
+    up = {i: i for i in ids}
+    for a, x in zip(ids, keys):
+        for b, y in zip(ids, keys):
+            if x & y:
+                low, high = sorted((up[a], up[b]))
+                up = {i: low if v == high else v for i, v in up.items()}
+    want = {(i, v) for i, v in up.items() if i in up.values() and list(up.values()).count(v) > 1 or i != v}
+    rows, made = {}, ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda found: made(rows.setdefault(ngram_join.BLOCK_KEYS, found)))
+    n_keys = sum(map(len, keys))
+    for size in (n_keys, n_keys // 60):
+        monkeypatch.setattr(ngram_join, "BLOCK_KEYS", size)
+        assert {tuple(r) for r in ngram_join.neighbourhoods(docs, n_keys, rule).collect()} == want
+    few, many = (rows[k].count() for k in sorted(rows, reverse=True))
+    assert few >= 60 and many <= 8 * len(texts)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_marks_and_ties_connect_what_keys_do(seed):
+    rnd = np.random.default_rng(seed)
+    ids = np.unique(rnd.integers(-99, 99, 30))
+    marked = rnd.integers(0, 40, (len(ids), 2)).astype(np.uint64)
+    ties = np.unique(rnd.choice(ids, (25, 2)), axis=0)
+
+    def parts(links):
+        up = {i: i for i in ids.tolist()}
+        for row, own in zip(ids.tolist(), marked.tolist()):
+            links = links + [(row, other) for other, m in zip(ids.tolist(), marked.tolist()) if set(own) & set(m)]
+        for a, b in links:
+            up = {i: up[a] if v == up[b] else v for i, v in up.items()}
+        return {frozenset(i for i in up if up[i] == v) for v in up.values()}
+    new = ngram_join._spanning(ties, ids, marked).tolist()
+    assert parts(list(map(tuple, new))) == parts(list(map(tuple, ties.tolist())))
+    assert len(new) == len(parts([])) - len(parts(new))
