@@ -6,6 +6,7 @@ from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF001
 from llm_fixtures import empty, odd, odd_rows, small  # noqa: F401 (fixtures)
@@ -290,3 +291,30 @@ def test_frequent_words_are_chosen_on_a_bounded_sample(spark, small, monkeypatch
     monkeypatch.setattr(bpe, "SAMPLE", sum(len((r[1] or "").encode()) for r in small) // 5)
     check_bpe(bpe.digests(docs, RANKS).collect(), [r[:2] for r in small])
     assert 0 < seen[0] < len(small) // 2
+
+
+def test_plans_do_not_print_the_rank_map(spark, small):
+    """The driver keeps descriptions of plans; the map has 190,000 numbers."""
+    docs = table_of(spark, [r[:2] for r in small[:20]])
+    plan = bpe.digests(docs, RANKS)._jdf.queryExecution().toString()
+    assert len(plan) < 200_000
+
+
+def test_fold_of_words_of_all_lengths(spark):
+    """Up to ``LONGEST`` bytes, of any bytes, as the library joins them."""
+    rnd = random.Random(5)
+    parts = [b"en", b"er", b"the", b" ", b"aa", b"ing", "ß".encode(), "中".encode(), b"\xff", b"\x00", b"7", b"''"]
+    words = [b"".join(rnd.choice(parts) for _ in range(rnd.randint(1, 30)))[:n] for n in range(1, bpe.LONGEST + 1)
+             for _ in range(8)] + [b"a" * bpe.LONGEST, b"\xff" * bpe.LONGEST, *(bytes([i]) for i in range(256))]
+    rows = bpe.RankMap(spark, RANKS).encode(spark.createDataFrame([(words,), ([],)], "words array<binary>"), "words")
+    got = {len(r.words): r.ids for r in rows.collect()}
+    library = bpe._library(RANKS)
+    assert got[0] == [] and got[len(words)] == [library.encode_single_piece(w) for w in words]
+
+
+def test_words_are_found_in_the_table():
+    words = [b"", b"some", "über".encode(), b"\xff\x00", b"words"]
+    ids = [[], [1], [2, 3], [70_000, 5, 6], [9]]
+    for n in (0, 1, 5):
+        found = bpe.WordTable(pa.array(words[:n], pa.binary()), pa.array(ids[:n], pa.list_(pa.int32()))).find([*words, b"none"])
+        assert found == [array("i", x).tobytes() for x in ids[:n]] + [None] * (6 - n)
