@@ -138,3 +138,49 @@ def test_classifier_odd_texts_and_nothing_left_cached(spark):
     assert {k for k, r in out.items() if r.sentiment == "Positive"} == {3, 6}
     assert all(0 <= r.p_positive <= 1 for r in out.values())
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_classifier_hashes_texts_once_and_caches_no_vectors(spark, monkeypatch):
+    """The fit reads stored counts in small batches, beside the optimiser's own
+    small blocks; only they are kept in memory. The folder is removed, and the
+    session's settings are as before."""
+    import os
+    from strata.plans import classifier
+    from strata.session import checkpoint_dir
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    folder, batch = checkpoint_dir(spark).removeprefix("file:"), spark.conf.get(key)
+    fit, seen, read = classifier.LogisticRegression.fit, [], spark.sparkContext.accumulator(0)
+
+    def watched(model, df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((plan, spark.sparkContext._jsc.getPersistentRDDs().size(), int(spark.conf.get(key)),
+                     model.getOrDefault("maxBlockSizeInMB")))
+        return fit(model, df)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    monkeypatch.setattr(classifier.LogisticRegression, "fit", watched)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    rows = [(i, f"great word{i} here" if i % 3 else f"plain word{i} there") for i in range(200)]
+    df = spark.createDataFrame([*rows, (7, None), (7, rows[7][1])], "id long, t string").select("id", counted("t").alias("t"))
+    out = classifier.classify(df, "id", "t", max_iter=5)
+    got = sorted((r.id, r.weak_label) for r in out.collect())
+    assert got == sorted([*((i, int(i % 3 > 0)) for i in range(200)), (7, 0), (7, 1)])
+    assert read.value == 202 and out.count() == 202
+    (plan, cached, rows_read, block), = seen
+    assert "InMemoryTableScan" not in plan and cached == before and rows_read <= 64 and 0 < block <= 0.25
+    assert spark.conf.get(key) == batch
+    assert not [n for n in os.listdir(folder) if n.startswith("strata-grams-")]
+
+
+@pytest.mark.parametrize("text", ["", "one", "one two", "Ab ab, ab; c", "x " * 17, "!? %"])
+def test_ordered_grams(spark, text):
+    from strata.plans.classifier import PLACES, counts, ordered_grams
+    row = counts(spark.createDataFrame([(text,)], "t string"), "t").first()
+    w = [x for x in "".join(c if c.isalnum() else " " for c in text.lower()).split(" ") if x]
+    got = spark.createDataFrame([(w,)], "w array<string>").select(ordered_grams("w").alias("g")).first().g
+    want = w + [" ".join(p) for p in zip(w, w[1:])] + [f"{i * PLACES // len(w)}@{x}" for i, x in enumerate(w)]
+    assert got == want and sum(row["_counts"].values) == len(want)
