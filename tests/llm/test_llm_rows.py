@@ -64,6 +64,43 @@ def test_ratio_is_the_mean_of_log_ratios(spark):
         assert got[k] == pytest.approx(np.mean([weight(of[g]) for g in trigrams(t)]), abs=1e-3)
 
 
+def every_run(text):
+    """Runs of three characters at every place of each word; a shorter word itself."""
+    return [w[i:i + 3] for w in WORD.findall(text) for i in range(max(1, len(w) - 2))]
+
+
+def test_every_ngram_of_a_word_counts(spark):
+    """N-grams at every place, also of words that share none from their heads
+    on; characters beyond 16 bits, long words, odd spaces and marks."""
+    import random
+    rnd = random.Random(6)
+    parts = ["a", "bc", "the", "😀", "中", "é", " ", "\t", "\n", "\u2003", "\x1c", "\x0b", "%", "\x85"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 60))) for _ in range(200)] + ["x" * 5000, "", "x😀 ab😀 😀😀 😀"]
+    found = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select(quality.grams(F.col("t"), True).alias("g"))
+    assert [r.g for r in found.collect()] == [every_run(t) for t in [*texts, ""]]
+    rows = [(1, "reading mountains often " * 5), (2, "xreading xmountains xoften " * 5), (3, None), (1, "éa 中 😀😀😀😀"), (None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    got = [r.llr for r in quality.quality_rules(docs, labels, every=True).collect()]
+    grams = sorted({g for _, t in rows for g in every_run(t or "")})
+    of = {r.g: r.b for r in spark.createDataFrame([(g,) for g in grams], "g string").select(
+        "g", F.pmod(F.xxhash64("g"), F.lit(quality.BUCKETS)).alias("b")).collect()}
+    raw, trusted = (Counter(of[g] for k, t in rows if k in ks for g in every_run(t or "")) for ks in ((1, 2, 3, None), (1,)))
+    n = quality.BUCKETS
+    weight = lambda b: (np.log((trusted[b] + 1) / (sum(trusted.values()) + n))
+                        - np.log((raw[b] + 1) / (sum(raw.values()) + n)))
+    for x, (_, t) in zip(got, rows, strict=True):
+        assert x == pytest.approx(np.mean([weight(of[g]) for g in every_run(t)]) if t else 0, abs=1e-3)
+
+
+def test_the_query_takes_every_ngram(spark, monkeypatch):
+    """op2 counts and rates n-grams at every place."""
+    seen, grams = [], quality.grams
+    monkeypatch.setattr(quality, "grams", lambda text, every=False: seen.append(every) or grams(text, every))
+    queries.QUERIES["op2_ngram_ratio_rules"](spark, SF001)
+    assert len(seen) == 2 and all(seen)
+
+
 def test_only_texts_that_may_be_trusted_are_shuffled(spark, monkeypatch):
     """At any size: no broadcast of keys while they are few, no text shuffled
     that the bit table rules out; rows that repeat, and without key, stay."""
